@@ -40,7 +40,8 @@ class DuckText:
 
 INSTANCE_KEY = (
     "cast(l_orderkey as string) || '.' || cast(l_linenumber as string) || '.' ||"
-    " cast(l_partkey as string) || '.' || cast(l_suppkey as string)"
+    " cast(l_partkey as string) || '.' || cast(l_suppkey as string) || '.' ||"
+    " cast(cast(l_quantity as int) as string)"
 )
 
 MODALITY = """case substr(o_orderpriority, 1, 1)
@@ -381,7 +382,14 @@ def columns(d: type) -> dict[str, str]:
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table.  The fact table is spread over the cores when it comes in fewer
+    splits than that; a table of many files is left as it is."""
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name == "lineitem" and rows.rdd.getNumPartitions() < cores:
+        # by hash: a round-robin spread would sort the rows first
+        return rows.repartition(cores, "l_orderkey", "l_linenumber")
+    return rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -402,25 +410,25 @@ def instances(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> DataFra
     """The named instance columns; only the dimensions they use are joined."""
     texts = {n: columns(SparkText)[n] for n in names}
     used = set(re.findall(r"\b([a-z]+)_[a-z]+\b", " ".join(texts.values())))
-    lines = _read(spark, sf_dir, "lineitem").join(
-        _read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
-    rows = lines
-    if "p" in used:
-        part = _read(spark, sf_dir, "part")
-        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    orders = _read(spark, sf_dir, "orders")
+    series = orders
     if used & {"c", "n"}:
         customer = _read(spark, sf_dir, "customer")
-        rows = rows.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+        series = series.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     if "n" in used:
         nation = _read(spark, sf_dir, "nation")  # fixed at 25 rows
-        rows = rows.join(
+        series = series.join(
             F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left"
         )
+    lines = _read(spark, sf_dir, "lineitem")
+    same_order = F.col("l_orderkey") == F.col("o_orderkey")
     if used & {"first", "last"}:
-        rows = rows.join(
-            _ct_instances(lines), F.col("o_custkey") == F.col("ct_custkey"), "left"
-        )
+        cts = _ct_instances(lines.join(orders, same_order))
+        series = series.join(cts, F.col("o_custkey") == F.col("ct_custkey"), "left")
+    rows = lines.join(series, same_order)
+    if "p" in used:
+        part = _read(spark, sf_dir, "part")
+        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     return rows.withColumn("Modality", F.expr(MODALITY)).select(
         *[F.expr(t).alias(n) for n, t in texts.items()]
     )

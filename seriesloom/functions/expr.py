@@ -42,12 +42,20 @@ def slash_joined(c: Column | str) -> Column:
 # --- safe casts ---------------------------------------------------------------
 
 
+def number_text(c: Column) -> Column:
+    """Double of a text or NULL.  A Java float suffix (``1.0d``) is no part of a number,
+    though the cast would take it."""
+    tail = F.rtrim(c, F.lit(" \t\r\n"))
+    suffixed = tail.endswith("d") | tail.endswith("D") | tail.endswith("f") | tail.endswith("F")
+    infinite = F.lower(tail).endswith("inf")
+    return F.when(~suffixed | infinite, c.try_cast("double"))
+
+
 def safe_double(df: DataFrame, c: Column | str) -> Column:
-    """Double or NULL.  Text with a Java float suffix (``1.0d``) is not a number."""
+    """Double or NULL, whatever the type of the input."""
     c = as_column(c)
     if isinstance(df.select(c).schema[0].dataType, T.StringType):
-        suffixed = c.rlike(r"^\s*[+-]?[0-9.].*[dDfF]\s*$")
-        return F.when(~suffixed, c.try_cast("double"))
+        return number_text(c)
     return c.try_cast("double")
 
 

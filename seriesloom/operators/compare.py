@@ -147,64 +147,48 @@ class _Keyed:
         )
 
     def repeated_counts(self) -> DataFrame:
-        def counts(df: DataFrame, tag: str) -> DataFrame:
-            return df.groupBy(self.key).agg(F.count(F.lit(1)).alias(tag))
+        """Both sides are counted per (key, column, value) in one stream: the products
+        of these counts are the pairs, so nothing is joined and no pair is built."""
 
+        def side(df: DataFrame, l: int, r: int) -> DataFrame:
+            return df.select("*", F.lit(l).alias("_l"), F.lit(r).alias("_r"))
+
+        rows = side(self.left, 1, 0).unionByName(side(self.right, 0, 1))
         repeated = (
-            counts(self.left, "ln")
-            .join(counts(self.right, "rn"), self.key)
-            .where("ln > 1 or rn > 1")
+            rows.groupBy(self.key)
+            .agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
+            .where("(l > 1 or r > 1) and l > 0 and r > 0")
             .select(self.key)
         )
-
-        def cells(df: DataFrame, tag: str) -> DataFrame:
-            rows = df.join(repeated, self.key, "left_semi")
-            return (
-                rows.select(
-                    self.key,
-                    F.inline(
-                        F.array(
-                            *[
-                                F.struct(
-                                    F.lit(c).alias("column"),
-                                    as_text(F.col(c), df.schema[c].dataType).alias("value"),
-                                )
-                                for c in self.columns
-                            ]
-                        )
-                    ),
+        cells = F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column"),
+                    as_text(F.col(c), self.left.schema[c].dataType).alias("value"),
                 )
-                .groupBy(self.key, "column", "value")
-                .agg(F.count(F.lit(1)).alias(tag))
-            )
-
-        l, r = cells(self.left, "lc"), cells(self.right, "rc")
-        values = ["column", self.key]
-        equal = (
-            l.where("value is not null")
-            .join(r.where("value is not null"), [*values, "value"])
-            .groupBy(*values)
-            .agg(F.sum(F.col("lc") * F.col("rc")).alias("equal"))
+                for c in self.columns
+            ]
         )
-
-        def totals(df: DataFrame, count: str, tag: str) -> DataFrame:
-            return df.groupBy(*values).agg(
-                F.sum(count).alias(f"{tag}_all"),
-                F.sum(F.when(F.col("value").isNotNull(), F.col(count)).otherwise(0)).alias(
-                    f"{tag}_set"
-                ),
-            )
-
-        joined = (
-            totals(l, "lc", "l").join(totals(r, "rc", "r"), values).join(equal, values, "left")
+        values = (
+            rows.join(repeated, self.key, "left_semi")
+            .select(self.key, "_l", "_r", F.inline(cells))
+            .groupBy(self.key, "column", "value")
+            .agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
+        )
+        filled = F.col("value").isNotNull()
+        l, r = F.col("l"), F.col("r")
+        per_key = values.groupBy(self.key, "column").agg(
+            (F.sum(l) * F.sum(r)).alias("pairs"),
+            (
+                F.sum(F.when(filled, l).otherwise(0)) * F.sum(F.when(filled, r).otherwise(0))
+            ).alias("filled_pairs"),
+            F.sum(F.when(filled, l * r).otherwise(0)).alias("equal"),
+            F.sum(F.when(filled, 0).otherwise(l * r)).alias("both_null"),
         )
-        same = F.coalesce("equal", F.lit(0))
-        pairs = F.col("l_all") * F.col("r_all")
-        both_null = (F.col("l_all") - F.col("l_set")) * (F.col("r_all") - F.col("r_set"))
-        return joined.groupBy("column").agg(
-            F.sum(pairs).alias("pairs"),
-            F.sum(F.col("l_set") * F.col("r_set") - same).alias("differing"),
-            F.sum(pairs - same - both_null).alias("unequal"),
+        return per_key.groupBy("column").agg(
+            F.sum("pairs").alias("pairs"),
+            F.sum(F.col("filled_pairs") - F.col("equal")).alias("differing"),
+            F.sum(F.col("pairs") - F.col("equal") - F.col("both_null")).alias("unequal"),
         )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import all_equal, items, nth, safe_double, slash_joined
+from ..functions.expr import all_equal, items, nth, number_text, safe_double, slash_joined
 from ..functions.vectors import components, cross, dot, norm
 from ..lookups import CT_CLASS, MR_CLASS, PT_CLASS
 from ..operators.fragments import gap_summary, with_next_value
@@ -27,15 +27,10 @@ def _numbers(df: DataFrame, name: str, start: int, length: int) -> Column:
     kind = df.select(name).schema[0].dataType.elementType.typeName()
     part = F.slice(items(name), F.lit(start + 1), F.lit(length))
     if kind == "string":
-        return F.transform(part, lambda v: safe_double_element(v))
+        return F.transform(part, number_text)
     return F.transform(part, lambda v: v.try_cast("double"))
 
 
-def safe_double_element(v: Column) -> Column:
-    suffixed = v.rlike(r"^\s*[+-]?[0-9.].*[dDfF]\s*$")
-    return F.when(~suffixed, v.try_cast("double"))
-
-
 def _with_geometry(rows: DataFrame) -> DataFrame:
     """Add the slice normal and the projections of the position on it and on the plane."""
     position = F.col("ImagePositionPatient")
