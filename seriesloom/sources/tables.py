@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,11 @@ from pyspark.sql import types as T
 
 VERSION = "idc_version"
 
+# Tables stored with one folder per release; the others hold no version folders.
+VERSIONED = frozenset(
+    {"instances", "instances_by_version", "instances_curated", "version_bookkeeping"}
+)
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -21,6 +26,7 @@ class Tables:
 
     spark: SparkSession
     root: str
+    versioned: frozenset[str] = field(default=VERSIONED)
 
     def all_versions(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root.rstrip('/')}/{name}")
@@ -31,9 +37,12 @@ class Tables:
         return None if row is None or row.v is None else int(row.v)
 
     def table(self, name: str, version: int | str | None = None) -> DataFrame:
-        """``version``: a number, ``"current"`` for the newest, None for a plain table."""
+        """``version``: a number, ``"current"`` for the newest, None for all of them.
+
+        Tables without version folders are returned as they are.
+        """
         rows = self.all_versions(name)
-        if version is None:
+        if version is None or name not in self.versioned:
             return rows
         wanted = self.newest(name) if version == "current" else int(version)
         return rows.where(F.col(VERSION) == F.lit(wanted)).drop(VERSION)
