@@ -382,18 +382,23 @@ def columns(d: type) -> dict[str, str]:
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table.  The fact table is spread over the cores when it comes in fewer
-    splits than that; a table of many files is left as it is."""
-    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name == "lineitem" and rows.rdd.getNumPartitions() < cores:
-        # by hash: a round-robin spread would sort the rows first
-        return rows.repartition(cores, "l_orderkey", "l_linenumber")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _spread(rows: DataFrame, key: str, source: DataFrame) -> DataFrame:
+    """Spread rows over the cores when their source comes in fewer splits than that (so
+    it is small).  A table of many files is left as it is.  By order key, like files
+    written series by series, so map-side combine has an effect."""
+    cores = source.sparkSession.sparkContext.defaultParallelism
+    if source.rdd.getNumPartitions() < cores:
+        return rows.repartition(cores, key)
     return rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _read(spark, sf_dir, name)
+    rows = _read(spark, sf_dir, name)
+    key = {"lineitem": "l_orderkey", "orders": "o_orderkey"}.get(name)
+    return _spread(rows, key, rows) if key else rows
 
 
 def _ct_instances(lines: DataFrame) -> DataFrame:
@@ -425,7 +430,7 @@ def instances(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> DataFra
     if used & {"first", "last"}:
         cts = _ct_instances(lines.join(orders, same_order))
         series = series.join(cts, F.col("o_custkey") == F.col("ct_custkey"), "left")
-    rows = lines.join(series, same_order)
+    rows = _spread(lines.join(series, same_order), "l_orderkey", lines)
     if "p" in used:
         part = _read(spark, sf_dir, "part")
         rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")

@@ -6,7 +6,7 @@ and Catalyst sees the whole expression.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,21 +51,33 @@ def number_text(c: Column) -> Column:
     return F.when(~suffixed | infinite, c.try_cast("double"))
 
 
+def type_of(df: DataFrame, c: Column | str) -> T.DataType:
+    """Type of a column expression, resolved on an empty frame of the same schema: that
+    costs nothing however long the plan behind ``df`` is."""
+    if isinstance(c, str):
+        return df.schema[c].dataType
+    return df.sparkSession.createDataFrame([], df.schema).select(c).schema[0].dataType
+
+
 def safe_double(df: DataFrame, c: Column | str) -> Column:
     """Double or NULL, whatever the type of the input."""
-    c = as_column(c)
-    if isinstance(df.select(c).schema[0].dataType, T.StringType):
-        return number_text(c)
-    return c.try_cast("double")
+    if isinstance(type_of(df, c), T.StringType):
+        return number_text(as_column(c))
+    return as_column(c).try_cast("double")
+
+
+def element_number(df: DataFrame, array: str) -> Callable[[Column], Column]:
+    """Safe cast for the elements of an array column."""
+    if isinstance(df.schema[array].dataType.elementType, T.StringType):
+        return number_text
+    return lambda v: v.try_cast("double")
 
 
 def safe_long(df: DataFrame, c: Column | str) -> Column:
     """Long or NULL.  Fractional numbers round half away from zero."""
-    c = as_column(c)
-    kind = df.select(c).schema[0].dataType
-    if isinstance(kind, T.FractionalType):
-        return F.round(c, 0).try_cast("bigint")
-    return c.try_cast("bigint")
+    if isinstance(type_of(df, c), T.FractionalType):
+        return F.round(as_column(c), 0).try_cast("bigint")
+    return as_column(c).try_cast("bigint")
 
 
 # --- aggregates ---------------------------------------------------------------

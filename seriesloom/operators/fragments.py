@@ -29,7 +29,7 @@ def fragmented(
 
 def gap_summary(rows: DataFrame, key: str, value: str, tie: Column) -> DataFrame:
     """Per key: number of values, smallest and largest gap between sorted neighbours,
-    and the number of distinct values.  NULL values must be filtered out beforehand.
+    and the number of distinct values.  NULL values sort first and take no part.
     """
     inside = Window.partitionBy(key, FRAGMENT).orderBy(value)
     parts = (

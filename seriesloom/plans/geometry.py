@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import all_equal, items, nth, number_text, safe_double, slash_joined
-from ..functions.vectors import components, cross, dot, norm
+from ..functions.expr import all_equal, element_number, items, nth, slash_joined
+from ..functions.vectors import Vector, as_columns, cross, dot, named, norm
 from ..lookups import CT_CLASS, MR_CLASS, PT_CLASS
 from ..operators.fragments import gap_summary, with_next_value
 from .core import INSTANCE, SERIES
@@ -23,37 +23,32 @@ def _is_overview() -> Column:
     return F.exists(items("ImageType"), lambda t: (t == "LOCALIZER") | t.like("%MIP%"))
 
 
-def _numbers(df: DataFrame, name: str, start: int, length: int) -> Column:
-    kind = df.select(name).schema[0].dataType.elementType.typeName()
-    part = F.slice(items(name), F.lit(start + 1), F.lit(length))
-    if kind == "string":
-        return F.transform(part, number_text)
-    return F.transform(part, lambda v: v.try_cast("double"))
+def _triple(df: DataFrame, array: str, start: int) -> Vector:
+    """Three neighbouring elements of an array as numbers, NULL beyond its end."""
+    number = element_number(df, array)
+    x, y, z = (number(nth(array, start + i)) for i in range(3))
+    return x, y, z
 
 
 def _with_geometry(rows: DataFrame) -> DataFrame:
-    """Add the slice normal and the projections of the position on it and on the plane."""
-    position = F.col("ImagePositionPatient")
-    point = tuple(safe_double(rows, nth(position, i)) for i in range(3))
+    """Add the slice normal and the projections of the position on it and on the plane.
+
+    Built in steps, so each cast and each product is computed once per row.
+    """
+    point, row, col, normal = (named(n) for n in ("_point", "_row", "_col", "normal"))
     vectors = rows.select(
         "*",
-        _numbers(rows, "ImageOrientationPatient", 0, 3).alias("_row"),
-        _numbers(rows, "ImageOrientationPatient", 3, 3).alias("_col"),
-        F.struct(*[p.alias(k) for p, k in zip(point, "xyz")]).alias("_point"),
-    )
-    row, col = F.col("_row"), F.col("_col")
-    normal = vectors.withColumn(
-        "_normal", F.struct(*[c.alias(k) for c, k in zip(cross(row, col), "xyz")])
+        *as_columns(_triple(rows, "ImagePositionPatient", 0), "_point"),
+        *as_columns(_triple(rows, "ImageOrientationPatient", 0), "_row"),
+        *as_columns(_triple(rows, "ImageOrientationPatient", 3), "_col"),
     )
-    n = tuple(F.col("_normal")[k] for k in "xyz")
-    p = tuple(F.col("_point")[k] for k in "xyz")
-    return normal.select(
+    return vectors.select("*", *as_columns(cross(row, col), "normal")).select(
         *rows.columns,
-        dot(p, n).alias("slice_position"),
-        norm(n).alias("normal_length"),
-        dot(p, components(row)).alias("in_plane_row"),
-        dot(p, components(col)).alias("in_plane_col"),
-        *[c.alias(f"normal_{k}") for k, c in zip("xyz", n)],
+        dot(point, normal).alias("slice_position"),
+        norm(normal).alias("normal_length"),
+        dot(point, row).alias("in_plane_row"),
+        dot(point, col).alias("in_plane_col"),
+        *normal,
     )
 
 
@@ -67,7 +62,7 @@ def slice_positions(instances: DataFrame) -> DataFrame:
 
 def _obliquity() -> Column:
     """Angle between the normal and the nearest axis, NULL unless the normal is complete."""
-    parts = [F.abs(F.col(f"normal_{k}")) for k in "xyz"]
+    parts = [F.abs(c) for c in named("normal")]
     length = F.col("normal_length")
     # rounding may push the cosine just above one
     cosine = F.least(F.lit(1.0), F.try_divide(F.greatest(*parts), length))
@@ -138,9 +133,7 @@ def volume_geometry_index(
         .where(member & ~overview)
     )
     gaps = gap_summary(
-        slice_positions(instances)
-        .select(SERIES, INSTANCE, "slice_position")
-        .where(F.col("slice_position").isNotNull()),
+        slice_positions(instances).select(SERIES, INSTANCE, "slice_position"),
         SERIES,
         "slice_position",
         tie=F.xxhash64(INSTANCE),

@@ -11,6 +11,7 @@ from ..functions.expr import (
     any_list,
     any_of,
     distinct_sorted,
+    element_number,
     first,
     nth,
     safe_double,
@@ -35,9 +36,10 @@ def _numbers(instances: DataFrame, names: Sequence[str]) -> dict[str, Column]:
 
 def _spacing(instances: DataFrame) -> dict[str, Column]:
     spacing = F.col("PixelSpacing")
+    as_number = element_number(instances, "PixelSpacing")
     return {
-        "PixelSpacing_row_mm": any_of(safe_double(instances, nth(spacing, 0))),
-        "PixelSpacing_col_mm": any_of(safe_double(instances, nth(spacing, 1))),
+        "PixelSpacing_row_mm": any_of(as_number(nth(spacing, 0))),
+        "PixelSpacing_col_mm": any_of(as_number(nth(spacing, 1))),
     }
 
 
