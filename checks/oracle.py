@@ -418,6 +418,16 @@ select SeriesInstanceUID, SOPInstanceUID, round(pos, 9) as slice_position,
 from placed"""
 
 
+def slice_positions() -> str:
+    cells = {
+        "slice_position": "pos", "normal_length": "len", "in_plane_row": "inrow",
+        "in_plane_col": "incol", "normal_x": "nx", "normal_y": "ny", "normal_z": "nz",
+    }
+    return f"""with {duck_instances(Q.GEOMETRY_COLUMNS)}, {_projected()}
+select SeriesInstanceUID, SOPInstanceUID, {", ".join(f"round({v}, 9) as {k}" for k, v in cells.items())}
+from placed"""
+
+
 STUDIES = """studies as (
   select min(collection_id) as collection_id, min(PatientID) as PatientID, StudyInstanceUID,
     min(cast(StudyDate as varchar)) as StudyDate, min(StudyDescription) as StudyDescription,
@@ -664,4 +674,21 @@ def oracle_sql() -> dict[str, str]:
             order by difference desc, "column" limit 20""",
         "bytes_totals": f"with {_bytes()} {TOTALS}",
         "published_ct": ct_index(),
+        "published_csv": contrast_index(),
+        "slice_positions": slice_positions(),
+        "revision_sizes": f"""with {BY_VERSION} select cast(v as int) as idc_version, crdc_series_uuid,
+            round(sum(try_cast(instance_size as double)) / 1000000, 2) as series_size_MB
+            from ver where v between 1 and 5 group by 1, 2""",
+        "versioned_scan": f"""with {BY_VERSION} select collection_id, Modality, count(*) as instances,
+            count(distinct SeriesInstanceUID) as series from ver where v = 3 group by 1, 2""",
+        "patient_pairs": with_studies(
+            """select distinct collection_id, PatientID from studies
+            where collection_id is not null and PatientID is not null"""
+        ),
+        "match_counts": with_studies(
+            """select collection_id, count(gdc_case_id) as matched, count(*) as studies
+            from matched group by 1""",
+            CASES,
+            MATCHED,
+        ),
     }

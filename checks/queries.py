@@ -20,6 +20,7 @@ from seriesloom.operators import compare as C
 from seriesloom.operators.names import unknown_codes
 from seriesloom.plans import core, derived, geometry, mapping, modality, slide, versions
 from seriesloom.sources import publish
+from seriesloom.sources.tables import Tables, write_versioned
 
 from .adapter import COLLECTION, INSTANCE_KEY, instances, table
 
@@ -373,6 +374,59 @@ def ordered_positions(spark: SparkSession, d: str) -> DataFrame:
     return index.select("SeriesInstanceUID", F.row_number().over(w).alias("place"))
 
 
+def slice_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Slice normals and projections of every instance of a volume class."""
+    return flat(geometry.slice_positions(instances(spark, d, GEOMETRY_COLUMNS)), decimals=9)
+
+
+def revision_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Size of every revision in every release up to the fifth, all releases in one scan."""
+    rows = instances_by_version(spark, d).where(F.col("idc_version").between(1, 5))
+    size = E.safe_double(rows, "instance_size")
+    return rows.groupBy("idc_version", "crdc_series_uuid").agg(
+        F.round(F.sum(size) / 1e6, 2).alias("series_size_MB")
+    )
+
+
+def versioned_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Store the instances with one folder per release and read one release back."""
+    root = scratch_dir(spark)
+    write_versioned(instances_by_version(spark, d), f"{root}/instances_by_version")
+    rows = Tables(spark, root).table("instances_by_version", 3)
+    return rows.groupBy("collection_id", "Modality").agg(
+        F.count(F.lit(1)).alias("instances"),
+        F.count_distinct("SeriesInstanceUID").alias("series"),
+    )
+
+
+def published_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Write the contrast index as compressed CSV and read it back."""
+    path = scratch_dir(spark) + "/contrast_index"
+    publish.write_csv(modality.contrast_index(instances(spark, d, CONTRAST_COLUMNS)), path)
+    back = spark.read.option("header", True).option("escape", "\\").csv(path)
+    arrays = [c for c in back.columns if c != "SeriesInstanceUID"]
+    return flat(
+        back.select(
+            "SeriesInstanceUID",
+            *[F.from_json(c, "array<string>").alias(c) for c in arrays],
+        )
+    )
+
+
+def patient_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct complete (collection, patient) pairs of the selected studies."""
+    return (
+        study_rows(spark, d).select(*mapping.PATIENT).dropna(subset=mapping.PATIENT).dropDuplicates()
+    )
+
+
+def match_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Matched and all studies of every collection."""
+    return matched(spark, d).groupBy("collection_id").agg(
+        F.count("gdc_case_id").alias("matched"), F.count(F.lit(1)).alias("studies")
+    )
+
+
 def _diff(f: Callable[..., DataFrame], pair: Callable, *args) -> Query:
     return lambda spark, d: f(*pair(spark, d), *args)
 
@@ -395,13 +449,16 @@ def profile_diff(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder next to the shared checkpoint folder the cluster names; the local
-    temporary folder only where none is set, as in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+    """A fresh folder in the shared checkpoint folder the cluster names; the local
+    temporary folder only on a single machine where none is set, as in tests."""
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
         "spark.checkpoint.dir", None
     )
     if shared:
         return f"{shared.rstrip('/')}/published-{os.urandom(6).hex()}"
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
     return tempfile.mkdtemp(prefix="published-")
 
 
@@ -462,6 +519,7 @@ def queries() -> dict[str, Query]:
         ),
         "column_subset": column_subset,
         # parts of builders that are operators of their own
+        "slice_positions": slice_positions,
         "slice_intervals": on(geometry.slice_intervals, GEOMETRY_COLUMNS, decimals=9),
         "segmented_series": on(derived.segmented_series, SEG_COLUMNS),
         "unknown_codes": unknown_class_codes,
@@ -477,6 +535,10 @@ def queries() -> dict[str, Query]:
         "significant_figures": significant_figures,
         "safe_casts": safe_casts,
         "latest_members": latest_members,
+        "revision_sizes": revision_sizes,
+        "versioned_scan": versioned_scan,
+        "patient_pairs": patient_pairs,
+        "match_counts": match_counts,
         "ordered_positions": ordered_positions,
         # comparison
         "comparison_overview": comparison_overview,
@@ -494,6 +556,7 @@ def queries() -> dict[str, Query]:
         "bytes_totals": _diff(C.bytes_totals, orders_pair),
         # publishing
         "published_ct": published_ct,
+        "published_csv": published_csv,
         "size_report": size_report,
         "checksums": checksums,
     }

@@ -42,13 +42,14 @@ def slash_joined(c: Column | str) -> Column:
 # --- safe casts ---------------------------------------------------------------
 
 
+# A Java float suffix at the end of a text; the final letter of ``inf`` is none.
+_FLOAT_SUFFIX = r"(?:[dD]|(?<![iI][nN])[fF])\s*$"
+
+
 def number_text(c: Column) -> Column:
     """Double of a text or NULL.  A Java float suffix (``1.0d``) is no part of a number,
     though the cast would take it."""
-    tail = F.rtrim(c, F.lit(" \t\r\n"))
-    suffixed = tail.endswith("d") | tail.endswith("D") | tail.endswith("f") | tail.endswith("F")
-    infinite = F.lower(tail).endswith("inf")
-    return F.when(~suffixed | infinite, c.try_cast("double"))
+    return F.when(~c.rlike(_FLOAT_SUFFIX), c.try_cast("double"))
 
 
 def type_of(df: DataFrame, c: Column | str) -> T.DataType:

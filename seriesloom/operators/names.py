@@ -33,9 +33,9 @@ def strict_names(
 def unknown_codes(df: DataFrame, column: str, names: Mapping[str, str]) -> DataFrame:
     """Every UID the dictionary lacks, with its row count (NULL counts as missing).
 
-    The rows are counted per UID first, so the anti join sees a handful of rows; the
-    dictionary has one row per entry of ``names`` and is broadcast.
+    The rows are counted per UID first, so the anti join sees one row per UID; the
+    dictionary becomes a literal list in the plan.
     """
     counted = df.groupBy(F.col(column).alias("uid")).agg(F.count(F.lit(1)).alias("rows"))
-    known = df.sparkSession.createDataFrame([(u,) for u in names], "uid string")
-    return counted.join(F.broadcast(known), "uid", "left_anti")
+    known = F.coalesce(F.col("uid").isin(*names), F.lit(False))
+    return counted.where(~known)

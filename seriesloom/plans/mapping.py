@@ -18,6 +18,9 @@ from ..lookups import (
 
 PATIENT = ["collection_id", "PatientID"]
 
+# Largest mapping (in collections) that is broadcast.
+BROADCAST_ROWS = 10_000
+
 
 class MappingError(ValueError):
     """The collection-to-project mapping does not fit the data."""
@@ -50,11 +53,16 @@ def study_selection(
 def collection_projects(
     spark: SparkSession, projects: Mapping[str, Sequence[str]] = COLLECTION_PROJECTS
 ) -> DataFrame:
-    """The mapping as a table of one row per collection."""
-    return spark.createDataFrame(
+    """The mapping as a table of one row per collection.
+
+    It is broadcast while it is small; a mapping kept as a large table is passed as a
+    DataFrame and joined like any other.
+    """
+    table = spark.createDataFrame(
         [(c, list(p)) for c, p in projects.items()],
         "collection_id string, project_ids array<string>",
     )
+    return F.broadcast(table) if len(projects) <= BROADCAST_ROWS else table
 
 
 def unmapped_collections(studies: DataFrame, projects: DataFrame) -> DataFrame:
