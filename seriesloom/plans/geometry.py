@@ -79,8 +79,8 @@ def volume_geometry_index(
 ) -> DataFrame:
     """Eight regularity checks, their conjunction, and the obliquity, per series.
 
-    Everything but the slice gaps is one hash aggregation with map-side combine; series
-    with an overview image are recognised by a flag in it, without an anti join.  The
+    Everything but the slice gaps is hash aggregation with map-side combine; series with
+    an overview image are recognised by a flag in it, without an anti join.  The
     gaps need an order, so (series, position) alone goes through range fragments, which
     keeps a series of any size off a single task.
     """
@@ -101,34 +101,38 @@ def volume_geometry_index(
         # rows of other classes only matter for their overview flag
         .where(member | overview)
     )
-    geometry = _with_geometry(rows)
+    geometry = _with_geometry(rows).withColumns(
+        {
+            "_orientation": F.when(member, slash_joined("ImageOrientationPatient")),
+            "_spacing": F.when(member, slash_joined("PixelSpacing")),
+            "_rows": F.when(member, F.col("Rows")),
+            "_columns": F.when(member, F.col("Columns")),
+        }
+    )
+    looks = ("_orientation", "_spacing", "_rows", "_columns")
+    ranged = ("slice_position", "normal_length", "in_plane_row", "in_plane_col")
+    # A series has few looks (one, if it is regular): folding to them first keeps texts
+    # in the grouping key, so instances are hash-aggregated and never sorted.
+    per_look = geometry.groupBy(SERIES, *looks).agg(
+        F.bool_or(member).alias("_member"),
+        F.bool_or(overview).alias("_overview"),
+        F.count_if(member).alias("n"),
+        F.count(INSTANCE).alias("n_instances"),
+        *[F.min(c).alias(f"min_{c}") for c in ranged],
+        *[F.max(c).alias(f"max_{c}") for c in ranged],
+        F.min(_obliquity()).alias("obliquity_degrees"),
+    )
     checks = (
-        geometry.groupBy(SERIES)
+        per_look.groupBy(SERIES)
         .agg(
             F.bool_or(member).alias("_member"),
             F.bool_or(overview).alias("_overview"),
-            F.count_if(member).alias("n"),
-            F.count(INSTANCE).alias("n_instances"),
-            F.min("slice_position").alias("lo"),
-            F.max("slice_position").alias("hi"),
-            F.min("normal_length").alias("min_length"),
-            F.max("normal_length").alias("max_length"),
-            (F.max("in_plane_row") - F.min("in_plane_row") < in_plane_tol).alias(
-                "consistent_in_plane_row"
-            ),
-            (F.max("in_plane_col") - F.min("in_plane_col") < in_plane_tol).alias(
-                "consistent_in_plane_col"
-            ),
-            F.min(_obliquity()).alias("obliquity_degrees"),
-            *[
-                all_equal(F.when(member, c)).alias(name)
-                for name, c in {
-                    "single_orientation": slash_joined("ImageOrientationPatient"),
-                    "consistent_pixel_spacing": slash_joined("PixelSpacing"),
-                    "_rows": F.col("Rows"),
-                    "_columns": F.col("Columns"),
-                }.items()
-            ],
+            F.sum("n").alias("n"),
+            F.sum("n_instances").alias("n_instances"),
+            *[F.min(f"min_{c}").alias(f"min_{c}") for c in ranged],
+            *[F.max(f"max_{c}").alias(f"max_{c}") for c in ranged],
+            F.min("obliquity_degrees").alias("obliquity_degrees"),
+            *[all_equal(c).alias(c) for c in looks],
         )
         .where(member & ~overview)
     )
@@ -138,20 +142,24 @@ def volume_geometry_index(
         "slice_position",
         tie=F.xxhash64(INSTANCE),
     )
-    expected = F.try_divide(F.col("hi") - F.col("lo"), F.col("n") - 1)
+
+    def spread(name: str) -> Column:
+        return F.col(f"max_{name}") - F.col(f"min_{name}")
+
+    expected = F.try_divide(spread("slice_position"), F.col("n") - 1)
     worst = F.greatest(
         F.abs(F.col("max_gap") - F.col("expected")), F.abs(F.col("min_gap") - F.col("expected"))
     )
     low, high = 1 - orientation_tol, 1 + orientation_tol
     flags = {
-        "single_orientation": F.col("single_orientation"),
-        "orthogonal_orientation": F.col("min_length").between(low, high)
-        & F.col("max_length").between(low, high),
+        "single_orientation": F.col("_orientation"),
+        "orthogonal_orientation": F.col("min_normal_length").between(low, high)
+        & F.col("max_normal_length").between(low, high),
         "unique_slice_positions": F.col("n_instances")
         == F.coalesce("distinct_values", F.lit(0)),
-        "consistent_in_plane_row": F.col("consistent_in_plane_row"),
-        "consistent_in_plane_col": F.col("consistent_in_plane_col"),
-        "consistent_pixel_spacing": F.col("consistent_pixel_spacing"),
+        "consistent_in_plane_row": spread("in_plane_row") < in_plane_tol,
+        "consistent_in_plane_col": spread("in_plane_col") < in_plane_tol,
+        "consistent_pixel_spacing": F.col("_spacing"),
         "consistent_image_dimensions": F.col("_rows") & F.col("_columns"),
         "uniform_slice_spacing": worst < slice_tol * F.abs("expected"),
     }
