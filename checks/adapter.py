@@ -397,8 +397,14 @@ def _spread(rows: DataFrame, key: str, source: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     rows = _read(spark, sf_dir, name)
-    key = {"lineitem": "l_orderkey", "orders": "o_orderkey"}.get(name)
-    return _spread(rows, key, rows) if key else rows
+    return _spread(rows, "l_orderkey", rows) if name == "lineitem" else rows
+
+
+def lines_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their orders."""
+    lines, orders = (_read(spark, sf_dir, t) for t in ("lineitem", "orders"))
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return _spread(joined, "l_orderkey", lines)
 
 
 def _ct_instances(lines: DataFrame) -> DataFrame:

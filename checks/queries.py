@@ -22,7 +22,7 @@ from seriesloom.plans import core, derived, geometry, mapping, modality, slide,
 from seriesloom.sources import publish
 from seriesloom.sources.tables import Tables, write_versioned
 
-from .adapter import COLLECTION, INSTANCE_KEY, instances, table
+from .adapter import COLLECTION, INSTANCE_KEY, instances, lines_with_orders, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,9 +114,7 @@ def bookkeeping(spark: SparkSession, d: str) -> DataFrame:
 
 def instances_by_version(spark: SparkSession, d: str) -> DataFrame:
     """Instances of all releases: a patient's series of one priority live in many years."""
-    lines = table(spark, d, "lineitem").join(
-        table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    lines = lines_with_orders(spark, d)
     series = "cast(o_custkey as string) || '.' || o_orderpriority"
     return lines.selectExpr(
         "cast(year(o_orderdate) - 1994 as int) as idc_version",

@@ -101,6 +101,8 @@ class _Keyed:
     def __init__(self, left: DataFrame, right: DataFrame, key: str) -> None:
         self.key = key
         self.columns = [c for c in common_columns(left, right) if c != key]
+        if not self.columns:
+            raise ValueError("the tables have no common column to compare")
         pairs = [_comparable(left, right, c) for c in self.columns]
         self.left = left.where(F.col(key).isNotNull()).select(
             key, *[p[0].alias(c) for p, c in zip(pairs, self.columns)]
@@ -193,7 +195,7 @@ class _Keyed:
 
 
 def keyed_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Per common column of an inner join on ``key``: how many pairs differ.
+    """Per common column of an inner join on ``key``: how many pairs differ, most first.
 
     ``differing`` counts pairs of two non-NULL unlike values; ``unequal`` also counts
     NULL against a value, and decides whether the column is identical.
@@ -205,6 +207,7 @@ def keyed_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         .agg(*[F.sum(c).alias(c) for c in ("pairs", "differing", "unequal")])
         .withColumn("percent", F.try_divide(F.col("differing") * 100.0, F.col("pairs")))
         .withColumn("identical", F.col("unequal") == 0)
+        .orderBy(F.desc("differing"), "column")
     )
 
 
@@ -278,6 +281,10 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean, median, sample deviation, minimum and maximum of numeric columns."""
+    if not columns:
+        return df.sparkSession.createDataFrame(
+            [], "column string, mean double, median double, std double, min double, max double"
+        )
     wide = df.agg(
         *[
             f(F.col(c).cast("double")).alias(f"{tag}_{i}")

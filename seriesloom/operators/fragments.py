@@ -105,47 +105,57 @@ def with_next_value(
     )
 
 
+def _bracket(
+    df: DataFrame, columns: Sequence[str], margin: float, accuracy: int
+) -> dict[str, tuple[float, float]]:
+    """Approximate quantiles just below and above the middle of each column with values."""
+    low, high = max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)
+    sketch = df.agg(
+        *[F.percentile_approx(F.col(c).cast("double"), [low, high], accuracy).alias(c) for c in columns]
+    ).first()
+    found = {c: tuple(sketch[c]) for c in columns if sketch[c] is not None}
+    if margin >= 0.5:
+        return {c: (float("-inf"), float("inf")) for c in found}
+    return found
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 100_000) -> DataFrame:
     """Exact median of several numeric columns, as rows (column, median).
 
     A mergeable quantile sketch brackets each median within a few parts in
     ``accuracy``; two numbers per column reach the driver.  Exact counts below and
     inside the bracket then give the rank of every value in it.  Should a bracket miss
-    its median, that column is ranked without one.
+    its median, that column gets a wider one.
     """
     spark = df.sparkSession
-    margin = 4.0 / accuracy
-    sketch = df.agg(
-        *[
-            F.percentile_approx(
-                F.col(c).cast("double"), [0.5 - margin, 0.5 + margin], accuracy
-            ).alias(c)
-            for c in columns
-        ]
-    ).first()
-    brackets = {c: tuple(sketch[c]) for c in columns if sketch[c] is not None}
+    brackets, ranks, margin = {}, [], 4.0 / accuracy
+    missing = list(columns)
+    while missing:
+        found = _bracket(df, missing, margin, accuracy)
+        counts = df.agg(
+            *[
+                count.alias(f"{tag}_{i}")
+                for i, (c, (low, high)) in enumerate(found.items())
+                for tag, count in (
+                    ("n", F.count(c)),
+                    ("below", F.count_if(F.col(c).cast("double") < low)),
+                    ("upto", F.count_if(F.col(c).cast("double") <= high)),
+                )
+            ]
+        ).first() if found else None
+        missing = []
+        for i, c in enumerate(found):
+            n, below, upto = (counts[f"{tag}_{i}"] for tag in ("n", "below", "upto"))
+            lower, upper = (n - 1) // 2, n // 2
+            if below <= lower and upper < upto:
+                brackets[c] = found[c]
+                ranks.append((c, below, lower, upper))
+            else:
+                missing.append(c)
+        margin *= 8
     if not brackets:
         return spark.createDataFrame([], "column string, median double")
 
-    def below(c: str) -> Column:
-        return F.count_if(F.col(c).cast("double") < brackets[c][0])
-
-    def upto(c: str) -> Column:
-        return F.count_if(F.col(c).cast("double") <= brackets[c][1])
-
-    counts = df.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(brackets)],
-        *[below(c).alias(f"b_{i}") for i, c in enumerate(brackets)],
-        *[upto(c).alias(f"u_{i}") for i, c in enumerate(brackets)],
-    ).first()
-    ranks = []
-    for i, c in enumerate(brackets):
-        n, b, u = counts[f"n_{i}"], counts[f"b_{i}"], counts[f"u_{i}"]
-        lower, upper = (n - 1) // 2, n // 2
-        if not (b <= lower and upper < u):
-            brackets[c], b = (float("-inf"), float("inf")), 0
-        ranks.append((c, b, lower, upper))
-
     cells = F.array(
         *[
             F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +33,13 @@ class Tables:
         return self.spark.read.parquet(f"{self.root.rstrip('/')}/{name}")
 
     def newest(self, name: str) -> int | None:
-        """Newest version of a table, from its partition values."""
-        row = self.all_versions(name).agg(F.max(VERSION).alias("v")).first()
+        """Newest release: from the small table of releases, or, where there is none,
+        from the partition values of the table itself."""
+        try:
+            source = self.all_versions("versions")
+        except AnalysisException:
+            source = self.all_versions(name)
+        row = source.agg(F.max(VERSION).alias("v")).first()
         return None if row is None or row.v is None else int(row.v)
 
     def table(self, name: str, version: int | str | None = None) -> DataFrame:

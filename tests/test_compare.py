@@ -98,6 +98,32 @@ def test_medians_match_statistics(spark, accuracy):
     assert exact_medians(even, ["a"]).first().median == 2.5
 
 
+def test_a_missed_bracket_is_widened(spark, monkeypatch):
+    from seriesloom.operators import fragments
+
+    honest = fragments._bracket
+    margins = []
+
+    def lying(df, columns, margin, accuracy):
+        margins.append(margin)
+        if len(margins) == 1:
+            return {c: (-2.0, -1.0) for c in columns}
+        return honest(df, columns, margin, accuracy)
+
+    monkeypatch.setattr(fragments, "_bracket", lying)
+    df = spark.range(101).selectExpr("cast(id as double) as a")
+    assert exact_medians(df, ["a"]).first().median == 50.0
+    assert len(margins) == 2 and margins[1] > margins[0]
+
+
+def test_no_common_columns(spark):
+    a = spark.createDataFrame([(1, "x")], "k int, s string")
+    b = spark.createDataFrame([(1, "x")], "k int, t string")
+    with pytest.raises(ValueError, match="no common column"):
+        C.keyed_diff(a, b, "k")
+    assert C.profile_diff(a.select("s"), b.select("t")).count() == 0
+
+
 def test_profiles(spark):
     a = spark.createDataFrame([(1, 2.0, "x"), (3, 4.0, "y")], "i int, f double, s string")
     b = spark.createDataFrame([(1, 2.0), (3, None)], "i long, f double")
