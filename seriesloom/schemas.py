@@ -184,3 +184,35 @@ VERSIONS = record(idc_version=L, version_timestamp=TS)
 CASES = record(project_id=S, submitter_id=S, case_id=S)
 
 COLLECTION_PROJECTS = record(collection_id=S, project_ids=TEXTS)
+
+# Input tables of the indices by name.
+INPUTS: dict[str, T.StructType] = {
+    "instances": INSTANCES,
+    "instances_curated": INSTANCES_CURATED,
+    "version_bookkeeping": VERSION_BOOKKEEPING,
+    "instances_by_version": INSTANCES_BY_VERSION,
+    "collections": COLLECTIONS,
+    "analysis_results": ANALYSIS_RESULTS,
+    "clinical_columns": CLINICAL_COLUMNS,
+    "versions": VERSIONS,
+    "cases": CASES,
+    "collection_projects": COLLECTION_PROJECTS,
+}
+
+
+def narrowed(stored: T.DataType, declared: T.DataType) -> T.DataType:
+    """The declared fields in their stored types, at every level of nesting.
+
+    Fields the files lack keep their declared type; Parquet reads them as NULL.
+    """
+    if isinstance(stored, T.ArrayType) and isinstance(declared, T.ArrayType):
+        return T.ArrayType(narrowed(stored.elementType, declared.elementType), stored.containsNull)
+    if isinstance(stored, T.StructType) and isinstance(declared, T.StructType):
+        kinds = {f.name: f.dataType for f in stored.fields}
+        return T.StructType(
+            [
+                T.StructField(f.name, narrowed(kinds.get(f.name, f.dataType), f.dataType))
+                for f in declared.fields
+            ]
+        )
+    return stored

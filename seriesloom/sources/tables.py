@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import INPUTS, narrowed
+
 VERSION = "idc_version"
 
 # Tables stored with one folder per release; the others hold no version folders.
@@ -30,7 +32,24 @@ class Tables:
     versioned: frozenset[str] = field(default=VERSIONED)
 
     def all_versions(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root.rstrip('/')}/{name}")
+        """A table with all its releases.
+
+        A declared input is read with its declared fields only.  Lambda functions over
+        nested records hide from the optimizer which fields they use, so the unused ones
+        are kept out of the scan by the schema of the read.
+        """
+        path = f"{self.root.rstrip('/')}/{name}"
+        rows = self.spark.read.parquet(path)
+        if name not in INPUTS:
+            return rows
+        declared = INPUTS[name]
+        release = [f for f in rows.schema.fields if f.name == VERSION]
+        narrow = T.StructType(
+            [f for f in narrowed(rows.schema, declared).fields if f.name != VERSION] + release
+        )
+        rows = self.spark.read.schema(narrow).parquet(path)
+        wanted = [f for f in declared.fields if f.name != VERSION] + release
+        return conform(rows, T.StructType(wanted), cast=False)
 
     def newest(self, name: str) -> int | None:
         """Newest release: from the small table of releases, or, where there is none,
@@ -59,16 +78,18 @@ def write_versioned(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "zstd").partitionBy(VERSION).parquet(path)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, cast: bool = True) -> DataFrame:
     """Bring an input to a declared schema: missing columns become NULL, repeated
-    columns are never NULL, and everything else is cast.
+    columns are never NULL, and everything else is cast (or, with ``cast=False``, kept).
     """
-    present = set(df.columns)
+    present = {f.name: f.dataType for f in df.schema.fields}
     columns = []
     for f in schema.fields:
+        kind = f.dataType if cast or f.name not in present else present[f.name]
         c = F.col(f"`{f.name}`") if f.name in present else F.lit(None)
-        c = c.cast(f.dataType)
-        if isinstance(f.dataType, T.ArrayType):
-            c = F.coalesce(c, F.array().cast(f.dataType))
+        if present.get(f.name) != kind:
+            c = c.cast(kind)
+        if isinstance(kind, T.ArrayType):
+            c = F.coalesce(c, F.array().cast(kind))
         columns.append(c.alias(f.name))
     return df.select(*columns)

@@ -20,18 +20,6 @@ NAMES = {
     "version_metadata_index", "ct_index", "mr_index", "pt_index",
 }
 
-INPUTS = {
-    "instances": S.INSTANCES,
-    "instances_curated": S.INSTANCES_CURATED,
-    "version_bookkeeping": S.VERSION_BOOKKEEPING,
-    "instances_by_version": S.INSTANCES_BY_VERSION,
-    "collections": S.COLLECTIONS,
-    "analysis_results": S.ANALYSIS_RESULTS,
-    "clinical_columns": S.CLINICAL_COLUMNS,
-    "versions": S.VERSIONS,
-}
-
-
 def test_registry_covers_all_indices():
     assert set(INDEXES) == NAMES
 
@@ -39,7 +27,7 @@ def test_registry_covers_all_indices():
 @pytest.mark.parametrize("name", sorted(NAMES))
 def test_every_column_is_described_and_publishable(spark, tmp_path, name):
     spec = INDEXES[name]
-    frames = [spark.createDataFrame([], INPUTS[i]) for i in spec.inputs]
+    frames = [spark.createDataFrame([], S.INPUTS[i]) for i in spec.inputs]
     df = spec.builder(*frames, 3) if spec.all_versions else spec.builder(*frames)
     assert set(df.columns) == set(spec.columns) and spec.description
     assert set(spec.grain) <= set(df.columns)
@@ -122,7 +110,7 @@ def test_versions_and_publishing_end_to_end(spark, tmp_path):
     new = instances(spark, [ct("1", "a"), ct("2", "b")]).withColumn("idc_version", F.lit(2))
     write_versioned(old.unionByName(new), f"{root}/instances")
     for name in ("instances_curated", "version_bookkeeping"):
-        spark.createDataFrame([], INPUTS[name]).write.parquet(f"{root}/{name}")
+        spark.createDataFrame([], S.INPUTS[name]).write.parquet(f"{root}/{name}")
     spark.createDataFrame([(1, None), (2, None)], S.VERSIONS).write.parquet(f"{root}/versions")
     tables = Tables(spark, root, versioned=frozenset({"instances"}))
     assert tables.newest("instances") == 2
@@ -135,3 +123,26 @@ def test_versions_and_publishing_end_to_end(spark, tmp_path):
     assert P.release_version(spark.read.parquet(out["ct_index"])) == "2.0"
     words = spark.read.parquet(str(tmp_path / "out" / "_dictionary" / "ct_index"))
     assert words.where("description = ''").count() == 0 and words.count() == 21
+
+
+def test_scan_reads_declared_fields_only(spark, tmp_path):
+    nested = """array(named_struct('PrimaryAnatomicStructureSequence',
+        array(named_struct('CodeValue', 'a', 'CodingSchemeDesignator', 'S', 'CodeMeaning', 'm', 'LongCode', 'x')),
+        'SpecimenShortDescription', 'never read'))"""
+    df = spark.sql(
+        f"""select 's' as SeriesInstanceUID, 'i' as SOPInstanceUID, 'SM' as Modality, 1.5D as KVP,
+        {nested} as SpecimenDescriptionSequence, 'never read' as Unused,
+        cast(null as array<string>) as ImageType"""
+    )
+    df.write.parquet(f"{tmp_path}/instances")
+    tables = Tables(spark, str(tmp_path), versioned=frozenset())
+    index = build("sm_index", tables)
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(Modality), EqualTo(Modality,SM)]" in plan
+    scan = next(x for x in plan.splitlines() if "ReadSchema" in x)
+    for absent in ("LongCode", "SpecimenShortDescription", "Unused", "KVP"):
+        assert absent not in scan.split("ReadSchema")[1]
+    assert index.first().primaryAnatomicStructure_CodeMeaning == "m"
+    rows = tables.table("instances")
+    assert rows.schema["KVP"].dataType.simpleString() == "double"
+    assert rows.first().ImageType == [] and rows.first().SegmentSequence == []
