@@ -49,24 +49,39 @@ def shape_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Row and column counts of both sides in one row."""
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("side"), "rows"
-        )
+        return df.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1))
 
-    counts = side(left, "left").unionByName(side(right, "right"))
     n, m = len(left.columns), len(right.columns)
-    return counts.agg(
-        F.max(F.when(F.col("side") == "left", F.col("rows"))).alias("left_rows"),
-        F.max(F.when(F.col("side") == "right", F.col("rows"))).alias("right_rows"),
-    ).select(
-        "left_rows",
-        "right_rows",
-        F.lit(n).cast("bigint").alias("left_columns"),
-        F.lit(m).cast("bigint").alias("right_columns"),
-        ((F.col("left_rows") == F.col("right_rows")) & F.lit(n == m)).alias("same_shape"),
+    return (
+        side(left, "left_rows")
+        .join(side(right, "right_rows"), "_one")  # one row each
+        .select(
+            "left_rows",
+            "right_rows",
+            F.lit(n).cast("bigint").alias("left_columns"),
+            F.lit(m).cast("bigint").alias("right_columns"),
+            ((F.col("left_rows") == F.col("right_rows")) & F.lit(n == m)).alias("same_shape"),
+        )
     )
 
 
+def _stacked(left: DataFrame, right: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Both tables below each other, with ``_l`` / ``_r`` counting rows of either side and
+    the grouping columns in the struct ``_group``.
+
+    Grouping by the struct makes Spark shuffle the union.  Grouping by a column both
+    inputs are already partitioned on would not: the union then counts as partitioned
+    too, and adaptive execution can run it as a plain concatenation all the same, which
+    splits the groups.
+    """
+
+    def side(df: DataFrame, l: int, r: int) -> DataFrame:
+        return df.select("*", F.lit(l).alias("_l"), F.lit(r).alias("_r"))
+
+    rows = side(left, 1, 0).unionByName(side(right, 0, 1))
+    return rows.withColumn("_group", F.struct(*group))
+
+
 # --- keyed values ---------------------------------------------------------------
 
 
@@ -152,30 +167,32 @@ class _Keyed:
         """Both sides are counted per (key, column, value) in one stream: the products
         of these counts are the pairs, so nothing is joined and no pair is built."""
 
-        def side(df: DataFrame, l: int, r: int) -> DataFrame:
-            return df.select("*", F.lit(l).alias("_l"), F.lit(r).alias("_r"))
-
-        rows = side(self.left, 1, 0).unionByName(side(self.right, 0, 1))
         repeated = (
-            rows.groupBy(self.key)
+            _stacked(self.left.select(self.key), self.right.select(self.key), [self.key])
+            .groupBy("_group")
             .agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
             .where("(l > 1 or r > 1) and l > 0 and r > 0")
-            .select(self.key)
-        )
-        cells = F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    as_text(F.col(c), self.left.schema[c].dataType).alias("value"),
-                )
-                for c in self.columns
-            ]
+            .select(F.col(f"_group.{self.key}").alias(self.key))
         )
+
+        def cells(df: DataFrame) -> DataFrame:
+            texts = F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column"),
+                        as_text(F.col(c), df.schema[c].dataType).alias("value"),
+                    )
+                    for c in self.columns
+                ]
+            )
+            rows = df.join(repeated, self.key, "left_semi")
+            return rows.select(self.key, F.inline(texts))
+
         values = (
-            rows.join(repeated, self.key, "left_semi")
-            .select(self.key, "_l", "_r", F.inline(cells))
-            .groupBy(self.key, "column", "value")
+            _stacked(cells(self.left), cells(self.right), [self.key, "column", "value"])
+            .groupBy("_group")
             .agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
+            .select("_group.*", "l", "r")
         )
         filled = F.col("value").isNotNull()
         l, r = F.col("l"), F.col("r")
@@ -203,8 +220,9 @@ def keyed_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     keyed = _Keyed(left, right, key)
     both = keyed.single_counts().unionByName(keyed.repeated_counts())
     return (
-        both.groupBy("column")
+        both.groupBy(F.struct("column").alias("_group"))  # see _stacked
         .agg(*[F.sum(c).alias(c) for c in ("pairs", "differing", "unequal")])
+        .select("_group.column", "pairs", "differing", "unequal")
         .withColumn("percent", F.try_divide(F.col("differing") * 100.0, F.col("pairs")))
         .withColumn("identical", F.col("unequal") == 0)
         .orderBy(F.desc("differing"), "column")
@@ -257,15 +275,14 @@ def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     compared, whatever their order and number.
     """
     columns = common_columns(left, right)
-    tagged = left.select(*columns, F.lit(1).alias("_balance")).unionByName(
-        right.select(*columns, F.lit(-1).alias("_balance"))
-    )
+    balance = F.col("_l") - F.col("_r")
     return (
-        tagged.groupBy(*columns)
-        .agg(F.sum("_balance").alias("_balance"))
+        _stacked(left.select(*columns), right.select(*columns), columns)
+        .groupBy("_group")
+        .agg(F.sum(balance).alias("_balance"))
         .where(F.col("_balance") != 0)
         .select(
-            *columns,
+            "_group.*",
             F.when(F.col("_balance") > 0, "left").otherwise("right").alias("surplus_side"),
             F.abs("_balance").alias("surplus"),
         )

@@ -1,5 +1,6 @@
 import random
 import statistics
+from collections import Counter
 
 import pytest
 
@@ -59,6 +60,30 @@ def test_repeated_keys_match_brute_force(spark, seed):
         assert s.left_value != s.right_value
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_inputs_partitioned_on_the_key(spark, adaptive):
+    """Both sides already partitioned on the key: groups must still meet across sides."""
+    rng = random.Random(11)
+
+    def side():
+        return [(rng.randrange(40), rng.choice([None, "x", "y"])) for _ in range(400)]
+
+    left, right = side(), side()
+    a = spark.createDataFrame(left, "k int, v string").repartition(8, "k")
+    b = spark.createDataFrame(right, "k int, v string").repartition(8, "k")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        (got,) = C.keyed_diff(a, b, "k").collect()
+        assert (got.pairs, got.differing, got.unequal) == brute(left, right)
+        surplus = sum(r.surplus for r in C.multiset_diff(a, b).collect())
+        one, other = Counter(left), Counter(right)
+        assert surplus == sum(((one - other) + (other - one)).values())
+        assert C.shape_diff(a, b).collect() == [(400, 400, 2, 2, True)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def test_arrays_and_unlike_types(spark):
     a = spark.createDataFrame([(1, [1, 2], 5, "7"), (2, [1], 6, "8")], "k long, l array<int>, n int, t string")
     b = spark.createDataFrame([(1, [1, 2], 5.0, 7), (2, [2], 6.5, 9)], "k long, l array<int>, n double, t long")
