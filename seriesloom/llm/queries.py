@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import neardup, quality
 from .shared import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,8 +30,15 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    found = neardup.near_duplicates(_table(spark, folder, "documents"), size=2, percent=80)
+    return found.select(
+        F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept"
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {"op10_quality": op10_quality}
+    return {"op8_neardup": op8_neardup, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
