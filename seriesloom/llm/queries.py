@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup, quality
+from . import neardup, pack, quality
 from .shared import stored
+from .tokens import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,15 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_pack(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    pieces = pack.packed(docs, vocabulary=vocabulary("byte_bpe_50k.json"), length=1024)
+    return pieces.select(
+        F.col("doc").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
+        F.col("tokens").alias("doc_tokens"), F.col("sequence").alias("sequence_id"), "offset",
+    )
+
+
 def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(_table(spark, folder, "documents"), size=2, percent=80)
     return found.select(
@@ -38,7 +48,7 @@ def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op8_neardup": op8_neardup, "op10_quality": op10_quality}
+    return {"op1_pack": op1_pack, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
