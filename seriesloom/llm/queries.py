@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup, pack, quality
+from . import neardup, pack, quality, sharding
 from .shared import stored
 from .tokens import vocabulary
 
@@ -40,6 +40,17 @@ def op1_pack(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = _table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    )
+    return sharding.placed(rows, "doc_id", shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(_table(spark, folder, "documents"), size=2, percent=80)
     return found.select(
@@ -48,7 +59,7 @@ def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_pack": op1_pack, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
+    return {"op1_pack": op1_pack, "op3_sharding": op3_sharding, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
