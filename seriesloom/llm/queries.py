@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup, pack, quality, sharding
+from . import decontaminate, neardup, pack, quality, sharding
 from .shared import stored
 from .tokens import vocabulary
 
@@ -51,6 +51,11 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.matches(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.withColumnsRenamed({"doc": "doc_id", "item": "item_id"})
+
+
 def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(_table(spark, folder, "documents"), size=2, percent=80)
     return found.select(
@@ -59,7 +64,7 @@ def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_pack": op1_pack, "op3_sharding": op3_sharding, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
+    return {"op1_pack": op1_pack, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
