@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, pack, quality, sharding
+from . import decontaminate, neardup, pack, quality, sharding, substring
 from .shared import stored
 from .tokens import vocabulary
 
@@ -40,6 +40,15 @@ def op1_pack(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_substring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    out = substring.without_repeats(docs, window=13, carry=["doc_id"])
+    return out.select(
+        "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
+        F.sha2(F.col("_kept"), 256).alias("kept_sha256"),
+    )
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = _table(spark, folder, "documents").select(
@@ -64,7 +73,7 @@ def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_pack": op1_pack, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
+    return {"op1_pack": op1_pack, "op2_substring": op2_substring, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
