@@ -178,9 +178,9 @@ def cutoffs(
     measured: DataFrame, labels: DataFrame, stratum: str, key: str, label: str, alpha: float, delta: float
 ) -> DataFrame:
     """A row per stratum with the cutoff of each rule, null where the rule is not used."""
-    judged = measured.withColumn("_stratum", _stratum(stratum))
+    judged = measured.select(_stratum(stratum).alias("_stratum"), F.col(f"`{key}`").alias("_id"), _MEASURES)
     marks = labels.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{label}`").alias("_label"))
-    joined = judged.join(marks, F.col(f"`{key}`") == F.col("_key")).where(F.col("_label").isin(0, 1))
+    joined = judged.join(marks, F.col("_id") == F.col("_key")).where(F.col("_label").isin(0, 1))
     joined = joined.where(~base_failed(F.col(f"{_MEASURES}.n_words"), F.col(f"{_MEASURES}.n_repeat_words")))
     good = F.col("_label") == 1
     counts = [F.count(F.when(good, 1)).alias("good")]
@@ -241,11 +241,13 @@ def judged(
     any_rule = rejects[0]
     for one in rejects[1:]:
         any_rule = any_rule | one
-    joined = measured.withColumn("_joined_on", _stratum(stratum)).join(
+    # names of our own, whatever the columns are called
+    plain = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(wanted)]
+    joined = measured.select(*plain, _MEASURES, _stratum(stratum).alias("_joined_on")).join(
         table, F.col("_joined_on") == F.col("_stratum"), "left"
     )
     return joined.select(
-        *[F.col(f"`{c}`") for c in wanted], _MEASURES,
+        *[F.col(f"_{i}").alias(c) for i, c in enumerate(wanted)], _MEASURES,
         failed.alias("_base_failed"), (~failed & ~any_rule).alias("_kept"),
     )
 
