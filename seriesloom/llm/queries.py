@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, pack, quality, sharding, substring
-from .shared import stored
+from . import decontaminate, neardup, pack, quality, sharding, substring, tokenfile
+from .shared import shared_folder, stored
 from .tokens import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,15 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnsRenamed({"doc": "doc_id", "item": "item_id"})
 
 
+def op5_tokenfile(spark: SparkSession, folder: str) -> DataFrame:
+    target = shared_folder(spark)
+    docs = _table(spark, folder, "documents")
+    files = tokenfile.write(docs, target, vocabulary=vocabulary("byte_bpe_50k.json"))
+    return tokenfile.read(spark, target, files).select(
+        F.col("doc").alias("doc_id"), "start", F.col("tokens").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(_table(spark, folder, "documents"), size=2, percent=80)
     return found.select(
@@ -73,7 +82,7 @@ def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_pack": op1_pack, "op2_substring": op2_substring, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
+    return {"op1_pack": op1_pack, "op2_substring": op2_substring, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op5_tokenfile": op5_tokenfile, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
