@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, pack, quality, sharding, substring, tokenfile
+from . import decontaminate, hmm, neardup, pack, quality, sharding, substring, tokenfile
 from .shared import shared_folder, stored
 from .tokens import vocabulary
 
@@ -74,6 +74,10 @@ def op5_tokenfile(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_hmm(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm.scored(_table(spark, folder, "documents")).withColumnRenamed("doc", "doc_id")
+
+
 def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(_table(spark, folder, "documents"), size=2, percent=80)
     return found.select(
@@ -82,7 +86,7 @@ def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_pack": op1_pack, "op2_substring": op2_substring, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op5_tokenfile": op5_tokenfile, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
+    return {"op1_pack": op1_pack, "op2_substring": op2_substring, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op5_tokenfile": op5_tokenfile, "op6_hmm": op6_hmm, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
