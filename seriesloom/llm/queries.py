@@ -1,14 +1,17 @@
-"""Registered queries of the operators for training text, and their DuckDB statements."""
+"""Registered queries of the operators for training text."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hmm, neardup, pack, quality, sharding, substring, tokenfile
-from .shared import shared_folder, stored
+from . import chat, decontaminate, hmm, licences, neardup, pack, quality, sharding, substring, tokenfile
+from .shared import mapped, shared_folder, stored
 from .tokens import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +81,39 @@ def op6_hmm(spark: SparkSession, folder: str) -> DataFrame:
     return hmm.scored(_table(spark, folder, "documents")).withColumnRenamed("doc", "doc_id")
 
 
+def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scanned(_table(spark, folder, "documents"))
+    counts = [F.col(c).cast("long").alias(c) for c in ("shared", "size", "template_size")]
+    return found.select(F.col("doc").alias("doc_id"), F.col("line").cast("long").alias("line"), "licence", *counts)
+
+
+def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    text = F.lit("</s>[INST] ok [/INST]").alias("text")
+    turns = F.explode(F.array(*[F.struct(F.lit(i).alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))]))
+    added = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), turns.alias("t"), text)
+    added = added.select("conv_id", F.col("t.turn").cast("long").alias("turn"), "t.role", "text")
+    out = chat.formatted(rows.union(added), vocabulary=vocabulary("byte_bpe_50k.json"))
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                turns = chat.turns_of(row["text"])
+                said = "".join(f"{role}\n{text}\n" for role, text in turns)
+                spans = (np.array(row[c], np.int64) for c in ("starts", "ends"))
+                loss = "".join(chat.loss_texts(row["text"], *spans, np.array(row["loss"], bool)))
+                sums = [hashlib.sha256(t.encode()).hexdigest() for t in (said, loss)]
+                found.append((row["conv"], len(turns), sums[0], len(loss), sums[1], len(row["text"])))
+            columns = list(zip(*found, strict=True)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return mapped(out, digest, schema)
+
+
 def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(_table(spark, folder, "documents"), size=2, percent=80)
     return found.select(
@@ -86,8 +122,4 @@ def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_pack": op1_pack, "op2_substring": op2_substring, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op5_tokenfile": op5_tokenfile, "op6_hmm": op6_hmm, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_pack": op1_pack, "op2_substring": op2_substring, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op5_tokenfile": op5_tokenfile, "op6_hmm": op6_hmm, "op7_licences": op7_licences, "op9_chat": op9_chat, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
