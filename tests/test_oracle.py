@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from checks import oracle, queries
 from tools.check_oracle import TABLES, table
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-ORACLE = entry_points.oracle_sql()
-QUERIES = entry_points.queries()
+ORACLE = oracle.oracle_sql()
+QUERIES = queries.queries()
 
 
 @pytest.fixture(scope="module")
