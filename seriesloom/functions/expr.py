@@ -119,6 +119,36 @@ def all_equal(c: Column | str) -> Column:
     return F.coalesce(F.min(c) == F.max(c), F.lit(False))
 
 
+# Types whose minimum and maximum Spark keeps in a hash table.
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+#: name -> (aggregate, value), for ``folded``
+Values = Mapping[str, tuple[Callable[[Column], Column], Column | str]]
+
+
+def folded(rows: DataFrame, key: str, values: Values) -> DataFrame:
+    """One row per key with an aggregate of each value.
+
+    Minima of texts and lists, and sets, cannot be kept in Spark's hash aggregation, which
+    then sorts its input.  The rows are therefore reduced to their distinct *looks* first:
+    the texts and lists are grouping keys there, which hash, and numbers are minima and
+    maxima.  Only the few looks of a key are left for the second aggregation.
+    """
+    plain = rows.select(key, *[as_column(value).alias(name) for name, (_, value) in values.items()])
+    direct = [
+        name
+        for name, (aggregate, _) in values.items()
+        if aggregate in (any_of, F.min, F.max) and isinstance(plain.schema[name].dataType, _FIXED_WIDTH)
+    ]
+    others = [name for name in values if name not in direct]
+    looks = plain.groupBy(key, *others)
+    first_step = [values[name][0](F.col(name)).alias(name) for name in direct]
+    looks = looks.agg(*first_step) if direct else plain.distinct()
+    return looks.groupBy(key).agg(
+        *[aggregate(F.col(name)).alias(name) for name, (aggregate, _) in values.items()]
+    )
+
+
 # --- codes --------------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import (
@@ -87,20 +87,30 @@ def version_span(bookkeeping: DataFrame) -> DataFrame:
 def _series_attributes(
     instances: DataFrame, class_names: Mapping[str, str], syntax_names: Mapping[str, str]
 ) -> DataFrame:
-    grouped = instances.groupBy(SERIES).agg(
-        *[any_of(c).alias(c) for c in _PLAIN_ATTRIBUTES],
-        any_of(F.col("StudyDate").cast("string")).alias("StudyDate"),
-        any_of(F.col("SeriesDate").cast("string")).alias("SeriesDate"),
-        any_of(F.concat("series_aws_url", F.lit("*"))).alias("series_aws_url"),
-        distinct_joined("PhotometricInterpretation").alias("PhotometricInterpretation"),
-        distinct_joined(F.col("PixelRepresentation").cast("string")).alias(
-            "PixelRepresentation"
-        ),
+    # reduced to distinct looks first: texts are grouping keys there, which hash
+    looks = instances.select(
+        SERIES,
+        *_PLAIN_ATTRIBUTES,
+        F.col("StudyDate").cast("string").alias("StudyDate"),
+        F.col("SeriesDate").cast("string").alias("SeriesDate"),
+        F.concat("series_aws_url", F.lit("*")).alias("series_aws_url"),
+        "PhotometricInterpretation",
+        F.col("PixelRepresentation").cast("string").alias("PixelRepresentation"),
+        "TransferSyntaxUID",
+    )
+    looks = looks.groupBy(*looks.columns).agg(F.count(F.lit(1)).alias("_n"))
+
+    def rows_with(column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col(column).isNotNull(), F.col("_n"))), F.lit(0))
+
+    grouped = looks.groupBy(SERIES).agg(
+        *[any_of(c).alias(c) for c in (*_PLAIN_ATTRIBUTES, "StudyDate", "SeriesDate", "series_aws_url")],
+        *[distinct_joined(c).alias(c) for c in ("PhotometricInterpretation", "PixelRepresentation")],
         distinct_sorted("SOPClassUID").alias("_classes"),
         distinct_sorted("TransferSyntaxUID").alias("_syntaxes"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.count("SOPClassUID").alias("_class_rows"),
-        F.count("TransferSyntaxUID").alias("_syntax_rows"),
+        F.sum("_n").alias("_rows"),
+        rows_with("SOPClassUID").alias("_class_rows"),
+        rows_with("TransferSyntaxUID").alias("_syntax_rows"),
     )
     classes = strict_names(
         F.col("_classes"), F.col("_rows"), F.col("_class_rows"), class_names, "SOPClassUID"
@@ -129,28 +139,29 @@ def _series_sizes(instances: DataFrame, curated: DataFrame) -> DataFrame:
     """Count, size and body part: the part of the index that needs the curated table.
 
     Only three narrow columns cross the join.  Repeated curated rows are folded to one
-    row with a multiplicity, so they count as often as a plain join would count them
-    without multiplying any rows.
+    row per instance and body part with a multiplicity, so they count as often as a plain
+    join would count them, and so are the joined rows per series and body part.
     """
-    per_instance = curated.groupBy(INSTANCE).agg(
-        any_of("BodyPartExamined").alias("BodyPartExamined"),
-        F.count(F.lit(1)).alias("_matches"),
+    per_instance = curated.groupBy(INSTANCE, "BodyPartExamined").agg(
+        F.count(F.lit(1)).alias("_matches")
     )
     rows = instances.select(
         SERIES, INSTANCE, safe_double(instances, "instance_size").alias("_bytes")
     )
     times = F.coalesce(F.col("_matches"), F.lit(1))
-    return (
+    parts = (
         rows.join(per_instance, INSTANCE, "left")
-        .groupBy(SERIES)
+        .groupBy(SERIES, "BodyPartExamined")
         .agg(
-            any_of("BodyPartExamined").alias("BodyPartExamined"),
-            F.coalesce(
-                F.sum(F.when(F.col(INSTANCE).isNotNull(), times)), F.lit(0)
-            ).alias("instanceCount"),
-            (F.sum(F.col("_bytes") * times) / 1e6).alias("series_size_MB"),
+            F.sum(F.when(F.col(INSTANCE).isNotNull(), times)).alias("_count"),
+            F.sum(F.col("_bytes") * times).alias("_bytes"),
         )
     )
+    return parts.groupBy(SERIES).agg(
+        any_of("BodyPartExamined").alias("BodyPartExamined"),
+        F.coalesce(F.sum("_count"), F.lit(0)).alias("instanceCount"),
+        (F.sum("_bytes") / 1e6).alias("series_size_MB"),
+    )
 
 
 def series_index(
@@ -162,7 +173,7 @@ def series_index(
 ) -> DataFrame:
     """One row per series.
 
-    The wide attributes are aggregated straight from the scan (map-side combine) and
+    The wide attributes are reduced to looks straight from the scan (map-side combine) and
     never join at instance grain; the three parts end up hash-partitioned on the series
     key, so putting them together needs no further exchange.
     """

@@ -98,44 +98,56 @@ def seg_index(segmentations: DataFrame, instances: DataFrame | None = None) -> D
 def rtstruct_index(instances: DataFrame) -> DataFrame:
     """One row per structure-set series.
 
-    Regions, observations and references of one object share a row, so they are matched
-    inside it; the only shuffle is the final aggregation.
+    Regions, observations and references of one object share a row.  The numbers of its
+    regions are one set, and one filter over the observations keeps those of a known
+    region, so a row yields as many entries as it has regions and observations.
     """
     frames = items("ReferencedFrameOfReferenceSequence")
     studies = F.flatten(F.transform(frames, lambda f: items(f["RTReferencedStudySequence"])))
     series = F.flatten(F.transform(studies, lambda s: items(s["RTReferencedSeriesSequence"])))
-    regions = (
-        instances.where(F.col("SOPClassUID") == RTSTRUCT_CLASS)
+
+    def tagged(kind: str, values: Column) -> Column:
+        return F.transform(
+            values, lambda v: F.struct(F.lit(kind).alias("kind"), v.cast("string").alias("value"))
+        )
+
+    regions = "StructureSetROISequence"
+    seen = F.filter(
+        "observations", lambda o: F.array_contains(F.col("numbers"), o["ReferencedROINumber"])
+    )
+    entries = (
+        instances.where((F.col("SOPClassUID") == RTSTRUCT_CLASS) & (F.size(regions) > 0))
         .select(
             SERIES,
             F.array_min(F.transform(series, lambda s: s[SERIES])).alias("referenced"),
             items("RTROIObservationsSequence").alias("observations"),
-            F.explode("StructureSetROISequence").alias("roi"),
+            F.transform(regions, lambda r: r["ROINumber"]).alias("numbers"),
+            F.transform(regions, lambda r: r["ROIName"]).alias("names"),
+            F.transform(regions, lambda r: r["ROIGenerationAlgorithm"]).alias("algorithms"),
         )
         .select(
             SERIES,
             "referenced",
-            F.col("roi.ROINumber").alias("number"),
-            F.col("roi.ROIName").alias("name"),
-            F.col("roi.ROIGenerationAlgorithm").alias("algorithm"),
-            F.explode_outer(
-                F.array_distinct(
-                    F.transform(
-                        F.filter(
-                            "observations",
-                            lambda o: o["ReferencedROINumber"] == F.col("roi.ROINumber"),
-                        ),
-                        lambda o: o["RTROIInterpretedType"],
-                    )
+            F.inline(
+                F.concat(
+                    tagged("number", F.col("numbers")),
+                    tagged("name", F.col("names")),
+                    tagged("algorithm", F.col("algorithms")),
+                    tagged("type", F.transform(seen, lambda o: o["RTROIInterpretedType"])),
                 )
-            ).alias("interpreted"),
+            ),
         )
+        .distinct()
     )
-    return regions.groupBy(SERIES).agg(
-        F.count_distinct("number").alias("total_rois"),
-        distinct_sorted("name").alias("ROINames"),
-        distinct_sorted("algorithm").alias("ROIGenerationAlgorithms"),
-        distinct_sorted("interpreted").alias("RTROIInterpretedTypes"),
+
+    def of(kind: str) -> Column:
+        return F.when(F.col("kind") == kind, F.col("value"))
+
+    return entries.groupBy(SERIES).agg(
+        F.count_distinct(of("number")).alias("total_rois"),
+        distinct_sorted(of("name")).alias("ROINames"),
+        distinct_sorted(of("algorithm")).alias("ROIGenerationAlgorithms"),
+        distinct_sorted(of("type")).alias("RTROIInterpretedTypes"),
         any_of("referenced").alias("referenced_SeriesInstanceUID"),
     )
 

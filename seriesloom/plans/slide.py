@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import (
     any_of,
     first,
+    folded,
     items,
     ranked_code,
     safe_double,
@@ -117,22 +118,28 @@ def sm_index(
         ),
         "admittingDiagnosis": first("AdmittingDiagnosesCodeSequence"),
     }
-    main = slides.groupBy(SERIES).agg(
-        any_of("ContainerIdentifier").alias("ContainerIdentifier"),
-        F.min(safe_double(instances, first("PixelSpacing"))).alias("_spacing"),
-        F.min(safe_double(instances, _shared_spacing())).alias("_shared_spacing"),
-        F.max("TotalPixelMatrixColumns").alias("_total_columns"),
-        F.max("TotalPixelMatrixRows").alias("_total_rows"),
-        F.max("Columns").alias("_columns"),
-        F.max("Rows").alias("_rows"),
-        any_of(
-            safe_long(instances, first("OpticalPathSequence")["ObjectiveLensPower"])
-        ).alias("ObjectiveLensPower"),
-        *[F.min(ranked_code(code)).alias(name) for name, code in coded.items()],
+    spacings = {"_spacing": first("PixelSpacing"), "_shared_spacing": _shared_spacing()}
+    sizes = {
+        "_total_columns": "TotalPixelMatrixColumns", "_total_rows": "TotalPixelMatrixRows",
+        "_columns": "Columns", "_rows": "Rows",
+    }
+    main = folded(
+        slides,
+        SERIES,
+        {
+            "ContainerIdentifier": (any_of, "ContainerIdentifier"),
+            **{name: (F.min, safe_double(instances, c)) for name, c in spacings.items()},
+            **{name: (F.max, c) for name, c in sizes.items()},
+            "ObjectiveLensPower": (
+                any_of, safe_long(instances, first("OpticalPathSequence")["ObjectiveLensPower"])
+            ),
+            **{name: (F.min, ranked_code(code)) for name, code in coded.items()},
+        },
     )
     substances = F.flatten(F.array(*[_tagged(n, _preparation(k)) for n, k in concepts.items()]))
     preparation = (
         slides.select(SERIES, F.inline(substances))
+        .distinct()
         .groupBy(SERIES)
         .agg(
             *[
