@@ -17,6 +17,7 @@ read; an empty table gives no pieces. Other columns of the input are not used.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,10 +40,15 @@ _SIGNS = ((X.mixed(np.arange(DIMENSIONS * AXES, dtype=np.uint64), 21) & np.uint6
 ) / np.sqrt(AXES)
 
 
+@functools.lru_cache
+def _buckets(size: int) -> np.ndarray:
+    """The bucket of each token id below ``size``."""
+    return (X.mixed(np.arange(size, dtype=np.uint64), 22) % np.uint64(DIMENSIONS)).astype(np.int64)
+
+
 def hashed_point(ids: np.ndarray) -> np.ndarray:
     """Coordinates in [0, 2**COORDINATE_BITS) of a document's hashed and projected vector."""
-    buckets = X.mixed(ids.astype(np.uint64), 22) % np.uint64(DIMENSIONS)
-    counts = np.bincount(buckets.astype(np.int64), minlength=DIMENSIONS).astype(float)
+    counts = np.bincount(_buckets(1 << int(ids.max(initial=0)).bit_length())[ids], minlength=DIMENSIONS).astype(float)
     norm = np.sqrt((counts**2).sum())
     point = counts @ _SIGNS / norm if norm else np.zeros(AXES)
     side = 1 << COORDINATE_BITS
@@ -81,7 +87,7 @@ def tokenised(docs: DataFrame, vocabulary: str, key: str, text: str) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=1)
         for batch in X.slices(batches):
             ids = [found + END for found in encode(batch.column(1).to_pylist())]
             # ids below 2**16 make half of the bytes zero, which compression removes
