@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,21 +85,86 @@ def _stacked(left: DataFrame, right: DataFrame, group: Sequence[str]) -> DataFra
 # --- keyed values ---------------------------------------------------------------
 
 
+_WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def orderable(c: Column, kind: T.DataType) -> Column:
+    """The value with maps as sorted lists of entries, at every depth, so it can be grouped."""
+    if isinstance(kind, T.MapType):
+        entries = F.transform(
+            F.map_entries(c),
+            lambda e: F.struct(
+                orderable(e["key"], kind.keyType).alias("key"),
+                orderable(e["value"], kind.valueType).alias("value"),
+            ),
+        )
+        return F.array_sort(entries)
+    if isinstance(kind, T.ArrayType) and _has_map(kind):
+        return F.transform(c, lambda v: orderable(v, kind.elementType))
+    if isinstance(kind, T.StructType) and _has_map(kind):
+        fields = [orderable(c[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    return c
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
+def _exact(kind: T.DataType) -> tuple[int, int] | None:
+    """Digits before and after the point of an exact number type."""
+    if isinstance(kind, T.DecimalType):
+        return kind.precision - kind.scale, kind.scale
+    whole = _WHOLE.get(type(kind))
+    return None if whole is None else (whole, 0)
+
+
+def _number_text(c: Column, kind: T.DataType) -> Column:
+    """Text of a number that is equal for equal numbers of any type: whole numbers digit by
+    digit, so nothing beyond 2**53 is lost, others as the nearest double."""
+    double = c.cast("double") + F.lit(0.0)
+    if _exact(kind) is None:
+        whole = (double == F.floor(double)) & (F.abs(double) < F.lit(1e18))
+        return F.when(whole, double.cast("decimal(38,0)").cast("string")).otherwise(double.cast("string"))
+    if _exact(kind)[1] == 0:
+        return c.cast("decimal(38,0)").cast("string")
+    floor = F.floor(c)
+    return F.when(c == floor, floor.cast("decimal(38,0)").cast("string")).otherwise(double.cast("string"))
+
+
 def _comparable(left: DataFrame, right: DataFrame, name: str) -> tuple[Column, Column]:
-    """Both sides of a column in one type; unlike types are compared as text."""
+    """Both sides of a column in one type, by one rule for keyed and unkeyed comparison.
+
+    Equal types stay, with maps as sorted entries. Exact numbers meet in their common decimal
+    type, floating ones as double, an exact and a floating one as text of the number, and all
+    else as text.
+    """
     a, b = left.schema[name].dataType, right.schema[name].dataType
-    l, r = F.col(name), F.col(name)
+    l, r = F.col(f"`{name}`"), F.col(f"`{name}`")
     if a == b:
-        return l, r
-    if isinstance(a, _NUMERIC) and isinstance(b, _NUMERIC):
+        return orderable(l, a), orderable(r, b)
+    x, y = _exact(a), _exact(b)
+    if x and y:
+        whole, scale = max(x[0], y[0]), max(x[1], y[1])
+        if whole + scale <= 38:
+            common = f"decimal({whole + scale},{scale})"
+            return l.cast(common), r.cast(common)
+    floating = (T.FloatType, T.DoubleType)
+    if isinstance(a, floating) and isinstance(b, floating):
         return l.cast("double"), r.cast("double")
+    if (x or isinstance(a, floating)) and (y or isinstance(b, floating)):
+        return _number_text(l, a), _number_text(r, b)
     return as_text(l, a), as_text(r, b)
 
 
 def as_text(c: Column, kind: T.DataType) -> Column:
     """Text that is equal exactly when the values are equal."""
     if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
-        return F.to_json(c)
+        return F.to_json(orderable(c, kind))
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return (c + F.lit(0.0)).cast("string")  # -0.0 and 0.0 are equal
     return c.cast("string")
@@ -196,16 +261,19 @@ class _Keyed:
         )
         filled = F.col("value").isNotNull()
         l, r = F.col("l"), F.col("r")
+        none = F.lit(0).cast("decimal(38,0)")
+        # numbers of pairs are products, and soon too large for a long
+        values = values.withColumns({side: F.col(side).cast("decimal(38,0)") for side in ("l", "r")})
         per_key = values.groupBy(self.key, "column").agg(
             (F.sum(l) * F.sum(r)).alias("pairs"),
             (
-                F.sum(F.when(filled, l).otherwise(0)) * F.sum(F.when(filled, r).otherwise(0))
+                F.sum(F.when(filled, l).otherwise(none)) * F.sum(F.when(filled, r).otherwise(none))
             ).alias("filled_pairs"),
-            F.sum(F.when(filled, l * r).otherwise(0)).alias("equal"),
-            F.sum(F.when(filled, 0).otherwise(l * r)).alias("both_null"),
+            F.sum(F.when(filled, l * r).otherwise(none)).alias("equal"),
+            F.sum(F.when(filled, none).otherwise(l * r)).alias("both_null"),
         )
         return per_key.groupBy("column").agg(
-            F.sum("pairs").alias("pairs"),
+            F.sum("pairs").cast("decimal(38,0)").alias("pairs"),
             F.sum(F.col("filled_pairs") - F.col("equal")).alias("differing"),
             F.sum(F.col("pairs") - F.col("equal") - F.col("both_null")).alias("unequal"),
         )
@@ -218,12 +286,17 @@ def keyed_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     NULL against a value, and decides whether the column is identical.
     """
     keyed = _Keyed(left, right, key)
+    counts = ("pairs", "differing", "unequal")
     both = keyed.single_counts().unionByName(keyed.repeated_counts())
+    both = both.select("column", *[F.col(c).cast("decimal(38,0)").alias(c) for c in counts])
     return (
         both.groupBy(F.struct("column").alias("_group"))  # see _stacked
         .agg(*[F.sum(c).alias(c) for c in ("pairs", "differing", "unequal")])
         .select("_group.column", "pairs", "differing", "unequal")
-        .withColumn("percent", F.try_divide(F.col("differing") * 100.0, F.col("pairs")))
+        .withColumn(
+            "percent",
+            F.try_divide(F.col("differing").cast("double") * 100.0, F.col("pairs").cast("double")),
+        )
         .withColumn("identical", F.col("unequal") == 0)
         .orderBy(F.desc("differing"), "column")
     )
@@ -276,8 +349,9 @@ def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     columns = common_columns(left, right)
     balance = F.col("_l") - F.col("_r")
+    one, other = _alike(left, right, columns)
     return (
-        _stacked(left.select(*columns), right.select(*columns), columns)
+        _stacked(one, other, columns)
         .groupBy("_group")
         .agg(F.sum(balance).alias("_balance"))
         .where(F.col("_balance") != 0)
@@ -289,6 +363,39 @@ def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def _alike(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    pairs = [_comparable(left, right, c) for c in columns]
+    return (
+        left.select(*[p[0].alias(c) for p, c in zip(pairs, columns, strict=True)]),
+        right.select(*[p[1].alias(c) for p, c in zip(pairs, columns, strict=True)]),
+    )
+
+
+def column_surplus(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Per common column, how many values one side holds more often than the other: which
+    columns changed, where rows have no key.
+
+    Every row is taken apart into (column, value), and both sides are counted in one pass.
+    """
+    columns = common_columns(left, right)
+
+    def cells(df: DataFrame) -> DataFrame:
+        texts = [
+            F.struct(F.lit(c).alias("column"), as_text(F.col(f"`{c}`"), df.schema[c].dataType).alias("value"))
+            for c in columns
+        ]
+        return df.select(F.inline(F.array(*texts)))
+
+    one, other = map(cells, _alike(left, right, columns))
+    balance = F.sum(F.col("_l") - F.col("_r")).alias("balance")
+    counted = _stacked(one, other, ["column", "value"]).groupBy("_group").agg(balance)
+    more = F.coalesce(F.sum(F.when(F.col("balance") > 0, F.col("balance"))), F.lit(0))
+    less = F.coalesce(F.sum(F.when(F.col("balance") < 0, -F.col("balance"))), F.lit(0))
+    return counted.groupBy(F.col("_group.column").alias("column")).agg(
+        more.alias("left_surplus"), less.alias("right_surplus")
+    )
+
+
 # --- profiles -------------------------------------------------------------------
 
 
@@ -450,19 +557,37 @@ def bytes_totals(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def compare(
-    left: DataFrame, right: DataFrame, key: str | None = "SeriesInstanceUID"
-) -> dict[str, DataFrame]:
-    """All reports on two tables; nothing runs until a report is used."""
-    report = {
-        "schema": schema_diff(left, right),
-        "shape": shape_diff(left, right),
-        "bytes": bytes_diff(left, right),
-        "profile": profile_diff(left, right),
+class Reports(Mapping):
+    """Reports by name; each is built when it is asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]) -> None:
+        self._builders = builders
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._builders[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def compare(left: DataFrame, right: DataFrame, key: str | None = "SeriesInstanceUID") -> Reports:
+    """All reports on two tables; nothing runs until a report is asked for.
+
+    The profile searches its medians when it is asked for, the others run when they are used.
+    """
+    builders = {
+        "schema": lambda: schema_diff(left, right),
+        "shape": lambda: shape_diff(left, right),
+        "bytes": lambda: bytes_diff(left, right),
+        "profile": lambda: profile_diff(left, right),
     }
     if key is None:
-        report["rows"] = multiset_diff(left, right)
+        builders["rows"] = lambda: multiset_diff(left, right)
+        builders["columns"] = lambda: column_surplus(left, right)
     else:
-        report["values"] = keyed_diff(left, right, key)
-        report["samples"] = keyed_samples(left, right, key)
-    return report
+        builders["values"] = lambda: keyed_diff(left, right, key)
+        builders["samples"] = lambda: keyed_samples(left, right, key)
+    return Reports(builders)

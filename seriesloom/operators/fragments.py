@@ -105,85 +105,93 @@ def with_next_value(
     )
 
 
-def _bracket(
-    df: DataFrame, columns: Sequence[str], margin: float, accuracy: int
-) -> dict[str, tuple[float, float]]:
-    """Approximate quantiles just below and above the middle of each column with values."""
-    low, high = max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)
-    sketch = df.agg(
-        *[F.percentile_approx(F.col(c).cast("double"), [low, high], accuracy).alias(c) for c in columns]
-    ).first()
-    found = {c: tuple(sketch[c]) for c in columns if sketch[c] is not None}
-    if margin >= 0.5:
-        return {c: (float("-inf"), float("inf")) for c in found}
-    return found
+#: Ranges into which the search for a median cuts a bracket.
+RANGES = 1024
+_LARGEST = 1.7976931348623157e308
+
+
+def _range_of(value: Column, lo: float, hi: float) -> Column:
+    """Number of a value's range between two finite bounds; -1 below and RANGES above.
+
+    Halved before subtracting, so the widest bracket does not overflow, and every step is
+    monotone, so ranges are in the order of the values.
+    """
+    share = (value / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) if hi > lo else F.lit(0.0)
+    inner = F.least(F.floor(share * RANGES), F.lit(RANGES - 1)).cast("int")
+    return F.when(value < lo, -1).when(value > hi, RANGES).otherwise(inner)
+
+
+def _finite(x: float) -> float:
+    return max(-_LARGEST, min(_LARGEST, x))
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 100_000) -> DataFrame:
     """Exact median of several numeric columns, as rows (column, median).
 
-    A mergeable quantile sketch brackets each median within a few parts in
-    ``accuracy``; two numbers per column reach the driver.  Exact counts below and
-    inside the bracket then give the rank of every value in it.  Should a bracket miss
-    its median, that column gets a wider one.
+    A mergeable quantile sketch gives each column a narrow bracket. One aggregate then counts
+    the values of all columns by range of their brackets; the range that holds the median is
+    the next bracket, until the value is pinned down. The smallest and the largest value of a bracket never
+    share a range unless they are equal, so the search ends on any data; at most RANGES + 2 rows
+    per column and round reach the driver.
+
+    NaN counts as the largest value and infinities as themselves. A column without values has
+    no row. The search runs its jobs when this function is called.
     """
-    spark = df.sparkSession
-    brackets, ranks, margin = {}, [], 4.0 / accuracy
-    missing = list(columns)
-    while missing:
-        found = _bracket(df, missing, margin, accuracy)
-        counts = df.agg(
-            *[
-                count.alias(f"{tag}_{i}")
-                for i, (c, (low, high)) in enumerate(found.items())
-                for tag, count in (
-                    ("n", F.count(c)),
-                    ("below", F.count_if(F.col(c).cast("double") < low)),
-                    ("upto", F.count_if(F.col(c).cast("double") <= high)),
-                )
-            ]
-        ).first() if found else None
-        missing = []
-        for i, c in enumerate(found):
-            n, below, upto = (counts[f"{tag}_{i}"] for tag in ("n", "below", "upto"))
-            lower, upper = (n - 1) // 2, n // 2
-            if below <= lower and upper < upto:
-                brackets[c] = found[c]
-                ranks.append((c, below, lower, upper))
-            else:
-                missing.append(c)
-        margin *= 8
-    if not brackets:
-        return spark.createDataFrame([], "column string, median double")
-
-    cells = F.array(
+    numbers = {c: F.col(c).cast("double") for c in columns}
+    reals = {c: F.when(~F.isnan(v), v) for c, v in numbers.items()}
+    half = min(0.5, 4.0 / accuracy)
+    head = df.agg(
         *[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-            for c in brackets
+            f(c).alias(f"{tag}_{i}")
+            for i, c in enumerate(columns)
+            for tag, f in (
+                ("n", lambda c: F.count(numbers[c])),
+                ("reals", lambda c: F.count(reals[c])),
+                ("lo", lambda c: F.min(reals[c])),
+                ("hi", lambda c: F.max(reals[c])),
+                ("q", lambda c: F.percentile_approx(reals[c], [0.5 - half, 0.5 + half], accuracy)),
+            )
         ]
-    )
-    inside = F.lit(False)
-    for c, (low, high) in brackets.items():
-        inside = inside | ((F.col("column") == c) & F.col("value").between(low, high))
-    running = Window.partitionBy("column").orderBy("value")
-    stop = F.col("before") + F.sum("copies").over(
-        running.rowsBetween(Window.unboundedPreceding, 0)
-    )
-    # one row per column
-    targets = spark.createDataFrame(
-        ranks, "column string, before bigint, lower bigint, upper bigint"
-    )
-    return (
-        df.select(F.inline(cells))
-        .where(inside)
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .join(F.broadcast(targets), "column")
-        .withColumn("stop", stop)
-        .withColumn("start", F.col("stop") - F.col("copies"))
-        .where(
-            "(start <= lower and lower < stop) or (start <= upper and upper < stop)"
+    ).first() if columns else None
+    found: dict[str, float] = {}
+    brackets: dict[str, tuple[int, int, float, float]] = {}
+    for i, c in enumerate(columns):
+        n, real = head[f"n_{i}"], head[f"reals_{i}"]
+        if not n:
+            continue
+        lower, upper = (n - 1) // 2, n // 2
+        if upper >= real:
+            found[c] = float("nan")
+        else:
+            # the sketch looks at the middle of the reals, which is the median's place without NaN
+            low, high = head[f"q_{i}"] if n == real else (head[f"lo_{i}"], head[f"hi_{i}"])
+            brackets[c] = (lower, upper, _finite(low), _finite(high))
+    while brackets:
+        cells = [
+            F.struct(F.lit(c).alias("column"), reals[c].alias("v"), _range_of(reals[c], lo, hi).alias("r"))
+            for c, (_, _, lo, hi) in brackets.items()
+        ]
+        counts = (
+            df.select(F.inline(F.array(*cells)))
+            .where("v is not null")
+            .groupBy("column", "r")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            .collect()
         )
-        .groupBy("column")
-        .agg(((F.min("value") + F.max("value")) / 2).alias("median"))
+        for c, (lower, upper, _, _) in list(brackets.items()):
+            before, known = 0, {}
+            for row in sorted((r for r in counts if r["column"] == c), key=lambda r: r["r"]):
+                for rank in {lower, upper}:
+                    if rank == before or row["lo"] == row["hi"] and before <= rank < before + row["n"]:
+                        known[rank] = row["lo"]
+                    elif rank == before + row["n"] - 1:
+                        known[rank] = row["hi"]
+                    elif before <= rank < before + row["n"]:
+                        brackets[c] = (lower, upper, _finite(row["lo"]), _finite(row["hi"]))
+                before += row["n"]
+            if {lower, upper} <= set(known):
+                found[c] = known[lower] / 2 + known[upper] / 2 if lower != upper else known[lower]
+                del brackets[c]
+    return df.sparkSession.createDataFrame(
+        [(c, found[c]) for c in columns if c in found], "column string, median double"
     )

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import any_of, like_any
+from ..functions.expr import any_of, folded, like_any
 from ..lookups import (
     COLLECTION_PROJECTS,
     COLLECTIONS_WITHOUT_CASES,
@@ -18,51 +19,49 @@ from ..lookups import (
 
 PATIENT = ["collection_id", "PatientID"]
 
-# Largest mapping (in collections) that is broadcast.
-BROADCAST_ROWS = 10_000
-
 
 class MappingError(ValueError):
-    """The collection-to-project mapping does not fit the data."""
+    """The collection-to-project mapping does not fit the data.
+
+    ``rows`` holds every offending collection with its number of studies, ``count`` how many
+    they are; the message names no more than their number.
+    """
+
+    def __init__(self, problem: str, rows: DataFrame, count: int) -> None:
+        super().__init__(f"{count} {problem}; see the rows of this error")
+        self.rows = rows
+        self.count = count
 
 
 def study_selection(
     instances: DataFrame, patterns: Sequence[str] = SHARED_COLLECTION_PATTERNS
 ) -> DataFrame:
     """Studies of the matching collections; a study with any slide is microscopy (M)."""
-    return (
-        instances.where(like_any("collection_id", patterns))
-        .groupBy("StudyInstanceUID")
-        .agg(
-            any_of("collection_id").alias("collection_id"),
-            any_of("PatientID").alias("PatientID"),
-            any_of("StudyDate").alias("StudyDate"),
-            any_of("StudyDescription").alias("StudyDescription"),
-            F.bool_or(F.col("Modality") == "SM").alias("_slides"),
-        )
-        .select(
-            *PATIENT,
-            "StudyInstanceUID",
-            "StudyDate",
-            "StudyDescription",
-            F.when(F.col("_slides"), "M").otherwise("R").alias("study_type"),
-        )
+    values = {c: (any_of, c) for c in ("collection_id", "PatientID", "StudyDate", "StudyDescription")}
+    slides = F.coalesce(F.col("Modality") == "SM", F.lit(False))
+    studies = folded(
+        instances.where(like_any("collection_id", patterns)),
+        "StudyInstanceUID",
+        {**values, "_slides": (F.max, slides)},
+    )
+    return studies.select(
+        *PATIENT,
+        "StudyInstanceUID",
+        "StudyDate",
+        "StudyDescription",
+        F.when(F.col("_slides"), "M").otherwise("R").alias("study_type"),
     )
 
 
 def collection_projects(
     spark: SparkSession, projects: Mapping[str, Sequence[str]] = COLLECTION_PROJECTS
 ) -> DataFrame:
-    """The mapping as a table of one row per collection.
-
-    It is broadcast while it is small; a mapping kept as a large table is passed as a
-    DataFrame and joined like any other.
-    """
-    table = spark.createDataFrame(
-        [(c, list(p)) for c, p in projects.items()],
-        "collection_id string, project_ids array<string>",
+    """The mapping as a table of one row per collection, of a size the optimizer knows."""
+    table = pa.table(
+        {"collection_id": list(projects), "project_ids": [list(p) for p in projects.values()]},
+        pa.schema([("collection_id", pa.string()), ("project_ids", pa.list_(pa.string()))]),
     )
-    return F.broadcast(table) if len(projects) <= BROADCAST_ROWS else table
+    return spark.createDataFrame(table)
 
 
 def unmapped_collections(studies: DataFrame, projects: DataFrame) -> DataFrame:
@@ -75,24 +74,31 @@ def unmapped_collections(studies: DataFrame, projects: DataFrame) -> DataFrame:
     )
 
 
-def cases_by_collection(cases: DataFrame, projects: DataFrame) -> DataFrame:
-    """One case per (collection, submitter): the smallest id among the mapped projects."""
-    per_project = projects.select(
-        "collection_id", F.explode("project_ids").alias("project_id")
-    ).distinct()
-    return (
+def cases_of_patients(studies: DataFrame, cases: DataFrame, projects: DataFrame) -> DataFrame:
+    """One case per (collection, patient) of the studies: the smallest id among the mapped projects.
+
+    The projects are attached to the patients that occur, so a project that serves many
+    collections does not multiply its cases, and the join is on (project, submitter).
+    """
+    patients = studies.select(*PATIENT).dropna().distinct()
+    wanted = patients.join(projects, "collection_id").select(
+        *PATIENT, F.explode(F.array_distinct("project_ids")).alias("project_id")
+    )
+    known = (
         cases.where(F.col("submitter_id").isNotNull() & F.col("case_id").isNotNull())
-        .groupBy("project_id", "submitter_id")
-        .agg(F.min("case_id").alias("case_id"))
-        .join(per_project, "project_id")
-        .groupBy("collection_id", F.col("submitter_id").alias("PatientID"))
+        .groupBy("project_id", F.col("submitter_id").alias("PatientID"), "case_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return (
+        wanted.join(known, ["project_id", "PatientID"])
+        .groupBy(*PATIENT)
         .agg(F.min("case_id").alias("gdc_case_id"))
     )
 
 
 def attach_cases(studies: DataFrame, cases: DataFrame, projects: DataFrame) -> DataFrame:
     """Studies with the case of their patient, NULL where there is none."""
-    return studies.join(cases_by_collection(cases, projects), PATIENT, "left").select(
+    return studies.join(cases_of_patients(studies, cases, projects), PATIENT, "left").select(
         *studies.columns, "gdc_case_id"
     )
 
@@ -148,21 +154,38 @@ def checked_mapping(
     keep_unmatched: bool = False,
 ) -> DataFrame:
     """``cross_catalogue_mapping`` that first fails on an unmapped collection or on a
-    collection without a single match.  Only offending collection names reach the driver.
+    collection without a single match.
+
+    Both are decided by one aggregate over one row per collection; two counts reach the driver.
     """
     if projects is None:
         projects = collection_projects(studies.sparkSession)
-    unmapped = [r[0] for r in unmapped_collections(studies, projects).limit(100).collect()]
-    if unmapped:
-        raise MappingError(f"no projects mapped for collections: {sorted(unmapped)}")
     matched = attach_cases(studies, cases, projects)
-    empty = [
-        (r.collection_id, r.studies)
-        for r in collections_without_match(matched, exempt).limit(100).collect()
-    ]
-    if empty:
-        raise MappingError(f"collections without any matching case: {sorted(empty)}")
-    return cross_catalogue_mapping(studies, cases, projects, keep_unmatched)
+    known = projects.select("collection_id", F.lit(True).alias("_mapped")).distinct()
+    collections = (
+        matched.where(F.col("collection_id").isNotNull())
+        .groupBy("collection_id")
+        .agg(
+            F.count(F.lit(1)).alias("studies"),
+            F.count("PatientID").alias("_with_patient"),
+            F.count("gdc_case_id").alias("_matched"),
+        )
+        .join(known, "collection_id", "left")
+    )
+    unmapped = F.col("_mapped").isNull() & (F.col("_with_patient") > 0)
+    empty = (F.col("_matched") == 0) & ~F.col("collection_id").isin(*exempt)
+    counts = collections.agg(
+        F.count_if(unmapped).alias("unmapped"), F.count_if(empty).alias("empty")
+    ).first()
+    if counts["unmapped"]:
+        rows = collections.where(unmapped).select("collection_id", F.col("_with_patient").alias("studies"))
+        raise MappingError("collections have no projects mapped", rows, counts["unmapped"])
+    if counts["empty"]:
+        rows = collections.where(empty).select("collection_id", "studies")
+        raise MappingError("collections have no matching case at all", rows, counts["empty"])
+    if not keep_unmatched:
+        matched = matched.dropna(subset=["gdc_case_id"])
+    return as_text(matched)
 
 
 def as_text(df: DataFrame) -> DataFrame:

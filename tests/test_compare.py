@@ -123,22 +123,13 @@ def test_medians_match_statistics(spark, accuracy):
     assert exact_medians(even, ["a"]).first().median == 2.5
 
 
-def test_a_missed_bracket_is_widened(spark, monkeypatch):
+def test_few_ranges_find_the_same_median(spark, monkeypatch):
     from seriesloom.operators import fragments
 
-    honest = fragments._bracket
-    margins = []
-
-    def lying(df, columns, margin, accuracy):
-        margins.append(margin)
-        if len(margins) == 1:
-            return {c: (-2.0, -1.0) for c in columns}
-        return honest(df, columns, margin, accuracy)
-
-    monkeypatch.setattr(fragments, "_bracket", lying)
-    df = spark.range(101).selectExpr("cast(id as double) as a")
-    assert exact_medians(df, ["a"]).first().median == 50.0
-    assert len(margins) == 2 and margins[1] > margins[0]
+    monkeypatch.setattr(fragments, "RANGES", 2)
+    df = spark.range(101).selectExpr("cast(id as double) as a", "cast(id * id as int) as b")
+    got = {r.column: r.median for r in exact_medians(df, ["a", "b"], accuracy=2).collect()}
+    assert got == {"a": 50.0, "b": 2500.0}
 
 
 def test_no_common_columns(spark):
@@ -174,3 +165,59 @@ def test_compare_reports(spark):
     assert set(C.compare(a, a)) == {"schema", "shape", "bytes", "profile", "values", "samples"}
     assert C.compare(a, a)["values"].first().identical is True
     assert C.compare(a, a, key=None)["rows"].count() == 0
+
+
+@pytest.mark.parametrize("values", [
+    [float("nan"), float("nan"), 1.0, 5.0],
+    [float("nan")] * 3 + [1.0],
+    [float("inf"), float("-inf"), 0.0],
+    [float("-inf")] * 5 + [1.0, float("nan")],
+    [-1.7e308, 1.7e308, 1e-320, -1e-320, 0.0, 3.0],
+    [7.0] * 2000 + [8.0] * 1999 + [1e300] * 3,
+    [float(2**k) for k in range(-1000, 1000)],
+    [None, None],
+    [],
+])
+def test_median_ends_on_any_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r.median for r in exact_medians(df, ["v"]).collect()]
+    known = sorted((v for v in values if v is not None), key=lambda v: (v != v, v))
+    if not known:
+        assert got == []
+        return
+    lower, upper = known[(len(known) - 1) // 2], known[len(known) // 2]
+    want = lower if len(known) % 2 else lower / 2 + upper / 2
+    assert got[0] == want or got[0] != got[0] and want != want
+
+
+def test_types_are_compared_by_one_rule(spark):
+    big = 2**53 + 1
+    left = spark.range(1).selectExpr(
+        "1 as k", "cast(1.0 as decimal(10,1)) as d", f"cast({big} as bigint) as b", "cast(7 as bigint) as w",
+        "'x1' as t", "map('a', 1, 'b', 2) as m", "array(map('a', 1)) as am", "cast(0.1 as decimal(3,1)) as f",
+    )
+    right = spark.range(1).selectExpr(
+        "1 as k", "cast(1.00 as decimal(10,2)) as d", f"cast({big - 1} as double) as b", "cast(7 as double) as w",
+        "1 as t", "map('b', 2, 'a', 1) as m", "array(map('a', 2)) as am", "0.1D as f",
+    )
+    changed = {"b", "t", "am"}
+    keyed = {r.column: r.differing for r in C.keyed_diff(left, right, "k").collect()}
+    assert keyed == {c: int(c in changed) for c in "d b w t m am f".split()}
+    assert {r.column for r in C.keyed_samples(left, right, "k").collect()} == changed
+    per_column = {r.column: (r.left_surplus, r.right_surplus) for r in C.column_surplus(left, right).collect()}
+    assert {c for c, n in per_column.items() if n != (0, 0)} == changed
+    assert C.multiset_diff(left, right).count() == 2
+    assert C.multiset_diff(left.drop(*changed), right.drop(*changed)).count() == 0
+
+
+def test_pair_counts_beyond_a_long(spark):
+    keyed = C._Keyed(spark.createDataFrame([(1, 1)], "k int, v int"), spark.createDataFrame([(1, 1)], "k int, v int"), "k")
+    kinds = {f.name: f.dataType.simpleString() for f in keyed.repeated_counts().schema}
+    assert kinds["pairs"] == kinds["unequal"] == "decimal(38,0)"
+
+
+def test_nothing_runs_when_reports_are_made(spark):
+    df = spark.range(5).selectExpr("id", "raise_error('ran') as v", "cast(id as double) as x")
+    reports = C.compare(df, df, "id")
+    assert set(reports) == {"schema", "shape", "bytes", "profile", "values", "samples"}
+    assert set(C.compare(df, df, None)) >= {"rows", "columns"}

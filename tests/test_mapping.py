@@ -74,13 +74,32 @@ def test_unmapped_collection_is_an_error(spark, studies, cases):
     more = studies.unionByName(
         spark.createDataFrame([("unknown", "p", "s9")], studies.schema)
     )
-    with pytest.raises(mapping.MappingError, match="unknown"):
+    with pytest.raises(mapping.MappingError, match="^1 collections") as error:
         checked_mapping(more, cases)
+    assert [tuple(r) for r in error.value.rows.collect()] == [("unknown", 1)]
+
+
+def test_all_offending_collections_are_listed(spark, studies, cases):
+    many = spark.range(300).selectExpr("'new' || id as collection_id", "'p' as PatientID", "'t' || id as StudyInstanceUID")
+    with pytest.raises(mapping.MappingError) as error:
+        checked_mapping(studies.unionByName(many), cases)
+    assert error.value.count == 300 == error.value.rows.count()
+    projects = spark.createDataFrame([(f"new{i}", ["X"]) for i in range(300)], "collection_id string, project_ids array<string>")
+    with pytest.raises(mapping.MappingError) as error:
+        checked_mapping(many, cases, projects)
+    assert error.value.count == 300 == error.value.rows.count()
+
+
+def test_umbrella_project_does_not_multiply_its_cases(spark, cases):
+    projects = spark.createDataFrame([(f"c{i}", ["CPTAC-2", "CPTAC-3", "CPTAC-2"]) for i in range(14)], "collection_id string, project_ids array<string>")
+    one = spark.createDataFrame([("c3", "q1", "s")], "collection_id string, PatientID string, StudyInstanceUID string")
+    assert [tuple(r) for r in mapping.cases_of_patients(one, cases, projects).collect()] == [("c3", "q1", "c4")]
 
 
 def test_collection_without_match_is_an_error(studies, cases):
-    with pytest.raises(mapping.MappingError, match="cptac_cm"):
+    with pytest.raises(mapping.MappingError) as error:
         checked_mapping(studies, cases, exempt=())
+    assert [tuple(r) for r in error.value.rows.collect()] == [("cptac_cm", 1)]
 
 
 def test_mapping_table(spark):
