@@ -385,26 +385,14 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _spread(rows: DataFrame, key: str, source: DataFrame) -> DataFrame:
-    """Spread rows over the cores when their source comes in fewer splits than that (so
-    it is small).  A table of many files is left as it is.  By order key, like files
-    written series by series, so map-side combine has an effect."""
-    cores = source.sparkSession.sparkContext.defaultParallelism
-    if source.rdd.getNumPartitions() < cores:
-        return rows.repartition(cores, key)
-    return rows
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = _read(spark, sf_dir, name)
-    return _spread(rows, "l_orderkey", rows) if name == "lineitem" else rows
+    return _read(spark, sf_dir, name)
 
 
 def lines_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their orders."""
     lines, orders = (_read(spark, sf_dir, t) for t in ("lineitem", "orders"))
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return _spread(joined, "l_orderkey", lines)
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def _ct_instances(lines: DataFrame) -> DataFrame:
@@ -436,7 +424,7 @@ def instances(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> DataFra
     if used & {"first", "last"}:
         cts = _ct_instances(lines.join(orders, same_order))
         series = series.join(cts, F.col("o_custkey") == F.col("ct_custkey"), "left")
-    rows = _spread(lines.join(series, same_order), "l_orderkey", lines)
+    rows = lines.join(series, same_order)
     if "p" in used:
         part = _read(spark, sf_dir, "part")
         rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")

@@ -290,7 +290,7 @@ from inst left join prep on inst.SOPInstanceUID = prep.SOPInstanceUID where Moda
 
 
 def nested_arrays() -> str:
-    return f"""with {duck_instances([*Q.IDS, 'SpecimenDescriptionSequence', 'Modality'])}, {_preparation('SOPInstanceUID')}
+    return f"""with {duck_instances([*Q.IDS, 'SpecimenDescriptionSequence'])}, {_preparation('SOPInstanceUID').replace(" where Modality = 'SM'", "")}
 select SOPInstanceUID, concept, k as code, m as meaning from prep_rows"""
 
 
@@ -367,75 +367,86 @@ from groups"""
 VOLUME = f"('{lookups.CT_CLASS}', '{lookups.MR_CLASS}', '{lookups.PT_CLASS}')"
 
 
-def _projected() -> str:
-    o = [f"try_cast(ImageOrientationPatient[{i}] as double)" for i in range(1, 7)]
-    p = [f"try_cast(ImagePositionPatient[{i}] as double)" for i in range(1, 4)]
-    vectors = ", ".join(
-        [f"{x} as o{i}" for i, x in enumerate(o)] + [f"{x} as p{i}" for i, x in enumerate(p)]
-    )
-    return f"""vectors as (select *, {vectors} from inst where SOPClassUID in {VOLUME}),
-normals as (select *, o1 * o5 - o2 * o4 as nx, o2 * o3 - o0 * o5 as ny, o0 * o4 - o1 * o3 as nz from vectors),
-placed as (select *, p0 * nx + p1 * ny + p2 * nz as pos, sqrt(nx * nx + ny * ny + nz * nz) as len,
-  p0 * o0 + p1 * o1 + p2 * o2 as inrow, p0 * o3 + p1 * o4 + p2 * o5 as incol from normals)"""
+def _geometry() -> str:
+    """Vectors of every instance of a volume class, as arrays, with products by list functions."""
+
+    def triple(column: str, start: int) -> str:
+        part = f"list_transform({column}[{start}:{start + 2}], lambda x: try_cast(x as double))"
+        return f"case when list_count({part}) = 3 then cast({part} as double[3]) end"
+
+    return f"""arrays as (select *, {triple('ImageOrientationPatient', 1)} as along, {triple('ImageOrientationPatient', 4)} as down,
+  {triple('ImagePositionPatient', 1)} as corner from inst where SOPClassUID in {VOLUME}),
+facing as (select *, array_cross_product(along, down) as normal from arrays),
+placed as (select *, array_inner_product(corner, normal) as pos, sqrt(array_inner_product(normal, normal)) as len,
+  array_inner_product(corner, along) as inrow, array_inner_product(corner, down) as incol from facing),
+stacks as (select SeriesInstanceUID, list_sort(list(pos) filter (where pos is not null)) as stack,
+  count(*) as slices from placed group by 1),
+steps as (select *, (stack[-1] - stack[1]) / nullif(slices - 1, 0) as want,
+  list_transform(range(1, len(stack)), lambda i: stack[i + 1] - stack[i]) as gaps from stacks)"""
 
 
 def volume_geometry() -> str:
-    flags = (
-        "single_orientation", "orthogonal_orientation", "unique_slice_positions",
-        "consistent_in_plane_row", "consistent_in_plane_col", "consistent_pixel_spacing",
-        "consistent_image_dimensions", "uniform_slice_spacing",
-    )
-    return f"""with {duck_instances(Q.GEOMETRY_COLUMNS)}, {_projected()},
-kept as (select * from placed where SeriesInstanceUID not in (
-  select SeriesInstanceUID from (select SeriesInstanceUID, unnest(ImageType) as t from inst)
-  where t = 'LOCALIZER' or t like '%MIP%')),
-spaced as (select *,
-  lead(pos) over (partition by SeriesInstanceUID order by pos nulls first) - pos as gap,
-  (max(pos) over (partition by SeriesInstanceUID) - min(pos) over (partition by SeriesInstanceUID))
-    / nullif(count(*) over (partition by SeriesInstanceUID) - 1, 0) as want from kept),
-checked as (
-  select SeriesInstanceUID,
-    count(distinct array_to_string(ImageOrientationPatient, '/')) = 1 as single_orientation,
-    min(len) between 0.99 and 1.01 and max(len) between 0.99 and 1.01 as orthogonal_orientation,
-    count(distinct SOPInstanceUID) = count(distinct pos) as unique_slice_positions,
-    max(inrow) - min(inrow) < 0.1 as consistent_in_plane_row,
-    max(incol) - min(incol) < 0.1 as consistent_in_plane_col,
-    count(distinct array_to_string(PixelSpacing, '/')) = 1 as consistent_pixel_spacing,
-    count(distinct "Rows") = 1 and count(distinct "Columns") = 1 as consistent_image_dimensions,
-    max(abs(gap - want)) < 0.01 * abs(any_value(want)) as uniform_slice_spacing,
-    min(case when len > 0 then round(acos(least(1.0, greatest(abs(nx), abs(ny), abs(nz)) / len)) * 180 / pi(), 2) end)
-      as obliquity_degrees
-  from spaced group by 1)
-select *, {' and '.join(flags)} as regularly_spaced_3d_volume from checked"""
+    verdicts = {
+        "single_orientation": "orientations = 1",
+        "orthogonal_orientation": "list_min(lens) between 0.99 and 1.01 and list_max(lens) between 0.99 and 1.01",
+        "unique_slice_positions": "instances = coalesce(len(list_distinct(stack)), 0)",
+        "consistent_in_plane_row": "list_max(inrows) - list_min(inrows) < 0.1",
+        "consistent_in_plane_col": "list_max(incols) - list_min(incols) < 0.1",
+        "consistent_pixel_spacing": "spacings = 1",
+        "consistent_image_dimensions": "heights = 1 and widths = 1",
+        "uniform_slice_spacing": "greatest(abs(list_min(gaps) - want), abs(list_max(gaps) - want)) < abs(want) / 100",
+    }
+    cells = ", ".join(f"{rule} as {name}" for name, rule in verdicts.items())
+    return f"""with {duck_instances(Q.GEOMETRY_COLUMNS)}, {_geometry()},
+facts as (select SeriesInstanceUID, list(len) as lens, list(inrow) as inrows, list(incol) as incols,
+    count(distinct array_to_string(ImageOrientationPatient, '/')) as orientations,
+    count(distinct array_to_string(PixelSpacing, '/')) as spacings, count(distinct SOPInstanceUID) as instances,
+    count(distinct "Rows") as heights, count(distinct "Columns") as widths,
+    min(case when len > 0 then round(degrees(acos(least(1.0,
+      list_max(list_transform(cast(normal as double[]), lambda x: abs(x))) / len))), 2) end)
+      as obliquity_degrees,
+    bool_or(list_contains(ImageType, 'LOCALIZER')
+      or len(list_filter(ImageType, lambda t: contains(t, 'MIP'))) > 0) as overview
+  from placed group by 1),
+judged as (select SeriesInstanceUID, {cells}, obliquity_degrees from facts join steps using (SeriesInstanceUID)
+  where not coalesce(overview, false))
+select *, {' and '.join(verdicts)} as regularly_spaced_3d_volume from judged"""
 
 
 def slice_intervals() -> str:
-    return f"""with {duck_instances(Q.GEOMETRY_COLUMNS)}, {_projected()}
-select SeriesInstanceUID, SOPInstanceUID, round(pos, 9) as slice_position,
-  round(lead(pos) over (partition by SeriesInstanceUID order by pos nulls first, SOPInstanceUID) - pos, 9) as slice_interval,
-  round((max(pos) over (partition by SeriesInstanceUID) - min(pos) over (partition by SeriesInstanceUID))
-    / nullif(count(*) over (partition by SeriesInstanceUID) - 1, 0), 9) as expected_spacing
-from placed"""
+    return f"""with {duck_instances(Q.GEOMETRY_COLUMNS)}, {_geometry()},
+ordered as (select SeriesInstanceUID, unnest(list(struct_pack(s := SOPInstanceUID, p := pos)
+    order by pos nulls first, SOPInstanceUID)) as one,
+    unnest(range(1, count(*) + 1)) as i, list(pos order by pos nulls first, SOPInstanceUID) as all_pos
+  from placed group by SeriesInstanceUID)
+select o.SeriesInstanceUID, one.s as SOPInstanceUID, round(one.p, 9) as slice_position,
+  round(all_pos[i + 1] - one.p, 9) as slice_interval, round(want, 9) as expected_spacing
+from ordered o join steps using (SeriesInstanceUID)"""
 
 
 def slice_positions() -> str:
     cells = {
         "slice_position": "pos", "normal_length": "len", "in_plane_row": "inrow",
-        "in_plane_col": "incol", "normal_x": "nx", "normal_y": "ny", "normal_z": "nz",
+        "in_plane_col": "incol", "normal_x": "normal[1]", "normal_y": "normal[2]", "normal_z": "normal[3]",
     }
-    return f"""with {duck_instances(Q.GEOMETRY_COLUMNS)}, {_projected()}
+    return f"""with {duck_instances(Q.GEOMETRY_COLUMNS)}, {_geometry()}
 select SeriesInstanceUID, SOPInstanceUID, {", ".join(f"round({v}, 9) as {k}" for k, v in cells.items())}
 from placed"""
 
 
-STUDIES = """studies as (
-  select min(collection_id) as collection_id, min(PatientID) as PatientID, StudyInstanceUID,
+_PATTERNS = ", ".join(f"('{p}')" for p in lookups.SHARED_COLLECTION_PATTERNS)
+
+STUDIES = f"""wanted as (
+  select distinct collection_id as c from inst, (values {_PATTERNS}) patterns(pattern) where collection_id like pattern),
+looks as (
+  select StudyInstanceUID, list(distinct struct_pack(c := collection_id, p := PatientID)) as owners,
     min(cast(StudyDate as varchar)) as StudyDate, min(StudyDescription) as StudyDescription,
-    case when list_contains(list(distinct Modality), 'SM') then 'M' else 'R' end as study_type
-  from inst where collection_id like 'tcga%' or collection_id like '%apollo%'
-    or collection_id like '%cptac%' or collection_id like '%ccdi%' or collection_id like 'cgci%'
-    or collection_id like 'cddp_eagle%' or collection_id like 'hcmi%'
-  group by StudyInstanceUID)"""
+    coalesce(bool_or(Modality = 'SM'), false) as slides
+  from inst semi join wanted on c = collection_id group by StudyInstanceUID),
+studies as (
+  select list_min(list_transform(owners, lambda o: o.c)) as collection_id,
+    list_min(list_transform(owners, lambda o: o.p)) as PatientID, StudyInstanceUID, StudyDate, StudyDescription,
+    if(slides, 'M', 'R') as study_type from looks)"""
 
 CASES = f"""cases as (
   select case when n_regionkey = 1 then case when c_mktsegment < 'F' then 'CPTAC-2' else 'CPTAC-3' end
@@ -498,7 +509,7 @@ b as (
   select o_orderkey, cast(o_custkey as double) as o_custkey,
     case when o_totalprice > 400000 then 'X' else o_orderstatus end as o_orderstatus, o_totalprice,
     substr(o_orderpriority, 1, 3) as o_orderpriority,
-    case when o_totalprice > 100000 then o_totalprice end as amount, year(o_orderdate) as o_year
+    case when o_totalprice > 100000 then o_totalprice end as amount, cast(year(o_orderdate) as int) as o_year
   from orders where o_orderpriority <> '5-LOW')"""
 
 LINES_PAIR = """a as (
@@ -586,11 +597,108 @@ TOTALS = """select cast(sum(left_bytes) as bigint) as left_bytes, cast(sum(right
   cast(coalesce(sum(left_bytes) filter (where not common), 0) as bigint) as left_only_bytes,
   cast(coalesce(sum(right_bytes) filter (where not common), 0) as bigint) as right_only_bytes from bx"""
 
-OVERVIEW_TYPES = """types(col, left_type, right_type, status) as (values
-  ('amount', 'double', 'double', 'same'), ('o_custkey', 'bigint', 'double', 'type_differs'),
-  ('o_orderkey', 'bigint', 'bigint', 'same'), ('o_orderpriority', 'string', 'string', 'same'),
-  ('o_orderstatus', 'string', 'string', 'same'), ('o_totalprice', 'double', 'double', 'same'),
-  ('o_year', null, 'int', 'only_right'))"""
+def _described(side: str) -> str:
+    """Column names and Spark's names of the types of one side of the orders pair."""
+    spelled = "replace(replace(lower(column_type), 'varchar', 'string'), 'integer', 'int')"
+    return f"(select column_name as col, {spelled} as kind from (describe with {ORDERS_PAIR} select * from {side}))"
+
+
+def comparison_overview() -> str:
+    return f"""with {_bytes()}, l as {_described('a')}, r as {_described('b')}
+select coalesce(l.col, r.col) as "column", l.kind as left_type, r.kind as right_type,
+  case when r.col is null then 'only_left' when l.col is null then 'only_right'
+    when l.kind = r.kind then 'same' else 'type_differs' end as status, left_bytes, right_bytes
+from l full join r on l.col = r.col left join bx on coalesce(l.col, r.col) = bx."column" """
+
+
+def shape_diff() -> str:
+    cells = {f"{side}_{what}": query for side, t in (("left", "a"), ("right", "b")) for what, query in (
+        ("rows", f"(select count(*) from {t})"), ("columns", f"(select count(*) from {_described(t)})"))}
+    return f"""with {ORDERS_PAIR}, n as (select {", ".join(f"{q} as {c}" for c, q in cells.items())})
+select *, left_rows = right_rows and left_columns = right_columns as same_shape from n"""
+
+
+_BIG = "(9007199254740992 + o_orderkey)"
+TYPED_PAIR = f"""a as (
+  select o_orderkey, cast(o_custkey as double) as exact, cast({_BIG} as hugeint) as large, o_custkey as whole,
+    cast(o_orderkey as varchar) as text, o_custkey as pairs from orders),
+b as (
+  select o_orderkey, cast(o_custkey as double) as exact, cast(cast({_BIG} as double) as hugeint) as large,
+    o_custkey as whole, cast(o_orderkey + (o_orderkey % 5 = 0)::int as varchar) as text,
+    case when o_orderstatus = 'P' then -1 else o_custkey end as pairs from orders)"""
+
+
+def typed_multiset() -> str:
+    cells = "exact, cast(whole as varchar) as whole, text"
+    return f"""with {TYPED_PAIR}, t as (select {cells}, 1 as w from a union all select {cells}, -1 from b),
+g as (select exact, whole, text, sum(w) as w from t group by all)
+select exact, whole, text, if(w > 0, 'left', 'right') as surplus_side, cast(abs(w) as bigint) as surplus from g where w <> 0"""
+
+
+def column_surplus() -> str:
+    parts = " union all ".join(
+        f"""select '{c}' as "column", cast({c} as varchar) as v, {w} as w from {t}"""
+        for c in ("l_linenumber", "l_orderkey", "l_returnflag", "status")
+        for t, w in (("a", 1), ("b", -1))
+    )
+    return f"""with {LINES_PAIR}, t as ({parts}), g as (select "column", v, sum(w) as w from t group by all)
+select "column", cast(coalesce(sum(w) filter (w > 0), 0) as bigint) as left_surplus,
+  cast(coalesce(-sum(w) filter (w < 0), 0) as bigint) as right_surplus from g group by 1"""
+
+
+def nan_medians() -> str:
+    def middle(v: str) -> str:
+        s = f"list_sort(list({v}))"
+        m = f"({s}[(count(*) + 1) // 2] / 2 + {s}[count(*) // 2 + 1] / 2)"
+        return f"case when isnan({m}) then 'NaN' when isinf({m}) then 'Infinity' else cast(round({m}, 4) as varchar) end"
+
+    v = "case when l_quantity > 10 then cast('{}' as double) else l_quantity end"
+    return f"""select 'v' as "column", {middle(v.format('nan'))} as left_median, {middle(v.format('inf'))} as right_median from lineitem
+union all select 'w', {middle('l_tax')}, {middle('l_tax')} from lineitem"""
+
+
+def wide_bytes() -> str:
+    cells = {f"c{i:02}": f"substr(o_orderpriority, 1, {1 + i % 9}) || '{'x' * i}'" for i in range(30)}
+    rows = " union all ".join(
+        f"""select '{c}' as "column", sum(strlen({cell})) as l, sum(strlen({cell} || '{'y' * (i % 26)}')) as r from orders"""
+        for i, (c, cell) in enumerate(cells.items())
+    )
+    return f"""with d as ({rows})
+select "column", cast(l as bigint) as left_bytes, cast(r as bigint) as right_bytes, cast(abs(l - r) as bigint) as difference,
+  round(abs(l - r) * 100.0e0 / greatest(l, r), 6) as percent, true as common
+from d where l <> r order by difference desc, "column" limit 20"""
+
+
+def published_order() -> str:
+    return f"""with ct as ({ct_index()})
+select SeriesInstanceUID, SliceThickness, row_number() over (
+  order by SliceThickness asc nulls last, SeriesInstanceUID desc) as place from ct"""
+
+
+def published_dictionary() -> str:
+    return f"""with n as (select count(*) as rows from ({contrast_index()}))
+select position, name, type, mode, description, '24.0' as version, rows from n, (values
+  (0, 'SeriesInstanceUID', 'STRING', 'NULLABLE', 'key of a series'),
+  (1, 'ContrastBolusAgent', 'STRING', 'REPEATED', 'agents'),
+  (2, 'ContrastBolusIngredient', 'STRING', 'REPEATED', ''),
+  (3, 'ContrastBolusRoute', 'STRING', 'REPEATED', '')) v(position, name, type, mode, description)"""
+
+
+REFUSED = """select place, type, rows from (select count(*) as rows from orders), (values
+  ('day', 'date'), ('days[]', 'date'), ('deep.a[].b', 'date'), ('stamps.value', 'timestamp_ntz')) v(place, type)"""
+
+
+def content_digests() -> str:
+    tables = {
+        "documents": ["doc_id", "text", "lang", "source", "n_chars"], "benchmark": ["item_id", "text"],
+        "labels": ["doc_id", "quality", "toxic"], "conversations": ["conv_id", "turn", "role", "text"],
+        "nation": ["n_nationkey", "n_name", "n_regionkey"], "region": ["r_regionkey", "r_name"],
+    }
+    return " union all ".join(
+        f"""select count(*) as rows, bit_xor(cast('0x' || sha256({" || chr(9) || ".join(
+            f"coalesce(cast({c} as varchar), chr(92) || 'N')" for c in cells)})[1:15] as bigint)) as digest, '{name}' as "table" from {name}"""
+        for name, cells in tables.items()
+    )
 
 
 def oracle_sql() -> dict[str, str]:
@@ -627,11 +735,17 @@ def oracle_sql() -> dict[str, str]:
             where collection_id not in (select collection_id from projects) group by 1""",
             CASES,
         ),
-        "cases_by_collection": f"with {CASES} select * from picked",
-        "mapping_validation": with_studies(
-            """select collection_id, count(gdc_case_id) as matched, count(*) as studies
-            from matched group by 1 having count(gdc_case_id) = 0""",
+        "cases_by_collection": with_studies(
+            "select p.* from picked p semi join studies s on p.collection_id = s.collection_id and p.PatientID = s.PatientID",
             CASES,
+        ),
+        "catalogue_mapping_checked": with_studies(
+            "select * from matched where gdc_case_id is not null", CASES, MATCHED
+        ),
+        "mapping_validation": with_studies(
+            f"""select collection_id, count(gdc_case_id) as matched, count(*) as studies
+            from matched where collection_id not in ('{Q.EXEMPT[0]}') group by 1 having count(gdc_case_id) = 0""",
+            CASES.replace("where c_acctbal > 0", "where c_acctbal > 0 and upper(n_name) <> 'NATION_9'"),
             MATCHED,
         ),
         "match_summary": with_studies(
@@ -646,13 +760,16 @@ def oracle_sql() -> dict[str, str]:
         "safe_casts": safe_casts(),
         "latest_members": latest_members(),
         "ordered_positions": ordered_positions(),
-        "comparison_overview": f"""with {_bytes()}, {OVERVIEW_TYPES}
-            select col as "column", left_type, right_type, status, left_bytes, right_bytes
-            from types left join bx on col = bx."column" """,
-        "shape_diff": f"""with {ORDERS_PAIR}, n as (
-            select (select count(*) from a) as left_rows, (select count(*) from b) as right_rows)
-            select left_rows, right_rows, cast(6 as bigint) as left_columns,
-            cast(7 as bigint) as right_columns, false as same_shape from n""",
+        "comparison_overview": comparison_overview(),
+        "shape_diff": shape_diff(),
+        "keyed_diff_types": keyed_diff(TYPED_PAIR, "o_orderkey", ["exact", "large", "pairs", "text", "whole"]),
+        "multiset_diff_types": typed_multiset(),
+        "column_surplus": column_surplus(),
+        "profile_diff_nan": nan_medians(),
+        "published_order": published_order(),
+        "published_dictionary": published_dictionary(),
+        "refused_types": REFUSED,
+        "content_digests": content_digests(),
         "keyed_diff": keyed_diff(
             ORDERS_PAIR,
             "o_orderkey",
@@ -670,15 +787,14 @@ def oracle_sql() -> dict[str, str]:
             union all select 'source', cast(sum(strlen(source)) as bigint) from documents
             union all select 'n_chars', cast(8 * count(n_chars) as bigint) from documents""",
         "bytes_diff": f"with {_bytes()} select * from bx",
-        "largest_bytes_differences": f"""with {_bytes()} select * from bx where common and difference > 0
-            order by difference desc, "column" limit 20""",
+        "largest_bytes_differences": wide_bytes(),
         "bytes_totals": f"with {_bytes()} {TOTALS}",
         "published_ct": ct_index(),
         "published_csv": contrast_index(),
         "slice_positions": slice_positions(),
         "revision_sizes": f"""with {BY_VERSION} select cast(v as int) as idc_version, crdc_series_uuid,
             round(sum(try_cast(instance_size as double)) / 1000000, 2) as series_size_MB
-            from ver where v between 1 and 5 group by 1, 2""",
+            from ver group by 1, 2""",
         "versioned_scan": f"""with {BY_VERSION} select collection_id, Modality, count(*) as instances,
             count(distinct SeriesInstanceUID) as series from ver where v = 3 group by 1, 2""",
         "patient_pairs": with_studies(

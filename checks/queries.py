@@ -7,7 +7,6 @@ does not depend on how a client renders arrays.
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -132,6 +131,10 @@ def instances_by_version(spark: SparkSession, d: str) -> DataFrame:
 
 
 LATEST = 7
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings"
+    " pages benchmark labels conversations"
+).split()
 
 
 def study_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -165,6 +168,10 @@ def projects(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+#: A collection of the test data that no project serves.
+EXEMPT = ("hcmi_nation_24",)
+
+
 def matched(spark: SparkSession, d: str) -> DataFrame:
     return mapping.attach_cases(study_rows(spark, d), cases(spark, d), projects(spark, d))
 
@@ -228,14 +235,9 @@ def series_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def column_subset(spark: SparkSession, d: str) -> DataFrame:
-    names = [
-        c for c in SERIES_COLUMNS
-        if c not in ("SeriesDescription", "Manufacturer", "ManufacturerModelName")
-    ]
-    rows = instances(spark, d, names).withColumns(
-        {c: F.lit(None).cast("string") for c in ("SeriesDescription", "Manufacturer", "ManufacturerModelName")}
-    )
-    index = core.series_index(rows, curated(spark, d), bookkeeping(spark, d))
+    index = core.series_index(
+        instances(spark, d, SERIES_COLUMNS), curated(spark, d), bookkeeping(spark, d)
+    )
     return flat(mapping.column_subset(index), decimals=8)
 
 
@@ -326,7 +328,7 @@ def significant_figures(spark: SparkSession, d: str) -> DataFrame:
 
 def nested_arrays(spark: SparkSession, d: str) -> DataFrame:
     """Sibling arrays of one record unnested to their product, empty lists drop the row."""
-    rows = instances(spark, d, [*IDS, "SpecimenDescriptionSequence", "Modality"]).where("Modality = 'SM'")
+    rows = instances(spark, d, [*IDS, "SpecimenDescriptionSequence"])
     step = (
         rows.select("SOPInstanceUID", E.first("SpecimenDescriptionSequence").alias("s"))
         .select("SOPInstanceUID", F.explode("s.SpecimenPreparationSequence").alias("p"))
@@ -378,8 +380,8 @@ def slice_positions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def revision_sizes(spark: SparkSession, d: str) -> DataFrame:
-    """Size of every revision in every release up to the fifth, all releases in one scan."""
-    rows = instances_by_version(spark, d).where(F.col("idc_version").between(1, 5))
+    """Size of every revision in every release, all releases in one scan."""
+    rows = instances_by_version(spark, d)
     size = E.safe_double(rows, "instance_size")
     return rows.groupBy("idc_version", "crdc_series_uuid").agg(
         F.round(F.sum(size) / 1e6, 2).alias("series_size_MB")
@@ -430,15 +432,11 @@ def _diff(f: Callable[..., DataFrame], pair: Callable, *args) -> Query:
 
 
 def keyed_diff(spark: SparkSession, d: str) -> DataFrame:
-    return C.keyed_diff(*orders_pair(spark, d), "o_orderkey").withColumn(
-        "percent", F.round("percent", 6)
-    )
+    return counts_as_long(C.keyed_diff(*orders_pair(spark, d), "o_orderkey"))
 
 
 def keyed_diff_repeated(spark: SparkSession, d: str) -> DataFrame:
-    return C.keyed_diff(*lines_pair(spark, d), "l_orderkey").withColumn(
-        "percent", F.round("percent", 6)
-    )
+    return counts_as_long(C.keyed_diff(*lines_pair(spark, d), "l_orderkey"))
 
 
 def profile_diff(spark: SparkSession, d: str) -> DataFrame:
@@ -447,22 +445,22 @@ def profile_diff(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder in the shared checkpoint folder the cluster names; the local
-    temporary folder only on a single machine where none is set, as in tests."""
+    """A fresh folder in the folder that all machines share, as spark.checkpoint.dir names it.
+
+    Where nothing is set, one in the session's warehouse folder is taken, and set.
+    """
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
         "spark.checkpoint.dir", None
     )
-    if shared:
-        return f"{shared.rstrip('/')}/published-{os.urandom(6).hex()}"
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-    return tempfile.mkdtemp(prefix="published-")
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/published-{os.urandom(6).hex()}"
 
 
 def size_report(spark: SparkSession, d: str) -> DataFrame:
-    names = ("lineitem", "orders", "customer", "part", "events", "documents")
-    return publish.size_report(spark, {n: f"{d.rstrip('/')}/{n}.parquet" for n in names})
+    return publish.size_report(spark, {n: f"{d.rstrip('/')}/{n}.parquet" for n in TABLES})
 
 
 def checksums(spark: SparkSession, d: str) -> DataFrame:
@@ -481,6 +479,135 @@ def published_ct(spark: SparkSession, d: str) -> DataFrame:
     return flat(spark.read.parquet(path))
 
 
+def published_order(spark: SparkSession, d: str) -> DataFrame:
+    """The order in which published rows lie in their files, as a rank over all files.
+
+    The index is written ascending by slice thickness, NULLs last, and by series id descending.
+    """
+    path = scratch_dir(spark) + "/ct_order"
+    order = [F.asc_nulls_last("SliceThickness"), F.desc("SeriesInstanceUID")]
+    publish.write_parquet(modality.ct_index(instances(spark, d, CT_COLUMNS)), path, order=order, files=4)
+    rows = spark.read.parquet(path).select(
+        "SeriesInstanceUID", "SliceThickness",
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"),
+    )
+    files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    files = files.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    return rows.join(files, "file").select(
+        "SeriesInstanceUID", "SliceThickness", (F.col("before") + F.col("row") + 1).alias("place")
+    )
+
+
+def published_dictionary(spark: SparkSession, d: str) -> DataFrame:
+    """Column dictionary and version stamp read back from published files, with their rows."""
+    path = scratch_dir(spark) + "/contrast"
+    publish.write_parquet(
+        modality.contrast_index(instances(spark, d, CONTRAST_COLUMNS)), path, version="24.0",
+        descriptions={"SeriesInstanceUID": "key of a series", "ContrastBolusAgent": "agents"},
+    )
+    back = spark.read.parquet(path)
+    rows = back.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit("contrast_index"))
+    words = publish.column_dictionary(back, "contrast_index")
+    return words.join(rows, "table").select(
+        F.col("position").cast("long").alias("position"), "name", "type", "mode", "description",
+        F.lit(publish.release_version(back)).alias("version"), "rows",
+    )
+
+
+def refused_types(spark: SparkSession, d: str) -> DataFrame:
+    """The columns that publishing refuses, at any depth, with the rows of their table."""
+    rows = table(spark, d, "orders").selectExpr(
+        "o_orderkey", "cast(o_orderdate as date) as day", "array(cast(o_orderdate as date)) as days",
+        "named_struct('a', array(named_struct('b', cast(o_orderdate as date), 'c', 1))) as deep",
+        "map('k', cast(o_orderdate as timestamp_ntz)) as stamps", "cast(o_orderdate as timestamp) as at",
+    )
+    refused = publish.refused_columns(spark, rows.schema).withColumn("one", F.lit(1))
+    counted = rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("one", F.lit(1))
+    return refused.join(counted, "one").drop("one")
+
+
+def checked_mapping(spark: SparkSession, d: str) -> DataFrame:
+    """The validated mapping; the collection of EXEMPT has a project without any case."""
+    known = projects(spark, d).unionByName(
+        spark.range(1).select(
+            F.lit(EXEMPT[0]).alias("collection_id"), F.array(F.lit("NO CASES")).alias("project_ids")
+        )
+    )
+    return mapping.checked_mapping(study_rows(spark, d), cases(spark, d), known, exempt=EXEMPT)
+
+
+def mapping_validation(spark: SparkSession, d: str) -> DataFrame:
+    """Collections without a case, where another one than the exempt collection has none either."""
+    fewer = cases(spark, d).where("project_id <> 'NATION_9'")
+    rows = mapping.attach_cases(study_rows(spark, d), fewer, projects(spark, d))
+    return mapping.collections_without_match(rows, EXEMPT)
+
+
+def content_digests(spark: SparkSession, d: str) -> DataFrame:
+    """Digest of the contents of the text tables, whatever files they lie in."""
+    names = ("documents", "benchmark", "labels", "conversations", "nation", "region")
+    parts = [publish.content_digest(table(spark, d, n)).withColumn("table", F.lit(n)) for n in names]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def wide_pair(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Two editions of a table with 30 text columns, 25 of which differ in bytes."""
+    cells = [f"substr(o_orderpriority, 1, {1 + i % 9}) || '{'x' * i}' as c{i:02}" for i in range(30)]
+    more = [f"c{i:02} || '{'y' * (i % 26)}' as c{i:02}" for i in range(30)]
+    left = table(spark, d, "orders").selectExpr("o_orderkey", *cells)
+    return left, left.selectExpr("o_orderkey", *more)
+
+
+def typed_pair(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Two editions of the orders whose columns differ in type, some also in value."""
+    big = "cast(9007199254740992 as bigint) + o_orderkey"
+    left = table(spark, d, "orders").selectExpr(
+        "o_orderkey", "cast(o_custkey as decimal(12,1)) as exact", f"{big} as large", "o_custkey as whole",
+        "cast(o_orderkey as string) as text", "map('a', o_custkey, 'b', o_orderkey) as pairs",
+    )
+    right = table(spark, d, "orders").selectExpr(
+        "o_orderkey", "cast(o_custkey as decimal(14,3)) as exact", f"cast({big} as double) as large",
+        "cast(o_custkey as double) as whole", "o_orderkey + (case when o_orderkey % 5 = 0 then 1 else 0 end) as text",
+        "map('b', o_orderkey, 'a', case when o_orderstatus = 'P' then -1 else o_custkey end) as pairs",
+    )
+    return left, right
+
+
+def counts_as_long(frame: DataFrame) -> DataFrame:
+    kinds = {c: F.col(c).cast("bigint") for c in ("pairs", "differing", "unequal")}
+    return frame.withColumns(kinds).withColumn("percent", F.round("percent", 6))
+
+
+def typed_multiset(spark: SparkSession, d: str) -> DataFrame:
+    """Unkeyed rows of unlike types: how often each side has more of them."""
+    left, right = (t.select("exact", "whole", "text") for t in typed_pair(spark, d))
+    out = C.multiset_diff(left, right)
+    return out.select(F.col("exact").cast("double").alias("exact"), F.col("whole"), "text", "surplus_side", "surplus")
+
+
+def nan_pair(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Line items whose middle value is NaN on the left and infinite on the right."""
+    left = table(spark, d, "lineitem").selectExpr(
+        "case when l_quantity > 10 then double('NaN') else l_quantity end as v", "l_tax as w"
+    )
+    right = table(spark, d, "lineitem").selectExpr(
+        "case when l_quantity > 10 then double('Infinity') else l_quantity end as v", "l_tax as w"
+    )
+    return left, right
+
+
+def nan_medians(spark: SparkSession, d: str) -> DataFrame:
+    """Medians with NaN and infinities, as text."""
+    left, right = nan_pair(spark, d)
+    out = C.profile_diff(left, right)
+    text = lambda c: F.round(c, 4).cast("string").alias(c)
+    return out.select("column", text("left_median"), text("right_median"))
+
+
 def comparison_overview(spark: SparkSession, d: str) -> DataFrame:
     """Head of a comparison report: types and bytes of every column of both tables."""
     left, right = orders_pair(spark, d)
@@ -524,10 +651,11 @@ def queries() -> dict[str, Query]:
         "unmapped_collections": lambda s, d: mapping.unmapped_collections(
             study_rows(s, d), projects(s, d)
         ),
-        "cases_by_collection": lambda s, d: mapping.cases_by_collection(
-            cases(s, d), projects(s, d)
+        "cases_by_collection": lambda s, d: mapping.cases_of_patients(
+            study_rows(s, d), cases(s, d), projects(s, d)
         ),
-        "mapping_validation": lambda s, d: mapping.collections_without_match(matched(s, d), ()),
+        "catalogue_mapping_checked": checked_mapping,
+        "mapping_validation": mapping_validation,
         "match_summary": lambda s, d: mapping.match_summary(matched(s, d)),
         "nested_arrays": nested_arrays,
         "significant_figures": significant_figures,
@@ -543,18 +671,26 @@ def queries() -> dict[str, Query]:
         "shape_diff": _diff(C.shape_diff, orders_pair),
         "keyed_diff": keyed_diff,
         "keyed_diff_repeated": keyed_diff_repeated,
+        "keyed_diff_types": lambda s, d: counts_as_long(C.keyed_diff(*typed_pair(s, d), "o_orderkey")),
+        "multiset_diff_types": typed_multiset,
+        "column_surplus": _diff(C.column_surplus, lines_pair),
+        "profile_diff_nan": nan_medians,
         "keyed_samples": _diff(C.keyed_samples, orders_pair, "o_orderkey"),
         "multiset_diff": _diff(C.multiset_diff, lines_pair),
         "profile_diff": profile_diff,
         "column_bytes": lambda s, d: C.column_bytes(table(s, d, "documents")),
         "bytes_diff": lambda s, d: flat(C.bytes_diff(*orders_pair(s, d)), decimals=6),
         "largest_bytes_differences": lambda s, d: flat(
-            C.largest_bytes_differences(*orders_pair(s, d)), decimals=6
+            C.largest_bytes_differences(*wide_pair(s, d)), decimals=6
         ),
         "bytes_totals": _diff(C.bytes_totals, orders_pair),
         # publishing
         "published_ct": published_ct,
+        "published_order": published_order,
+        "published_dictionary": published_dictionary,
+        "refused_types": refused_types,
         "published_csv": published_csv,
         "size_report": size_report,
         "checksums": checksums,
+        "content_digests": content_digests,
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +11,15 @@ from pyspark.sql import types as T
 VERSION_KEY = "release_version"
 DESCRIPTION_KEY = "comment"
 
+#: Rows of one published file, which keeps files far below what ``checksums`` can hash.
+ROWS_PER_FILE = 1_000_000
+
 # Types that readers of the published files cannot be relied on to support.
 _FORBIDDEN = tuple(
     getattr(T, name)
-    for name in ("DateType", "TimeType", "TimestampNTZType", "VariantType")
+    for name in (
+        "DateType", "TimeType", "TimestampNTZType", "VariantType", "GeographyType", "GeometryType",
+    )
     if hasattr(T, name)
 )
 
@@ -38,13 +43,31 @@ class UnpublishableType(ValueError):
     """A column has a type that must be cast before publishing."""
 
 
+def _refused(name: str, kind: T.DataType) -> Iterator[tuple[str, str]]:
+    """Places of refused types within a column: its elements, fields, keys and values too."""
+    if isinstance(kind, T.ArrayType):
+        yield from _refused(f"{name}[]", kind.elementType)
+    elif isinstance(kind, T.MapType):
+        yield from _refused(f"{name}.key", kind.keyType)
+        yield from _refused(f"{name}.value", kind.valueType)
+    elif isinstance(kind, T.StructType):
+        for f in kind.fields:
+            yield from _refused(f"{name}.{f.name}", f.dataType)
+    elif isinstance(kind, _FORBIDDEN):
+        yield name, kind.simpleString()
+
+
+def refused_columns(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """The places of a schema that publishing refuses, with their types."""
+    found = [place for f in schema.fields for place in _refused(f.name, f.dataType)]
+    return spark.createDataFrame(found, "place string, type string")
+
+
 def check_publishable(schema: T.StructType) -> None:
-    for f in schema.fields:
-        kind = f.dataType
-        if isinstance(kind, _FORBIDDEN):
-            raise UnpublishableType(
-                f"column {f.name!r} is {kind.simpleString()}; cast it to string or timestamp"
-            )
+    found = [place for f in schema.fields for place in _refused(f.name, f.dataType)]
+    if found:
+        listed = ", ".join(f"{name!r} is {kind}" for name, kind in found)
+        raise UnpublishableType(f"column {listed}; cast to string or timestamp")
 
 
 def described(
@@ -92,7 +115,7 @@ def write_parquet(
     descriptions: Mapping[str, str] | None = None,
     version: str | None = None,
     files: int | None = None,
-    rows_per_file: int = 0,
+    rows_per_file: int = ROWS_PER_FILE,
     mode: str = "overwrite",
 ) -> None:
     """Zstandard Parquet, written by the executors in cluster order."""
@@ -168,6 +191,18 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def content_digest(df: DataFrame) -> DataFrame:
+    """Rows of a table and a digest of their contents that does not depend on order or files.
+
+    Each row is hashed as the SHA-256 of its columns as text, in order and divided by a tab, with
+    NULL as a backslash and N; the leading 60 bits of all rows are added up by exclusive or.
+    """
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns]
+    leading = F.substring(F.sha2(F.concat_ws("\t", *cells), 256), 1, 15)
+    number = F.conv(leading, 16, 10).cast("bigint")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(number).alias("digest"))
+
+
 def file_report(df: DataFrame) -> DataFrame:
     """Rows and bytes per data file of a file-based table, without reading columns."""
     return df.groupBy(

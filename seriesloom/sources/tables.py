@@ -19,6 +19,10 @@ VERSIONED = frozenset(
 )
 
 
+class MissingRelease(ValueError):
+    """The wanted release is in the table of releases but not in the data."""
+
+
 @dataclass(frozen=True)
 class Tables:
     """Resolves ``name`` (and a version) under a root folder of Parquet tables.
@@ -64,12 +68,15 @@ class Tables:
     def table(self, name: str, version: int | str | None = None) -> DataFrame:
         """``version``: a number, ``"current"`` for the newest, None for all of them.
 
-        Tables without version folders are returned as they are.
+        Tables without version folders are returned as they are.  A release without data is
+        an error, so that nothing good is overwritten with an empty table.
         """
         rows = self.all_versions(name)
         if version is None or name not in self.versioned:
             return rows
         wanted = self.newest(name) if version == "current" else int(version)
+        if wanted is None or rows.where(F.col(VERSION) == F.lit(wanted)).isEmpty():
+            raise MissingRelease(f"table {name!r} holds nothing of release {wanted}")
         return rows.where(F.col(VERSION) == F.lit(wanted)).drop(VERSION)
 
 
