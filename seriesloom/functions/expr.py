@@ -122,6 +122,16 @@ def all_equal(c: Column | str) -> Column:
 # Types whose minimum and maximum Spark keeps in a hash table.
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
+def distinct_looks(rows: DataFrame, columns: Sequence[str], *aggregates: Column) -> DataFrame:
+    """The distinct values of the columns, with aggregates of the rest.
+
+    The test of the count is always true; without it the optimizer merges this step with a
+    following aggregation that ignores repeated rows, which then sees all rows again.
+    """
+    counted = rows.groupBy(*columns).agg(*aggregates, F.count(F.lit(1)).alias("_looks"))
+    return counted.where(F.col("_looks") > 0).drop("_looks")
+
+
 #: name -> (aggregate, value), for ``folded``
 Values = Mapping[str, tuple[Callable[[Column], Column], Column | str]]
 
@@ -141,9 +151,8 @@ def folded(rows: DataFrame, key: str, values: Values) -> DataFrame:
         if aggregate in (any_of, F.min, F.max) and isinstance(plain.schema[name].dataType, _FIXED_WIDTH)
     ]
     others = [name for name in values if name not in direct]
-    looks = plain.groupBy(key, *others)
     first_step = [values[name][0](F.col(name)).alias(name) for name in direct]
-    looks = looks.agg(*first_step) if direct else plain.distinct()
+    looks = distinct_looks(plain, [key, *others], *first_step)
     return looks.groupBy(key).agg(
         *[aggregate(F.col(name)).alias(name) for name, (aggregate, _) in values.items()]
     )

@@ -10,6 +10,7 @@ from ..functions.expr import (
     code_pair,
     distinct_joined,
     distinct_sorted,
+    distinct_looks,
     first,
     items,
 )
@@ -137,8 +138,8 @@ def rtstruct_index(instances: DataFrame) -> DataFrame:
                 )
             ),
         )
-        .distinct()
     )
+    entries = distinct_looks(entries, entries.columns)
 
     def of(kind: str) -> Column:
         return F.when(F.col("kind") == kind, F.col("value"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import (
     any_of,
+    distinct_looks,
     first,
     folded,
     items,
@@ -138,8 +139,9 @@ def sm_index(
     )
     substances = F.flatten(F.array(*[_tagged(n, _preparation(k)) for n, k in concepts.items()]))
     preparation = (
-        slides.select(SERIES, F.inline(substances))
-        .distinct()
+        distinct_looks(
+            slides.select(SERIES, F.inline(substances)), [SERIES, "concept", "entry"]
+        )
         .groupBy(SERIES)
         .agg(
             *[
