@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import first
-from ..sources.publish import column_dictionary, write_parquet
+from ..sources.publish import ROWS_PER_FILE, column_dictionary, write_parquet
 from ..sources.tables import Tables
 from . import core, derived, geometry, modality, slide, versions
 
@@ -501,7 +501,7 @@ def publish(
     version: int | str | None = "current",
     stamp: str | None = None,
     files: int | None = None,
-    rows_per_file: int = 0,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> dict[str, str]:
     """Build and write indices and their dictionaries; returns the path of each index."""
     root = out.rstrip("/")

@@ -146,3 +146,22 @@ def test_scan_reads_declared_fields_only(spark, tmp_path):
     rows = tables.table("instances")
     assert rows.schema["KVP"].dataType.simpleString() == "double"
     assert rows.first().ImageType == [] and rows.first().SegmentSequence == []
+
+
+def test_release_without_data_is_an_error(spark, tmp_path):
+    from seriesloom.sources.tables import MissingRelease
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "idc_version int, SOPInstanceUID string")
+    write_versioned(rows, str(tmp_path / "instances"))
+    spark.createDataFrame([(1,), (2,), (3,)], "idc_version int").write.parquet(str(tmp_path / "versions"))
+    tables = Tables(spark, str(tmp_path))
+    assert tables.table("instances", 2).count() == 1
+    with pytest.raises(MissingRelease, match="release 3"):
+        tables.table("instances", "current")
+
+
+def test_refused_types_are_found_at_any_depth(spark):
+    schema = spark.sql("select array(date '2020-01-01') a, struct(1 as x, map('k', date '2020-01-01') as m) s, 1 n").schema
+    assert [tuple(r) for r in P.refused_columns(spark, schema).collect()] == [("a[]", "date"), ("s.m.value", "date")]
+    with pytest.raises(P.UnpublishableType, match="s.m.value"):
+        P.check_publishable(schema)
