@@ -113,7 +113,8 @@ def formatted(
         whole = rendered(turns, under_loss)
         found = _tokenizer(vocabulary).encode(whole.text, add_special_tokens=False)
         starts, ends = np.array(found.offsets, np.int64).reshape(-1, 2).T
-        kinds = (pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.bool_()))
+        numbers = pa.list_(pa.int32())
+        kinds = (pa.int64(), pa.string(), numbers, numbers, numbers, pa.list_(pa.bool_()))
         values = (conv, whole.text, found.ids, starts.tolist(), ends.tolist(), masked(starts, ends, whole.spans).tolist())
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], list(_NAMES))
 

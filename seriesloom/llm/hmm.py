@@ -149,7 +149,8 @@ def encoded(docs: DataFrame, lex: Lexicon) -> DataFrame:
                         times,
                     )
                 )
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            numbers = pa.list_(pa.int64())
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), numbers, numbers]
             columns = [pa.array(list(c), kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
             names = ["doc", "held_out", "n_tokens", "known", "base", "share", "classes", "rare", "times"]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names)

@@ -77,7 +77,8 @@ def scanned(
     words = F.split(_normalised(F.col("unit")), " ")
     counted = lines.select("doc", "line", words.alias("words")).where(F.size("words") > max(1, min(sizes, default=0)))
     pairs = F.transform(
-        F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1))
+        F.sequence(F.lit(1), F.size("words") - 1),
+        lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1)),
     )
     sized = counted.select("doc", "line", F.array_distinct(pairs).alias("own")).withColumn("size", F.size("own"))
     joined = sized.join(F.broadcast(table), "size")

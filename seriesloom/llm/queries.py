@@ -90,7 +90,8 @@ def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
 def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     text = F.lit("</s>[INST] ok [/INST]").alias("text")
-    turns = F.explode(F.array(*[F.struct(F.lit(i).alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))]))
+    both = [F.struct(F.lit(i).alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))]
+    turns = F.explode(F.array(*both))
     added = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), turns.alias("t"), text)
     added = added.select("conv_id", F.col("t.turn").cast("long").alias("turn"), "t.role", "text")
     out = chat.formatted(rows.union(added), vocabulary=vocabulary("byte_bpe_50k.json"))
@@ -122,4 +123,15 @@ def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_pack": op1_pack, "op2_substring": op2_substring, "op3_sharding": op3_sharding, "op4_decontamination": op4_decontamination, "op5_tokenfile": op5_tokenfile, "op6_hmm": op6_hmm, "op7_licences": op7_licences, "op9_chat": op9_chat, "op8_neardup": op8_neardup, "op10_quality": op10_quality}
+    return {
+        "op1_pack": op1_pack,
+        "op2_substring": op2_substring,
+        "op3_sharding": op3_sharding,
+        "op4_decontamination": op4_decontamination,
+        "op5_tokenfile": op5_tokenfile,
+        "op6_hmm": op6_hmm,
+        "op7_licences": op7_licences,
+        "op8_neardup": op8_neardup,
+        "op9_chat": op9_chat,
+        "op10_quality": op10_quality,
+    }

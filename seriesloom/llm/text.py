@@ -131,11 +131,5 @@ def gram_starts(first: np.ndarray, size: int) -> np.ndarray:
 
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """starts[0], starts[0] + 1, ... counts[0] of them, then those of starts[1], and so on."""
-    total = int(counts.sum())
-    shift = np.repeat(starts - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) if len(counts) else np.zeros(0, np.int64)
-    return np.arange(total) + shift
-
-
-def owner(first: np.ndarray) -> np.ndarray:
-    """The text of each word."""
-    return np.repeat(np.arange(len(first) - 1), np.diff(first))
+    before = np.cumsum(counts) - counts
+    return np.arange(int(counts.sum())) + np.repeat(starts - before, counts)
