@@ -7,8 +7,10 @@ union are the larger ones of each place, and equal registers become more likely
 1. Sketch every document. Documents of equal sets are one node, the smallest id among them.
 2. Bands of registers put nodes into buckets. No pairs are listed within a bucket: first each node is
    checked against one leader, the smallest node it meets. Then nodes are checked against the first and
-   the last node of their buckets, where they are not connected yet. What is left are buckets with nodes of different
-   components, and only pairs across components are checked there. So every pair that shares a bucket
+   the last node of their buckets, where they are not connected yet. What is left are buckets with
+   nodes of different components. Components with close sketches there form a family, and the nodes
+   of a family are compared exactly across components, in cells of bounded size that give back at
+   most one link for two components. So every pair that shares a bucket
    is linked, connected otherwise, or checked, whatever the size of the bucket.
 3. A pair is checked by the size bound, by the likelihood of both sketches (dropped six standard errors
    below the threshold) and then exactly, on the shingle sets of both whole texts.
@@ -23,7 +25,7 @@ input are not used.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,8 @@ from .shared import mapped, stored
 
 BANDS, ROWS = 48, 6
 REGISTERS = BANDS * ROWS
+#: Nodes that are compared at once with as many others: by sketches in a bucket, by sets in a family.
+BLOCK, FAMILY_BLOCK = 2000, 400
 #: Scale of the hash values and base of the registers; with these a register fits a byte.
 RATE, BASE = 20.0, 1.12
 
@@ -163,6 +167,119 @@ def _checked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, pe
     return stored(mapped(read.select("a", "b", "t_a", "t_b"), exact, "a long, b long"))
 
 
+class _Groups:
+    """Union-find over the component numbers of a cell."""
+
+    def __init__(self, labels: np.ndarray):
+        self.of, self.index = np.unique(labels, return_inverse=True)
+        self.links: list[tuple[int, int]] = []
+
+    def join(self, one: int, others: np.ndarray) -> None:
+        """Link the group of row ``one`` with those of the rows ``others``."""
+        root = self.index[one]
+        for other in np.unique(self.index[others]).tolist():
+            if other != root:
+                self.links.append((int(self.of[root]), int(self.of[other])))
+                self.index[self.index == other] = root
+
+    def batch(self) -> pa.RecordBatch:
+        a, b = zip(*self.links, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _cells(rows: DataFrame, key: str, block: int) -> DataFrame:
+    """Deal the rows of each key into blocks of about ``block`` rows, and let each two blocks meet
+    in one cell ``(key, i, j)``, so that a cell is bounded whatever the size of its key."""
+    counted = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = rows.join(counted, key).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(
+        F.col(key).alias("key"), F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
+        "block", "node", "component",
+    )
+
+
+def _by_cell(cells: DataFrame, value: str, compare: Callable[[pa.Table], _Groups]) -> DataFrame:
+    """Links ``a, b`` between components that ``compare`` finds in each cell, a forest per cell."""
+
+    def links(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        found = compare(cell)
+        if found.links:
+            yield found.batch()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            rows = pa.Table.from_batches(held)
+            keys = np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
+            cuts = (np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1).tolist()
+            for a, b in zip([0, *cuts[:-1]], cuts, strict=True):
+                yield from links(rows.slice(a, b - a))
+            held = rows.slice(cuts[-1] if cuts else 0).to_batches()
+        if held and sum(b.num_rows for b in held):
+            yield from links(pa.Table.from_batches(held))
+
+    dealt = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return mapped(dealt.select("key", "i", "j", "block", "node", "component", "n", value), run, "a long, b long")
+
+
+def _sides(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    block, i, j = cell.column("block").to_numpy(), cell.column("i")[0].as_py(), cell.column("j")[0].as_py()
+    return np.flatnonzero(block == i), np.flatnonzero(block == j)
+
+
+def _families(state: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links between components that share a band and have nodes with close sketches."""
+    limit = percent / 100
+    least = limit - 6 * np.sqrt(limit * (1 - limit) / REGISTERS)
+
+    def close(cell: pa.Table) -> _Groups:
+        groups, size = _Groups(cell.column("component").to_numpy()), cell.column("n").to_numpy()
+        regs = _matrix(cell.column("regs").combine_chunks())
+        left, right = _sides(cell)
+        for at in left.tolist():
+            others = right[groups.index[right] != groups.index[at]]
+            others = others[(regs[others] == regs[at]).mean(axis=1) >= least]
+            if len(others):
+                mine = np.broadcast_to(regs[at], (len(others), REGISTERS))
+                guess = estimated(mine, regs[others], np.full(len(others), size[at]), size[others])
+                groups.join(at, others[guess >= least])
+        return groups
+
+    return _by_cell(_cells(state, "band", BLOCK).join(nodes, "node"), "regs", close)
+
+
+def _exact_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between the components of a family, by comparing all their nodes exactly."""
+
+    def alike(cell: pa.Table) -> _Groups:
+        groups, count = _Groups(cell.column("component").to_numpy()), cell.column("n").to_numpy()
+        sets = list(shingle_sets(cell.column("text").combine_chunks(), size))
+        _, ids, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        # a bit for each shingle that several of the sets have
+        place = np.where(times > 1, np.cumsum(times > 1) - 1, -1)
+        width = -(-max(int((times > 1).sum()), 1) // 64) * 64
+        bits = np.zeros((len(sets), width // 64), np.uint64)
+        ends = np.cumsum([len(s) for s in sets])
+        for row, (a, b) in enumerate(zip(ends - [len(s) for s in sets], ends, strict=True)):
+            flags = np.zeros(width, bool)
+            own = place[ids[a:b]]
+            flags[own[own >= 0]] = True
+            bits[row] = np.packbits(flags).view(np.uint64)
+        left, right = _sides(cell)
+        for at in left.tolist():
+            others = right[groups.index[right] != groups.index[at]]
+            others = others[100 * np.minimum(count[others], count[at]) >= percent * np.maximum(count[others], count[at])]
+            common = np.bitwise_count(bits[others] & bits[at]).sum(axis=1, dtype=np.int64)
+            groups.join(at, others[100 * common >= percent * (count[others] + count[at] - common)])
+        return groups
+
+    cells = _cells(members, "family", FAMILY_BLOCK)
+    rows = cells.join(nodes.select("node", "n"), "node").join(texts, "node")
+    return stored(_by_cell(rows, "text", alike))
+
+
 def near_duplicates(
     docs: DataFrame, *, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -199,19 +316,16 @@ def near_duplicates(
     tries = tries.where("a <> b").distinct().join(of_node, "b").where("component <> of_b")
     tries = stored(tries.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     links = links.union(_checked(tries.join(first, ["a", "b"], "left_anti"), nodes, texts, size, percent))
-    # pairs across the components that still share a bucket
+    # components that still share a bucket, and families of those with close sketches
     state = stored(labelled(links))
     mixed = state.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    state = stored(state.join(mixed, "band", "left_semi").select("band", "node", "component"))
-    groups = state.select("band", "component").distinct()
-    across = groups.join(groups.withColumnRenamed("component", "other"), "band").where("component < other")
-    across = across.join(state.withColumnRenamed("node", "a"), ["band", "component"])
-    across = across.join(
-        state.select("band", F.col("component").alias("other"), F.col("node").alias("b")), ["band", "other"]
+    shared = state.join(mixed, "band", "left_semi").select("band", "node", "component")
+    families = components(_families(shared, nodes, percent)).select(
+        F.col("node").alias("component"), F.col("component").alias("family")
     )
-    across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    across = stored(across.join(first.union(tries), ["a", "b"], "left_anti"))
-    links = links.union(_checked(across, nodes, texts, size, percent))
+    family = state.select("node", "component").distinct().join(families, "component")
+    # a node of a component stands for it, being its smallest
+    links = links.union(_exact_links(family, nodes, texts, size, percent))
     found = components(links)
     classes = equal.join(found, "node", "left").select(
         "f1", "f2", "n", F.coalesce("component", "node").alias("component")

@@ -51,7 +51,9 @@ def corpus(rng):
     return texts
 
 
-def test_against_brute_force(spark):
+def test_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    monkeypatch.setattr(neardup, "FAMILY_BLOCK", 2)
     texts = corpus(random.Random(5))
     docs = documents(spark, texts).withColumnRenamed("source", "node").repartition(3)
     for size in (2, 5):
