@@ -8,7 +8,7 @@ starts in a document of a smaller id. Everything is judged on the input.
    over all documents, and the repeated ones are joined back.
 2. Consecutive windows of one anchor form a segment, and segments of an anchor form the shard in which
    all equal windows meet. An anchor of more than ``HOT`` documents is split: each of its windows is a segment
-   of its own, sharded by its full hash. Equal segments are merged, with their smallest id, before they move.
+   of its own, sharded by its full hash. Equal segments are merged by hash before their words move.
 3. Shards are packed into FM-indices (word ids, Burrows-Wheeler transform in a wavelet matrix).
    Segments stream through by backward search; the interval of each window of full length gives the
    smallest document that has it.
@@ -44,7 +44,7 @@ BLOCK_BYTES = 3 << 20
 
 
 def _run(window: int) -> int:
-    return max(1, min(8, window * 2 // 5))
+    return max(1, min(8, window // 3))
 
 
 def _anchors(hashes: np.ndarray, window: int) -> np.ndarray:
@@ -103,13 +103,14 @@ def _canonical(text: X.Bytes, w: X.Words) -> tuple[bytes, np.ndarray, np.ndarray
 
 
 def _segments(docs: DataFrame, hits: DataFrame, window: int) -> DataFrame:
-    """``doc, start, shard, same, words``: segments at word ``start``; ``same`` identifies the words in a shard."""
+    """``doc, place, shard, same``: where segments lie, and what identifies their words in a shard.
+
+    ``place`` is the first word, the number of words and whether the anchor is hot, in one number.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in X.slices(batches):
-            text = X.column_bytes(batch.column(1))
-            w = X.words(text)
-            joined, begin, end = _canonical(text, w)
+            w = X.words(X.column_bytes(batch.column(1)))
             anchors = _anchors(w.hashes, window)
             starts, stops, keys, hots, rows = [], [], [], [], []
             for row, wanted in enumerate(batch.column(2)):
@@ -134,22 +135,43 @@ def _segments(docs: DataFrame, hits: DataFrame, window: int) -> DataFrame:
                 rows.append(np.full(len(first), row))
             if not starts:
                 continue
-            start, stop, row = np.concatenate(starts), np.concatenate(stops), np.concatenate(rows)
+            start, stop, row, hot = map(np.concatenate, (starts, stops, rows, hots))
             same = _sequence_hashes(w.hashes, start, stop)
-            shard = np.where(
-                np.concatenate(hots), -1 - (X.mixed(same, 6) >> np.uint64(16)).astype(np.int64), np.concatenate(keys)
-            )
+            shard = np.where(hot, _hot_shard(same), np.concatenate(keys))
+            place = (start - w.first[row]) << 32 | (stop - start) << 1 | hot
+            columns = [batch.column(0).take(pa.array(row)), pa.array(place), pa.array(shard), pa.array(same.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "place", "shard", "same"])
+
+    rows = docs.join(hits, "doc").select("doc", "text", "anchors")
+    return mapped(rows, run, "doc long, place long, shard long, same long")
+
+
+def _hot_shard(same: np.ndarray) -> np.ndarray:
+    return -1 - (X.mixed(same, 6) >> np.uint64(16)).astype(np.int64)
+
+
+def _spelled(docs: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
+    """``shard, same, words, doc`` of the places that ``chosen`` lists by document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in X.slices(batches):
+            text = X.column_bytes(batch.column(1))
+            w = X.words(text)
+            joined, begin, end = _canonical(text, w)
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column(2)).to_numpy())
+            place = batch.column(2).flatten().to_numpy()
+            start = (place >> 32) + w.first[row]
+            stop = start + ((place & 0xFFFFFFFF) >> 1)
+            same = _sequence_hashes(w.hashes, start, stop)
+            shard = np.where(place & 1 == 1, _hot_shard(same), _anchors(w.hashes, window)[start])
             pieces = [joined[a:b] for a, b in zip(begin[start].tolist(), end[stop - 1].tolist(), strict=True)]
+            columns = [pa.array(shard), pa.array(same.view(np.int64)), pa.array(pieces, pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(row)), pa.array(start - w.first[row]), pa.array(shard),
-                    pa.array(same.view(np.int64)), pa.array(pieces, pa.binary()),
-                ],
-                ["doc", "start", "shard", "same", "words"],
-            )
+                [*columns, batch.column(0).take(pa.array(row))], ["shard", "same", "words", "doc"]
+            )
 
-    rows = docs.join(hits, "doc").select("doc", "text", "anchors")
-    return mapped(rows, run, "doc long, start long, shard long, same long, words binary")
+    rows = docs.join(chosen, "doc").select("doc", "text", "places")
+    return mapped(rows, run, "shard long, same long, words binary, doc long")
 
 
 def _first_documents(merged: DataFrame, window: int) -> DataFrame:
@@ -222,10 +244,12 @@ def repeated_spans(docs: DataFrame, *, window: int, key: str = "doc_id", text: s
     tagged = shared.select("anchor", (F.col("anchor") * 2 + (F.col("docs") > HOT).cast("long")).alias("tag"))
     hits = anchors.join(tagged, "anchor").groupBy("doc").agg(F.collect_list("tag").alias("anchors"))
     segments = _segments(named, hits, window)
-    merged = segments.groupBy("shard", "same", "words").agg(F.min("doc").alias("doc"))
-    firsts = _first_documents(merged, window)
-    places = segments.select("doc", "start", "shard", "same").join(firsts, ["shard", "same"]).where("least < doc")
-    return _removed_runs(places, window)
+    # equal segments are one, in their first document; only its words are shuffled
+    merged = segments.groupBy("shard", "same").agg(F.min(F.struct("doc", "place")).alias("least"))
+    chosen = merged.groupBy(F.col("least.doc").alias("doc")).agg(F.collect_list("least.place").alias("places"))
+    firsts = _first_documents(_spelled(named, chosen, window), window)
+    places = segments.join(firsts, ["shard", "same"]).where("least < doc")
+    return _removed_runs(places.withColumn("start", F.shiftright("place", 32)), window)
 
 
 def without_repeats(
