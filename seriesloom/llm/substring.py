@@ -70,14 +70,17 @@ def _sequence_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) ->
 
 
 def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
+    """``doc, body`` of the documents with an id. One form for all joins, which makes Spark shuffle
+    the texts once: a join that drops null ids by itself would be another exchange than one that does not."""
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("body"))
+    return rows.where("doc is not null")
 
 
 def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
     """``anchor, doc``, once per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, "body"):
             w = X.words(X.column_bytes(batch.column(1)))
             found = _anchors(w.hashes, window)
             parts = [
@@ -89,7 +92,7 @@ def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
                 [pa.array(np.concatenate(parts)), batch.column(0).take(pa.array(docs_of))], ["anchor", "doc"]
             )
 
-    return mapped(docs.where("doc is not null"), run, "anchor long, doc long")
+    return mapped(docs, run, "anchor long, doc long")
 
 
 def _canonical(text: X.Bytes, w: X.Words) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -109,7 +112,7 @@ def _segments(docs: DataFrame, hits: DataFrame, window: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, "body"):
             w = X.words(X.column_bytes(batch.column(1)))
             anchors = _anchors(w.hashes, window)
             starts, stops, keys, hots, rows = [], [], [], [], []
@@ -142,7 +145,7 @@ def _segments(docs: DataFrame, hits: DataFrame, window: int) -> DataFrame:
             columns = [batch.column(0).take(pa.array(row)), pa.array(place), pa.array(shard), pa.array(same.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["doc", "place", "shard", "same"])
 
-    rows = docs.join(hits, "doc").select("doc", "text", "anchors")
+    rows = docs.join(hits, "doc").select("doc", "body", "anchors")
     return mapped(rows, run, "doc long, place long, shard long, same long")
 
 
@@ -154,7 +157,7 @@ def _spelled(docs: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
     """``shard, same, words, doc`` of the places that ``chosen`` lists by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, "body"):
             text = X.column_bytes(batch.column(1))
             w = X.words(text)
             joined, begin, end = _canonical(text, w)
@@ -170,7 +173,7 @@ def _spelled(docs: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
                 [*columns, batch.column(0).take(pa.array(row))], ["shard", "same", "words", "doc"]
             )
 
-    rows = docs.join(chosen, "doc").select("doc", "text", "places")
+    rows = docs.join(chosen, "doc").select("doc", "body", "places")
     return mapped(rows, run, "shard long, same long, words binary, doc long")
 
 
@@ -261,19 +264,22 @@ def without_repeats(
     """
     carry = docs.columns if carry is None else carry
     spans = repeated_spans(docs, window=window, key=key, text=text)
-    # the same two columns as in the search, so that the shuffled texts are used twice
-    named = _named(docs, key, text)
     if carry == [key]:
-        joined = named.join(spans, "doc", "left").select(F.col("doc").alias(key), "text", "spans")
+        joined = _named(docs, key, text).join(spans, "doc", "left").select(F.col("doc").alias(key), "body", "spans")
+        without_id = docs.where(F.col(f"`{key}`").isNull()).select(
+            F.lit(None).cast("long").alias(key), F.col(f"`{text}`").alias("body"),
+            F.lit(None).cast("array<struct<from:bigint,to:bigint>>").alias("spans"),
+        )
+        joined = joined.union(without_id)
     else:
         # names of our own, whatever the columns are called
         plain = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(carry)]
-        docs_ = docs.select(*plain, F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
-        joined = docs_.join(spans, "doc", "left").select(*[f"_{i}" for i in range(len(carry))], "text", "spans")
+        docs_ = docs.select(*plain, F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("body"))
+        joined = docs_.join(spans, "doc", "left").select(*[f"_{i}" for i in range(len(carry))], "body", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text_at = len(carry)
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, "body"):
             bytes_ = X.column_bytes(batch.column(text_at))
             w = X.words(bytes_)
             gone = np.zeros(len(w.hashes) + 1, np.int64)

@@ -93,4 +93,22 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     docs = docs.union(docs).union(docs.selectExpr("cast(null as long)", "text", "lang", "source", "n_chars"))
     rows = sorted((str(r.doc_id), r["_n_removed"]) for r in substring.without_repeats(docs, window=13).collect())
     assert rows == sorted([("0", 0), ("1", 0), ("2", 20)] * 2 + [("None", 0)] * 3)
+    narrow = substring.without_repeats(docs, window=13, carry=["doc_id"])
+    assert sorted((str(r.doc_id), r["_n_removed"]) for r in narrow.collect()) == rows
     assert substring.without_repeats(docs.limit(0), window=13).count() == 0
+
+
+def test_texts_are_shuffled_once(spark, tmp_path):
+    documents(spark, corpus(random.Random(1))[:40]).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = substring.without_repeats(docs, window=13, carry=["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.split("\n")
+    shuffled = [
+        line for i, line in enumerate(lines)
+        if "- Exchange hashpartitioning(doc#" in line and "AS body#" in lines[i + 1]
+    ]
+    assert len(shuffled) == 1
