@@ -214,7 +214,7 @@ def _by_cell(cells: DataFrame, value: str, compare: Callable[[pa.Table], _Groups
             rows = pa.Table.from_batches(held)
             keys = np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
             cuts = (np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1).tolist()
-            for a, b in zip([0, *cuts[:-1]], cuts, strict=True):
+            for a, b in zip([0, *cuts], cuts, strict=False):
                 yield from links(rows.slice(a, b - a))
             held = rows.slice(cuts[-1] if cuts else 0).to_batches()
         if held and sum(b.num_rows for b in held):

@@ -56,9 +56,12 @@ def test_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(neardup, "FAMILY_BLOCK", 2)
     texts = corpus(random.Random(5))
     docs = documents(spark, texts).withColumnRenamed("source", "node").repartition(3)
+    # cells that span Arrow batches
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
     for size in (2, 5):
         got = {r.doc: (r.n_shingles, r.component, r.kept) for r in neardup.near_duplicates(docs, size=size).collect()}
         assert got == expected(texts, size)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_sketches_merge_and_estimate():
