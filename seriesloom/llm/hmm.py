@@ -36,8 +36,8 @@ COMMON, BUCKETS, STATES = 60_000, 1024, 8
 FOLDS, WARM, SMOOTHING = 16, 6, 100.0
 #: Tokens whose forward values are kept at once while counts are collected.
 GROUP_TOKENS = 1 << 20
-#: Distinct words that a task counts before it hands them on.
-HELD_WORDS = 500_000
+#: Words, distinct in each slice, that a task holds before it hands on their counts.
+HELD_WORDS = 1_000_000
 
 
 def is_held_out(key: Column) -> Column:
@@ -84,16 +84,21 @@ class Model(NamedTuple):
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word, n`` over all texts, words as signed hashes."""
 
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        words, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([p[1] for p in parts]), len(words))
+        return _rows(word=words.view(np.int64), n=counts.astype(np.int64))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        parts = []
         for batch in X.slices(batches):
-            found, n = np.unique(X.words(X.lowered(X.column_bytes(batch.column(0)))).hashes, return_counts=True)
-            words, back = np.unique(np.concatenate((words, found)), return_inverse=True)
-            counts = np.bincount(back, np.concatenate((counts, n)), len(words)).astype(np.int64)
-            if len(words) >= HELD_WORDS:
-                yield _rows(word=words.view(np.int64), n=counts)
-                words, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-        yield _rows(word=words.view(np.int64), n=counts)
+            hashes = X.words(X.lowered(X.column_bytes(batch.column(0)))).hashes
+            parts.append(np.unique(hashes, return_counts=True))
+            if sum(len(words) for words, _ in parts) >= HELD_WORDS:
+                yield merged(parts)
+                parts = []
+        if parts:
+            yield merged(parts)
 
     return mapped(docs.select("text"), run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes handled at a time; a longer document is handled alone and whole.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -15,7 +15,7 @@ import re
 import numpy as np
 
 #: Distinct text parts whose ids a worker keeps.
-CACHE = 900_000
+CACHE = 800_000
 
 # White space of the vocabulary's pattern, listed because Python's own class is wider.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
