@@ -142,19 +142,24 @@ def _segments(docs: DataFrame, hits: DataFrame, window: int) -> DataFrame:
             same = _sequence_hashes(w.hashes, start, stop)
             shard = np.where(hot, _hot_shard(same), np.concatenate(keys))
             place = (start - w.first[row]) << 32 | (stop - start) << 1 | hot
-            columns = [batch.column(0).take(pa.array(row)), pa.array(place), pa.array(shard), pa.array(same.view(np.int64))]
+            columns = [batch.column(0).take(pa.array(row)), pa.array(place), pa.array(shard), pa.array(_in_shard(same))]
             yield pa.RecordBatch.from_arrays(columns, ["doc", "place", "shard", "same"])
 
     rows = docs.join(hits, "doc").select("doc", "body", "anchors")
     return mapped(rows, run, "doc long, place long, shard long, same long")
 
 
+def _in_shard(same: np.ndarray) -> np.ndarray:
+    """What tells the segments of one shard apart: 48 bits of the hash, beside the shard's own 48."""
+    return (same & np.uint64((1 << 48) - 1)).astype(np.int64)
+
+
 def _hot_shard(same: np.ndarray) -> np.ndarray:
     return -1 - (X.mixed(same, 6) >> np.uint64(16)).astype(np.int64)
 
 
 def _spelled(docs: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
-    """``shard, same, words, doc`` of the places that ``chosen`` lists by document."""
+    """``shard, same, words, doc, several`` of the places that ``chosen`` lists by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in X.slices(batches, "body"):
@@ -162,19 +167,21 @@ def _spelled(docs: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
             w = X.words(text)
             joined, begin, end = _canonical(text, w)
             row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column(2)).to_numpy())
-            place = batch.column(2).flatten().to_numpy()
+            listed = batch.column(2).flatten().to_numpy()
+            place, several = listed >> 1, listed & 1 == 1
             start = (place >> 32) + w.first[row]
             stop = start + ((place & 0xFFFFFFFF) >> 1)
             same = _sequence_hashes(w.hashes, start, stop)
             shard = np.where(place & 1 == 1, _hot_shard(same), _anchors(w.hashes, window)[start])
             pieces = [joined[a:b] for a, b in zip(begin[start].tolist(), end[stop - 1].tolist(), strict=True)]
-            columns = [pa.array(shard), pa.array(same.view(np.int64)), pa.array(pieces, pa.binary())]
+            columns = [pa.array(shard), pa.array(_in_shard(same)), pa.array(pieces, pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [*columns, batch.column(0).take(pa.array(row))], ["shard", "same", "words", "doc"]
+                [*columns, batch.column(0).take(pa.array(row)), pa.array(several)],
+                ["shard", "same", "words", "doc", "several"],
             )
 
     rows = docs.join(chosen, "doc").select("doc", "body", "places")
-    return mapped(rows, run, "shard long, same long, words binary, doc long")
+    return mapped(rows, run, "shard long, same long, words binary, doc long, several boolean")
 
 
 def _first_documents(merged: DataFrame, window: int) -> DataFrame:
@@ -183,17 +190,19 @@ def _first_documents(merged: DataFrame, window: int) -> DataFrame:
     def searched(rows: pa.Table) -> pa.RecordBatch:
         w = X.words(X.column_bytes(rows.column("words").cast(pa.string())))
         index = WindowIndex(w.hashes, w.first, window)
-        values, begin = index.least(rows.column("doc").to_numpy())
+        first = rows.column("doc").to_numpy()
+        values, begin = index.least(first)
         data = values.astype("<i8").tobytes()
         cuts = (begin * 8).tolist()
-        return pa.RecordBatch.from_arrays(
-            [
-                rows.column("shard").combine_chunks(), rows.column("same").combine_chunks(),
-                pa.array(np.minimum.reduceat(values, begin[:-1])),
-                pa.array([data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-            ],
-            ["shard", "same", "least", "firsts"],
-        )
+        least = np.minimum.reduceat(values, begin[:-1])
+        columns = [
+            rows.column("shard").combine_chunks(), rows.column("same").combine_chunks(), pa.array(least),
+            pa.array([data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+        ]
+        out = pa.RecordBatch.from_arrays(columns, ["shard", "same", "least", "firsts"])
+        # a segment with a single place matters only where an earlier document has one of its windows
+        several = rows.column("several").to_numpy(zero_copy_only=False)
+        return out.filter(pa.array(several | (least < first)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -212,7 +221,7 @@ def _first_documents(merged: DataFrame, window: int) -> DataFrame:
 
     dealt = merged.repartition("shard").sortWithinPartitions("shard")
     return mapped(
-        dealt.select("shard", "same", "words", "doc"), run, "shard long, same long, least long, firsts binary"
+        dealt.select("shard", "same", "words", "doc", "several"), run, "shard long, same long, least long, firsts binary"
     )
 
 
@@ -248,8 +257,11 @@ def repeated_spans(docs: DataFrame, *, window: int, key: str = "doc_id", text: s
     hits = anchors.join(tagged, "anchor").groupBy("doc").agg(F.collect_list("tag").alias("anchors"))
     segments = _segments(named, hits, window)
     # equal segments are one, in their first document; only its words are shuffled
-    merged = segments.groupBy("shard", "same").agg(F.min(F.struct("doc", "place")).alias("least"))
-    chosen = merged.groupBy(F.col("least.doc").alias("doc")).agg(F.collect_list("least.place").alias("places"))
+    merged = segments.groupBy("shard", "same").agg(
+        F.min(F.struct("doc", "place")).alias("least"), F.count(F.lit(1)).alias("n")
+    )
+    listed = F.shiftleft("least.place", 1) + (F.col("n") > 1).cast("long")
+    chosen = merged.groupBy(F.col("least.doc").alias("doc")).agg(F.collect_list(listed).alias("places"))
     firsts = _first_documents(_spelled(named, chosen, window), window)
     places = segments.join(firsts, ["shard", "same"]).where("least < doc")
     return _removed_runs(places.withColumn("start", F.shiftright("place", 32)), window)
