@@ -1,16 +1,16 @@
 """A hidden Markov language model: Baum-Welch over partitions, exact scores by the scaled forward recursion.
 
 Tokens are the words of a text, A-Z in lower case, and an end. Training counts cover all training
-documents. The COMMON most frequent words are classes of their own; other words fall into BUCKETS classes
-by hash, so a model has a fixed size and may be sent to executors. A token's probability in a state is that
-of its class, times the token's share of its class: (c + 1) over the bucket's sum of (c + 1), with
-one more place in every bucket for words never seen. For every state the probabilities of all tokens add up to 1. The
-share is the same in all states, so it is added to the score after the recursion, through a join of
-the rarer words with the counts: the count table itself never leaves the executors.
+documents, and every training word has an emission of its own in every state. The COMMON most frequent words are
+classes of a table that is sent to executors; all rarer words live in a stored table by word. Documents are kept in blocks
+of BLOCK_TOKENS; in every step and in scoring a block's distinct rarer words are joined with that table, and the two
+meet by block. The rarer words of a hash bucket add up to one of BUCKETS classes, with one more place in every bucket for
+words never seen: for every state the probabilities of all tokens add up to 1. Neither the vocabulary nor the
+rarer words' emissions ever pass through the driver.
 
 Training: WARM steps of Baum-Welch on disjoint folds of the training documents, then one on all of
-them. A task adds up expected counts over its documents; Spark sums them by class; the driver gets one row per class
-and state, a bounded number. Emissions are smoothed towards the base model with weight SMOOTHING.
+them. A block adds up expected counts over its documents; Spark sums them by class and by word; the driver gets one row
+per class and state, a bounded number. Emissions are smoothed towards the base model with weight SMOOTHING.
 
 Documents of a batch are stepped through together, sorted by length, in whole length.
 
@@ -26,16 +26,19 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as X
-from .shared import mapped, stored
+from .shared import mapped, ship, stored
 
 COMMON, BUCKETS, STATES = 60_000, 1024, 8
 FOLDS, WARM, SMOOTHING = 16, 6, 100.0
 #: Tokens whose forward values are kept at once while counts are collected.
 GROUP_TOKENS = 1 << 20
+#: Tokens of a block of documents, or one longer document.
+BLOCK_TOKENS = 1 << 21
 #: Words, distinct in each slice, that a task holds before it hands on their counts.
 HELD_WORDS = 1_000_000
 
@@ -78,7 +81,9 @@ class Lexicon(NamedTuple):
 class Model(NamedTuple):
     start: np.ndarray
     move: np.ndarray
-    emit: np.ndarray  # class, state
+    emit: np.ndarray  # class, state; a bucket's is the sum over its words
+    totals: np.ndarray | None = None  # expected tokens by state; none before the first step
+    words: DataFrame | None = None  # expected counts of rarer words by state, where a step found any
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -130,43 +135,74 @@ def lexicon(counts: DataFrame, ends: int) -> Lexicon:
 
 
 def encoded(docs: DataFrame, lex: Lexicon) -> DataFrame:
-    """Rows with class numbers of the tokens and what the base score needs of common and rarer words."""
+    """Rows in blocks: class numbers of the tokens, places of rarer words among the block's, and the base score of common ones.
+
+    The first row of a block has its distinct rarer words as ``own``, and in ``folds`` a bit for each fold of training
+    documents that has the word.
+    """
+
+    def block(held: list[tuple]) -> pa.RecordBatch:
+        hashes = np.concatenate([row[-1] for row in held])
+        own, place = np.unique(hashes, return_inverse=True)
+        folds = np.zeros(len(own), np.int32)
+        sizes = [len(row[-1]) for row in held]
+        bits = [0 if row[2] else 1 << row[3] for row in held]
+        np.bitwise_or.at(folds, place, np.repeat(np.array(bits, np.int32), sizes))
+        cuts = np.cumsum(sizes)[:-1]
+        which = [part.astype("<u4").tobytes() for part in np.split(place, cuts)]
+        rest = [None] * (len(held) - 1)
+        columns = [*[list(c) for c in zip(*(row[:-1] for row in held), strict=True)], which]
+        columns += [[held[0][0]] * len(held), [own.view(np.int64), *rest], [folds, *rest]]
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs = np.log10(lex.weights)
         total = np.log10(lex.base_total())
         end_known = lex.weights[-1] > 1
+        held, tokens = [], 0
         for batch in X.slices(batches):
             w = X.words(X.lowered(X.column_bytes(batch.column(2))))
             classes, common = lex.classify(w.hashes)
-            rows = []
-            for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
+            about = [batch.column(i).to_pylist() for i in (4, 0, 1, 3)]
+            for a, b, *row in zip(w.first[:-1].tolist(), w.first[1:].tolist(), *about, strict=True):
                 own, known = classes[a:b], common[a:b]
-                rare, times = np.unique(w.hashes[a:b][~known], return_counts=True)
-                rows.append(
+                held.append(
                     (
+                        *row,
                         b - a + 1,
                         int(known.sum()) + int(end_known),
                         float(logs[own[known]].sum() + logs[-1] - (b - a + 1) * total),
-                        float(-logs[own[~known]].sum()),
                         np.append(own, lex.classes - 1).astype("<u2").tobytes(),
-                        rare.view(np.int64),
-                        times,
+                        w.hashes[a:b][~known],
                     )
                 )
-            numbers = pa.list_(pa.int64())
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), numbers, numbers]
-            columns = [pa.array(list(c), kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
-            names = ["doc", "held_out", "n_tokens", "known", "base", "share", "classes", "rare", "times"]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names)
-
+                tokens += b - a + 1
+                if tokens >= BLOCK_TOKENS:
+                    yield block(held)
+                    held, tokens = [], 0
+        if held:
+            yield block(held)
+
+    names = ["number", "doc", "held_out", "fold", "n_tokens", "known", "base", "classes", "which", "block", "own", "folds"]
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.binary()]
+    kinds += [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    numbered = docs.select("doc", "held_out", "text", F.monotonically_increasing_id().alias("number"))
+    fold = F.pmod(F.xxhash64("doc", "number"), F.lit(FOLDS)).cast("int").alias("fold")
     return mapped(
-        docs.select("doc", "held_out", "text"), run,
-        "doc long, held_out boolean, n_tokens long, known long, base double, share double, classes binary, "
-        "rare array<long>, times array<long>",
+        numbered.select("doc", "held_out", "text", fold, "number"), run,
+        "number long, doc long, held_out boolean, fold int, n_tokens long, known long, base double, classes binary, "
+        "which binary, block long, own array<long>, folds array<int>",
     )
 
 
+def uses(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``word, home, at, folds, n``: the rarer words of every block, with their training counts."""
+    one = F.explode(F.arrays_zip("own", "folds", F.sequence(F.lit(0), F.size("own") - 1).alias("at")))
+    listed = rows.where(F.size("own") > 0).select(F.col("block").alias("home"), one.alias("one"))
+    named = listed.select(F.col("one.own").alias("word"), "home", F.col("one.at").alias("at"), F.col("one.folds").alias("folds"))
+    return named.join(counts, "word", "left")
+
+
 class Group:
     """Sequences stepped through together, the longest first; step t is a block of rows."""
 
@@ -225,46 +261,121 @@ def expected_counts(model: Model, group: Group, start: np.ndarray, move: np.ndar
         emit[:, state] += np.bincount(group.tokens, values[:, state], len(emit))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, Group, np.ndarray]]:
-    """Sequences of similar length, GROUP_TOKENS at a time or one longer."""
-    for batch in batches:
-        sequences = [np.frombuffer(s, "<u2") for s in batch.column(column).to_pylist()]
-        order = np.argsort([-len(s) for s in sequences], kind="stable")
-        lengths = np.cumsum([len(sequences[i]) for i in order])
-        at = 0
-        while at < len(order):
-            limit = (lengths[at - 1] if at else 0) + GROUP_TOKENS
-            stop = max(int(np.searchsorted(lengths, limit, "right")), at + 1)
-            chosen = order[at:stop]
-            yield batch, Group([sequences[i] for i in chosen]), chosen
-            at = stop
-
-
-def step(model: Model, rows: DataFrame, lex: Lexicon) -> Model:
-    """One Baum-Welch step over all rows; the same model where there are none."""
+def _groups(sequences: list[np.ndarray]) -> Iterator[tuple[Group, np.ndarray]]:
+    """Sequences of similar length and their places, GROUP_TOKENS at a time or one longer."""
+    order = np.argsort([-len(s) for s in sequences], kind="stable")
+    lengths = np.cumsum([len(sequences[i]) for i in order])
+    at = 0
+    while at < len(order):
+        limit = (lengths[at - 1] if at else 0) + GROUP_TOKENS
+        stop = max(int(np.searchsorted(lengths, limit, "right")), at + 1)
+        chosen = order[at:stop]
+        yield Group([sequences[i] for i in chosen]), chosen
+        at = stop
+
+
+class Block(NamedTuple):
+    """Documents of a block with their rarer words as classes after the others."""
+
+    words: np.ndarray
+    n: np.ndarray
+    model: Model
+    sequences: list[np.ndarray]
+    which: list[np.ndarray]
+
+
+def opened(model: Model, lex: Lexicon, docs: pa.Table, found: pa.Table) -> Block:
+    """A block from its rows and its rows of ``uses``, joined with the model's counts where it has any."""
+    at = found.column("at").to_numpy()
+    size = int(at.max()) + 1 if len(at) else 0
+    words, n = np.zeros(size, np.int64), np.zeros(size)
+    words[at] = found.column("word").to_numpy()
+    n[at] = pc.fill_null(found.column("n"), 0).to_numpy()
+    bucket = _bucket(lex, words)
+    if model.totals is None:
+        emit = model.emit[bucket] * ((n + 1) / lex.weights[bucket])[:, None]
+    else:
+        counts = np.zeros((size, len(model.totals)))
+        for i in range(len(model.totals)) if model.words is not None else ():
+            counts[at, i] = pc.fill_null(found.column(f"s{i}"), 0.0).to_numpy()
+        emit = (counts + SMOOTHING * ((n + 1) / lex.weights.sum())[:, None]) / (model.totals + SMOOTHING)
+    sequences, which = [], []
+    for classes, places in zip(docs.column("classes").to_pylist(), docs.column("which").to_pylist(), strict=True):
+        tokens = np.frombuffer(classes, "<u2").astype(np.int64)
+        own = np.frombuffer(places, "<u4").astype(np.int64)
+        tokens[(tokens >= len(lex.common)) & (tokens < lex.classes - 1)] = lex.classes + own
+        sequences.append(tokens)
+        which.append(own)
+    return Block(words, n, model._replace(emit=np.concatenate((model.emit, emit))), sequences, which)
+
+
+def _bucket(lex: Lexicon, words: np.ndarray) -> np.ndarray:
+    return len(lex.common) + (words.view(np.uint64) % np.uint64(lex.buckets)).astype(np.int64)
+
+
+def _by_block(rows: DataFrame, found: DataFrame, model: Model, run, schema: str) -> DataFrame:  # noqa: ANN001
+    """``run(model, rows, uses)`` of every block; the rarer words come with the model's counts."""
+    if model.words is not None:
+        found = found.join(model.words, "word", "left")
+    found = found.drop("folds")
+    ship(rows.sparkSession)
+    plain = model._replace(words=None if model.words is None else True)
+    each = rows.groupBy("block").cogroup(found.groupBy("home"))
+    return each.applyInArrow(lambda docs, words: run(plain, docs, words), schema)
+
+
+def step(model: Model, rows: DataFrame, lex: Lexicon, found: DataFrame | None = None) -> Model:
+    """One Baum-Welch step over all rows; the same model where there are none.
+
+    ``found`` has the ``uses`` of the rows' blocks; without it rarer words count as their buckets.
+    """
     states = len(model.start)
     names = [f"s{i}" for i in range(states)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def table(start: np.ndarray, move: np.ndarray, emit: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
+        # rows of transitions and of the start follow the classes; those of words come last
+        bucketed, own = emit[: lex.classes], emit[lex.classes :]
+        np.add.at(bucketed, _bucket(lex, words), own)
+        sums = np.concatenate((bucketed, move, start[None]))
+        used, met = np.flatnonzero(sums.any(axis=1)), np.flatnonzero(own.any(axis=1))
+        rare = np.repeat([False, True], [len(used), len(met)])
+        values = np.concatenate((sums[used], own[met]))
+        values = values.astype(np.float32)
+        return _rows(rare=rare, key=np.concatenate((used, words[met])), **{name: values[:, i] for i, name in enumerate(names)})
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((lex.classes, states))
-        for _, group, _ in _groups(batches, "classes"):
-            expected_counts(model, group, start, move, emit)
-        # rows of transitions and of the start follow the classes
-        table = np.concatenate((emit, move, start[None]))
-        used = np.flatnonzero(table.any(axis=1))
-        yield _rows(row=used, **{name: table[used, i] for i, name in enumerate(names)})
-
-    parts = mapped(rows.select("classes"), run, "row long, " + ", ".join(f"{n} double" for n in names))
-    summed = parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
-    if summed.empty:
+        for batch in batches:
+            for group, _ in _groups([np.frombuffer(s, "<u2") for s in batch.column(0).to_pylist()]):
+                expected_counts(model, group, start, move, emit)
+        yield table(start, move, emit, np.zeros(0, np.int64))
+
+    def run(model: Model, docs: pa.Table, words: pa.Table) -> pa.Table:
+        block = opened(model, lex, docs, words)
+        start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros(block.model.emit.shape)
+        for group, _ in _groups(block.sequences):
+            expected_counts(block.model, group, start, move, emit)
+        return pa.Table.from_batches([table(start, move, emit, block.words)])
+
+    schema = "rare boolean, key long, " + ", ".join(f"{n} float" for n in names)
+    if found is None:
+        parts = mapped(rows.select("classes"), plain, schema)
+    else:
+        parts = _by_block(rows.select("block", "classes", "which"), found, model, run, schema)
+    summed = parts.groupBy("rare", "key").agg(*[F.sum(n).cast("float").alias(n) for n in names])
+    summed = summed if found is None else stored(summed)
+    own = summed.where(~F.col("rare")).toPandas()
+    if own.empty:
         return model
-    table = np.zeros((lex.classes + states + 1, states))
-    table[summed["row"].to_numpy()] = summed[names].to_numpy()
-    emit, move, start = table[: lex.classes], table[lex.classes : -1] * model.move, table[-1]
+    sums = np.zeros((lex.classes + states + 1, states))
+    sums[own["key"].to_numpy()] = own[names].to_numpy()
+    emit, move, start = sums[: lex.classes], sums[lex.classes : -1] * model.move, sums[-1]
     return Model(
         (start + 1) / (start + 1).sum(),
         (move + 1) / (move + 1).sum(axis=1, keepdims=True),
         smoothed(emit, lex),
+        emit.sum(axis=0),
+        None if found is None else summed.where("rare").select(F.col("key").alias("word"), *names),
     )
 
 
@@ -281,14 +392,18 @@ def initial(lex: Lexicon, states: int) -> Model:
     return Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
 
-def trained(rows: DataFrame, lex: Lexicon, states: int = STATES) -> Model:
+def trained(rows: DataFrame, lex: Lexicon, states: int = STATES, found: DataFrame | None = None) -> Model:
     """WARM steps on a fold each, then one on all training rows."""
     model = initial(lex, states)
     training = rows.where(~F.col("held_out"))
-    fold = F.pmod(F.xxhash64("doc", "row"), F.lit(FOLDS))
     for i in range(WARM):
-        model = step(model, training.where(fold == i), lex)
-    return step(model, training, lex)
+        own = None if found is None else found.where(F.col("folds").bitwiseAND(1 << i) != 0)
+        model = step(model, training.where(F.col("fold") == i), lex, own)
+        # Spark drops a step's shuffle files once the driver's JVM has collected its plan
+        rows.sparkSession.sparkContext._jvm.System.gc()
+    model = step(model, training, lex, None if found is None else found.where("folds != 0"))
+    rows.sparkSession.sparkContext._jvm.System.gc()
+    return model
 
 
 def scored(docs: DataFrame, *, key: str = "doc_id", text: str = "text", states: int = STATES) -> DataFrame:
@@ -300,30 +415,26 @@ def scored(docs: DataFrame, *, key: str = "doc_id", text: str = "text", states:
     training = named.where(~F.col("held_out"))
     counts = stored(word_counts(training))
     lex = lexicon(counts, training.count())
-    rows = stored(encoded(named, lex).withColumn("row", F.monotonically_increasing_id()))
-    model = trained(rows, lex, states)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, group, chosen in _groups(batches, "classes"):
-            likely, _, _ = forward(model, group, False)
-            part = batch.take(pa.array(chosen))
-            kept = [part.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(likely / np.log(10))], [*names, "likely"])
-
-    names = ["row", "doc", "held_out", "n_tokens", "known", "base", "share"]
-    chances = mapped(
-        rows.select(*names, "classes"), run,
-        "row long, doc long, held_out boolean, n_tokens long, known long, base double, share double, likely double",
-    )
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("one")).select(
-        "row", F.col("one.rare").alias("word"), F.col("one.times").alias("times")
-    )
-    sums = rare.join(counts, "word").groupBy("row").agg(
-        F.sum("times").alias("seen"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs")
-    )
-    seen, logs = F.coalesce("seen", F.lit(0)), F.coalesce("logs", F.lit(0.0))
-    return chances.join(sums, "row", "left").select(
-        "doc", "held_out", "n_tokens", (F.col("known") + seen).alias("n_known"),
-        F.lit(lex.tokens).cast("long").alias("train_tokens"), (F.col("base") + logs).alias("base_score"),
-        (F.col("likely") + F.col("share") + logs).alias("score"),
+    rows = stored(encoded(named, lex))
+    found = stored(uses(rows, counts))
+    model = trained(rows, lex, states, found)
+
+    def run(model: Model, docs: pa.Table, words: pa.Table) -> pa.Table:
+        block = opened(model, lex, docs, words)
+        likely = np.empty(len(block.sequences))
+        for group, chosen in _groups(block.sequences):
+            likely[chosen] = forward(block.model, group, False)[0]
+        logs = np.log10(block.n + 1)
+        seen = np.array([int((block.n[own] > 0).sum()) for own in block.which], np.int64)
+        sums = np.array([logs[own].sum() for own in block.which])
+        out = {name: docs.column(name) for name in ("doc", "held_out", "n_tokens")}
+        out |= {
+            "n_known": pc.add(docs.column("known"), pa.array(seen)), "train_tokens": pa.array([lex.tokens] * len(seen), pa.int64()),
+            "base_score": pc.add(docs.column("base"), pa.array(sums)), "score": pa.array(likely / np.log(10)),
+        }
+        return pa.table(out)
+
+    return _by_block(
+        rows.drop("own", "folds", "fold", "number"), found, model, run,
+        "doc long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )

@@ -120,3 +120,36 @@ def test_null_ids_no_training_documents_and_empty_table(spark):
     row = hmm.scored(none).collect()[0]
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (True, 3, 0, 0, 0.0)
     assert hmm.scored(docs.limit(0)).count() == 0
+
+
+def test_rarer_words_have_emissions_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "COMMON", 10)
+    monkeypatch.setattr(hmm, "BUCKETS", 1)  # a shared emission would tell the rarer words' states nothing
+    monkeypatch.setattr(hmm, "BLOCK_TOKENS", 700)
+    texts = topics(random.Random(3), 300)
+    docs = documents(spark, texts).selectExpr("doc_id as doc", "doc_id % 7 = 0 as held_out", "text").repartition(2)
+    counts = hmm.word_counts(docs.where("not held_out")).cache()
+    lex = hmm.lexicon(counts, docs.where("not held_out").count())
+    rows = hmm.encoded(docs, lex).cache()
+    found = hmm.uses(rows, counts).cache()
+    model = hmm.trained(rows, lex, 4, found)
+    table = model.words.join(counts, "word").toPandas()
+    c = table[[f"s{i}" for i in range(4)]].to_numpy()
+    assert len(table) == 150 - 10 and c.sum(axis=1) == pytest.approx(table["n"].to_numpy())
+    weight = np.append(table["n"].to_numpy() + 1.0, 1.0)  # the last place is for words never seen
+    c = np.vstack((c, np.zeros(4)))
+    emit = (c + hmm.SMOOTHING * (weight / lex.weights.sum())[:, None]) / (model.totals + hmm.SMOOTHING)
+    assert emit.sum(axis=0) == pytest.approx(model.emit[10])
+    spread = (emit / weight[:, None])[:-1]
+    assert (spread.max(axis=0) > 3 * spread.min(axis=0)).any()
+
+
+def test_more_rarer_words_than_the_cap_lose_no_gain(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "BUCKETS", 1)
+    docs = documents(spark, topics(random.Random(1))).repartition(3)
+    gains = []
+    for common in (60_000, 0):
+        monkeypatch.setattr(hmm, "COMMON", common)
+        held = [r for r in hmm.scored(docs, states=4).collect() if r.held_out]
+        gains.append(sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held))
+    assert gains[1] > 0.5 * gains[0]
