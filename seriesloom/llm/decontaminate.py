@@ -4,7 +4,8 @@ An item of n words is looked for in every window of n words of a document (a sho
 window). Texts are compared as multisets of shingles of ``size`` words, each weighing as many bytes
 as its words have: similarity is the weight of what both share over the weight of what either has.
 
-* A 128-bit SimHash fingerprint is summed up for windows by moving sums. Windows that share no shingle
+* A 128-bit SimHash fingerprint is summed up for windows by moving sums. Occurrences of a shingle within a text are
+  numbered, and each number has signs of its own, so a repeated shingle counts linearly, as in the similarity. Windows that share no shingle
   with any item of their length have similarity 0 and get no fingerprint; all others do.
 * An index finds the items within RADIUS bits of a fingerprint: it has BLOCKS blocks, and by the
   pigeonhole principle a pair within the radius differs by at most RADIUS // BLOCKS bits in one of
@@ -61,6 +62,29 @@ def _signs(shingles: np.ndarray) -> np.ndarray:
     return np.unpackbits(halves.view(np.uint8), axis=1).astype(np.float32) * 2 - 1
 
 
+def _terms(shingles: np.ndarray, numbers: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """What the occurrences with these numbers within their text add to its sums; whole, so that sums are exact."""
+    with np.errstate(over="ignore"):
+        again = X.mixed(shingles + numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), 33)
+    signs = _signs(np.where(numbers > 0, again, shingles))
+    return signs * np.rint(np.sqrt(weights) * 4096)[:, None]
+
+
+class _Places:
+    """Counts of equal shingles by position."""
+
+    def __init__(self, shingles: np.ndarray):
+        _, self.kind = np.unique(shingles, return_inverse=True)
+        self.span = len(shingles) + 1
+        order = np.argsort(self.kind, kind="stable")
+        self.keys = self.kind[order] * self.span + order
+
+    def between(self, at: np.ndarray, lo: np.ndarray | int, hi: np.ndarray | int) -> np.ndarray:
+        """How often the shingle at each position occurs from ``lo`` to before ``hi``."""
+        kind = self.kind[at] * self.span
+        return np.searchsorted(self.keys, kind + hi) - np.searchsorted(self.keys, kind + lo)
+
+
 def _printed(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=-1)
 
@@ -90,7 +114,8 @@ class Index:
                 width = min(size, b - a)
                 own = X.Words(w.hashes[a:b], np.array([0, b - a]), w.begin[a:b], w.end[a:b])
                 shingles, weights = X.grams(own.hashes, width), _weights(own, width)
-                sums = (_signs(shingles) * np.sqrt(weights)[:, None]).sum(axis=0)
+                at = np.arange(len(shingles))
+                sums = _terms(shingles, _Places(shingles).between(at, 0, at), weights).sum(axis=0)
                 self.items.append(Item(number, b - a, width, *_multiset(shingles, weights), _printed(sums)))
         self.widths = {}
         for width in {item.width for item in self.items}:
@@ -171,13 +196,17 @@ class Index:
     def _windows(self, n: int, shingles: np.ndarray, weights: np.ndarray, count: int) -> Iterator[tuple]:
         """Pairs within the radius among all windows of ``count`` shingles, in bounded pieces."""
         step = 4096
+        places = _Places(shingles)
         for lo in range(0, len(shingles) - count + 1, step):
             hi = min(lo + step, len(shingles) - count + 1)
-            part = slice(lo, hi + count - 1)
-            terms = _signs(shingles[part]) * np.sqrt(weights[part])[:, None]
-            sums = np.zeros((len(terms) + 1, BITS))
-            np.cumsum(terms, axis=0, out=sums[1:])
-            for at, item, distance in self.near(n, _printed(sums[count:] - sums[:-count])):
+            first = np.arange(lo, lo + count)
+            out = np.arange(lo, hi - 1)  # leaves when the window moves on, and ``out + count`` enters
+            sums = np.zeros((hi - lo, BITS))
+            sums[0] = _terms(shingles[first], places.between(first, lo, first), weights[first]).sum(axis=0)
+            sums[1:] -= _terms(shingles[out], places.between(out, out + 1, out + count), weights[out])
+            new = out + count
+            sums[1:] += _terms(shingles[new], places.between(new, out + 1, new), weights[new])
+            for at, item, distance in self.near(n, _printed(np.cumsum(sums, axis=0))):
                 yield lo + at, item, distance
 
 

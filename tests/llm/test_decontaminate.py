@@ -84,3 +84,37 @@ def test_empty_tables(spark):
     assert D.matches(docs, benchmark.limit(0)).count() == 0
     assert D.clean(docs, benchmark.limit(0)).count() == 1
     assert D.clean(docs, benchmark).count() == 0
+
+
+def test_runs_of_one_word_lose_no_match():
+    import pyarrow as pa
+
+    found = 0
+    rng = random.Random(6)
+    for length, run in ((300, 32), (200, 21), (150, 16)):
+        for _ in range(10):
+            item = [f"w{rng.randrange(10**6)}" for _ in range(length)]
+            at = rng.randrange(length - 2 * run)
+            item[at : at + run] = ["--"] * run
+            other = list(item)
+            other[at : at + run] = ["||"] * run
+            texts = [" ".join([*["before"] * 7, *other, *["after"] * 9])]
+            items = [(0, " ".join(item))]
+            got = list(D.Index(items, 5).matches(pa.array(texts), 0.8))
+            found += len(got)
+            assert {(d, i): round(alike, 9) for d, i, _, _, alike, _ in got} == expected(texts, items)
+    assert found == 30
+
+
+def test_moving_sums_number_repeats_within_each_window():
+    import pyarrow as pa
+
+    from seriesloom.llm import text as X
+
+    rng = random.Random(7)
+    words_ = [rng.choice("abcd") * rng.randrange(1, 3) for _ in range(5000)]
+    index = D.Index([(i, " ".join(words_[i * 40 : i * 40 + 12])) for i in range(120)], 2)
+    w = X.words(X.lowered(X.column_bytes(pa.array([" ".join(words_)]))))
+    shingles, weights = X.grams(w.hashes, 2), D._weights(w, 2)
+    zero = {(at, i) for at, i, distance in index._windows(12, shingles, weights, 11) if distance == 0}
+    assert {(i * 40, i) for i in range(120)} <= zero
