@@ -101,5 +101,91 @@ FROM longer GROUP BY conv_id
 """
 
 
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, byte by byte with the usual table."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    step = f"xor(c >> 8, CAST({table} AS BIGINT[])[xor(c, b) % 256 + 1])"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def _tree(name: str, key: str, depth: int) -> str:
+    """Levels ``name``0 to ``name``depth of trees with the nodes (key, pos, n, digest), and the siblings on each."""
+    parts = []
+    for k in range(1, depth + 1):
+        parts.append(f"""
+{name}{k} AS (
+  SELECT {key}, pos // 16 AS pos, (n + 15) // 16 AS n,
+         CASE WHEN n > 1 THEN sha256(string_agg(digest, '' ORDER BY pos)) ELSE min(digest) END AS digest
+  FROM {name}{k - 1} GROUP BY {key}, pos // 16, n)""")
+    for k in range(depth):
+        run = f"PARTITION BY {key}, pos // 16 ORDER BY pos ROWS BETWEEN"
+        parts.append(f"""
+{name}_around{k} AS (
+  SELECT {key}, pos, n > 1 AS hashed,
+         coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {name}{k})""")
+    return ",".join(parts)
+
+
+def _manifest(depth: int = 5, top: int = 4) -> str:
+    """Trees of up to 16 ** depth documents a source and 16 ** top sources."""
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)"]
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in [*fields, text]) + ")"
+
+    steps = [("leaf", k) for k in range(depth)] + [("top", k) for k in range(top)]
+    proof, joins = [], []
+    for i, (name, k) in enumerate(steps):
+        a = f"a{i}"
+        match = f"{a}.named = l.named AND {a}.name = l.name AND {a}.pos = l.pos // {16**k}"
+        if name == "top":
+            match = f"{a}.pos = s.pos // {16**k}"
+        joins.append(f"JOIN {name}_around{k} {a} ON {match}")
+        proof.append(f"CASE WHEN {a}.hashed THEN {a}.before || {a}.after ELSE '' END")
+    chain = []
+    for i in range(len(steps)):
+        chain.append(f"""
+fold{i + 1} AS (
+  SELECT * REPLACE (CASE WHEN hashed{i} THEN sha256(before{i} || shown || after{i}) ELSE shown END AS shown)
+  FROM fold{i})""")
+    sides = ("hashed", "before", "after")
+    around = ", ".join(f"a{i}.{side} AS {side}{i}" for i in range(len(steps)) for side in sides)
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, source IS NOT NULL AS named, coalesce(source, '') AS name, {leaf("text")} AS digest,
+         CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0
+              THEN {leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS tampered
+  FROM documents),
+leaf0 AS (
+  SELECT *, row_number() OVER (PARTITION BY named, name ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos,
+         count(*) OVER (PARTITION BY named, name) AS n
+  FROM leaves),{_tree("leaf", "named, name", depth)},
+top0 AS (
+  SELECT 1 AS one, named, name, digest, row_number() OVER (ORDER BY named, encode(name)) - 1 AS pos,
+         count(*) OVER () AS n
+  FROM leaf{depth}),{_tree("top", "one", top)},
+fold0 AS (
+  SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, r.digest AS root,
+         sha256({" || ".join(proof)}) AS proof_sha256, coalesce(l.tampered, l.digest) AS shown, {around}
+  FROM leaf0 l JOIN top0 s ON s.named = l.named AND s.name = l.name CROSS JOIN top{top} r
+  {" ".join(joins)}),{",".join(chain)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, shown AS folded_root, shown = root AS verified
+FROM fold{len(steps)}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring": SUBSTRING, "op7_licences": _licences(), "op8_neardup": NEARDUP, "op9_chat": CHAT}
+    return {
+        "op2_substring": SUBSTRING,
+        "op7_licences": _licences(),
+        "op8_neardup": NEARDUP,
+        "op9_chat": CHAT,
+        "op11_manifest": _manifest(),
+    }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, hmm, licences, neardup, pack, quality, sharding, substring, tokenfile
+from . import chat, decontaminate, hmm, licences, merkle, neardup, pack, quality, sharding, substring, tokenfile
 from .shared import mapped, shared_folder, stored
 from .tokens import vocabulary
 
@@ -122,6 +123,22 @@ def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    fields = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    lowered = fields | {"text": F.translate("text", string.ascii_uppercase, string.ascii_lowercase)}
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    rows = merkle.manifest(
+        docs, tree="source", order="doc_id", leaf=merkle.leaf([*fields.values()]),
+        presented=F.when(tampered, merkle.leaf([*lowered.values()])),
+    )
+    out = rows.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.coalesce("presented", "leaf"), F.col("path")).alias("folded_root"),
+    )
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pack": op1_pack,
@@ -134,4 +151,5 @@ def queries() -> dict[str, Query]:
         "op8_neardup": op8_neardup,
         "op9_chat": op9_chat,
         "op10_quality": op10_quality,
+        "op11_manifest": op11_manifest,
     }

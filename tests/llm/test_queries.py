@@ -22,7 +22,7 @@ def duck():
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLE) <= set(QUERIES)
 
 
