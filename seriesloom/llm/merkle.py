@@ -75,17 +75,15 @@ def _numbered(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def _with_siblings(nodes: DataFrame, fanout: int) -> DataFrame:
     """Adds the digests of the run's nodes to the left and to the right, each as one text."""
-    slot = F.pmod("_pos", F.lit(fanout))
-    length = F.least(F.lit(fanout), F.col("_n") - F.col("_pos") + slot)
-    chunk = F.floor(F.col("_pos") / F.lit(fanout**3))
-    run = Window.partitionBy(*_TREE, "_chunk").orderBy("_pos")
-    none = F.lit("")
-    left = [F.when(slot >= k, F.lag("_digest", k).over(run)).otherwise(none) for k in range(fanout - 1, 0, -1)]
-    right = [F.when(slot + k < length, F.lead("_digest", k).over(run)).otherwise(none) for k in range(1, fanout)]
+    # as SQL text: building thirty window columns one by one would take longer than running them
+    run = f"OVER (PARTITION BY {', '.join(_TREE)}, _chunk ORDER BY _pos)"
+    left = [f"if(_slot >= {k}, lag(_digest, {k}) {run}, '')" for k in range(fanout - 1, 0, -1)]
+    right = [f"if(_slot + {k} < _length, lead(_digest, {k}) {run}, '')" for k in range(1, fanout)]
     return (
-        nodes.withColumn("_chunk", chunk)
-        .withColumns({"_left": F.concat(*left), "_right": F.concat(*right)})
-        .drop("_chunk")
+        nodes.withColumns({"_chunk": F.expr(f"_pos div {fanout**3}"), "_slot": F.expr(f"_pos % {fanout}")})
+        .withColumn("_length", F.expr(f"least({fanout}, _n - _pos + _slot)"))
+        .withColumns({"_left": F.expr(f"concat({', '.join(left)})"), "_right": F.expr(f"concat({', '.join(right)})")})
+        .drop("_chunk", "_slot", "_length")
     )
 
 
