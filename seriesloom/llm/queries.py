@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, decontaminate, hmm, licences, merkle, neardup, pack, quality, sharding, substring, tokenfile
+from . import alignment, chat, decontaminate, hmm, licences, merkle, neardup, pack, pagetext, quality, sharding, substring, tokenfile
 from .shared import mapped, shared_folder, stored
 from .tokens import vocabulary
 
@@ -139,6 +139,10 @@ def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_pagetext(spark: SparkSession, folder: str) -> DataFrame:
+    return pagetext.main_text(_table(spark, folder, "pages")).withColumnRenamed("key", "page_id")
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     paths = {"a": vocabulary("byte_bpe_50k.json"), "b": vocabulary("piece_bpe_32k.model")}
@@ -158,5 +162,6 @@ def queries() -> dict[str, Query]:
         "op9_chat": op9_chat,
         "op10_quality": op10_quality,
         "op11_manifest": op11_manifest,
+        "op12_pagetext": op12_pagetext,
         "op13_alignment": op13_alignment,
     }
