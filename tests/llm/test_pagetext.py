@@ -66,7 +66,7 @@ def test_host_agrees_on_a_path(spark):
     assert got[30] == "short" and got[31] == (LONG * 9).strip()
     assert got[32] == "no address" and got[33] == "another kind of page" and got[4].startswith("T4\n\nSome")
     winners = pagetext.winning_paths(pages(spark, rows).withColumn("host", F.lit("h"))).collect()
-    assert winners[0]["paths"] == ["body>div.story-#"]
+    assert winners[0]["paths"][0] == "body>div.story-#"
 
 
 def test_nulls_repeats_and_clashing_columns(spark):
