@@ -526,7 +526,8 @@ def keyed_diff(pair: str, key: str, cells: list[str]) -> str:
         for c in cells
     )
     return f"""with {pair}, d as ({parts})
-select *, round(differing * 100.0e0 / pairs, 6) as percent, unequal = 0 as identical from d"""
+select *, round(differing * 100.0e0 / pairs, 6) as percent, unequal = 0 as identical,
+  cast(row_number() over (order by differing desc, "column") as int) as rank from d"""
 
 
 def keyed_samples() -> str:

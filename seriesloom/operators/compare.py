@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .fingerprints import bit_set, in_set, lanes
 from .fragments import exact_medians
 
 _NUMERIC = (
@@ -85,6 +88,8 @@ def _stacked(left: DataFrame, right: DataFrame, group: Sequence[str]) -> DataFra
 # --- keyed values ---------------------------------------------------------------
 
 
+#: Numbers of pairs are products of counts.
+PAIRS = "decimal(38,0)"
 _WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 
@@ -128,14 +133,29 @@ def _number_text(c: Column, kind: T.DataType) -> Column:
     digit, so nothing beyond 2**53 is lost, others as the nearest double."""
     double = c.cast("double") + F.lit(0.0)
     if _exact(kind) is None:
-        whole = (double == F.floor(double)) & (F.abs(double) < F.lit(1e18))
-        return F.when(whole, double.cast("decimal(38,0)").cast("string")).otherwise(double.cast("string"))
+        # beyond 38 digits no exact number can be equal
+        whole = (double % F.lit(1.0) == 0) & (F.abs(double) < F.lit(1e38))
+        return F.when(whole, _whole_digits(double)).otherwise(double.cast("string"))
     if _exact(kind)[1] == 0:
         return c.cast("decimal(38,0)").cast("string")
     floor = F.floor(c)
     return F.when(c == floor, floor.cast("decimal(38,0)").cast("string")).otherwise(double.cast("string"))
 
 
+def _whole_digits(c: Column) -> Column:
+    """All digits of a whole double below 1e38: three parts of 42 bits, each exact as a long."""
+    part = float(2**42)
+    size = F.abs(c)
+    high = F.floor(size / F.lit(part**2))
+    rest = size - high.cast("double") * F.lit(part**2)
+    middle = F.floor(rest / F.lit(part))
+    low = (rest - middle.cast("double") * F.lit(part)).cast("bigint")
+    parts = [(high, 2**84), (middle, 2**42), (low, 1)]
+    scaled = (x.cast("decimal(13,0)") * F.lit(Decimal(n)).cast(f"decimal({len(str(n))},0)") for x, n in parts)
+    digits = functools.reduce(Column.__add__, scaled).cast(PAIRS)
+    return F.when(c < 0, -digits).otherwise(digits).cast("string")
+
+
 def _comparable(left: DataFrame, right: DataFrame, name: str) -> tuple[Column, Column]:
     """Both sides of a column in one type, by one rule for keyed and unkeyed comparison.
 
@@ -171,11 +191,13 @@ def as_text(c: Column, kind: T.DataType) -> Column:
 
 
 class _Keyed:
-    """Both tables folded to one row per key, which is what keeps a hot key harmless.
+    """Both tables folded to one row per key by hashing, which is what keeps a hot key harmless.
 
-    A key that is unique on both sides is compared through its folded row.  For a
-    repeated key every left row meets every right row; those pairs are never built:
-    they are counted from the value counts of both sides.
+    A fold has the number of rows of each side and, per column, how many values each side has and
+    the smallest and largest of each lane over both sides.  It settles a column of a key where all
+    values are equal, where only one side has values, and where the key has one row on each side.
+    What is left are keys that repeat with several values.  Their pairs are never built: they are
+    counted from the value counts of both sides, in a second scan that reads these keys only.
     """
 
     def __init__(self, left: DataFrame, right: DataFrame, key: str) -> None:
@@ -183,88 +205,98 @@ class _Keyed:
         self.columns = [c for c in common_columns(left, right) if c != key]
         if not self.columns:
             raise ValueError("the tables have no common column to compare")
-        pairs = [_comparable(left, right, c) for c in self.columns]
-        self.left = left.where(F.col(key).isNotNull()).select(
-            key, *[p[0].alias(c) for p, c in zip(pairs, self.columns)]
-        )
-        self.right = right.where(F.col(key).isNotNull()).select(
-            key, *[p[1].alias(c) for p, c in zip(pairs, self.columns)]
-        )
-
-    def folded(self, extremes: bool) -> DataFrame:
-        def side(df: DataFrame, tag: str) -> DataFrame:
-            aggs = [F.count(F.lit(1)).alias(f"{tag}n")]
-            for i, c in enumerate(self.columns):
-                aggs.append(F.min(c).alias(f"{tag}{i}"))
-                if extremes:
-                    aggs.append(F.max(c).alias(f"{tag}{i}x"))
-            return df.groupBy(self.key).agg(*aggs)
-
-        return side(self.left, "l").join(side(self.right, "r"), self.key)
+        one, other = _alike(left, right, self.columns, key)
+        self.kinds = [one.schema[c].dataType for c in self.columns]
+        self.left = one.where(F.col(f"`{key}`").isNotNull())
+        self.right = other.where(F.col(f"`{key}`").isNotNull())
+
+    def _hashed(self, df: DataFrame, *others: Column) -> DataFrame:
+        cells = [F.col(f"`{self.key}`").alias("key"), *others]
+        for i, (c, kind) in enumerate(zip(self.columns, self.kinds, strict=True)):
+            value = F.col(f"`{c}`")
+            cells += [h.alias(f"h{i}{t}") for t, h in zip("ab", lanes(value, as_text(value, kind), kind), strict=True)]
+        return df.select(*cells)
+
+    def folded(self) -> DataFrame:
+        """Per key of both sides: rows ``l`` and ``r``, and per column i values ``l{i}`` and ``r{i}`` of each
+        side and ``same{i}``, whether all of them are equal (also where there are none)."""
+        aggs = [F.sum("_l").alias("l"), F.sum("_r").alias("r")]
+        for i in range(len(self.columns)):
+            filled = F.col(f"h{i}a").isNotNull()
+            aggs += [F.sum(F.when(filled, F.col(f"_{side}")).otherwise(0)).alias(f"{side}{i}") for side in "lr"]
+            aggs += [f(f"h{i}{t}").alias(f"{name}{i}{t}") for t in "ab" for name, f in (("lo", F.min), ("hi", F.max))]
+        rows = _stacked(self._hashed(self.left), self._hashed(self.right), ["key"])
+        out = rows.groupBy("_group").agg(*aggs).where("l > 0 and r > 0")
+        same = [
+            F.col(f"lo{i}a").eqNullSafe(F.col(f"hi{i}a")) & F.col(f"lo{i}b").eqNullSafe(F.col(f"hi{i}b"))
+            for i in range(len(self.columns))
+        ]
+        counts = [c for i in range(len(self.columns)) for c in (f"l{i}", f"r{i}", same[i].alias(f"same{i}"))]
+        return out.select(F.col("_group.key").alias("key"), "l", "r", *counts)
+
+    def counts(self) -> DataFrame:
+        """Pairs, differing and unequal pairs per column; first of the keys that their fold settles, then of the
+        others.  A key goes either way by its hash, so both ways see each key once, in all columns."""
+        fold = self.folded()
+        single = (F.col("l") == 1) & (F.col("r") == 1)
+        # products of larger counts could leave the range of a long
+        few = F.col("l").cast("double") * F.col("r") < F.lit(2.0**31)
+        settled = [
+            F.col(f"same{i}") | (F.col(f"l{i}") == 0) | (F.col(f"r{i}") == 0) for i in range(len(self.columns))
+        ]
+        unsettled = fold.where(~(single | few & functools.reduce(Column.__and__, settled)))
+        open_keys = bit_set(unsettled.select(F.xxhash64("key").alias("h")))
+        closed = fold.where(~in_set(open_keys, F.xxhash64("key")))
+        return self._settled(closed).unionByName(self._counted(open_keys))
 
-    def single_counts(self) -> DataFrame:
-        single = (F.col("ln") == 1) & (F.col("rn") == 1)
-        aggs = [F.count_if(single).alias("pairs")]
+    def _settled(self, fold: DataFrame) -> DataFrame:
+        l, r = F.col("l"), F.col("r")
+        aggs = [F.sum(l * r).alias("pairs")]
         for i in range(len(self.columns)):
-            l, r = F.col(f"l{i}"), F.col(f"r{i}")
+            x, y, same = F.col(f"l{i}"), F.col(f"r{i}"), F.col(f"same{i}")
+            # of values that are not all equal only the two of a single pair are counted here
+            equal = F.when(same, x * y).otherwise(F.lit(0))
             aggs += [
-                F.count_if(single & (l != r)).alias(f"d{i}"),
-                F.count_if(single & ~l.eqNullSafe(r)).alias(f"u{i}"),
+                F.sum(x * y - equal).alias(f"d{i}"),
+                F.sum(l * r - equal - (l - x) * (r - y)).alias(f"u{i}"),
             ]
-        wide = self.folded(False).agg(*aggs)
-        return wide.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(c).alias("column"),
-                            F.col("pairs").alias("pairs"),
-                            F.col(f"d{i}").alias("differing"),
-                            F.col(f"u{i}").alias("unequal"),
-                        )
-                        for i, c in enumerate(self.columns)
-                    ]
-                )
+        wide = fold.agg(*aggs)
+        cells = [
+            F.struct(
+                F.lit(c).alias("column"),
+                *[
+                    F.coalesce(F.col(n), F.lit(0)).cast(PAIRS).alias(name)
+                    for n, name in (("pairs", "pairs"), (f"d{i}", "differing"), (f"u{i}", "unequal"))
+                ],
             )
-        )
+            for i, c in enumerate(self.columns)
+        ]
+        return wide.select(F.inline(F.array(*cells)))
 
-    def repeated_counts(self) -> DataFrame:
+    def _counted(self, open_keys: Column) -> DataFrame:
         """Both sides are counted per (key, column, value) in one stream: the products
         of these counts are the pairs, so nothing is joined and no pair is built."""
 
-        repeated = (
-            _stacked(self.left.select(self.key), self.right.select(self.key), [self.key])
-            .groupBy("_group")
-            .agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
-            .where("(l > 1 or r > 1) and l > 0 and r > 0")
-            .select(F.col(f"_group.{self.key}").alias(self.key))
-        )
-
         def cells(df: DataFrame) -> DataFrame:
-            texts = F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        as_text(F.col(c), df.schema[c].dataType).alias("value"),
-                    )
-                    for c in self.columns
-                ]
-            )
-            rows = df.join(repeated, self.key, "left_semi")
-            return rows.select(self.key, F.inline(texts))
+            rows = self._hashed(df.where(in_set(open_keys, F.xxhash64(f"`{self.key}`"))))
+            lists = [
+                F.struct(F.lit(i).alias("column"), F.col(f"h{i}a").alias("a"), F.col(f"h{i}b").alias("b"))
+                for i in range(len(self.columns))
+            ]
+            return rows.select("key", F.inline(F.array(*lists)))
 
         values = (
-            _stacked(cells(self.left), cells(self.right), [self.key, "column", "value"])
+            _stacked(cells(self.left), cells(self.right), ["key", "column", "a", "b"])
             .groupBy("_group")
             .agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
             .select("_group.*", "l", "r")
         )
-        filled = F.col("value").isNotNull()
+        filled = F.col("a").isNotNull()
         l, r = F.col("l"), F.col("r")
-        none = F.lit(0).cast("decimal(38,0)")
+        none = F.lit(0).cast(PAIRS)
         # numbers of pairs are products, and soon too large for a long
-        values = values.withColumns({side: F.col(side).cast("decimal(38,0)") for side in ("l", "r")})
-        per_key = values.groupBy(self.key, "column").agg(
+        values = values.withColumns({side: F.col(side).cast(PAIRS) for side in ("l", "r")})
+        per_key = values.groupBy("key", "column").agg(
             (F.sum(l) * F.sum(r)).alias("pairs"),
             (
                 F.sum(F.when(filled, l).otherwise(none)) * F.sum(F.when(filled, r).otherwise(none))
@@ -272,70 +304,85 @@ class _Keyed:
             F.sum(F.when(filled, l * r).otherwise(none)).alias("equal"),
             F.sum(F.when(filled, none).otherwise(l * r)).alias("both_null"),
         )
+        names = F.array(*map(F.lit, self.columns))
         return per_key.groupBy("column").agg(
-            F.sum("pairs").cast("decimal(38,0)").alias("pairs"),
-            F.sum(F.col("filled_pairs") - F.col("equal")).alias("differing"),
-            F.sum(F.col("pairs") - F.col("equal") - F.col("both_null")).alias("unequal"),
+            F.sum("pairs").cast(PAIRS).alias("pairs"),
+            F.sum(F.col("filled_pairs") - F.col("equal")).cast(PAIRS).alias("differing"),
+            F.sum(F.col("pairs") - F.col("equal") - F.col("both_null")).cast(PAIRS).alias("unequal"),
+        ).withColumn("column", F.get(names, F.col("column")))
+
+    def samples(self, limit: int) -> DataFrame:
+        """The first keys per column with unlike values on both sides, and a pair of these values."""
+        differs = [
+            F.when(~F.col(f"same{i}") & (F.col(f"l{i}") > 0) & (F.col(f"r{i}") > 0), i)
+            for i in range(len(self.columns))
+        ]
+        found = self.folded().select("key", F.explode(F.array_compact(F.array(*differs))).alias("column"))
+        # Spark keeps only `limit` rows per column and task before the ranking shuffle
+        ranked = found.withColumn("sample", F.row_number().over(Window.partitionBy("column").orderBy("key")))
+        wanted = ranked.where(F.col("sample") <= limit).groupBy("key").agg(
+            F.sort_array(F.collect_list(F.struct("column", "sample"))).alias("wanted")
         )
+        one, other = (df.withColumnRenamed(self.key, "_key") for df in (self.left, self.right))
+        rows = one.withColumn("_left", F.lit(True)).unionByName(other.withColumn("_left", F.lit(False)))
+        # at most `limit` keys for each column
+        rows = rows.join(F.broadcast(wanted), F.col("_key") == F.col("key"))
+        looks = rows.groupBy("key", "wanted", "_left", *[f"`{c}`" for c in self.columns]).count()
+        aggs = []
+        for i, c in enumerate(self.columns):
+            for tag, side in (("l", F.col("_left")), ("r", ~F.col("_left"))):
+                value = F.when(side, F.col(f"`{c}`"))
+                aggs += [F.min(value).alias(f"{tag}{i}"), F.max(value).alias(f"{tag}{i}x")]
+        ends = looks.groupBy("key", "wanted").agg(*aggs)
+
+        def pair(l: Column, r: Column, kind: T.DataType) -> Column:
+            names = F.lit("left_value"), F.lit("right_value")
+            return F.when(l != r, F.named_struct(names[0], as_text(l, kind), names[1], as_text(r, kind)))
+
+        pairs = []
+        for i, kind in enumerate(self.kinds):
+            lo, lx, ro, rx = (F.col(n) for n in (f"l{i}", f"l{i}x", f"r{i}", f"r{i}x"))
+            pairs.append(F.coalesce(pair(lo, ro, kind), pair(lx, ro, kind), pair(lo, rx, kind)))
+        names = F.array(*map(F.lit, self.columns))
+        return (
+            ends.select("key", F.array(*pairs).alias("pairs"), F.inline("wanted"))
+            .withColumn("pair", F.get("pairs", F.col("column")))
+            .select(
+                F.get(names, F.col("column")).alias("column"), "sample", F.col("key").alias(self.key),
+                "pair.left_value", "pair.right_value",
+            )
+            .orderBy("column", "sample")
+        )
 
 
 def keyed_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Per common column of an inner join on ``key``: how many pairs differ, most first.
 
     ``differing`` counts pairs of two non-NULL unlike values; ``unequal`` also counts
-    NULL against a value, and decides whether the column is identical.
+    NULL against a value, and decides whether the column is identical.  ``rank`` is the place in
+    this order.
     """
-    keyed = _Keyed(left, right, key)
     counts = ("pairs", "differing", "unequal")
-    both = keyed.single_counts().unionByName(keyed.repeated_counts())
-    both = both.select("column", *[F.col(c).cast("decimal(38,0)").alias(c) for c in counts])
     return (
-        both.groupBy(F.struct("column").alias("_group"))  # see _stacked
-        .agg(*[F.sum(c).alias(c) for c in ("pairs", "differing", "unequal")])
-        .select("_group.column", "pairs", "differing", "unequal")
+        _Keyed(left, right, key)
+        .counts()
+        .groupBy(F.struct("column").alias("_group"))  # see _stacked
+        .agg(*[F.sum(c).alias(c) for c in counts])
+        .select("_group.column", *counts)
         .withColumn(
             "percent",
             F.try_divide(F.col("differing").cast("double") * 100.0, F.col("pairs").cast("double")),
         )
         .withColumn("identical", F.col("unequal") == 0)
-        .orderBy(F.desc("differing"), "column")
+        # one row per column of the tables
+        .withColumn("rank", F.row_number().over(Window.orderBy(F.desc("differing"), "column")))
+        .orderBy("rank")
     )
 
 
 def keyed_samples(left: DataFrame, right: DataFrame, key: str, limit: int = 5) -> DataFrame:
-    """The first ``limit`` keys per column with a differing pair, one pair per key.
-
-    Spark keeps only ``limit`` rows per column and task before the ranking shuffle.
-    """
-    keyed = _Keyed(left, right, key)
-    cells = []
-    for i, c in enumerate(keyed.columns):
-        kind = keyed.left.schema[c].dataType
-        lo, lx, ro, rx = (F.col(n) for n in (f"l{i}", f"l{i}x", f"r{i}", f"r{i}x"))
-
-        def pair(l: Column, r: Column) -> Column:
-            return F.when(
-                l != r,
-                F.struct(
-                    as_text(l, kind).alias("left_value"), as_text(r, kind).alias("right_value")
-                ),
-            )
-
-        cells.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.coalesce(pair(lo, ro), pair(lx, ro), pair(lo, rx)).alias("pair"),
-            )
-        )
-    ranked = Window.partitionBy("column").orderBy(key)
-    return (
-        keyed.folded(True)
-        .select(key, F.inline(F.array(*cells)))
-        .where(F.col("pair").isNotNull())
-        .withColumn("sample", F.row_number().over(ranked))
-        .where(F.col("sample") <= limit)
-        .select("column", "sample", key, "pair.left_value", "pair.right_value")
-    )
+    """The first ``limit`` keys per column with a differing pair, one pair per key."""
+    return _Keyed(left, right, key).samples(limit)
 
 
 # --- unkeyed values -------------------------------------------------------------
@@ -344,14 +391,26 @@ def keyed_samples(left: DataFrame, right: DataFrame, key: str, limit: int = 5) -
 def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows (common columns) that one side holds more often, with the surplus.
 
-    Counted in one pass over both sides, so equal rows cancel before anything is
-    compared, whatever their order and number.
+    Rows are first balanced by fingerprint, sixteen bytes each; only rows whose fingerprint may be out of
+    balance are then counted in full, so equal tables move no wide rows, whatever their order.
     """
     columns = common_columns(left, right)
     balance = F.col("_l") - F.col("_r")
     one, other = _alike(left, right, columns)
+    texts = [as_text(F.col(f"`{c}`"), one.schema[c].dataType) for c in columns]
+    cells = [
+        h
+        for c, text in zip(columns, texts, strict=True)
+        for h in lanes(F.col(f"`{c}`"), text, one.schema[c].dataType)
+    ]
+    # a missing value adds nothing to Spark's hash, so it gets a lane of its own
+    first, second = (F.xxhash64(*[F.coalesce(h, F.lit(i)) for i, h in enumerate(cells[k::2])]) for k in (0, 1))
+    marks = _stacked(*[df.select(first.alias("a"), second.alias("b")) for df in (one, other)], ["a", "b"])
+    uneven = marks.groupBy("_group").agg(F.sum(balance).alias("_balance")).where(F.col("_balance") != 0)
+    changed = bit_set(uneven.select("_group.a"))
+    one, other = (df.where(in_set(changed, first)) for df in (one, other))
     return (
-        _stacked(one, other, columns)
+        _stacked(one, other, [f"`{c}`" for c in columns])
         .groupBy("_group")
         .agg(F.sum(balance).alias("_balance"))
         .where(F.col("_balance") != 0)
@@ -363,11 +422,15 @@ def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def _alike(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _alike(
+    left: DataFrame, right: DataFrame, columns: Sequence[str], *others: str
+) -> tuple[DataFrame, DataFrame]:
+    """Both tables with their columns in the type in which they are compared, after ``others`` as they are."""
     pairs = [_comparable(left, right, c) for c in columns]
+    kept = [F.col(f"`{c}`") for c in others]
     return (
-        left.select(*[p[0].alias(c) for p, c in zip(pairs, columns, strict=True)]),
-        right.select(*[p[1].alias(c) for p, c in zip(pairs, columns, strict=True)]),
+        left.select(*kept, *[p[0].alias(c) for p, c in zip(pairs, columns, strict=True)]),
+        right.select(*kept, *[p[1].alias(c) for p, c in zip(pairs, columns, strict=True)]),
     )
 
 

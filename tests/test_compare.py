@@ -1,4 +1,5 @@
 import random
+import re
 import statistics
 from collections import Counter
 
@@ -8,6 +9,7 @@ from seriesloom.operators import compare as C
 from seriesloom.operators.fragments import exact_medians
 
 from .support import by
+from .test_plans import first_aggregates
 
 
 def test_schema_and_shape(spark):
@@ -211,9 +213,109 @@ def test_types_are_compared_by_one_rule(spark):
 
 
 def test_pair_counts_beyond_a_long(spark):
-    keyed = C._Keyed(spark.createDataFrame([(1, 1)], "k int, v int"), spark.createDataFrame([(1, 1)], "k int, v int"), "k")
-    kinds = {f.name: f.dataType.simpleString() for f in keyed.repeated_counts().schema}
+    a = spark.createDataFrame([(1, 1)], "k int, v int")
+    kinds = {f.name: f.dataType.simpleString() for f in C._Keyed(a, a, "k").counts().schema}
     assert kinds["pairs"] == kinds["unequal"] == "decimal(38,0)"
+    # more pairs than a fold multiplies, all of them equal
+    many = spark.range(70_000).selectExpr("1 as k", "2 as v")
+    (got,) = C.keyed_diff(many, many, "k").collect()
+    assert (got.pairs, got.differing, got.unequal) == (70_000**2, 0, 0)
+
+
+def scans(df):
+    """Scans of stored tables, each stage that is used again counted once."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    return len(re.findall(r"FileScan parquet", plan)), plan
+
+
+@pytest.fixture()
+def editions(spark, tmp_path):
+    """Two stored tables of wide rows with a hot key."""
+    rows = spark.range(4000).selectExpr("if(id % 3 = 0, 0, id) as k", "repeat(cast(id as string), 50) as wide", "id % 7 as n")
+    rows.write.parquet(f"{tmp_path}/a")
+    rows.selectExpr("k", "if(k = 40, 'changed', wide) as wide", "n").write.parquet(f"{tmp_path}/b")
+    return [spark.read.parquet(f"{tmp_path}/{x}") for x in "ab"]
+
+
+@pytest.mark.parametrize("report", ["values", "samples", "rows"])
+def test_two_scans_a_table_and_no_sorted_rows(spark, editions, report):
+    left, right = editions
+    key = None if report == "rows" else "k"
+    n, _ = scans(C.compare(left, right, key)[report])
+    assert n <= 4
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = C.compare(left, right, key)[report]._jdf.queryExecution().executedPlan()
+        assert set(first_aggregates(plan)) == {"HashAggregate"}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def wide_rows_written(df):
+    df.collect()
+    written = []
+
+    def walk(node):
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+        if node.nodeName() == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            walk(node.plan())
+        elif node.nodeName() == "Exchange" and "wide" in node.schema().simpleString():
+            written.append(node.metrics().apply("shuffleRecordsWritten").value())
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(written)
+
+
+def test_only_changed_rows_are_moved(spark, editions, tmp_path):
+    left, right = editions
+    assert wide_rows_written(C.multiset_diff(left, spark.read.parquet(f"{tmp_path}/a"))) == 0
+    changed = C.multiset_diff(left, right)
+    assert 2 <= wide_rows_written(changed) < 50
+    assert [(r.k, r.surplus) for r in changed.collect()] == [(40, 1), (40, 1)]
+
+
+def test_nulls_within_values_are_values(spark):
+    schema = "k int, l array<int>, s struct<a:int,b:int>, t string"
+    a = spark.createDataFrame([(1, [1, None, 2], (None, 1), ""), (2, [], None, None)], schema)
+    b = spark.createDataFrame([(1, [1, 2], (1, None), None), (2, None, (None, None), "")], schema)
+    got = {r.column: (r.differing, r.unequal) for r in C.keyed_diff(a, b, "k").collect()}
+    assert got == {"l": (1, 2), "s": (1, 2), "t": (0, 2)}
+    assert C.multiset_diff(a, b).count() == 4 and C.multiset_diff(a, a).count() == 0
+
+
+def test_whole_numbers_of_any_size(spark):
+    left = spark.range(1).selectExpr("1 as k", "2000000000000000000L as a", "9223372036854775807L as b", "cast('1e37' as decimal(38,0)) as c", "5L as d", "0L as e")
+    right = spark.range(1).selectExpr("1 as k", "2e18D as a", "9223372036854775807D as b", "1e37D as c", "1e300D as d", "-0.0D as e")
+    got = {r.column: r.differing for r in C.keyed_diff(left, right, "k").collect()}
+    assert got == {"a": 0, "b": 1, "c": int(int(1e37) != 10**37), "d": 1, "e": 0}
+    assert C.multiset_diff(left.select("a", "e"), right.select("a", "e")).count() == 0
+
+
+def test_hot_keys_in_fold_and_count(spark):
+    rng = random.Random(4)
+    left = [(0, rng.randrange(5)) for _ in range(3000)] + [(1, 7)] * 500 + [(2, None)] * 5 + [(i, i) for i in range(3, 900)]
+    right = [(0, rng.randrange(5)) for _ in range(1000)] + [(1, 7)] * 50 + [(2, 1)] * 4 + [(i, i + (i == 5)) for i in range(3, 900)]
+    a, b = (spark.createDataFrame(rows, "k int, v int") for rows in (left, right))
+    (got,) = C.keyed_diff(a, b, "k").collect()
+    assert (got.pairs, got.differing, got.unequal, got["rank"]) == (*brute_counts(left, right), 1)
+
+
+def brute_counts(left, right):
+    one, other = Counter(left), Counter(right)
+    pairs = differing = unequal = 0
+    for (k, v), n in one.items():
+        for (j, w), m in other.items():
+            if k == j:
+                pairs += n * m
+                differing += n * m * (v is not None and w is not None and v != w)
+                unequal += n * m * (v != w)
+    return pairs, differing, unequal
 
 
 def test_nothing_runs_when_reports_are_made(spark):
