@@ -9,8 +9,9 @@ Text is left out of elements that say by tag, role, class, id or style that they
 sidebars, notices, adverts, forms, comments of readers or hidden. A header inside an article stays, since it holds
 the title. Blocks are what block-level tags enclose; line breaks and other white space inside them become one space.
 
-Votes are summed before they are shuffled, so a host of any size is many small counts; the winners are joined by
-host, where Spark broadcasts them if they are small and splits a hot host if they are not.
+Votes are summed before they are shuffled, so a host of any size is many small counts. The winners are stored and
+measured: up to ``BROADCAST_CHARS`` they are broadcast and no page is moved, beyond it pages and winners are joined by
+host, where Spark splits a hot host.
 
 Defined results: a null or empty page gives an empty text, a null or malformed address belongs to the host ``''``; repeated
 rows vote and return one by one; ties between paths go to the one that sorts first; markup that is never closed ends
@@ -28,7 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import mapped
+from .shared import mapped, stored
+
+#: Winning paths up to this size, by count of characters, are sent to all tasks; larger ones are joined by shuffle.
+BROADCAST_CHARS = 8 << 20
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no markup; it is skipped up to the end tag.
@@ -339,7 +343,9 @@ def main_text(
         F.col(f"`{key}`").alias("key"), address.alias("url"), F.coalesce(host, F.lit("")).alias("host"),
         F.col(f"`{html}`").alias("html"),
     )
-    known = rows.join(winning_paths(rows, share), "host", "left")
+    winners = stored(winning_paths(rows, share))
+    size = winners.agg(F.sum(F.length("host") + F.length(F.array_join("paths", "")) + 100)).first()[0] or 0
+    known = rows.join(F.broadcast(winners) if size <= BROADCAST_CHARS else winners, "host", "left")
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"key {kind}, url string, text string, n_chars long"
     return mapped(known.select("key", "url", "html", "paths"), _texts, schema)

@@ -54,7 +54,9 @@ def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
 
-def test_host_agrees_on_a_path(spark):
+@pytest.mark.parametrize("limit", [8 << 20, 0])
+def test_host_agrees_on_a_path(spark, monkeypatch, limit):
+    monkeypatch.setattr(pagetext, "BROADCAST_CHARS", limit)
     page = "<div class='story-{}'><h1>T{}</h1><p>{}</div><div class='box'><p>{}</div>"
     rows = [(i, f"http://User@Host.example:80/{i}", page.format(i, i, LONG * 5, "box")) for i in range(30)]
     # by itself this page would vote for the box
