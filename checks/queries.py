@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from seriesloom import lookups
 from seriesloom.functions import expr as E
 from seriesloom.operators import compare as C
+from seriesloom.operators import fragments
 from seriesloom.operators.names import unknown_codes
 from seriesloom.plans import core, derived, geometry, mapping, modality, slide, versions
 from seriesloom.sources import publish
@@ -368,10 +369,10 @@ def latest_members(spark: SparkSession, d: str) -> DataFrame:
 def ordered_positions(spark: SparkSession, d: str) -> DataFrame:
     """The published CT order (NULLs last, first array element) as a rank per kernel."""
     index = modality.ct_index(instances(spark, d, CT_COLUMNS))
-    w = Window.partitionBy(E.first("ConvolutionKernel")).orderBy(
-        F.asc_nulls_last("KVP"), F.asc_nulls_last("SliceThickness"), F.asc("SeriesInstanceUID")
-    )
-    return index.select("SeriesInstanceUID", F.row_number().over(w).alias("place"))
+    sizes = [c for name in ("KVP", "SliceThickness") for c in (F.col(name).isNull(), F.col(name))]
+    rows = index.withColumn("_kernel", E.first("ConvolutionKernel"))
+    placed = fragments.with_position(rows, ["_kernel"], F.struct(*sizes, "SeriesInstanceUID"), "place")
+    return placed.select("SeriesInstanceUID", "place")
 
 
 def slice_positions(spark: SparkSession, d: str) -> DataFrame:

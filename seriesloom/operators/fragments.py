@@ -1,18 +1,20 @@
 """Order-sensitive work on groups of any size.
 
-A window over ``PARTITION BY key`` puts each key into one task.  Here the rows are
-range-partitioned on (key, order, tie) first, so a hot key is cut into many
-contiguous *fragments*.  Windows run inside a fragment, and what crosses a border is
-solved on one summary row per fragment: a key never has more of those than there are
-partitions.
+A window over ``PARTITION BY key`` puts each key into one task.  Here a hot key is cut into many
+contiguous *fragments* first.  Windows run inside a fragment, and what crosses a border is
+solved on one summary row per fragment.  Where rows only feed aggregates, they are cut by
+range-partitioning on (key, order, tie); where they are returned, only large keys are cut, at
+borders that are fixed beforehand, and each row is shuffled once.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FRAGMENT = "_fragment"
 
@@ -76,33 +78,140 @@ def gap_summary(rows: DataFrame, key: str, value: str, tie: Column) -> DataFrame
     )
 
 
+#: A key with more rows than this is cut into fragments of about as many.
+FRAGMENT_ROWS = 1_000_000
+#: Bound on the number of keys that are cut, and on the fragments of all of them beyond one each.
+FRAGMENTS = 4096
+#: Sampled rows from which a fragment's border is taken.
+SAMPLES = 20
+
+
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+    parts = [left[n].eqNullSafe(right[n]) for n in names]
+    return functools.reduce(Column.__and__, parts)
+
+
+def split_points(rows: DataFrame, keys: Sequence[str], order: Column) -> DataFrame | None:
+    """Borders of the fragments of large keys, as a local table (keys, ``_splits``); None without large keys.
+
+    ``order`` is an orderable value, unique within a key as far as its rows are unlike.  Borders come from a
+    sample, but are fixed when this function returns: every later use cuts the rows alike, and what
+    the sample was only decides how even the fragments are.  At most FRAGMENTS keys and twice as many
+    borders reach the driver.
+    """
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > FRAGMENT_ROWS)
+    large = counts.orderBy(F.desc("_n")).limit(FRAGMENTS).collect()
+    if not large:
+        return None
+    total = sum(r["_n"] for r in large)
+    each = max(FRAGMENT_ROWS, total // FRAGMENTS)
+    pieces = [(*r[:-1], -(-r["_n"] // each)) for r in large]
+    schema = T.StructType([counts.schema[k] for k in keys] + [T.StructField("_pieces", T.LongType())])
+    spark = rows.sparkSession
+    wanted = F.broadcast(spark.createDataFrame(pieces, schema))
+    share = min(1.0, SAMPLES * sum(p[-1] for p in pieces) / total)
+    kept = rows.select(*keys, order.alias("_order"))
+    sampled = kept.join(wanted, _same(kept, wanted, keys)).select(*[kept[k] for k in keys], "_order", "_pieces")
+    lists = sampled.sample(share, seed=7).groupBy(*keys, "_pieces").agg(F.sort_array(F.collect_list("_order")).alias("_s"))
+    points = F.transform(
+        F.sequence(F.lit(1).cast("long"), F.col("_pieces") - 1),
+        lambda i: F.get("_s", F.floor(i * F.size("_s") / F.col("_pieces")).cast("int")),
+    )
+    cut = lists.where("_pieces > 1").select(*keys, F.array_distinct(points).alias("_splits"))
+    return spark.createDataFrame(cut.collect(), cut.schema)
+
+
+def cut_at(rows: DataFrame, keys: Sequence[str], order: Column, splits: DataFrame | None) -> DataFrame:
+    """Add the fragment of each row, by binary search among its key's borders; other keys have the fragment 0."""
+    if splits is None:
+        return rows.withColumn(FRAGMENT, F.lit(0))
+    few = F.broadcast(splits)  # at most 2 * FRAGMENTS borders in all
+    steps = F.array(*[F.lit(1 << k) for k in range(FRAGMENTS.bit_length(), -1, -1)])
+    at = F.aggregate(
+        steps,
+        F.lit(0),
+        # the border before the place reached and stepped over is still at or below the row; none lies beyond the end
+        lambda at, step: at + F.when(F.get(few["_splits"], at + step - 1) <= order, step).otherwise(0),
+    )
+    joined = rows.join(few, _same(rows, few, keys), "left")
+    return joined.select(*[rows[c] for c in rows.columns], F.coalesce(at, F.lit(0)).alias(FRAGMENT))
+
+
+def _of_fragments(cut: DataFrame, keys: Sequence[str], splits: DataFrame, *aggs: Column) -> DataFrame:
+    """Aggregates of the fragments of large keys: at most one row for each border and each large key."""
+    few = F.broadcast(splits)
+    return cut.join(few, _same(cut, few, keys), "left_semi").groupBy(*keys, FRAGMENT).agg(*aggs)
+
+
 def with_next_value(
-    rows: DataFrame, key: str, value: str, tie: Column, next_name: str
+    rows: DataFrame, key: str, value: str, tie: Column, next_name: str, extent: Sequence[str] = ()
 ) -> DataFrame:
-    """Add the next value of the same key in sorted order (NULL values come first).
+    """Add the next value of the same key in sorted order (NULL values come first), and with
+    three names in ``extent`` the smallest and largest value and the number of rows of the key.
 
-    Inside a fragment this is an ordinary LEAD.  The last row of a fragment takes its
-    successor from a second window over the first and last rows of all fragments of
-    the key, at most two per partition.  Everything stays in one lineage: sampling the
-    ranges twice could cut the rows in two different ways.
+    Each row is shuffled once, by its key and fragment.  The last row of a fragment takes its
+    successor from a table of the large keys' fragments.  Runs its search for large keys when called.
     """
-    cut = fragmented(rows.withColumn("_tie", tie), [key], value, F.col("_tie"))
-    inside = Window.partitionBy(key, FRAGMENT).orderBy(value, "_tie")
+    tied = rows.withColumn("_tie", tie)
+    order = F.struct(F.col(value).isNotNull(), value, "_tie")
+    splits = split_points(tied, [key], order)
+    cut = cut_at(tied, [key], order, splits)
+    group = Window.partitionBy(key, FRAGMENT)
+    inside = group.orderBy(value, "_tie")
+    ends = [F.min(value), F.max(value), F.count(F.lit(1))]
+    names = ("_lo", "_hi", "_n")[: len(extent)]
     led = cut.select(
         "*",
         F.lead(value).over(inside).alias("_next"),
         F.lead(F.lit(1)).over(inside).isNull().alias("_is_last"),
-        F.lag(F.lit(1)).over(inside).isNull().alias("_is_first"),
-    ).withColumn(
-        "_lane", F.when(F.col("_is_last") | F.col("_is_first"), -1).otherwise(F.col(FRAGMENT))
+        *[end.over(group).alias(n) for end, n in zip(ends, names)],
     )
-    across = Window.partitionBy(key, "_lane").orderBy(value, "_tie")
-    return led.withColumn("_after", F.lead(value).over(across)).select(
-        *rows.columns,
-        F.when(F.col("_is_last"), F.col("_after"))
-        .otherwise(F.col("_next"))
-        .alias(next_name),
+    if splits is None:
+        return led.select(*rows.columns, F.col("_next").alias(next_name), *map(_renamed, names, extent))
+    first = F.when(~F.bool_or(F.col(value).isNull()), F.min(value)).alias("_first")
+    parts = _of_fragments(cut, [key], splits, first, *[end.alias(n) for end, n in zip(ends, ("_lo", "_hi", "_n"))])
+    across = Window.partitionBy(key)
+    table = parts.select(
+        F.col(key).alias("_key"),
+        F.col(FRAGMENT).alias("_at"),
+        F.lead("_first").over(across.orderBy(FRAGMENT)).alias("_after"),
+        *[f(n).over(across).alias(f"_all{n}") for f, n in zip((F.min, F.max, F.sum), names)],
+    )
+    known = led.join(F.broadcast(table), F.col(key).eqNullSafe(F.col("_key")) & (F.col(FRAGMENT) == F.col("_at")), "left")
+    whole = [F.when(F.col("_at").isNotNull(), F.col(f"_all{n}")).otherwise(F.col(n)).alias(n) for n in names]
+    return known.select(
+        *rows.columns, F.when(F.col("_is_last"), F.col("_after")).otherwise(F.col("_next")).alias(next_name), *whole
+    ).withColumnsRenamed(dict(zip(names, extent)))
+
+
+def _renamed(old: str, new: str) -> Column:
+    return F.col(old).alias(new)
+
+
+def with_position(rows: DataFrame, keys: Sequence[str], order: Column, name: str) -> DataFrame:
+    """Add each row's place, from 1, among the rows of its keys in the order of a struct.
+
+    Places within a fragment come from a window, those of the fragments before it from prefix sums
+    over the table of fragments, so no window holds a large key whole.  Rows that are equal in
+    the order may take each other's places.
+    """
+    splits = split_points(rows, keys, order)
+    cut = cut_at(rows, keys, order, splits)
+    inside = Window.partitionBy(*keys, FRAGMENT).orderBy(order)
+    placed = cut.select("*", F.row_number().over(inside).cast("long").alias("_place"))
+    if splits is None:
+        return placed.select(*rows.columns, F.col("_place").alias(name))
+    parts = _of_fragments(cut, keys, splits, F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(FRAGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    table = parts.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.col(FRAGMENT).alias("_at"),
+        F.sum("_n").over(before).alias("_before"),
     )
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    on = functools.reduce(Column.__and__, same) & (F.col(FRAGMENT) == F.col("_at"))
+    known = placed.join(F.broadcast(table), on, "left")
+    return known.select(*rows.columns, (F.col("_place") + F.coalesce("_before", F.lit(0))).alias(name))
 
 
 #: Ranges into which the search for a median cuts a bracket.

@@ -177,18 +177,13 @@ def volume_geometry_index(
 def slice_intervals(instances: DataFrame) -> DataFrame:
     """Per instance: distance to the next slice, and the spacing expected of the series."""
     rows = slice_positions(instances).select(SERIES, INSTANCE, "slice_position")
-    extent = rows.groupBy(SERIES).agg(
-        F.try_divide(
-            F.max("slice_position") - F.min("slice_position"), F.count(F.lit(1)) - 1
-        ).alias("expected_spacing")
-    )
     led = with_next_value(
-        rows, SERIES, "slice_position", F.col(INSTANCE), "next_position"
+        rows, SERIES, "slice_position", F.col(INSTANCE), "next_position", ("lowest", "highest", "n")
     )
-    return led.join(extent, SERIES).select(
+    return led.select(
         SERIES,
         INSTANCE,
         "slice_position",
         (F.col("next_position") - F.col("slice_position")).alias("slice_interval"),
-        "expected_spacing",
+        F.try_divide(F.col("highest") - F.col("lowest"), F.col("n") - 1).alias("expected_spacing"),
     )
