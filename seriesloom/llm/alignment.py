@@ -36,6 +36,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -460,8 +461,8 @@ _RESULT = "key long, n_a long, n_b long, n_groups long, n_links long, n_best lon
 
 def _answered(rows: pa.Table, answers: pa.Table) -> pa.Table:
     """Sums over the links of each document of a block."""
-    entries = rows.filter(pa.compute.is_valid(rows["pairs"])).to_pylist()
-    docs = rows.filter(pa.compute.is_null(rows["pairs"]))
+    entries = rows.filter(pc.is_valid(rows["pairs"])).to_pylist()
+    docs = rows.filter(pc.is_null(rows["pairs"]))
     first, members, times = (
         np.frombuffer(entries[0][c], t) for c, t in (("first", np.int64), ("members", np.int32), ("times", np.int64))
     )
