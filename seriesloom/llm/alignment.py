@@ -234,6 +234,10 @@ def vocabularies(a_path: str, b_path: str) -> Vocabularies:
     return Vocabularies(a_path, b_path)
 
 
+#: What a worker keeps between tasks that align texts.
+KEPT = (vocabularies,)
+
+
 def cut_places(text: str, chunk: int, pattern: re.Pattern[str]) -> list[int]:
     """Where ranges start: for each multiple of ``chunk`` the first place from there on, and the end of the text."""
     places = [0]
@@ -328,7 +332,7 @@ def _long_texts(rows: DataFrame, a_path: str, b_path: str, chunk: int) -> DataFr
     cut = stored(mapped(rows, lambda batches: _chunks(batches, chunk), _CHUNKS))
     most = cut.agg(F.max("number")).first()[0]
     # chunks of one text go to different tasks
-    parts = mapped(cut.repartition("row", "number"), encode, _FRAGMENTS)
+    parts = mapped(cut.repartition("row", "number"), encode, _FRAGMENTS, vocabulary=True)
     while most:
         parts = parts.withColumn("_up", F.floor(F.col("number") / FAN))
         parts = parts.groupBy("row", "_up").applyInArrow(compose, _FRAGMENTS)
@@ -442,7 +446,7 @@ def _blocks(texts: DataFrame, a_path: str, b_path: str, block: int) -> DataFrame
         if own.rows:
             yield from own.batches()
 
-    return mapped(texts, dealt, _BLOCKS)
+    return mapped(texts, dealt, _BLOCKS, vocabulary=True)
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

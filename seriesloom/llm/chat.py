@@ -79,6 +79,10 @@ def _tokenizer(path: str):
     return out
 
 
+#: What a worker keeps between tasks that format conversations.
+KEPT = (_tokenizer,)
+
+
 def masked(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
     """Whether each token lies in one of the sorted spans."""
     if not spans:
@@ -136,4 +140,4 @@ def formatted(
         if done:
             yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
 
-    return mapped(named, run, FORMATTED)
+    return mapped(named, run, FORMATTED, vocabulary=True)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import text as X
 from .components import components
-from .shared import mapped, stored
+from .shared import mapped, numbered, stored
 
 BANDS, ROWS = 48, 6
 REGISTERS = BANDS * ROWS
@@ -338,10 +338,20 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns; rows equal in id and text stay once."""
-    key, text = options.get("key", "doc_id"), options.get("text", "text")
-    found = near_duplicates(docs, **options)
-    dropped = found.where(~F.col("kept")).select(F.col("doc").alias("_doc")).distinct()
-    left = docs.join(dropped, F.col(f"`{key}`").cast("long") == F.col("_doc"), "left_anti")
-    return left.dropDuplicates([key, text])
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns.
+
+    Rows equal in id and text stay once, with the smallest values of the other columns, taken together; rows without
+    an id all stay. Other columns may be of any name, but must not be maps.
+    """
+    found = near_duplicates(docs, key=key, text=text, **options)
+    rows, names, back = numbered(docs)
+    dropped = found.where(~F.col("kept")).select(F.col("doc").alias("dropped")).distinct()
+    left = rows.join(dropped, F.col(names[key]).cast("long") == F.col("dropped"), "left_anti")
+    alone = F.when(F.col(names[key]).isNull(), F.monotonically_increasing_id())
+    others = [n for c, n in names.items() if c not in (key, text)]
+    grouped = left.withColumn("alone", alone).groupBy(names[key], names[text], "alone")
+    if not others:
+        return grouped.agg(F.count(F.lit(1))).select(*back)
+    least = grouped.agg(F.min(F.struct(*others)).alias("least"))
+    return least.select(names[key], names[text], *[F.col(f"least.{n}").alias(n) for n in others]).select(*back)

@@ -103,7 +103,7 @@ def tokenised(docs: DataFrame, vocabulary: str, key: str, text: str) -> DataFram
             )
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
-    return mapped(rows, run, "curve long, doc long, tokens long, ids binary")
+    return mapped(rows, run, "curve long, doc long, tokens long, ids binary", vocabulary=True)
 
 
 class Stream:

@@ -11,8 +11,11 @@ against good documents is used; a rule that brings nothing, or has too few label
 
 Defined results: null and empty texts have no words and fail the base rule; a null stratum is a
 stratum of its own; labels other than 0 and 1, and labels of unknown documents, count for nothing;
-without labels only the base rule acts. Rows repeated in the input are judged one by one. Other
-columns of the input are carried along, also when their names equal those of measures.
+without labels only the base rule acts. Rows repeated in the input are judged one by one, but the binomial
+bound needs trials that do not repeat: equal texts of a stratum are one trial however often they or their labels
+occur, and none where their labels disagree. Texts of any length are measured whole. Other
+columns of the input are carried along, also when their names equal those of measures; only columns named like
+the three that are added make way for them.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text as X
-from .shared import mapped, ship, stored
+from .shared import mapped, numbered, ship, stored
 
 #: Measures as whole numbers per document.
 COUNTS = (
@@ -50,6 +53,9 @@ RULES = {
 GOOD_WEIGHT = 50
 
 _MEASURES = "_measures"
+_ADDED = (_MEASURES, "_base_failed", "_kept")
+#: Beside the counts, a hash of the text, by which equal texts count as one trial.
+_SAME = "same_text"
 
 
 def _per_text(first: np.ndarray, flags: np.ndarray) -> np.ndarray:
@@ -102,6 +108,7 @@ def measure(column: pa.Array) -> dict[str, np.ndarray]:
     line_owner, line_begin, line_end = line_owner[filled], line_begin[filled], line_end[filled]
     lines = X.span_hashes(data, line_begin, line_end) ^ salt[line_owner]
     n = len(first) - 1
+    same = X.span_hashes(data, first[:-1], first[1:])
     upper = (data >= 65) & (data <= 90)
     return {
         "n_words": np.diff(w.first),
@@ -114,23 +121,24 @@ def measure(column: pa.Array) -> dict[str, np.ndarray]:
         "n_letters": _per_text(first, upper | ((data >= 97) & (data <= 122))),
         "n_shouts": _per_text(first, data == 33),
         "n_digits": _per_text(first, (data >= 48) & (data <= 57)),
+        _SAME: same.view(np.int64),
     }
 
 
 def with_measures(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The columns ``carry`` (all where None) and a struct of COUNTS, for every row."""
-    carry = docs.columns if carry is None else carry
+    carry = [c for c in (docs.columns if carry is None else carry) if c != _MEASURES]
     read = [F.col(f"`{c}`") for c in carry] + [F.col(f"`{text}`").alias("_text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in X.slices(batches, "_text"):
             found = measure(batch.column(batch.num_columns - 1))
-            columns = [pa.array(found[c], pa.int64()) for c in COUNTS]
-            struct = pa.StructArray.from_arrays(columns, list(COUNTS))
+            names = [*COUNTS, _SAME]
+            struct = pa.StructArray.from_arrays([pa.array(found[c], pa.int64()) for c in names], names)
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, struct], [*carry, _MEASURES])
 
-    counts = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
+    counts = T.StructType([T.StructField(c, T.LongType()) for c in (*COUNTS, _SAME)])
     fields = [T.StructField(c, docs.schema[c].dataType) for c in carry]
     return mapped(docs.select(read), run, T.StructType([*fields, T.StructField(_MEASURES, counts)]))
 
@@ -182,6 +190,9 @@ def cutoffs(
     marks = labels.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{label}`").alias("_label"))
     joined = judged.join(marks, F.col("_id") == F.col("_key")).where(F.col("_label").isin(0, 1))
     joined = joined.where(~base_failed(F.col(f"{_MEASURES}.n_words"), F.col(f"{_MEASURES}.n_repeat_words")))
+    # one trial for each text of a stratum
+    joined = joined.groupBy("_stratum", _MEASURES).agg(F.min("_label").alias("_label"), F.max("_label").alias("_most"))
+    joined = joined.where(F.col("_label") == F.col("_most"))
     good = F.col("_label") == 1
     counts = [F.count(F.when(good, 1)).alias("good")]
     for rule, (_, _, grid) in RULES.items():
@@ -228,7 +239,7 @@ def judged(
     measured: DataFrame | None = None,
 ) -> DataFrame:
     """Each row with the columns ``carry``, ``_measures``, ``_base_failed`` and ``_kept``."""
-    wanted = docs.columns if carry is None else carry
+    wanted = [c for c in (docs.columns if carry is None else carry) if c not in _ADDED]
     held = [key] if key == stratum else [key, stratum]
     if measured is None:
         chosen_from = with_measures(docs, text, held)
@@ -252,6 +263,14 @@ def judged(
     )
 
 
-def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, with their columns."""
-    return judged(docs, labels, **options).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+def accepted(
+    docs: DataFrame, labels: DataFrame, *, text: str = "text", stratum: str = "lang", key: str = "doc_id",
+    label: str = "quality", **limits: float,
+) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with their columns, whatever these are called."""
+    rows, names, back = numbered(docs)
+    marks = labels.select(F.col(f"`{key}`").alias(names[key]), F.col(f"`{label}`").alias("label"))
+    out = judged(
+        rows, marks, text=names[text], stratum=names[stratum], key=names[key], label="label", **limits
+    )
+    return out.where("_kept").select(*back)

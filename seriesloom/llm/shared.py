@@ -4,13 +4,18 @@ own code for the executors.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import sys
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _own: dict[str, str] = {}
@@ -31,10 +36,47 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def mapped(frame: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
-    """``frame.mapInArrow`` with this package at hand on the executors."""
+def mapped(
+    frame: DataFrame, function: Callable, schema: T.StructType | str, vocabulary: bool = False
+) -> DataFrame:
+    """``frame.mapInArrow`` with this package at hand on the executors.
+
+    Workers outlive tasks and go from one stage to the next. What they keep for encoding texts stays only while
+    they run functions that use a ``vocabulary``, and memory that a task has freed goes back to the system.
+    """
     ship(frame.sparkSession)
-    return frame.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not vocabulary:
+            forget()
+        yield from function(batches)
+        release()
+
+    return frame.mapInArrow(run, schema)
+
+
+def numbered(frame: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """The rows with columns ``c0``, ``c1``, ..., the new name of each column, and what gives the old ones back.
+
+    Stages work on these, so that names of the input cannot clash with names of their own.
+    """
+    names = {c: f"c{i}" for i, c in enumerate(frame.columns)}
+    return frame.toDF(*names.values()), names, [F.col(n).alias(c) for c, n in names.items()]
+
+
+def forget() -> None:
+    """Drop the encoders that this worker keeps."""
+    for name in ("tokens", "alignment", "chat"):
+        module = sys.modules.get(f"{__package__}.{name}")
+        for kept in getattr(module, "KEPT", ()):
+            kept.cache_clear()
+
+
+def release() -> None:
+    """Give freed memory back to the system, where the platform can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def shared_folder(spark: SparkSession) -> str:

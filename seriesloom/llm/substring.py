@@ -272,9 +272,10 @@ def without_repeats(
 ) -> DataFrame:
     """The columns ``carry`` (all where None), then ``_n_words``, ``_n_removed`` and ``_kept``.
 
-    ``_kept`` is what is left of the text: the kept words, joined by one space.
+    ``_kept`` is what is left of the text: the kept words, joined by one space. Columns of these names that the
+    input has are left out.
     """
-    carry = docs.columns if carry is None else carry
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in ("_n_words", "_n_removed", "_kept")]
     spans = repeated_spans(docs, window=window, key=key, text=text)
     if carry == [key]:
         joined = _named(docs, key, text).join(spans, "doc", "left").select(F.col("doc").alias(key), "body", "spans")

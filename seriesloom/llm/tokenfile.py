@@ -146,7 +146,7 @@ def write(docs: DataFrame, folder: str, *, vocabulary: str, key: str = "doc_id",
 
     short = named.where(F.octet_length("text") <= SAMPLE_BYTES)
     sample = short.orderBy(F.xxhash64("doc"), "doc", "text").limit(SAMPLE)
-    dictionary = trained([row.ids for row in mapped(sample, serialized, "ids binary").collect()])
+    dictionary = trained([row.ids for row in mapped(sample, serialized, "ids binary", vocabulary=True).collect()])
     _saved(folder, "dictionary", dictionary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +169,7 @@ def write(docs: DataFrame, folder: str, *, vocabulary: str, key: str = "doc_id",
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "docs": [count], "tokens": [tokens]})
 
     ranges = named.repartitionByRange("doc", F.xxhash64("text")).sortWithinPartitions("doc", "text")
-    files = mapped(ranges, run, "part long, file string, docs long, tokens long")
+    files = mapped(ranges, run, "part long, file string, docs long, tokens long", vocabulary=True)
     return stored(files)
 
 

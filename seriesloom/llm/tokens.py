@@ -3,7 +3,8 @@
 Byte-level BPE cuts a text by a pattern whose matches never run from a visible character into white
 space. A text may therefore be cut before any white space that follows a visible character, and the
 ids of the parts put together. Parts recur, so each worker keeps the ids of the first CACHE distinct
-ones; the rest are encoded in one call per batch and told apart by the byte length of each id.
+ones; the rest are encoded in one call per batch and told apart by the byte length of each id. Strings of special
+tokens inside a text become these tokens, as the library does by default.
 """
 
 from __future__ import annotations
@@ -52,7 +53,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
         self.width = np.zeros(size, np.int64)
         for token, number in self.tokenizer.get_vocab().items():
@@ -102,3 +102,7 @@ class Encoder:
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
+
+
+#: What a worker keeps between tasks that encode texts.
+KEPT = (encoder,)

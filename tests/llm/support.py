@@ -17,7 +17,7 @@ DOCS = T.StructType(
 ODD_TEXTS = [
     None, "", " ", "\n", "one", "\t a\x0bb\x0c c\r\n", "a b c d e a b c d e", "x\n\nx\ny\nx",
     "a\xa0b 　 c\x1cd", "é È Éa " * 30, "word " * 3000, "A#*b $%& |<>\nA#*b $%& |<>",
-    "<|endoftext|> </s>[INST] x", "日本語 テキスト 日本語 テキスト", "no end\n", "\nstart", "UP! UP! UP! UP!",
+    "<|endoftext|> </s>[INST] x", "a <|endoftext|> b<|endoftext|><|endoftext|>\n c<|endoftext|>", "日本語 テキスト 日本語 テキスト", "no end\n", "\nstart", "UP! UP! UP! UP!",
 ]
 
 

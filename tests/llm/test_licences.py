@@ -58,6 +58,8 @@ def test_size_bounds_lose_nothing():
 
 def test_repeated_rows_and_empty_tables(spark):
     docs = documents(spark, [licences.NOTICES["MIT"]])
-    assert licences.scanned(docs.union(docs)).count() == 1
+    assert licences.scanned(docs.union(docs)).count() == 2
+    unnamed = spark.createDataFrame([(None, licences.NOTICES[n]) for n in ("MIT", "ISC")], "doc_id long, text string")
+    assert {r.licence for r in licences.scanned(unnamed).collect()} == {"MIT", "ISC"}
     assert licences.scanned(docs.limit(0)).count() == 0
     assert licences.scanned(docs, {}).count() == 0

@@ -18,7 +18,6 @@ FILE = vocabulary("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def tokenizer():
     out = Tokenizer.from_file(FILE)
-    out.encode_special_tokens = True
     return out
 
 

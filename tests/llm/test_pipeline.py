@@ -59,7 +59,6 @@ def test_whole_pipeline_against_brute_force(spark, tmp_path):
     assert hits
     left = {i: t for i, t in left.items() if i not in hits}
     tokenizer = Tokenizer.from_file(vocabulary(corpus_pipeline.VOCABULARY))
-    tokenizer.encode_special_tokens = True
     pieces = defaultdict(list)
     for r in corpus_pipeline.run(spark, folder).collect():
         pieces[r.doc_id].append((r.start, r.ids))
@@ -74,6 +73,8 @@ def test_stage_handles_empty_tables_nulls_and_extra_columns(spark, tmp_path, nam
     docs = documents(spark, [*ODD_TEXTS, None])
     docs = docs.union(docs.selectExpr("cast(null as long)", "text", "lang", "source", "n_chars"))
     docs = docs.selectExpr("*", "doc_id as doc", "text as component", "lang as spans", "1 as _stratum")
+    clashing = ("_measures", "_kept", "_n_words", "_n_removed", "_doc", "_base_failed", "_c0", "c1", "dropped", "alone")
+    docs = docs.selectExpr("*", *[f"{i} as {name}" for i, name in enumerate(clashing)])
     folder = write(spark, tmp_path, documents(spark, []), [], [])
     for frame in (docs, docs.limit(0), docs.union(docs)):
         out = stage(spark, frame, folder)

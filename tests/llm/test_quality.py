@@ -1,5 +1,7 @@
+import math
 import random
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 
@@ -61,6 +63,88 @@ def test_rules_catch_junk_and_keep_the_rest(spark):
     assert left.columns == docs.columns and left.count() == 2000
 
 
+def verdicts(texts, langs, labels, alpha=0.01, delta=0.05):
+    """Which texts stay, by the definition: exact sums of fractions, one trial for each text of a language."""
+    rows = []
+    for text in texts:
+        m = expected(text)
+        lines = [line for line in (text or "").split("\n") if words(line)]
+        m |= {
+            "n_lines": len(lines),
+            "n_upper": sum("A" <= c <= "Z" for c in text or ""),
+            "n_letters": sum("A" <= c <= "Z" or "a" <= c <= "z" for c in text or ""),
+            "n_shouts": (text or "").count("!"),
+            "n_digits": sum("0" <= c <= "9" for c in text or ""),
+        }
+        rows.append(m)
+    failed = [m["n_words"] < 10 or 100 * m["n_repeat_words"] > 20 * m["n_words"] for m in rows]
+
+    def over(i, rule, cutoff):
+        top, bottom, _ = quality.RULES[rule]
+        return rows[i][bottom] > 0 and rows[i][top] / rows[i][bottom] > cutoff
+
+    trials = {}
+    for doc, mark in labels:
+        if doc is not None and 0 <= doc < len(texts) and mark in (0, 1) and not failed[doc]:
+            trials.setdefault(langs[doc], {}).setdefault(texts[doc], (doc, set()))[1].add(mark)
+    level = Fraction(delta) / (max(len(trials), 1) * len(quality.RULES))
+    a = Fraction(alpha)
+    cut = {}
+    for lang, group in trials.items():
+        good = [d for d, marks in group.values() if marks == {1}]
+        bad = [d for d, marks in group.values() if marks == {0}]
+        for rule, (_, _, grid) in quality.RULES.items():
+            best = 0
+            for cutoff in grid:
+                lost = sum(over(d, rule, cutoff) for d in good)
+                n = len(good)
+                tail = sum(math.comb(n, k) * a**k * (1 - a) ** (n - k) for k in range(lost + 1))
+                if n == 0 or lost > a * n or tail > level:
+                    break
+                gain = sum(over(d, rule, cutoff) for d in bad) - quality.GOOD_WEIGHT * lost
+                if gain > best:
+                    best, cut[lang, rule] = gain, cutoff
+    return [
+        not failed[i] and not any(over(i, r, cut[langs[i], r]) for r in quality.RULES if (langs[i], r) in cut)
+        for i in range(len(texts))
+    ]
+
+
+def marked(rng, n, junk):
+    """Documents and labels with repeats, conflicts and labels of nothing."""
+    texts = [f"plain text number {i} with {rng.choice('!abc')} more of them to read here today" for i in range(n)]
+    texts += [f"LOUD!! $$$ ### {i} " + " ".join(rng.choice(["a", "B!", "||", "7"]) for _ in range(12)) for i in range(junk)]
+    labels = [(i, int(i < n)) for i in range(n + junk)]
+    labels += [rng.choice(labels) for _ in range(300)] + [(3, 0), (4, None), (5, 7), (None, 1), (10**6, 1)]
+    texts += [texts[rng.randrange(n)] for _ in range(100)]
+    labels += [(len(texts) - 1, 0), (len(texts) - 2, 1)]
+    return texts, labels
+
+
+@pytest.mark.parametrize(("n", "junk"), [(30, 30), (900, 120), (2500, 100)])
+def test_verdicts_against_their_definition(spark, n, junk):
+    rng = random.Random(n)
+    texts, labels = marked(rng, n, junk)
+    langs = [rng.choice(["en", "en", "en", "de", None]) for _ in texts]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(zip(texts, langs, strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r.doc_id: r["_kept"] for r in quality.judged(docs, marks).collect()}
+    assert [got[i] for i in range(len(texts))] == verdicts(texts, langs, labels)
+
+
+def test_repeated_labels_prove_nothing(spark):
+    good = [f"plain words number {i} and some more of them to read here" for i in range(30)]
+    junk = [f"$$${i} $$$ $$$ a{i} b c d e f g h ### |||" for i in range(30)]
+    docs = documents(spark, good + junk)
+    labels = spark.createDataFrame([(i, int(i < 30)) for i in range(60)] * 32, "doc_id long, quality int")
+    assert quality.accepted(docs, labels).count() == 60
+    # nor do repeated documents
+    many = documents(spark, (good + junk) * 32)
+    labels = spark.createDataFrame([(i, int(i % 60 < 30)) for i in range(60 * 32)], "doc_id long, quality int")
+    assert quality.accepted(many, labels).count() == 60 * 32
+
+
 def test_empty_tables_and_null_strata(spark):
     labels = spark.createDataFrame([(1, 1), (None, 0), (1, None)], "doc_id long, quality int")
     docs = documents(spark, ["ten words are in this text so that it stays", None], lang=None)

@@ -14,7 +14,6 @@ FILE = vocabulary("byte_bpe_50k.json")
 
 def expected(texts):
     tokenizer = Tokenizer.from_file(FILE)
-    tokenizer.encode_special_tokens = True
     return [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes() for t in texts]
 
 
