@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.llm import decontaminate, neardup, pack, quality, substring
-from seriesloom.llm.shared import stored
+from seriesloom.llm.shared import numbered, stored
 from seriesloom.llm.tokens import vocabulary
 
 #: Words of a passage that counts as repeated.
@@ -39,15 +39,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     A text that loses nothing stays as it is; of others the kept words are joined by one space, and a
     text that loses everything is empty. ``n_chars`` follows the text.
     """
-    found = substring.without_repeats(docs, window=PASSAGE_WORDS)
+    rows, names, back = numbered(docs)
+    found = substring.without_repeats(rows, window=PASSAGE_WORDS, key=names["doc_id"], text=names["text"])
     changed = F.col("_n_removed") > 0
-    text = F.when(changed, F.col("_kept")).otherwise(F.col("text"))
-    rewritten = {"text": text}
-    if "n_chars" in docs.columns:
-        rewritten["n_chars"] = F.when(changed, F.length("_kept")).otherwise(F.col("n_chars")).cast(
-            docs.schema["n_chars"].dataType
-        )
-    return found.withColumns(rewritten).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rewritten = {names["text"]: F.when(changed, F.col("_kept")).otherwise(F.col(names["text"]))}
+    if "n_chars" in names:
+        chars = F.when(changed, F.length("_kept")).otherwise(F.col(names["n_chars"]))
+        rewritten[names["n_chars"]] = chars.cast(docs.schema["n_chars"].dataType)
+    return found.withColumns(rewritten).select(*back)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
