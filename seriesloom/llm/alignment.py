@@ -30,7 +30,6 @@ import functools
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -53,92 +52,93 @@ _WORDS = re.compile(r"\s*\S+(?:[^\S \n]\s*(?:\S+|\Z))*|\s+")
 _CUT_B = re.compile(r"(?<=\S)(?=[ \n])")
 _CUT_A = re.compile(r"(?<=\S)(?=[ \n])|(?<=[A-Za-z])(?=[\x00-@\[-`{-\x7f])")
 
-Tokens = list[tuple[int, int]]
+class Tokens(NamedTuple):
+    """Ids of consecutive tokens and the byte offsets where they end."""
 
+    ids: np.ndarray
+    ends: np.ndarray
 
-class Word(NamedTuple):
-    """An aligned stretch of text: its groups as text, and how many tokens, groups and links it has."""
+    def __getitem__(self, part: slice) -> Tokens:
+        return Tokens(self.ids[part], self.ends[part])
 
-    groups: str
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
+    def and_then(self, other: Tokens) -> Tokens:
+        return Tokens(np.concatenate([self.ids, other.ids]), np.concatenate([self.ends, other.ends]))
+
+    def up_to(self, end: int) -> int:
+        """How many tokens end by an offset."""
+        return int(np.searchsorted(self.ends, end, "right"))
 
 
 class Fragment(NamedTuple):
-    """Tokens ``(id, end offset)`` of a byte range. Not ``cut``: no common end, all tokens are in the head."""
+    """Tokens of a byte range. Not ``cut``: no common end, all tokens are in the head."""
 
     cut: bool
     head: tuple[Tokens, Tokens]
     closed: list[str]
-    sums: tuple[int, int, int, int]
     tail: tuple[Tokens, Tokens]
 
 
-def _group(a: Tokens, b: Tokens) -> tuple[str, tuple[int, int, int, int]]:
-    ids = (",".join(str(i) for i, _ in side) for side in (a, b))
-    return "|".join(ids), (len(a), len(b), 1, len(a) * len(b))
+_NO_TOKENS = Tokens(np.empty(0, np.int64), np.empty(0, np.int64))
 
 
-def _added(*sums: tuple[int, int, int, int]) -> tuple[int, int, int, int]:
-    return tuple(map(sum, zip(*sums, strict=True)))
+@functools.lru_cache(maxsize=1)
+def _written(size: int) -> list[np.ndarray]:
+    """Texts of all ids below ``size``, each before a comma, a bar, a semicolon and a line end."""
+    texts = [str(i) for i in range(size)]
+    return [np.array([t + mark for t in texts], object) for mark in ",|;\n"]
 
 
-_NOTHING = (0, 0, 0, 0)
+def group_texts(a: Tokens, b: Tokens, common: np.ndarray, lasts: np.ndarray) -> list[str]:
+    """Groups as text, cut into lists after the common ends ``lasts``; both end with the last common end."""
+    if not len(common):
+        return []
+    size = 1 << int(max(a.ids.max(), b.ids.max(), 1)).bit_length()
+    comma, bar, semicolon, line = _written(max(size, 1 << 16))
+    of_a, of_b = np.searchsorted(common, a.ends), np.searchsorted(common, b.ends)
+    n_a, n_b = np.bincount(of_a, minlength=len(common)), np.bincount(of_b, minlength=len(common))
+    out = np.empty(len(a.ids) + len(b.ids), object)
+    out[np.arange(len(a.ids)) + (np.cumsum(n_b) - n_b)[of_a]] = np.where(
+        a.ends == common[of_a], bar[a.ids], comma[a.ids]
+    )
+    closes, ends_list = b.ends == common[of_b], np.isin(b.ends, lasts)
+    out[np.arange(len(b.ids)) + np.cumsum(n_a)[of_b]] = np.where(
+        ends_list, line[b.ids], np.where(closes, semicolon[b.ids], comma[b.ids])
+    )
+    return "".join(out.tolist()).removesuffix("\n").split("\n")
 
 
 def fragment(a: Tokens, b: Tokens) -> Fragment:
     """The fragment of a range's tokens, in order."""
-    common = {end for _, end in a} & {end for _, end in b}
-    if not common:
-        return Fragment(False, (a, b), [], _NOTHING, ([], []))
-    pieces: list[tuple[Tokens, Tokens]] = []
-    at = [0, 0]
-    for end in sorted(common):
-        piece = []
-        for side, tokens in enumerate((a, b)):
-            start = stop = at[side]
-            while tokens[stop][1] != end:
-                stop += 1
-            piece.append(tokens[start : stop + 1])
-            at[side] = stop + 1
-        pieces.append((piece[0], piece[1]))
-    texts, sums = [], [_NOTHING]
-    for piece in pieces[1:]:
-        text, own = _group(*piece)
-        texts.append(text)
-        sums.append(own)
-    closed = [";".join(texts)] if texts else []
-    return Fragment(True, pieces[0], closed, _added(*sums), (a[at[0] :], b[at[1] :]))
+    common = np.intersect1d(a.ends, b.ends, assume_unique=True)
+    if not len(common):
+        return Fragment(False, (a, b), [], (_NO_TOKENS, _NO_TOKENS))
+    first, last = [(t.up_to(common[0]), t.up_to(common[-1])) for t in (a, b)]
+    closed = group_texts(a[first[0] : first[1]], b[last[0] : last[1]], common[1:], common[-1:])
+    return Fragment(True, (a[: first[0]], b[: last[0]]), closed, (a[first[1] :], b[last[1] :]))
+
+
+def _one_group(a: Tokens, b: Tokens) -> str:
+    return "|".join(",".join(map(str, t.ids.tolist())) for t in (a, b))
 
 
 def composed(x: Fragment, y: Fragment) -> Fragment:
     """The fragment of two neighbouring ranges."""
     left = x.tail if x.cut else x.head
-    joint = fragment(left[0] + y.head[0], left[1] + y.head[1])
+    joint = fragment(left[0].and_then(y.head[0]), left[1].and_then(y.head[1]))
     if not x.cut and not y.cut:
         return joint
     if x.cut and not joint.cut:
         return x._replace(tail=joint.head)
-    closed, sums, head = x.closed, x.sums, x.head
-    if x.cut:
-        text, own = _group(*joint.head)
-        closed, sums = [*closed, text], _added(sums, own)
-    else:
-        head = joint.head
-    closed, sums = closed + joint.closed, _added(sums, joint.sums)
-    if not y.cut:
-        return Fragment(True, head, closed, sums, joint.tail)
-    return Fragment(True, head, closed + y.closed, _added(sums, y.sums), y.tail)
-
-
-def whole(x: Fragment) -> Word | None:
-    """All groups of a fragment that covers a whole text; None if its ends do not meet."""
-    if not x.cut or x.tail != ([], []):
+    closed, head = (x.closed + [_one_group(*joint.head)], x.head) if x.cut else ([], joint.head)
+    closed = closed + joint.closed
+    return Fragment(True, head, closed + y.closed if y.cut else closed, y.tail if y.cut else joint.tail)
+
+
+def whole(x: Fragment) -> str | None:
+    """All groups of a fragment that covers a whole text, as text; None if its ends do not meet."""
+    if not x.cut or any(len(t.ids) for t in x.tail):
         return None
-    text, own = _group(*x.head)
-    return Word(";".join([text, *x.closed]), *_added(own, x.sums))
+    return ";".join([_one_group(*x.head), *x.closed])
 
 
 def _byte_of() -> dict[str, int]:
@@ -171,61 +171,74 @@ class Vocabularies:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
+        self.widths = [np.array([len(t) for t in spelled], np.int64) for spelled in (self.a_bytes, self.b_bytes)]
         self.space = self.b.piece_to_id("▁")
-        self.known: dict[str, Word | None] = {}
+        self.known: dict[str, str | None] = {}
         self.held = 0
 
-    def a_tokens(self, texts: list[str], at: list[int]) -> list[Tokens | None]:
-        found = self.a.encode_batch_fast(texts, add_special_tokens=False)
-        return [self._placed(one.ids, self.a_bytes, t, p) for one, t, p in zip(found, texts, at, strict=True)]
-
-    def b_tokens(self, texts: list[str], at: list[int]) -> list[Tokens | None]:
-        """``texts`` start with a space or a line end; the vocabulary puts a space before what it encodes."""
-        bare = [t[1:] if t[0] == " " else t for t in texts]
-        # an empty text gets no space, so it is no token either
-        found = self.b.encode(bare, num_threads=1)
-        out = []
-        for ids, raw, text, p in zip(found, bare, texts, at, strict=True):
-            if text[0] != " ":
-                if ids[0] != self.space:
-                    raise ValueError("a piece reaches beyond the start of a line")
-                ids = ids[1:]
-            elif not raw:
-                ids = [self.space]
-            out.append(self._placed(ids, self.b_bytes, text, p))
-        return out
+    def a_tokens(self, text: str, at: int = 0) -> Tokens | None:
+        ids = self.a.encode(text, add_special_tokens=False).ids
+        return self._placed(ids, self.a_bytes, self.widths[0], text, at)
+
+    def b_tokens(self, text: str, at: int = 0) -> Tokens | None:
+        """``text`` starts with a space or a line end; the vocabulary puts a space before what it encodes."""
+        if text == " ":
+            # an empty text gets no space
+            ids = [self.space]
+        elif text[0] == " ":
+            ids = self.b.encode(text[1:])
+        else:
+            ids = self.b.encode(text)
+            if ids[0] != self.space:
+                raise ValueError("a piece reaches beyond the start of a line")
+            ids = ids[1:]
+        return self._placed(ids, self.b_bytes, self.widths[1], text, at)
 
     @staticmethod
-    def _placed(ids: list[int], spelled: list[bytes], text: str, at: int) -> Tokens | None:
+    def _placed(ids: list[int], spelled: list[bytes], widths: np.ndarray, text: str, at: int) -> Tokens | None:
         """Tokens with their end offsets; None if they do not spell the text."""
-        parts = [spelled[i] for i in ids]
-        if b"".join(parts) != text.encode():
+        if b"".join([spelled[i] for i in ids]) != text.encode():
             return None
-        out = []
-        for i, part in zip(ids, parts, strict=True):
-            at += len(part)
-            out.append((i, at))
+        numbers = np.array(ids, np.int64)
+        return Tokens(numbers, at + np.cumsum(widths[numbers]))
+
+    def _aligned(self, words: list[str]) -> list[str | None]:
+        """Groups of words that can stand side by side, by encoding them in one go."""
+        text = "".join(words)
+        a, b = self.a_tokens(text), self.b_tokens(text)
+        if a is None or b is None:
+            # some word is not spelled
+            return [None] if len(words) == 1 else [one for w in words for one in self._aligned([w])]
+        ends = np.cumsum([len(w.encode()) for w in words])
+        common = np.intersect1d(a.ends, b.ends, assume_unique=True)
+        out = group_texts(a, b, common, ends)
+        if len(out) != len(words):
+            raise ValueError("a token crosses the border of two words")
         return out
 
-    def words(self, texts: list[str]) -> list[list[Word | None]]:
-        """The aligned words of each text, given with its leading space."""
+    def words(self, texts: list[str]) -> list[list[str | None]]:
+        """The groups of the words of each text, given with its leading space; None for a word that is not spelled."""
         cut = [_WORDS.findall(t) for t in texts]
         if self.held > CACHE_BYTES:
             self.known, self.held = {}, 0
-        fresh = list({w for words in cut for w in words if w not in self.known})
-        zeros = [0] * len(fresh)
-        if fresh:
-            for w, a, b in zip(fresh, self.a_tokens(fresh, zeros), self.b_tokens(fresh, zeros), strict=True):
-                self.known[w] = word = None if a is None or b is None else whole(fragment(a, b))
-                self.held += 400 + 2 * len(w) + (len(word.groups) if word else 0)
-        return [[self.known[w] for w in words] for words in cut]
+        known = self.known
+        fresh = list({w for words in cut for w in words if w not in known})
+        joint = [w for w in fresh if not w[-1].isspace()]
+        found = self._aligned(joint) if joint else []
+        known.update(zip(joint, found, strict=True))
+        # a word that ends in white space can only stand last
+        for w in fresh:
+            if w[-1].isspace():
+                known[w] = self._aligned([w])[0]
+        self.held += sum(200 + len(w) + len(known[w] or "") for w in fresh)
+        return [[known[w] for w in words] for words in cut]
 
     def range_fragment(self, text: str, at: int, a: tuple[int, int], b: tuple[int, int]) -> Fragment | None:
         """Fragment of a range that starts at byte ``at``; A has the characters ``a`` of it, B those of ``b``."""
         sides = []
         for (start, stop), tokens in ((a, self.a_tokens), (b, self.b_tokens)):
             own = text[start:stop]
-            sides.append(tokens([own], [at + len(text[:start].encode())])[0] if own else [])
+            sides.append(tokens(own, at + len(text[:start].encode())) if own else _NO_TOKENS)
         return None if sides[0] is None or sides[1] is None else fragment(sides[0], sides[1])
 
 
@@ -248,11 +261,11 @@ def cut_places(text: str, chunk: int, pattern: re.Pattern[str]) -> list[int]:
 
 
 _CHUNKS = "row long, number long, at long, text string, a0 long, a1 long, b0 long, b1 long"
-_OPEN = ("head_a", "head_b", "tail_a", "tail_b")
+_OPEN = [f"{part}_{side}_{what}" for part in ("head", "tail") for side in "ab" for what in ("ids", "ends")]
 _FRAGMENTS = (
     "row long, number long, spelled boolean, cut boolean, "
     + ", ".join(f"{c} array<bigint>" for c in _OPEN)
-    + ", closed string, n_a long, n_b long, n_groups long, n_links long"
+    + ", closed string"
 )
 _SUMS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -271,40 +284,28 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Record
                 yield pa.RecordBatch.from_pydict({n: [c] for n, c in zip(names, cells, strict=True)})
 
 
-def _flat(tokens: Tokens) -> list[int]:
-    return [x for token in tokens for x in token]
-
-
-def _paired(flat: list[int]) -> Tokens:
-    return list(zip(flat[::2], flat[1::2], strict=True))
-
-
 def _cells(row: int, number: int, x: Fragment | None) -> dict:
     """A fragment as a row; one that does not spell its text has no tokens."""
-    spelled, x = x is not None, x or Fragment(False, ([], []), [], _NOTHING, ([], []))
-    lists = dict(zip(_OPEN, map(_flat, (*x.head, *x.tail)), strict=True))
-    closed = ";".join(x.closed)
-    return {"row": row, "number": number, "spelled": spelled, "cut": x.cut, **lists, "closed": closed} | dict(
-        zip(_SUMS, x.sums, strict=True)
-    )
+    spelled, x = x is not None, x or fragment(_NO_TOKENS, _NO_TOKENS)
+    lists = dict(zip(_OPEN, (column for t in (*x.head, *x.tail) for column in t), strict=True))
+    return {"row": row, "number": number, "spelled": spelled, "cut": x.cut, **lists, "closed": ";".join(x.closed)}
 
 
 def _fragment_of(cells: dict) -> Fragment:
-    a, b, c, d = (_paired(cells[name]) for name in _OPEN)
-    closed = [cells["closed"]] if cells["closed"] else []
-    return Fragment(cells["cut"], (a, b), closed, tuple(cells[n] for n in _SUMS), (c, d))
+    lists = [np.array(cells[name], np.int64) for name in _OPEN]
+    a, b, c, d = (Tokens(*lists[k : k + 2]) for k in range(0, 8, 2))
+    return Fragment(cells["cut"], (a, b), [cells["closed"]] if cells["closed"] else [], (c, d))
 
 
 _ARROW_FRAGMENTS = pa.schema(
     [("row", pa.int64()), ("number", pa.int64()), ("spelled", pa.bool_()), ("cut", pa.bool_())]
     + [(c, pa.list_(pa.int64())) for c in _OPEN]
     + [("closed", pa.string())]
-    + [(c, pa.int64()) for c in _SUMS]
 )
 
 
 def _long_texts(rows: DataFrame, a_path: str, b_path: str, chunk: int) -> DataFrame:
-    """``row``, ``groups`` (null where the tokens do not spell the text) and sums of texts (row, text)."""
+    """``row`` and ``groups`` of texts (row, text); null where the tokens do not spell the text."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = vocabularies(a_path, b_path)
@@ -324,10 +325,8 @@ def _long_texts(rows: DataFrame, a_path: str, b_path: str, chunk: int) -> DataFr
         for batch in batches:
             rows = batch.to_pylist()
             found = [whole(_fragment_of(c)) if c["spelled"] else None for c in rows]
-            columns = [pa.array([c["row"] for c in rows], pa.int64())]
-            columns.append(pa.array([w and w.groups for w in found], pa.string()))
-            columns += [pa.array([getattr(w, n) if w else 0 for w in found], pa.int64()) for n in _SUMS]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "groups", *_SUMS])
+            columns = [pa.array([c["row"] for c in rows], pa.int64()), pa.array(found, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "groups"])
 
     cut = stored(mapped(rows, lambda batches: _chunks(batches, chunk), _CHUNKS))
     most = cut.agg(F.max("number")).first()[0]
@@ -337,7 +336,7 @@ def _long_texts(rows: DataFrame, a_path: str, b_path: str, chunk: int) -> DataFr
         parts = parts.withColumn("_up", F.floor(F.col("number") / FAN))
         parts = parts.groupBy("row", "_up").applyInArrow(compose, _FRAGMENTS)
         most //= FAN
-    return mapped(parts, finish, "row long, groups string, " + ", ".join(f"{c} long" for c in _SUMS))
+    return mapped(parts, finish, "row long, groups string")
 
 
 _BLOCKS = (
@@ -352,18 +351,57 @@ _ARROW_BLOCKS = pa.schema(
 )
 
 
-def _links(groups: str) -> Counter[int]:
-    """How often each id pair is linked, as ``a << 32 | b``."""
-    out: Counter[int] = Counter()
-    for group in groups.split(";"):
-        a, b = (side.split(",") for side in group.split("|"))
-        if len(a) == 1 == len(b):
-            out[int(a[0]) << 32 | int(b[0])] += 1
-            continue
-        for i, m in Counter(map(int, a)).items():
-            for j, n in Counter(map(int, b)).items():
-                out[i << 32 | j] += m * n
-    return out
+class Links(NamedTuple):
+    """Id pairs ``a << 32 | b`` of words: those of word i are first[i]:first[i + 1], each ``times`` over."""
+
+    first: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+    sums: np.ndarray
+
+
+def _tallied(owner: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (owner, id) in order of the owner, and how often each occurs."""
+    key, times = np.unique(owner << 32 | ids, return_counts=True)
+    return key >> 32, key & 0xFFFFFFFF, times
+
+
+def links_of(words: list[str]) -> Links:
+    """The links of words given as the text of their groups, and their numbers of tokens, groups and links."""
+    if not words:
+        return Links(np.zeros(1, np.int64), *[np.empty(0, np.int64)] * 2, np.empty((4, 0), np.int64))
+    text = ("\n".join(words) + "\n").encode()
+    data = np.frombuffer(text, np.uint8)
+    marks = data[(data < 48) | (data > 57)]
+    ids = np.array(text.translate(_MARKS_TO_SPACE).split(), np.int64)
+    closes = (marks == 59) | (marks == 10)
+    group = np.cumsum(closes) - closes
+    is_b = (np.cumsum(marks == 124) - (marks == 124)) > group
+    n_groups = int(group[-1]) + 1
+    word_of_group = (np.cumsum(marks == 10) - (marks == 10))[closes]
+    side_a, side_b = (_tallied(group[side], ids[side]) for side in (~is_b, is_b))
+    # each distinct id of A meets the distinct ids of B of its group
+    n_b = np.bincount(side_b[0], minlength=n_groups)
+    counts = n_b[side_a[0]]
+    partner = ranges((np.cumsum(n_b) - n_b)[side_a[0]], counts)
+    a, owner = np.repeat(side_a[1], counts), np.repeat(word_of_group[side_a[0]], counts)
+    times = np.repeat(side_a[2], counts) * side_b[2][partner]
+    pairs = a << 32 | side_b[1][partner]
+    order = np.lexsort((pairs, owner))
+    pairs, owner, times = pairs[order], owner[order], times[order]
+    new = np.ones(len(pairs), bool)
+    new[1:] = (pairs[1:] != pairs[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(new)
+    times = np.add.reduceat(times, at)
+    word = word_of_group[group]
+    n = len(words)
+    tokens = [np.bincount(word[side], minlength=n) for side in (~is_b, is_b)]
+    linked = np.bincount(owner[at], weights=times, minlength=n).astype(np.int64)
+    sums = np.array([*tokens, np.bincount(word_of_group, minlength=n), linked])
+    return Links(np.searchsorted(owner[at], np.arange(n + 1)), pairs[at], times, sums)
+
+
+_MARKS_TO_SPACE = bytes(32 if chr(i) in ",|;\n" else i for i in range(256))
 
 
 class Block:
@@ -373,52 +411,40 @@ class Block:
         self.number = number
         self.bytes = 0
         self.index: dict[str, int] = {}
-        self.rows: list[tuple[int | None, Word, np.ndarray]] = []
+        self.rows: list[tuple[int | None, str, np.ndarray]] = []
 
-    def add(self, key: int | None, total: Word, words: list[str], size: int) -> None:
+    def add(self, key: int | None, words: list[str], size: int) -> None:
         index = self.index
-        numbers = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int32, len(words))
-        digest = hashlib.sha256(total.groups.encode()).hexdigest() if words else ""
-        # the text of the groups is not kept
-        self.rows.append((key, total._replace(groups=digest), numbers))
+        numbers = np.fromiter([index.setdefault(w, len(index)) for w in words], np.int32, len(words))
+        digest = hashlib.sha256(";".join(words).encode()).hexdigest() if words else ""
+        self.rows.append((key, digest, numbers))
         self.bytes += size
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        first, members, times = [0], [], []
-        for groups in self.index:
-            links = _links(groups)
-            members.extend(links)
-            times.extend(links.values())
-            first.append(len(members))
-        bounds = np.array(first, np.int64)
-        pairs, members = np.unique(np.array(members, np.int64), return_inverse=True)
+        first, members, times, sums = links_of(list(self.index))
+        pairs, members = np.unique(members, return_inverse=True)
         docs = np.zeros(len(pairs), np.int64)
         for at in range(0, len(self.rows), 64):
-            held = [np.unique(numbers) for _, _, numbers in self.rows[at : at + 64]]
+            rows = self.rows[at : at + 64]
+            held = [np.unique(numbers) for _, _, numbers in rows]
             owner = np.repeat(np.arange(len(held)), [len(h) for h in held])
-            words = np.concatenate(held) if held else np.empty(0, np.int32)
-            counts = bounds[words + 1] - bounds[words]
-            own = members[ranges(bounds[words], counts)]
-            seen = np.unique(np.repeat(owner, counts) * len(pairs) + own)
+            words = np.concatenate(held)
+            counts = first[words + 1] - first[words]
+            seen = np.unique(np.repeat(owner, counts) * len(pairs) + members[ranges(first[words], counts)])
             docs += np.bincount(seen % max(len(pairs), 1), minlength=len(pairs))
-        for at in range(0, len(self.rows), 256):
             cells = [
-                {"block": self.number, "key": key, "digest": total.groups, "words": numbers.tobytes()}
-                | {c: getattr(total, c) for c in _SUMS}
-                for key, total, numbers in self.rows[at : at + 256]
+                {"block": self.number, "key": key, "digest": digest, "words": numbers.tobytes()}
+                | dict(zip(_SUMS, sums[:, numbers].sum(axis=1).tolist(), strict=True))
+                for key, digest, numbers in rows
             ]
             yield pa.RecordBatch.from_pylist(cells, _ARROW_BLOCKS)
-        kept = {"pairs": pairs, "docs": docs, "first": bounds, "members": members.astype(np.int32)}
-        kept["times"] = np.array(times, np.int64)
+        kept = {"pairs": pairs, "docs": docs, "first": first, "members": members.astype(np.int32), "times": times}
         cells = {name: values.tobytes() for name, values in kept.items()}
         yield pa.RecordBatch.from_pylist([{"block": self.number, **cells}], _ARROW_BLOCKS)
 
 
-_NONE = Word("", 0, 0, 0, 0)
-
-
 def _blocks(texts: DataFrame, a_path: str, b_path: str, block: int) -> DataFrame:
-    """Documents (key, text or groups with sums) as numbers of their block's words, and each block's dictionary."""
+    """Documents (key, text or groups) as numbers of their block's words, and each block's dictionary."""
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -432,14 +458,11 @@ def _blocks(texts: DataFrame, a_path: str, b_path: str, block: int) -> DataFrame
                 found = pair.words([" " + r["text"] if r["text"] else "" for r in rows])
                 for row, words in zip(rows, found, strict=True):
                     if row["groups"]:
-                        total = Word(row["groups"], *(row[c] for c in _SUMS))
-                        own.add(row["key"], total, row["groups"].split(";"), len(row["groups"]))
-                    elif not words or None in words:
-                        own.add(row["key"], _NONE, [], 0)
+                        own.add(row["key"], row["groups"].split(";"), len(row["groups"]))
+                    elif None in words:
+                        own.add(row["key"], [], 0)
                     else:
-                        names = [w.groups for w in words]
-                        sums = _added(*(w[1:] for w in words))
-                        own.add(row["key"], Word(";".join(names), *sums), names, len(row["text"]))
+                        own.add(row["key"], words, len(row["text"] or ""))
                     if own.bytes >= block:
                         yield from own.batches()
                         own = Block(own.number + 1)
@@ -495,10 +518,9 @@ def aligned(
     is_long = F.coalesce(F.octet_length("text") > chunk, F.lit(False))
     longer = stored(rows.where(is_long).withColumn("row", F.monotonically_increasing_id()))
     composed_rows = _long_texts(longer.select("row", "text"), a, b, chunk)
-    none = [F.lit(0).cast("long").alias(c) for c in _SUMS]
-    short = rows.where(~is_long).select("key", "text", F.lit(None).cast("string").alias("groups"), *none)
+    short = rows.where(~is_long).select("key", "text", F.lit(None).cast("string").alias("groups"))
     put = longer.select("row", "key").join(composed_rows, "row")
-    put = put.select("key", F.lit(None).cast("string").alias("text"), "groups", *_SUMS)
+    put = put.select("key", F.lit(None).cast("string").alias("text"), "groups")
     blocks = stored(_blocks(short.union(put), a, b, block))
 
     entries = blocks.where("pairs is not null").select("block", "pairs", "docs")
