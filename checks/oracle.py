@@ -95,21 +95,31 @@ BY_VERSION = """ver as (
 
 
 def prior_versions() -> str:
-    return f"""with {BY_VERSION}, sized as (
-  select v, collection_id, PatientID, SeriesInstanceUID, StudyInstanceUID, Modality,
-    nullif(regexp_extract(gcs_url, 'gs://([^/]+)/', 1), '') as gcs_bucket, crdc_series_uuid,
-    round(sum(try_cast(instance_size as double)) / 1000000, 2) as series_size_MB
-  from ver
-  where crdc_series_uuid not in (select crdc_series_uuid from ver where v = {Q.LATEST} and crdc_series_uuid is not null)
-  group by 1, 2, 3, 4, 5, 6, 7, 8),
-pairs as (
-  select *, case gcs_bucket when 'public-datasets-idc' then 'idc-open-data'
-    when 'idc-open-idc1' then 'idc-open-data-two' when 'idc-open-cr' then 'idc-open-data-cr' end as aws_bucket
-  from sized where gcs_bucket not in ('idc-open-idc'))
-select collection_id, PatientID, SeriesInstanceUID, StudyInstanceUID, Modality, gcs_bucket,
-  crdc_series_uuid, series_size_MB, 's3://' || aws_bucket || '/' || crdc_series_uuid || '/*' as series_aws_url,
-  aws_bucket, min(v) as min_idc_version, max(v) as max_idc_version
-from pairs group by all"""
+    """One row per revision with all it has been in; what is gone has no place in the latest release."""
+    mirrors = ", ".join(f"('{k}', '{v}')" for k, v in lookups.MIRROR_BUCKETS.items())
+    hidden = ", ".join(f"'{b}'" for b in lookups.EXCLUDED_BUCKETS)
+    keys = "collection_id, PatientID, SeriesInstanceUID, StudyInstanceUID, Modality, gcs_bucket, crdc_series_uuid"
+    return f"""with {BY_VERSION}, mirrors(bucket, mirror) as (values {mirrors}),
+gone as (
+  select crdc_series_uuid as id from ver where crdc_series_uuid is not null group by 1
+  having not list_contains(list(v), {Q.LATEST})),
+known as (
+  select {keys}, list(struct_pack(release := v, size := try_cast(instance_size as double))) as held
+  from (select *, string_split(gcs_url, '/')[3] as gcs_bucket, starts_with(gcs_url, 'gs://') as is_bucket from ver)
+  join gone on id = crdc_series_uuid where is_bucket and v between 1 and {Q.LATEST} group by all),
+releases as (
+  select *, unnest(list_distinct(list_transform(held, lambda h: h.release))) as release from known),
+summed as (
+  select *, round(list_sum(list_transform(list_filter(held, lambda h: h.release = release), lambda h: h.size))
+    / 1000000, 2) as series_size_MB from releases),
+spans as (
+  select {keys}, series_size_MB, list(release) as found from summed group by all)
+select {keys}, series_size_MB, concat('s3://', mirror, '/', crdc_series_uuid, '/*') as series_aws_url,
+  mirror as aws_bucket, list_min(found) as min_idc_version, list_max(found) as max_idc_version
+from spans join mirrors on bucket = gcs_bucket
+union all
+select {keys}, series_size_MB, null, null, list_min(found), list_max(found)
+from spans where gcs_bucket not in (select bucket from mirrors) and gcs_bucket not in ({hidden})"""
 
 
 def latest_members() -> str:
@@ -685,21 +695,70 @@ select position, name, type, mode, description, '24.0' as version, rows from n,
   (3, 'ContrastBolusRoute', 'STRING', 'REPEATED', '')) v(position, name, type, mode, description)"""
 
 
-REFUSED = """select place, type, rows from (select count(*) as rows from orders), (values
-  ('day', 'date'), ('days[]', 'date'), ('deep.a[].b', 'date'), ('stamps.value', 'timestamp_ntz')) v(place, type)"""
+def refused_types() -> str:
+    counts = " union all ".join(f"""select '{t}' as "table", count(*) as rows from {t}""" for t in Q.TABLES)
+    return f"""select column_name as place, 'timestamp_ntz' as type, t."table", rows
+from ({counts}) t join duckdb_columns() on table_name = t."table" where data_type = 'TIMESTAMP'"""
+
+
+#: Where the given tables lie: the folder that the view of one of them names, among those there are.
+HOME = r"""home as (
+  select regexp_extract(sql, '[''"]([^''"]*)/documents\.parquet', 1) as folder from duckdb_views()
+  where view_name = 'documents')"""
+FILES = "/root/testdata/*/*.parquet"
+
+
+def checksums() -> str:
+    return f"""with {HOME}
+select parse_filename(filename) as file, sha256(content) as sha256
+from read_blob('{FILES}') join home on parse_dirpath(filename) = folder"""
+
+
+def size_report() -> str:
+    return f"""with {HOME}, parts as (
+  select parse_filename(b.filename, true) as "table", num_rows as rows, size as bytes
+  from read_blob('{FILES}') b join parquet_file_metadata('{FILES}') m on m.file_name = b.filename
+  join home on parse_dirpath(b.filename) = folder),
+tables as (select "table", sum(rows) as rows, count(*) as files, sum(bytes) as bytes from parts group by 1)
+select "table", cast(rows as bigint) as rows, files, cast(bytes as bigint) as bytes from tables
+union all select 'total', cast(sum(rows) as bigint), cast(sum(files) as bigint), cast(sum(bytes) as bigint) from tables"""
+
+
+#: Columns of the given tables that do not enter a digest as their plain text.
+DIGEST_CELLS = {
+    "embedding": "array_to_string(list_transform(embedding, lambda x: cast(floor(cast(x as double) * 1000000) as bigint)), ',')",
+    "ts": "epoch_us(ts)", "l_shipdate": "epoch_us(l_shipdate)", "o_orderdate": "epoch_us(o_orderdate)",
+}
+DIGEST_CELLS |= {
+    c: f"cast(floor({c} * 1000000) as bigint)"
+    for c in "c_acctbal s_acctbal value l_quantity l_extendedprice l_discount l_tax o_totalprice p_retailprice".split()
+}
+COLUMNS = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax"
+    " l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props", "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label", "pages": "page_id url html", "benchmark": "item_id text",
+    "labels": "doc_id quality toxic", "conversations": "conv_id turn role text",
+}
 
 
 def content_digests() -> str:
-    tables = {
-        "documents": ["doc_id", "text", "lang", "source", "n_chars"], "benchmark": ["item_id", "text"],
-        "labels": ["doc_id", "quality", "toxic"], "conversations": ["conv_id", "turn", "role", "text"],
-        "nation": ["n_nationkey", "n_name", "n_regionkey"], "region": ["r_regionkey", "r_name"],
-    }
-    return " union all ".join(
-        f"""select count(*) as rows, bit_xor(cast('0x' || sha256({" || chr(9) || ".join(
-            f"coalesce(cast({c} as varchar), chr(92) || 'N')" for c in cells)})[1:15] as bigint)) as digest, '{name}' as "table" from {name}"""
-        for name, cells in tables.items()
-    )
+    def part(name: str, columns: list[str]) -> str:
+        texts = [f"cast({DIGEST_CELLS.get(c, c)} as varchar)" for c in columns]
+        cells = " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts)
+        sums = [
+            f"cast(coalesce(sum(cast(cast('0x' || h[{a}:{a + 14}] as bigint) as hugeint)), 0) % 1152921504606846976 as bigint)"
+            for a in (1, 16)
+        ]
+        return f"""select count(*) as rows, {sums[0]} as digest, {sums[1]} as second_digest, '{name}' as "table"
+from (select sha256({cells}) as h from {name})"""
+
+    return " union all ".join(part(name, columns.split()) for name, columns in COLUMNS.items())
 
 
 def oracle_sql() -> dict[str, str]:
@@ -769,7 +828,10 @@ def oracle_sql() -> dict[str, str]:
         "profile_diff_nan": nan_medians(),
         "published_order": published_order(),
         "published_dictionary": published_dictionary(),
-        "refused_types": REFUSED,
+        "refused_types": refused_types(),
+        "checksums": checksums(),
+        "size_report": size_report(),
+        "history_increment": prior_versions(),
         "content_digests": content_digests(),
         "keyed_diff": keyed_diff(
             ORDERS_PAIR,

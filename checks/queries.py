@@ -6,7 +6,9 @@ does not depend on how a client renders arrays.
 
 from __future__ import annotations
 
+import functools
 import os
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -448,15 +450,15 @@ def profile_diff(spark: SparkSession, d: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder in the folder that all machines share, as spark.checkpoint.dir names it.
 
-    Where nothing is set, one in the session's warehouse folder is taken, and set.
+    Where the setting is missing, a local session takes a temporary folder and a cluster is refused.
     """
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not shared:
-        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", shared)
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        shared = tempfile.mkdtemp(prefix="published-")
     return f"{shared.rstrip('/')}/published-{os.urandom(6).hex()}"
 
 
@@ -517,15 +519,14 @@ def published_dictionary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def refused_types(spark: SparkSession, d: str) -> DataFrame:
-    """The columns that publishing refuses, at any depth, with the rows of their table."""
-    rows = table(spark, d, "orders").selectExpr(
-        "o_orderkey", "cast(o_orderdate as date) as day", "array(cast(o_orderdate as date)) as days",
-        "named_struct('a', array(named_struct('b', cast(o_orderdate as date), 'c', 1))) as deep",
-        "map('k', cast(o_orderdate as timestamp_ntz)) as stamps", "cast(o_orderdate as timestamp) as at",
-    )
-    refused = publish.refused_columns(spark, rows.schema).withColumn("one", F.lit(1))
-    counted = rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("one", F.lit(1))
-    return refused.join(counted, "one").drop("one")
+    """What publishing refuses of the given tables as they are stored, with the rows that would be lost."""
+    parts = []
+    for name in TABLES:
+        rows = table(spark, d, name)
+        counted = rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(name))
+        refused = publish.refused_columns(spark, rows.schema).withColumn("table", F.lit(name))
+        parts.append(refused.join(counted, "table"))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def checked_mapping(spark: SparkSession, d: str) -> DataFrame:
@@ -546,13 +547,34 @@ def mapping_validation(spark: SparkSession, d: str) -> DataFrame:
 
 
 def content_digests(spark: SparkSession, d: str) -> DataFrame:
-    """Digest of the contents of the text tables, whatever files they lie in."""
-    names = ("documents", "benchmark", "labels", "conversations", "nation", "region")
-    parts = [publish.content_digest(table(spark, d, n)).withColumn("table", F.lit(n)) for n in names]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Digest of the contents of every table, whatever files they lie in.
+
+    Floating numbers enter in millionths and times in microseconds, which other engines write alike.
+    """
+    parts = []
+    for name in TABLES:
+        rows = table(spark, d, name)
+        cells = []
+        for f in rows.schema.fields:
+            c = F.col(f.name)
+            if isinstance(f.dataType, T.DoubleType):
+                c = F.floor(c * 1e6)
+            elif isinstance(f.dataType, T.ArrayType):
+                c = F.array_join(F.transform(c, lambda x: F.floor(x.cast("double") * 1e6).cast("string")), ",")
+            elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+                c = F.unix_micros(c.cast("timestamp"))
+            cells.append(c.alias(f.name))
+        parts.append(publish.content_digest(rows.select(*cells)).withColumn("table", F.lit(name)))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def history_increment(spark: SparkSession, d: str) -> DataFrame:
+    """The history after one more release, whose instances alone are read then."""
+    root = scratch_dir(spark)
+    write_versioned(instances_by_version(spark, d), f"{root}/instances_by_version")
+    rows = Tables(spark, root).all_versions("instances_by_version")
+    versions.update_history(spark, rows, f"{root}/revisions", LATEST - 1)
+    return flat(versions.update_history(spark, rows, f"{root}/revisions", LATEST))
 
 
 def wide_pair(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -667,6 +689,7 @@ def queries() -> dict[str, Query]:
         "patient_pairs": patient_pairs,
         "match_counts": match_counts,
         "ordered_positions": ordered_positions,
+        "history_increment": history_increment,
         # comparison
         "comparison_overview": comparison_overview,
         "shape_diff": _diff(C.shape_diff, orders_pair),

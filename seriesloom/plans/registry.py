@@ -514,6 +514,7 @@ def publish(
             df,
             paths[name],
             order=spec.order(),
+            grain=spec.grain,
             descriptions=spec.columns,
             version=stamp,
             files=files,

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.compare import orderable
+
 VERSION_KEY = "release_version"
 DESCRIPTION_KEY = "comment"
 
@@ -95,14 +97,23 @@ def release_version(df: DataFrame) -> str | None:
     return stamps.pop() if len(stamps) == 1 else None
 
 
-def clustered(df: DataFrame, order: Sequence[Column | str], files: int | None = None) -> DataFrame:
+def clustered(
+    df: DataFrame, order: Sequence[Column | str], files: int | None = None, grain: Sequence[str] = ()
+) -> DataFrame:
     """Global output order by range partitioning, so each file covers one key range.
 
-    Low-cardinality columns first make long runs, which compress well.
+    Low-cardinality columns first make long runs, which compress well.  Rows that tie are ordered, and
+    cut across files, by ``grain``, the columns that tell rows apart, or else by a hash of the row: one
+    frequent value does not end up in one task and one file.
     """
     keys = [F.col(k) if isinstance(k, str) else k for k in order]
     if not keys:
         return df if files is None else df.repartition(files)
+    named = {k for k in order if isinstance(k, str)}
+    if grain:
+        keys += [F.col(f"`{c}`") for c in grain if c not in named]
+    else:
+        keys.append(F.xxhash64(*[orderable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]))
     ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*keys)
 
@@ -117,10 +128,11 @@ def write_parquet(
     files: int | None = None,
     rows_per_file: int = ROWS_PER_FILE,
     mode: str = "overwrite",
+    grain: Sequence[str] = (),
 ) -> None:
     """Zstandard Parquet, written by the executors in cluster order."""
     check_publishable(df.schema)
-    out = described(clustered(df, order, files), descriptions, version)
+    out = described(clustered(df, order, files, grain), descriptions, version)
     writer = out.write.mode(mode).option("compression", "zstd")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
@@ -177,7 +189,8 @@ def column_dictionary(
 def checksums(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256 of every Parquet file under a folder.
 
-    A file is hashed as one value, so keep files below 2 GB (``rows_per_file``).
+    A file is hashed as one value in one task, so this is for files below 2 GB, which ``rows_per_file``
+    keeps published files under; ``tree_checksums`` takes files of any size.
     """
     return (
         spark.read.format("binaryFile")
@@ -191,16 +204,66 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: Ends a piece of a file.  In compressed data it comes about every 16 MB.
+SEPARATOR = "\r\n\t"
+
+
+def tree_checksums(spark: SparkSession, path: str, separator: str = SEPARATOR) -> DataFrame:
+    """Digest tree of every Parquet file under a folder: ``file``, ``bytes``, ``pieces``, ``digest``.
+
+    A file is cut after each separator, wherever Spark splits it, so several tasks share a large file and each
+    holds one piece at a time.  The digest is the SHA-256 of the pieces' SHA-256 digests as text,
+    in order; pieces are hashed without the separator, and an empty last piece does not count.  A separator
+    must not be able to overlap itself, or it could be read in two ways where a file is split.
+    """
+    pieces = (
+        spark.read.format("text")
+        .option("lineSep", separator)
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select(
+            F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"),
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_size").alias("bytes"),
+            F.struct(
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("piece"),
+                F.sha2(F.col("value").cast("binary"), 256).alias("digest"),
+            ).alias("_piece"),
+        )
+    )
+    # a digest for each 16 MB
+    return (
+        pieces.groupBy("_path", "file", "bytes")
+        .agg(F.sort_array(F.collect_list("_piece")).alias("_pieces"))
+        .select(
+            "file",
+            "bytes",
+            F.size("_pieces").alias("pieces"),
+            F.sha2(F.array_join("_pieces.digest", "").cast("binary"), 256).alias("digest"),
+        )
+    )
+
+
 def content_digest(df: DataFrame) -> DataFrame:
     """Rows of a table and a digest of their contents that does not depend on order or files.
 
-    Each row is hashed as the SHA-256 of its columns as text, in order and divided by a tab, with
-    NULL as a backslash and N; the leading 60 bits of all rows are added up by exclusive or.
+    Each row is hashed as the SHA-256 of its columns as text, in order, each with its length in bytes and a
+    colon before it, or a minus for NULL.  The first 60 bits of all rows are added up, and so are the
+    next 60, both modulo 2**60: repeated rows count as often as they occur.
     """
-    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns]
-    leading = F.substring(F.sha2(F.concat_ws("\t", *cells), 256), 1, 15)
-    number = F.conv(leading, 16, 10).cast("bigint")
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(number).alias("digest"))
+    cells = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    marked = [
+        F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells
+    ]
+    hashed = df.select(F.sha2(F.concat(*marked).cast("binary"), 256).alias("h"))
+    parts = [F.conv(F.substring("h", at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 16)]
+    sums = [F.coalesce(F.sum(p), F.lit(0)).cast("decimal(38,0)") for p in parts]
+    wrapped = [(s % F.lit(1 << 60).cast("decimal(20,0)")).cast("bigint") for s in sums]
+    return hashed.agg(
+        F.count(F.lit(1)).alias("rows"), wrapped[0].alias("digest"), wrapped[1].alias("second_digest")
+    )
 
 
 def file_report(df: DataFrame) -> DataFrame:

@@ -165,3 +165,45 @@ def test_refused_types_are_found_at_any_depth(spark):
     assert [tuple(r) for r in P.refused_columns(spark, schema).collect()] == [("a[]", "date"), ("s.m.value", "date")]
     with pytest.raises(P.UnpublishableType, match="s.m.value"):
         P.check_publishable(schema)
+
+
+def test_one_frequent_value_gives_even_files(spark, tmp_path):
+    df = spark.range(40_000).selectExpr("if(id % 100 = 0, id, -1) as g", "id", "map('a', id) as m")
+    for i, grain in enumerate([["id"], []]):
+        path = tmp_path / str(i)
+        P.write_parquet(df, str(path), order=["g"], files=8, grain=grain)
+        sizes = [spark.read.parquet(str(f)).count() for f in sorted(path.glob("*.parquet"))]
+        assert len(sizes) == 8 and sum(sizes) == 40_000 and max(sizes) < 2 * 5000
+        assert spark.read.parquet(str(path)).groupBy("g").count().where("g = -1").first()["count"] == 39_600
+
+
+def test_digest_tree_is_the_same_however_a_file_is_split(spark, tmp_path):
+    content = b"".join(bytes([i % 256]) * (i % 7) + (b"\n\t" if i % 5 == 0 else b"\n") for i in range(40_000))
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "a.parquet").write_bytes(content)
+    (tmp_path / "x" / "b.parquet").write_bytes(b"no separator \xff\x00")
+    want = {}
+    for name, data in (("a.parquet", content), ("b.parquet", b"no separator \xff\x00")):
+        pieces = data.split(b"\n\t")
+        pieces = pieces if pieces[-1] else pieces[:-1]
+        text = "".join(hashlib.sha256(p).hexdigest() for p in pieces)
+        want[name] = (len(data), len(pieces), hashlib.sha256(text.encode()).hexdigest())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("3000b", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = P.tree_checksums(spark, str(tmp_path / "x"), "\n\t")
+            assert {r.file: (r.bytes, r.pieces, r.digest) for r in got.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_content_digest_tells_rows_apart(spark):
+    def digest(rows):
+        df = spark.createDataFrame(rows, "a string, b string")
+        return tuple(P.content_digest(df.repartition(3)).first())
+
+    assert digest([("x", "y"), ("z", None)]) == digest([("z", None), ("x", "y")])
+    tables = [[("a", "a")] * 2, [("b", "b")] * 2, [("a\t", "a")] * 2, [("a", "\ta")] * 2, [("a", None)] * 2, [("a", "\\N")] * 2]
+    assert len({digest(t) for t in tables}) == len(tables)
+    assert digest([])[0] == 0
