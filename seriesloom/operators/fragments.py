@@ -10,6 +10,8 @@ borders that are fixed beforehand, and each row is shuffled once.
 from __future__ import annotations
 
 import functools
+import json
+import struct
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -214,40 +216,67 @@ def with_position(rows: DataFrame, keys: Sequence[str], order: Column, name: str
     return known.select(*rows.columns, (F.col("_place") + F.coalesce("_before", F.lit(0))).alias(name))
 
 
-#: Ranges into which the search for a median cuts a bracket.
-RANGES = 1024
-_LARGEST = 1.7976931348623157e308
+#: Ranges into which a round of the search for a median cuts a bracket: eleven bits of a double's 64.
+RANGES = 2048
 
 
-def _range_of(value: Column, lo: float, hi: float) -> Column:
-    """Number of a value's range between two finite bounds; -1 below and RANGES above.
+def _key(x: float) -> int:
+    """Whole number in the order of the doubles; equal doubles have equal keys."""
+    (bits,) = struct.unpack("<q", struct.pack("<d", x + 0.0))
+    return bits if bits >= 0 else -(bits & (2**63 - 1))
 
-    Halved before subtracting, so the widest bracket does not overflow, and every step is
-    monotone, so ranges are in the order of the values.
-    """
-    share = (value / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) if hi > lo else F.lit(0.0)
-    inner = F.least(F.floor(share * RANGES), F.lit(RANGES - 1)).cast("int")
-    return F.when(value < lo, -1).when(value > hi, RANGES).otherwise(inner)
+
+def _value(key: int) -> float:
+    return struct.unpack("<d", struct.pack("<q", key if key >= 0 else -key - 2**63))[0]
+
+
+def _borders(lo: float, hi: float) -> list[float]:
+    """Where the ranges after the first one start: equally many doubles apart, whatever their size."""
+    low, high = _key(lo), _key(hi)
+    keys = {low + (high - low + 1) * i // RANGES for i in range(1, RANGES)}
+    return [_value(k) for k in sorted(keys - {low})]
 
 
-def _finite(x: float) -> float:
-    return max(-_LARGEST, min(_LARGEST, x))
+def _range_of(value: Column, borders: list[float]) -> Column:
+    """Number of borders at or below a value, by binary search."""
+    # one literal: Spark folds it before the job starts
+    listed = F.from_json(F.lit(json.dumps(borders)), "array<double>")
+    steps = F.array(*[F.lit(1 << k) for k in range(len(borders).bit_length() - 1, -1, -1)])
+    if not borders:
+        return F.lit(0)
+    return F.aggregate(
+        steps, F.lit(0), lambda at, n: at + F.when(F.get(listed, at + n - 1) <= value, n).otherwise(0)
+    )
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 100_000) -> DataFrame:
     """Exact median of several numeric columns, as rows (column, median).
 
-    A mergeable quantile sketch gives each column a narrow bracket. One aggregate then counts
-    the values of all columns by range of their brackets; the range that holds the median is
-    the next bracket, until the value is pinned down. The smallest and the largest value of a bracket never
-    share a range unless they are equal, so the search ends on any data; at most RANGES + 2 rows
-    per column and round reach the driver.
+    A mergeable quantile sketch gives each column a narrow bracket.  Rounds then count the values within the
+    brackets, and only those, by range; the range that holds the median is the next bracket.  Ranges
+    cut the doubles of a bracket into equal numbers, so eleven bits are settled a round and six rounds are
+    enough for any data; at most RANGES rows per column and round reach the driver.  A sketch that
+    misses costs one round more.
 
     NaN counts as the largest value and infinities as themselves. A column without values has
     no row. The search runs its jobs when this function is called.
     """
-    numbers = {c: F.col(c).cast("double") for c in columns}
-    reals = {c: F.when(~F.isnan(v), v) for c, v in numbers.items()}
+    found, _ = search_medians(df, columns, accuracy)
+    return df.sparkSession.createDataFrame(
+        [(c, found[c]) for c in columns if c in found], "column string, median double"
+    )
+
+
+def search_medians(
+    df: DataFrame, columns: Sequence[str], accuracy: int = 100_000
+) -> tuple[dict[str, float], int]:
+    """The medians of ``exact_medians``, and in how many rounds they were found."""
+    found: dict[str, float] = {}
+    if not columns:
+        return found, 0
+    numbers = {c: F.col(c).cast("double") + F.lit(0.0) for c in columns}
+    # NaN and infinity share the last place until the end
+    placed = {c: F.when(F.isnan(v), F.lit(float("inf"))).otherwise(v) for c, v in numbers.items()}
     half = min(0.5, 4.0 / accuracy)
     head = df.agg(
         *[
@@ -255,40 +284,42 @@ def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 100_000
             for i, c in enumerate(columns)
             for tag, f in (
                 ("n", lambda c: F.count(numbers[c])),
-                ("reals", lambda c: F.count(reals[c])),
-                ("lo", lambda c: F.min(reals[c])),
-                ("hi", lambda c: F.max(reals[c])),
-                ("q", lambda c: F.percentile_approx(reals[c], [0.5 - half, 0.5 + half], accuracy)),
+                ("reals", lambda c: F.count_if(~F.isnan(numbers[c]))),
+                ("q", lambda c: F.percentile_approx(placed[c], [0.5 - half, 0.5 + half], accuracy)),
             )
         ]
-    ).first() if columns else None
-    found: dict[str, float] = {}
-    brackets: dict[str, tuple[int, int, float, float]] = {}
+    ).first()
+    ranks: dict[str, tuple[int, int]] = {}
+    brackets: dict[str, tuple[float, float]] = {}
     for i, c in enumerate(columns):
-        n, real = head[f"n_{i}"], head[f"reals_{i}"]
+        n = head[f"n_{i}"]
         if not n:
             continue
-        lower, upper = (n - 1) // 2, n // 2
-        if upper >= real:
+        ranks[c] = ((n - 1) // 2, n // 2)
+        if ranks[c][1] >= head[f"reals_{i}"]:
             found[c] = float("nan")
         else:
-            # the sketch looks at the middle of the reals, which is the median's place without NaN
-            low, high = head[f"q_{i}"] if n == real else (head[f"lo_{i}"], head[f"hi_{i}"])
-            brackets[c] = (lower, upper, _finite(low), _finite(high))
+            brackets[c] = tuple(head[f"q_{i}"])
+    if not brackets:
+        return found, 0
+    below = _count_below(df, placed, brackets)
+    rounds = 0
     while brackets:
-        cells = [
-            F.struct(F.lit(c).alias("column"), reals[c].alias("v"), _range_of(reals[c], lo, hi).alias("r"))
-            for c, (_, _, lo, hi) in brackets.items()
-        ]
+        rounds += 1
+        cells = []
+        for c, (lo, hi) in brackets.items():
+            inside = F.when(placed[c].between(F.lit(lo), F.lit(hi)), _range_of(placed[c], _borders(lo, hi)))
+            cells.append(F.struct(F.lit(c).alias("column"), placed[c].alias("v"), inside.alias("r")))
         counts = (
-            df.select(F.inline(F.array(*cells)))
-            .where("v is not null")
+            df.select(F.inline(F.filter(F.array(*cells), lambda x: x["r"].isNotNull())))
             .groupBy("column", "r")
             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
             .collect()
         )
-        for c, (lower, upper, _, _) in list(brackets.items()):
-            before, known = 0, {}
+        missed: dict[str, tuple[float, float]] = {}
+        for c, (lo, hi) in list(brackets.items()):
+            lower, upper = ranks[c]
+            before, known, target = below[c], {}, None
             for row in sorted((r for r in counts if r["column"] == c), key=lambda r: r["r"]):
                 for rank in {lower, upper}:
                     if rank == before or row["lo"] == row["hi"] and before <= rank < before + row["n"]:
@@ -296,11 +327,25 @@ def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 100_000
                     elif rank == before + row["n"] - 1:
                         known[rank] = row["hi"]
                     elif before <= rank < before + row["n"]:
-                        brackets[c] = (lower, upper, _finite(row["lo"]), _finite(row["hi"]))
+                        target = (row["lo"], row["hi"], before)
                 before += row["n"]
             if {lower, upper} <= set(known):
-                found[c] = known[lower] / 2 + known[upper] / 2 if lower != upper else known[lower]
+                low, high = known[lower], known[upper]
+                found[c] = low / 2 + high / 2 if lower != upper else low
                 del brackets[c]
-    return df.sparkSession.createDataFrame(
-        [(c, found[c]) for c in columns if c in found], "column string, median double"
-    )
+            elif target is not None:
+                brackets[c], below[c] = target[:2], target[2]
+            else:
+                # the sketch's bracket does not hold both ranks
+                missed[c] = (float("-inf"), hi) if lower < below[c] else (lo, float("inf"))
+        wide = {c: b for c, b in missed.items() if b != brackets[c]}
+        brackets |= wide
+        if wide:
+            below |= _count_below(df, placed, wide)
+    return found, rounds
+
+
+def _count_below(df: DataFrame, values: dict[str, Column], brackets: dict[str, tuple[float, float]]) -> dict[str, int]:
+    names = list(brackets)
+    row = df.agg(*[F.count_if(values[c] < F.lit(brackets[c][0])).alias(f"b{i}") for i, c in enumerate(names)]).first()
+    return {c: row[f"b{i}"] for i, c in enumerate(names)}

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from seriesloom.operators import compare as C
-from seriesloom.operators.fragments import exact_medians
+from seriesloom.operators.fragments import _key, _value, exact_medians, search_medians
 
 from .support import by
 from .test_plans import first_aggregates
@@ -169,6 +169,23 @@ def test_compare_reports(spark):
     assert C.compare(a, a, key=None)["rows"].count() == 0
 
 
+def test_medians_take_six_rounds_at_most(spark):
+    wide = [10.0**k for k in range(-100, 101)] + [float("nan")]
+    rng = random.Random(1)
+    both = [rng.choice([-1, 1]) * 2.0 ** rng.uniform(-1000, 1000) for _ in range(999)]
+    for values in (wide, both, [float(i) for i in range(3001)]):
+        known = sorted(values, key=lambda v: (v != v, v))
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        # a sketch that knows nothing leaves the whole range
+        for accuracy in (100_000, 1):
+            found, rounds = search_medians(df, ["v"], accuracy)
+            n = len(known)
+            assert found["v"] == known[(n - 1) // 2] / 2 + known[n // 2] / 2 and rounds <= 6
+    assert [_value(_key(v)) for v in (-0.0, 1.5, -1.5, 5e-324, -5e-324, float("inf"))] == [
+        0.0, 1.5, -1.5, 5e-324, -5e-324, float("inf")
+    ]
+
+
 @pytest.mark.parametrize("values", [
     [float("nan"), float("nan"), 1.0, 5.0],
     [float("nan")] * 3 + [1.0],
