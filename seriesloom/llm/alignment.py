@@ -366,10 +366,22 @@ def _tallied(owner: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return key >> 32, key & 0xFFFFFFFF, times
 
 
+#: Words whose links are listed at a time.
+WORDS = 20_000
+
+
 def links_of(words: list[str]) -> Links:
     """The links of words given as the text of their groups, and their numbers of tokens, groups and links."""
-    if not words:
-        return Links(np.zeros(1, np.int64), *[np.empty(0, np.int64)] * 2, np.empty((4, 0), np.int64))
+    none = np.empty(0, np.int64)
+    parts = [Links(np.zeros(1, np.int64), none, none, np.empty((4, 0), np.int64))]
+    for at in range(0, len(words), WORDS):
+        part = _links_of(words[at : at + WORDS])
+        parts.append(part._replace(first=part.first[1:] + parts[-1].first[-1]))
+    first, pairs, times = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    return Links(first, pairs, times, np.concatenate([p.sums for p in parts], axis=1))
+
+
+def _links_of(words: list[str]) -> Links:
     text = ("\n".join(words) + "\n").encode()
     data = np.frombuffer(text, np.uint8)
     marks = data[(data < 48) | (data > 57)]
@@ -506,7 +518,7 @@ def _answered(rows: pa.Table, answers: pa.Table) -> pa.Table:
 
 def aligned(
     docs: DataFrame, *, a: str, b: str, key: str = "doc_id", text: str = "text",
-    chunk: int = 1 << 16, block: int = 16 << 20,
+    chunk: int = 1 << 16, block: int = 8 << 20,
 ) -> DataFrame:
     """Per document its numbers of tokens, groups and links, the sums over its links, and the digest of its groups.
 
