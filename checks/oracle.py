@@ -491,6 +491,15 @@ def unknown_class_codes() -> str:
 select SOPClassUID as uid, count(*) as rows from inst where SOPClassUID not in ({quoted}) group by 1"""
 
 
+def rejected_series() -> str:
+    known = [u for u in lookups.SOP_CLASS_NAMES if u not in (lookups.SEG_CLASS, lookups.ANN_CLASS)]
+    listed = "[" + ", ".join(f"'{u}'" for u in known) + "]"
+    return f"""with {duck_instances(['SeriesInstanceUID', 'SOPClassUID'])}
+select SeriesInstanceUID, 'Unmapped SOPClassUID: ' || coalesce(list_min(list(SOPClassUID)), 'NULL') as message,
+  count(*) as rows
+from inst where not coalesce(list_contains({listed}, SOPClassUID), false) group by 1"""
+
+
 SIGNIFICANT = f"""with t as (
   select {INSTANCE_KEY} as id, l_extendedprice as p, l_discount / 7 as s from lineitem),
 k as (select *, cast(1 - floor(log10(abs(p))) as int) as kp, cast(1 - floor(log10(abs(nullif(s, 0)))) as int) as ks from t)
@@ -832,6 +841,7 @@ def oracle_sql() -> dict[str, str]:
         "checksums": checksums(),
         "size_report": size_report(),
         "history_increment": prior_versions(),
+        "rejected_series": rejected_series(),
         "content_digests": content_digests(),
         "keyed_diff": keyed_diff(
             ORDERS_PAIR,

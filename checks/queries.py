@@ -19,6 +19,7 @@ from seriesloom import lookups
 from seriesloom.functions import expr as E
 from seriesloom.operators import compare as C
 from seriesloom.operators import fragments
+from seriesloom.operators import names
 from seriesloom.operators.names import unknown_codes
 from seriesloom.plans import core, derived, geometry, mapping, modality, slide, versions
 from seriesloom.sources import publish
@@ -319,6 +320,13 @@ def unknown_class_codes(spark: SparkSession, d: str) -> DataFrame:
     return unknown_codes(instances(spark, d, ["SOPClassUID"]), "SOPClassUID", known)
 
 
+def rejected_series(spark: SparkSession, d: str) -> DataFrame:
+    """Series on which the strict class lookup fails the job, with the message it fails with."""
+    known = {u: n for u, n in lookups.SOP_CLASS_NAMES.items() if u not in (lookups.SEG_CLASS, lookups.ANN_CLASS)}
+    rows = instances(spark, d, ["SeriesInstanceUID", "SOPClassUID"])
+    return names.rejected_groups(rows, "SeriesInstanceUID", "SOPClassUID", known, "SOPClassUID")
+
+
 def significant_figures(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").selectExpr(
         f"{INSTANCE_KEY} as id", "l_extendedprice as price", "l_discount / 7 as small"
@@ -418,9 +426,7 @@ def published_csv(spark: SparkSession, d: str) -> DataFrame:
 
 def patient_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Distinct complete (collection, patient) pairs of the selected studies."""
-    return (
-        study_rows(spark, d).select(*mapping.PATIENT).dropna(subset=mapping.PATIENT).dropDuplicates()
-    )
+    return mapping.patient_pairs(study_rows(spark, d))
 
 
 def match_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -536,7 +542,8 @@ def checked_mapping(spark: SparkSession, d: str) -> DataFrame:
             F.lit(EXEMPT[0]).alias("collection_id"), F.array(F.lit("NO CASES")).alias("project_ids")
         )
     )
-    return mapping.checked_mapping(study_rows(spark, d), cases(spark, d), known, exempt=EXEMPT)
+    path = scratch_dir(spark) + "/mapping"
+    return mapping.write_mapping(study_rows(spark, d), cases(spark, d), path, known, exempt=EXEMPT)
 
 
 def mapping_validation(spark: SparkSession, d: str) -> DataFrame:
@@ -690,6 +697,7 @@ def queries() -> dict[str, Query]:
         "match_counts": match_counts,
         "ordered_positions": ordered_positions,
         "history_increment": history_increment,
+        "rejected_series": rejected_series,
         # comparison
         "comparison_overview": comparison_overview,
         "shape_diff": _diff(C.shape_diff, orders_pair),

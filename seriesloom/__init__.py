@@ -16,11 +16,12 @@ from .plans.mapping import (
     column_subset,
     cross_catalogue_mapping,
     study_selection,
+    write_mapping,
 )
 from .plans.modality import contrast_index, ct_index, mr_index, pt_index
 from .plans.registry import INDEXES, build, dictionary, publish
 from .plans.slide import sm_index, sm_instance_index
-from .plans.versions import prior_versions_index
+from .plans.versions import prior_versions_index, update_history
 from .sources.tables import Tables
 
 __all__ = [
@@ -51,7 +52,9 @@ __all__ = [
     "sm_index",
     "sm_instance_index",
     "study_selection",
+    "update_history",
     "version_metadata_index",
     "version_span",
     "volume_geometry_index",
+    "write_mapping",
 ]

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 #: Bits of a set: 128 KiB on the driver and in each task, whatever the tables hold.
 BITS = 1 << 20
+#: Of a set that is to tell many rows apart: 1 MiB.
+MANY_BITS = 1 << 23
 _WORD = 64
 
 
@@ -30,20 +32,20 @@ def lanes(c: Column, text: Column, kind: T.DataType) -> tuple[Column, Column]:
     return F.when(filled, F.xxhash64(value)), F.when(filled, F.xxhash64(F.lit("second lane"), value))
 
 
-def _place(hashed: Column) -> tuple[Column, Column]:
+def _place(hashed: Column, size: int) -> tuple[Column, Column]:
     """Word of a hash's bit, and the word that has this bit only."""
-    place = F.pmod(hashed, F.lit(BITS))
+    place = F.pmod(hashed, F.lit(size))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(_WORD)).cast("int"))
     return F.floor(place / F.lit(_WORD)).cast("int"), bit
 
 
-def bit_set(hashes: DataFrame) -> Column:
+def bit_set(hashes: DataFrame, size: int = BITS) -> Column:
     """The set of the hashes in the only column of a table, as a scalar subquery.
 
     It is an array of 64-bit words; all words are present, so a look-up is one array access.
     """
-    word, bit = _place(F.col(hashes.columns[0]))
-    blank = hashes.sparkSession.range(BITS // _WORD).select(
+    word, bit = _place(F.col(hashes.columns[0]), size)
+    blank = hashes.sparkSession.range(size // _WORD).select(
         F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("bits")
     )
     words = hashes.select(word.alias("word"), bit.alias("bits")).unionAll(blank)
@@ -52,7 +54,7 @@ def bit_set(hashes: DataFrame) -> Column:
     return ordered.select("words.bits").scalar()
 
 
-def in_set(bits: Column, hashed: Column) -> Column:
+def in_set(bits: Column, hashed: Column, size: int = BITS) -> Column:
     """Whether a hash may be in the set."""
-    word, bit = _place(hashed)
+    word, bit = _place(hashed, size)
     return F.get(bits, word).bitwiseAND(bit) != 0

@@ -24,12 +24,31 @@ def strict_names(
     culprit = F.coalesce(
         F.get(unmapped, F.lit(0)), F.when(known_rows < rows, F.lit("NULL"))
     )
-    message = F.concat(F.lit(f"Unmapped {what}: "), culprit)
+    message = rejection(culprit, what)
     return F.when(
         culprit.isNotNull(), F.raise_error(message).cast("array<string>")
     ).otherwise(F.transform(uids, lambda u: F.try_element_at(table, u)))
 
 
+def rejection(uid: Column, what: str) -> Column:
+    """Message with which ``strict_names`` rejects a UID that its dictionary lacks."""
+    return F.concat(F.lit(f"Unmapped {what}: "), F.coalesce(uid, F.lit("NULL")))
+
+
+def rejected_groups(df: DataFrame, key: str, column: str, names: Mapping[str, str], what: str) -> DataFrame:
+    """Groups that ``strict_names`` would fail on, with its message for the first culprit of each.
+
+    Rows are hashed to distinct (group, UID) first.
+    """
+    counted = df.groupBy(key, F.col(column).alias("uid")).agg(F.count(F.lit(1)).alias("rows"))
+    known = F.coalesce(F.col("uid").isin(*names), F.lit(False))
+    return (
+        counted.where(~known)
+        .groupBy(key)
+        .agg(rejection(F.min("uid"), what).alias("message"), F.sum("rows").alias("rows"))
+    )
+
+
 def unknown_codes(df: DataFrame, column: str, names: Mapping[str, str]) -> DataFrame:
     """Every UID the dictionary lacks, with its row count (NULL counts as missing).
 

@@ -13,8 +13,10 @@ from ..functions.expr import (
     distinct_looks,
     first,
     items,
+    joined_or_null,
 )
 from ..lookups import ANN_CLASS, RTSTRUCT_CLASS, SEG_CLASS
+from ..operators.fingerprints import MANY_BITS, bit_set, in_set
 from .core import INSTANCE, SERIES
 
 
@@ -31,8 +33,8 @@ def _referenced_instance() -> Column:
 def segmented_series(instances: DataFrame) -> DataFrame:
     """Segmentation series -> series of the image it was drawn on.
 
-    The references of a series are made distinct before the join, so the only wide
-    side is the two-column (instance, series) projection of the instance table.
+    The references of a series are made distinct before the join.  A bit set of the instances they
+    name filters the instance table at its scan, so hardly more rows of it are moved than there are references.
     """
     references = (
         instances.where((F.col("SOPClassUID") == SEG_CLASS) & (F.col("Modality") == "SEG"))
@@ -41,14 +43,29 @@ def segmented_series(instances: DataFrame) -> DataFrame:
         .where(F.col(INSTANCE).isNotNull())
         .distinct()
     )
-    images = instances.select(INSTANCE, F.col(SERIES).alias("_image_series"))
+    named = bit_set(references.select(F.xxhash64(INSTANCE).alias("h")), MANY_BITS)
+    images = instances.where(in_set(named, F.xxhash64(INSTANCE), MANY_BITS)).select(
+        INSTANCE, F.col(SERIES).alias("_image_series")
+    )
+    pairs = references.join(images, INSTANCE)
+    # hashed to distinct pairs before texts are compared
     return (
-        references.join(images, INSTANCE)
+        distinct_looks(pairs, ["_seg_series", "_image_series"])
         .groupBy(F.col("_seg_series").alias(SERIES))
         .agg(any_of("_image_series").alias("segmented_SeriesInstanceUID"))
     )
 
 
+#: What the index lists of a segment; numbers are counted and of the type the smallest is kept.
+_SEGMENT_TYPE, _SEGMENT_NUMBER = "SegmentationType", "total_segments"
+_SEGMENT_LISTS = (
+    "SegmentedPropertyCategory_CodeMeanings",
+    "SegmentedPropertyType_CodeMeanings",
+    "AnatomicRegion_CodeMeanings",
+)
+_SEGMENT_TEXTS = ("AlgorithmType", "AlgorithmName")
+
+
 def seg_index(segmentations: DataFrame, instances: DataFrame | None = None) -> DataFrame:
     """One row per segmentation series.
 
@@ -56,30 +73,38 @@ def seg_index(segmentations: DataFrame, instances: DataFrame | None = None) -> D
     are resolved in; they may be the same table.
     """
     instances = segmentations if instances is None else instances
+    # long form (series, attribute, value), made distinct by hashing, so that lists are built
+    # from distinct values and not from segments
+    segment = F.col("s")
+    values = {
+        _SEGMENT_TYPE: F.col("SegmentationType"),
+        _SEGMENT_NUMBER: segment["SegmentNumber"].cast("string"),
+        "AlgorithmType": segment["SegmentAlgorithmType"],
+        "AlgorithmName": first(segment["SegmentAlgorithmName"]),
+        "SegmentedPropertyCategory_CodeMeanings": first(segment["SegmentedPropertyCategoryCodeSequence"])["CodeMeaning"],
+        "SegmentedPropertyType_CodeMeanings": first(segment["SegmentedPropertyTypeCodeSequence"])["CodeMeaning"],
+        "AnatomicRegion_CodeMeanings": first(segment["AnatomicRegionSequence"])["CodeMeaning"],
+    }
+    places = {name: i for i, name in enumerate(values)}
+    entries = [F.struct(F.lit(places[n]).alias("attribute"), v.alias("value")) for n, v in values.items()]
     segments = (
         segmentations.where(F.col("SOPClassUID") == SEG_CLASS)
         .select(SERIES, "SegmentationType", F.explode("SegmentSequence").alias("s"))
-        .select(
-            SERIES,
-            "SegmentationType",
-            F.col("s.SegmentNumber").alias("number"),
-            F.col("s.SegmentAlgorithmType").alias("algorithm_type"),
-            first("s.SegmentAlgorithmName").alias("algorithm_name"),
-            first("s.SegmentedPropertyCategoryCodeSequence")["CodeMeaning"].alias("category"),
-            first("s.SegmentedPropertyTypeCodeSequence")["CodeMeaning"].alias("kind"),
-            first("s.AnatomicRegionSequence")["CodeMeaning"].alias("region"),
-        )
+        .select(SERIES, F.inline(F.array(*entries)))
     )
+
+    def found(name: str) -> Column:
+        return F.collect_list(F.when(F.col("attribute") == places[name], F.col("value")))
+
+    numbers = (F.col("attribute") == places[_SEGMENT_NUMBER]) & F.col("value").isNotNull()
     return (
-        segments.groupBy(SERIES)
+        distinct_looks(segments, [SERIES, "attribute", "value"])
+        .groupBy(SERIES)
         .agg(
-            any_of("SegmentationType").alias("SegmentationType"),
-            F.count_distinct("number").alias("total_segments"),
-            distinct_joined("algorithm_type").alias("AlgorithmType"),
-            distinct_joined("algorithm_name").alias("AlgorithmName"),
-            distinct_sorted("category").alias("SegmentedPropertyCategory_CodeMeanings"),
-            distinct_sorted("kind").alias("SegmentedPropertyType_CodeMeanings"),
-            distinct_sorted("region").alias("AnatomicRegion_CodeMeanings"),
+            F.array_min(found(_SEGMENT_TYPE)).alias(_SEGMENT_TYPE),
+            F.count_if(numbers).alias(_SEGMENT_NUMBER),
+            *[joined_or_null(F.sort_array(found(n))).alias(n) for n in _SEGMENT_TEXTS],
+            *[F.sort_array(found(n)).alias(n) for n in _SEGMENT_LISTS],
         )
         .join(segmented_series(instances), SERIES, "left")
         .select(

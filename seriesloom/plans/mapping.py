@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +53,11 @@ def study_selection(
     )
 
 
+def patient_pairs(studies: DataFrame) -> DataFrame:
+    """Distinct complete (collection, patient) pairs of the studies."""
+    return studies.select(*PATIENT).dropna().distinct()
+
+
 def collection_projects(
     spark: SparkSession, projects: Mapping[str, Sequence[str]] = COLLECTION_PROJECTS
 ) -> DataFrame:
@@ -80,8 +85,7 @@ def cases_of_patients(studies: DataFrame, cases: DataFrame, projects: DataFrame)
     The projects are attached to the patients that occur, so a project that serves many
     collections does not multiply its cases, and the join is on (project, submitter).
     """
-    patients = studies.select(*PATIENT).dropna().distinct()
-    wanted = patients.join(projects, "collection_id").select(
+    wanted = patient_pairs(studies).join(projects, "collection_id").select(
         *PATIENT, F.explode(F.array_distinct("project_ids")).alias("project_id")
     )
     known = (
@@ -96,11 +100,43 @@ def cases_of_patients(studies: DataFrame, cases: DataFrame, projects: DataFrame)
     )
 
 
+def _attached(studies: DataFrame, cases: DataFrame, projects: DataFrame) -> DataFrame:
+    """Studies with ``gdc_case_id`` and ``_mapped``, whether the mapping knows the collection.
+
+    The studies are used once, so they are derived once: the projects of their collection and the
+    cases of their patient come to them, the latter as a map of the smallest case of each project,
+    which has at most as many entries as there are mapped projects.
+    """
+    of_collection = projects.groupBy("collection_id").agg(
+        F.array_distinct(F.flatten(F.collect_list("project_ids"))).alias("_projects")
+    )
+    mapped = projects.select(F.explode("project_ids").alias("project_id")).distinct()
+    of_patient = (
+        cases.where(F.col("submitter_id").isNotNull() & F.col("case_id").isNotNull())
+        .join(mapped, "project_id", "left_semi")
+        # distinct first: equal rows are hashed away before texts are compared
+        .groupBy("project_id", F.col("submitter_id").alias("PatientID"), "case_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("PatientID", "project_id")
+        .agg(F.min("case_id").alias("case_id"))
+        .groupBy("PatientID")
+        .agg(F.map_from_entries(F.collect_list(F.struct("project_id", "case_id"))).alias("_cases"))
+    )
+    found = F.transform("_projects", lambda p: F.try_element_at("_cases", p))
+    return (
+        studies.join(of_collection, "collection_id", "left")
+        .join(of_patient, "PatientID", "left")
+        .select(
+            *studies.columns,
+            F.array_min(F.filter(found, lambda c: c.isNotNull())).alias("gdc_case_id"),
+            F.col("_projects").isNotNull().alias("_mapped"),
+        )
+    )
+
+
 def attach_cases(studies: DataFrame, cases: DataFrame, projects: DataFrame) -> DataFrame:
     """Studies with the case of their patient, NULL where there is none."""
-    return studies.join(cases_of_patients(studies, cases, projects), PATIENT, "left").select(
-        *studies.columns, "gdc_case_id"
-    )
+    return _attached(studies, cases, projects).drop("_mapped")
 
 
 def collections_without_match(
@@ -188,6 +224,62 @@ def checked_mapping(
     return as_text(matched)
 
 
+#: Collections of a mapping that is checked while it is written.
+MAPPED_COLLECTIONS = 10_000
+
+
+def write_mapping(
+    studies: DataFrame,
+    cases: DataFrame,
+    path: str,
+    projects: DataFrame | None = None,
+    exempt: Sequence[str] = COLLECTIONS_WITHOUT_CASES,
+    keep_unmatched: bool = False,
+) -> DataFrame:
+    """``checked_mapping`` in one job: the result is written to ``path``, observed on the way, and read back.
+
+    The checks read metrics of the job that writes, so the studies are derived once.  They come
+    after the writing: when they fail, what lies at ``path`` must not be used.
+    """
+    spark = studies.sparkSession
+    if projects is None:
+        projects = collection_projects(spark)
+    names = sorted(
+        r[0]
+        for r in projects.where(F.col("collection_id").isNotNull())
+        .select("collection_id")
+        .distinct()
+        .limit(MAPPED_COLLECTIONS + 1)
+        .collect()
+    )
+    if len(names) > MAPPED_COLLECTIONS:
+        raise ValueError(f"more than {MAPPED_COLLECTIONS} mapped collections")
+    wanted = [c for c in names if c not in set(exempt)]
+    patient = F.col("collection_id").isNotNull() & F.col("PatientID").isNotNull()
+    metrics = [F.count_if(patient & ~F.col("_mapped")).alias("unmapped")]
+    for i, c in enumerate(wanted):
+        here = F.col("collection_id") == c
+        metrics += [
+            F.count_if(here).alias(f"studies_{i}"),
+            F.count_if(here & F.col("gdc_case_id").isNotNull()).alias(f"matched_{i}"),
+        ]
+    checks = Observation()
+    matched = _attached(studies, cases, projects).observe(checks, *metrics).drop("_mapped")
+    if not keep_unmatched:
+        matched = matched.dropna(subset=["gdc_case_id"])
+    out = as_text(matched)
+    out.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    seen = checks.get
+    if seen["unmapped"]:
+        rows = unmapped_collections(studies, projects)
+        raise MappingError("collections have no projects mapped", rows, rows.count())
+    empty = [(c, seen[f"studies_{i}"]) for i, c in enumerate(wanted) if seen[f"studies_{i}"] and not seen[f"matched_{i}"]]
+    if empty:
+        rows = spark.createDataFrame(empty, "collection_id string, studies long")
+        raise MappingError("collections have no matching case at all", rows, len(empty))
+    return spark.read.schema(out.schema).parquet(path)
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Cast every column that is not text, boolean, long or double to text."""
     plain = (T.StringType, T.BooleanType, T.LongType, T.DoubleType)

@@ -96,6 +96,28 @@ def test_umbrella_project_does_not_multiply_its_cases(spark, cases):
     assert [tuple(r) for r in mapping.cases_of_patients(one, cases, projects).collect()] == [("c3", "q1", "c4")]
 
 
+def test_written_mapping_is_checked_in_one_job(spark, studies, cases, tmp_path):
+    path = str(tmp_path / "m")
+    got = mapping.write_mapping(studies, cases, path)
+    assert sorted(map(str, got.collect())) == sorted(map(str, checked_mapping(studies, cases).collect()))
+    with pytest.raises(mapping.MappingError, match="no matching case") as error:
+        mapping.write_mapping(studies, cases, path, exempt=())
+    assert [tuple(r) for r in error.value.rows.collect()] == [("cptac_cm", 1)]
+    many = spark.range(300).selectExpr("'new' || id as collection_id", "'p' as PatientID", "'t' || id as StudyInstanceUID")
+    with pytest.raises(mapping.MappingError, match="no projects") as error:
+        mapping.write_mapping(studies.unionByName(many), cases, path)
+    assert error.value.count == 300 == error.value.rows.count()
+    empty = studies.limit(0)
+    assert mapping.write_mapping(empty, cases, path).count() == 0
+
+
+def test_studies_are_derived_once(spark, studies, cases, tmp_path):
+    studies.write.parquet(f"{tmp_path}/s")
+    stored = spark.read.parquet(f"{tmp_path}/s")
+    plan = mapping.attach_cases(stored, cases, mapping.collection_projects(spark))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_collection_without_match_is_an_error(studies, cases):
     with pytest.raises(mapping.MappingError) as error:
         checked_mapping(studies, cases, exempt=())
