@@ -639,11 +639,12 @@ select *, left_rows = right_rows and left_columns = right_columns as same_shape
 
 
 _BIG = "(9007199254740992 + o_orderkey)"
+_HUGE = "(cast(4611686018427387904 as bigint) + o_orderkey * 256)"
 TYPED_PAIR = f"""a as (
-  select o_orderkey, cast(o_custkey as double) as exact, cast({_BIG} as hugeint) as large, o_custkey as whole,
+  select o_orderkey, cast(o_custkey as double) as exact, cast({_BIG} as hugeint) as large, cast({_HUGE} as hugeint) as huge, o_custkey as whole,
     cast(o_orderkey as varchar) as text, o_custkey as pairs from orders),
 b as (
-  select o_orderkey, cast(o_custkey as double) as exact, cast(cast({_BIG} as double) as hugeint) as large,
+  select o_orderkey, cast(o_custkey as double) as exact, cast(cast({_BIG} as double) as hugeint) as large, cast(cast({_HUGE} as double) as hugeint) as huge,
     o_custkey as whole, cast(o_orderkey + (o_orderkey % 5 = 0)::int as varchar) as text,
     case when o_orderstatus = 'P' then -1 else o_custkey end as pairs from orders)"""
 
@@ -831,7 +832,7 @@ def oracle_sql() -> dict[str, str]:
         "ordered_positions": ordered_positions(),
         "comparison_overview": comparison_overview(),
         "shape_diff": shape_diff(),
-        "keyed_diff_types": keyed_diff(TYPED_PAIR, "o_orderkey", ["exact", "large", "pairs", "text", "whole"]),
+        "keyed_diff_types": keyed_diff(TYPED_PAIR, "o_orderkey", ["exact", "huge", "large", "pairs", "text", "whole"]),
         "multiset_diff_types": typed_multiset(),
         "column_surplus": column_surplus(),
         "profile_diff_nan": nan_medians(),

@@ -595,13 +595,14 @@ def wide_pair(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 def typed_pair(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Two editions of the orders whose columns differ in type, some also in value."""
     big = "cast(9007199254740992 as bigint) + o_orderkey"
+    huge = "4611686018427387904L + o_orderkey * 256"
     left = table(spark, d, "orders").selectExpr(
-        "o_orderkey", "cast(o_custkey as decimal(12,1)) as exact", f"{big} as large", "o_custkey as whole",
+        "o_orderkey", "cast(o_custkey as decimal(12,1)) as exact", f"{big} as large", f"{huge} as huge", "o_custkey as whole",
         "cast(o_orderkey as string) as text", "map('a', o_custkey, 'b', o_orderkey) as pairs",
     )
     right = table(spark, d, "orders").selectExpr(
         "o_orderkey", "cast(o_custkey as decimal(14,3)) as exact", f"cast({big} as double) as large",
-        "cast(o_custkey as double) as whole", "o_orderkey + (case when o_orderkey % 5 = 0 then 1 else 0 end) as text",
+        f"cast({huge} as double) as huge", "cast(o_custkey as double) as whole", "o_orderkey + (case when o_orderkey % 5 = 0 then 1 else 0 end) as text",
         "map('b', o_orderkey, 'a', case when o_orderstatus = 'P' then -1 else o_custkey end) as pairs",
     )
     return left, right
