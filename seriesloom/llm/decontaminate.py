@@ -19,7 +19,8 @@ Items are taken in blocks of at most BLOCK_BYTES of text; a block's index goes t
 passed over once per block. Nothing is shuffled.
 
 Defined results: null texts and texts without words match nothing; an item of fewer words than a
-shingle is one shingle; rows that repeat a document or an item are reported each; an empty table on
+shingle is one shingle; rows that repeat a document or an item are reported each; a text of any length is
+searched whole; an empty table on
 either side gives no match. Other columns of the documents are carried by ``clean`` and not used.
 """
 

@@ -15,7 +15,8 @@ per class and state, a bounded number. Emissions are smoothed towards the base m
 Documents of a batch are stepped through together, sorted by length, in whole length.
 
 Defined results: null and empty texts are the end alone; a null id counts as the empty text when
-documents are assigned; rows that repeat a document count and are scored each; without training
+documents are assigned; rows that repeat a document count and are scored each; a text of any length is scored
+whole, token by token; without training
 documents every token is unknown. Other columns are carried along by name only where asked for.
 """
 

@@ -10,8 +10,8 @@ Templates are a parameter of the program and small; their table is the only thin
 nothing else is shuffled but the matches.
 
 Defined results: null and empty texts, and units of fewer than two words, match nothing; of templates
-with equal coefficients the first name counts; rows that repeat a document are reported each as long as they differ in
-their id, and once otherwise; empty tables on either side give no match. Other columns are not used.
+with equal coefficients the first name counts; rows that repeat a document, or have no id, are reported each; lines
+and texts of any length are compared whole; empty tables on either side give no match. Other columns are not used.
 """
 
 from __future__ import annotations

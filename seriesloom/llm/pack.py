@@ -12,7 +12,8 @@ range is read; a task holds one sequence and one document.
 
 Defined results: null and empty texts are the end token alone; a null id sorts first; rows that
 repeat an id are packed each; documents equal in key, id and length keep the order in which they were
-read; an empty table gives no pieces. Other columns of the input are not used.
+read; a text of any length is encoded whole, in memory, and cut into as many pieces as it fills sequences; an empty
+table gives no pieces. Other columns of the input are not used.
 """
 
 from __future__ import annotations
