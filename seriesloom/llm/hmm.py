@@ -1,12 +1,12 @@
 """A hidden Markov language model: Baum-Welch over partitions, exact scores by the scaled forward recursion.
 
-Tokens are the words of a text, A-Z in lower case, and an end. Training counts cover all training
-documents, and every training word has an emission of its own in every state. The COMMON most frequent words are
-classes of a table that is sent to executors; all rarer words live in a stored table by word. Documents are kept in blocks
-of BLOCK_TOKENS; in every step and in scoring a block's distinct rarer words are joined with that table, and the two
-meet by block. The rarer words of a hash bucket add up to one of BUCKETS classes, with one more place in every bucket for
-words never seen: for every state the probabilities of all tokens add up to 1. Neither the vocabulary nor the
-rarer words' emissions ever pass through the driver.
+Tokens are the words of a text, A-Z in lower case, and an end. Training counts cover all training documents,
+and every training word has an emission of its own in every state. The COMMON most frequent words are classes
+of a table that is sent to executors; all rarer words live in a stored table by word. Documents are kept in
+blocks of BLOCK_TOKENS; in every step and in scoring a block's distinct rarer words are joined with that
+table, and the two meet by block. The rarer words of a hash bucket add up to one of BUCKETS classes, with one
+more place in every bucket for words never seen: for every state the probabilities of all tokens add up to 1.
+Neither the vocabulary nor the rarer words' emissions ever pass through the driver.
 
 Training: WARM steps of Baum-Welch on disjoint folds of the training documents, then one on all of
 them. A block adds up expected counts over its documents; Spark sums them by class and by word; the driver gets one row

@@ -74,7 +74,8 @@ def scanned(
     sizes = [n for _, grams in listed for n in sizes_for(len(grams), percent)]
     units = F.array(F.col(f"`{text}`")) if whole else F.split(F.col(f"`{text}`"), "\n")
     # rows are told apart by a number, as their ids may be null or repeat
-    ided = docs.select(F.col(f"`{key}`").alias("doc"), units.alias("units"), F.monotonically_increasing_id().alias("row"))
+    row = F.monotonically_increasing_id().alias("row")
+    ided = docs.select(F.col(f"`{key}`").alias("doc"), units.alias("units"), row)
     lines = ided.select("row", "doc", F.posexplode("units").alias("line", "unit"))
     words = F.split(_normalised(F.col("unit")), " ")
     counted = lines.select("row", "doc", "line", words.alias("words")).where(F.size("words") > max(1, min(sizes, default=0)))
@@ -85,7 +86,9 @@ def scanned(
     sized = counted.select("row", "doc", "line", F.array_distinct(pairs).alias("own")).withColumn("size", F.size("own"))
     joined = sized.join(F.broadcast(table), "size")
     shared = F.size(F.array_intersect("own", "grams"))
-    close = joined.select("row", "doc", "line", "licence", "size", shared.alias("shared"), F.size("grams").alias("template_size"))
+    close = joined.select(
+        "row", "doc", "line", "licence", "size", shared.alias("shared"), F.size("grams").alias("template_size")
+    )
     close = close.where(200 * F.col("shared") >= percent * (F.col("size") + F.col("template_size")))
     ratio = F.col("shared") / (F.col("size") + F.col("template_size"))
     best = close.groupBy("row", "doc", "line").agg(

@@ -17,10 +17,10 @@ union are the larger ones of each place, and equal registers become more likely
 
 A pair at the threshold misses all bands with a chance of 5e-7, a more similar one less.
 
-Defined results: a null or empty text, or one without words, has an empty set and is linked with
-nothing; a text of fewer words than a shingle is one shingle; a null id is linked with nothing; rows
-that repeat a document get the same result each; a text of any length counts with its whole set. The id is the document's key. Other columns of the
-input are not used.
+Defined results: a null or empty text, or one without words, has an empty set and is linked with nothing; a
+text of fewer words than a shingle is one shingle; a null id is linked with nothing; rows that repeat a
+document get the same result each; a text of any length counts with its whole set. The id is the document's
+key. Other columns of the input are not used.
 """
 
 from __future__ import annotations

@@ -13,9 +13,10 @@ Votes are summed before they are shuffled, so a host of any size is many small c
 measured: up to ``BROADCAST_CHARS`` they are broadcast and no page is moved, beyond it pages and winners are joined by
 host, where Spark splits a hot host.
 
-Defined results: a null or empty page gives an empty text, a null or malformed address belongs to the host ``''``; repeated
-rows vote and return one by one; ties between paths go to the one that sorts first; markup that is never closed ends
-with the page; pages of any length are read whole; an empty table gives no rows. Other columns are not read.
+Defined results: a null or empty page gives an empty text, a null or malformed address belongs to the host
+``''``; repeated rows vote and return one by one; ties between paths go to the one that sorts first; markup
+that is never closed ends with the page; pages of any length are read whole; an empty table gives no rows.
+Other columns are not read.
 """
 
 from __future__ import annotations

@@ -11,7 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, decontaminate, hmm, licences, merkle, neardup, pack, pagetext, quality, sharding, substring, tokenfile
+from . import (
+    alignment, chat, decontaminate, hmm, licences, merkle, neardup, pack, pagetext, quality, sharding, substring,
+    tokenfile,
+)
 from .shared import mapped, shared_folder, stored
 from .tokens import vocabulary
 

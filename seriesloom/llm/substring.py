@@ -19,7 +19,8 @@ documents or BLOCK_BYTES of text.
 
 Defined results: null and empty texts have no words; a null id takes no part (nothing is removed, and it
 counts as no earlier document); the id is the key, and rows that repeat a document get the same result; a text
-of any length is read whole, by itself if it is longer than a slice; an empty table gives none. Other columns are carried by ``without_repeats`` and not used.
+of any length is read whole, by itself if it is longer than a slice; an empty table gives none. Other columns
+are carried by ``without_repeats`` and not used.
 """
 
 from __future__ import annotations

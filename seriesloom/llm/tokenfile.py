@@ -13,8 +13,9 @@ stand alone); everything else covers all documents.
 Files are written under a name of their own and then moved, so a repeated task replaces what an
 earlier attempt left. Only rows about files, one each, are seen as a whole anywhere.
 
-Defined results: null and empty texts are the end token alone; a null id sorts first; rows that repeat
-an id are written each; a text of any length is one frame, encoded whole, in memory; an empty table gives an empty folder that reads as no rows. Other columns are not used.
+Defined results: null and empty texts are the end token alone; a null id sorts first; rows that repeat an id
+are written each; a text of any length is one frame, encoded whole, in memory; an empty table gives an empty
+folder that reads as no rows. Other columns are not used.
 """
 
 from __future__ import annotations
