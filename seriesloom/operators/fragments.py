@@ -114,7 +114,8 @@ def split_points(rows: DataFrame, keys: Sequence[str], order: Column) -> DataFra
     share = min(1.0, SAMPLES * sum(p[-1] for p in pieces) / total)
     kept = rows.select(*keys, order.alias("_order"))
     sampled = kept.join(wanted, _same(kept, wanted, keys)).select(*[kept[k] for k in keys], "_order", "_pieces")
-    lists = sampled.sample(share, seed=7).groupBy(*keys, "_pieces").agg(F.sort_array(F.collect_list("_order")).alias("_s"))
+    ordered = F.sort_array(F.collect_list("_order")).alias("_s")
+    lists = sampled.sample(share, seed=7).groupBy(*keys, "_pieces").agg(ordered)
     points = F.transform(
         F.sequence(F.lit(1).cast("long"), F.col("_pieces") - 1),
         lambda i: F.get("_s", F.floor(i * F.size("_s") / F.col("_pieces")).cast("int")),
@@ -179,7 +180,8 @@ def with_next_value(
         F.lead("_first").over(across.orderBy(FRAGMENT)).alias("_after"),
         *[f(n).over(across).alias(f"_all{n}") for f, n in zip((F.min, F.max, F.sum), names)],
     )
-    known = led.join(F.broadcast(table), F.col(key).eqNullSafe(F.col("_key")) & (F.col(FRAGMENT) == F.col("_at")), "left")
+    on = F.col(key).eqNullSafe(F.col("_key")) & (F.col(FRAGMENT) == F.col("_at"))
+    known = led.join(F.broadcast(table), on, "left")
     whole = [F.when(F.col("_at").isNotNull(), F.col(f"_all{n}")).otherwise(F.col(n)).alias(n) for n in names]
     return known.select(
         *rows.columns, F.when(F.col("_is_last"), F.col("_after")).otherwise(F.col("_next")).alias(next_name), *whole

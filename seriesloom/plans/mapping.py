@@ -273,7 +273,8 @@ def write_mapping(
     if seen["unmapped"]:
         rows = unmapped_collections(studies, projects)
         raise MappingError("collections have no projects mapped", rows, rows.count())
-    empty = [(c, seen[f"studies_{i}"]) for i, c in enumerate(wanted) if seen[f"studies_{i}"] and not seen[f"matched_{i}"]]
+    counts = [(c, seen[f"studies_{i}"], seen[f"matched_{i}"]) for i, c in enumerate(wanted)]
+    empty = [(c, n) for c, n, found in counts if n and not found]
     if empty:
         rows = spark.createDataFrame(empty, "collection_id string, studies long")
         raise MappingError("collections have no matching case at all", rows, len(empty))
