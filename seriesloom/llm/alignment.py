@@ -39,13 +39,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import mapped, ship, stored
+from .shared import mapped, release, ship, stored
 from .text import ranges
 
 #: Fragments composed in one step of the tree.
 FAN = 16
 #: Memory for aligned words that a worker keeps, by estimate.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 40 << 20
 
 # a word with the white space before it; cut only before a space or line end that follows a visible character
 _WORDS = re.compile(r"\s*\S+(?:[^\S \n]\s*(?:\S+|\Z))*|\s+")
@@ -478,6 +478,7 @@ def _blocks(texts: DataFrame, a_path: str, b_path: str, block: int) -> DataFrame
                     if own.bytes >= block:
                         yield from own.batches()
                         own = Block(own.number + 1)
+                        release()
         if own.rows:
             yield from own.batches()
 
@@ -518,7 +519,7 @@ def _answered(rows: pa.Table, answers: pa.Table) -> pa.Table:
 
 def aligned(
     docs: DataFrame, *, a: str, b: str, key: str = "doc_id", text: str = "text",
-    chunk: int = 1 << 16, block: int = 8 << 20,
+    chunk: int = 1 << 16, block: int = 4 << 20,
 ) -> DataFrame:
     """Per document its numbers of tokens, groups and links, the sums over its links, and the digest of its groups.
 
