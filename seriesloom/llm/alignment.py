@@ -45,7 +45,7 @@ from .text import ranges
 #: Fragments composed in one step of the tree.
 FAN = 16
 #: Memory for aligned words that a worker keeps, by estimate.
-CACHE_BYTES = 40 << 20
+CACHE_BYTES = 80 << 20
 
 # a word with the white space before it; cut only before a space or line end that follows a visible character
 _WORDS = re.compile(r"\s*\S+(?:[^\S \n]\s*(?:\S+|\Z))*|\s+")
@@ -173,7 +173,9 @@ class Vocabularies:
         ]
         self.widths = [np.array([len(t) for t in spelled], np.int64) for spelled in (self.a_bytes, self.b_bytes)]
         self.space = self.b.piece_to_id("▁")
+        # aligned words, and those of the time before, of which the ones that come again are kept
         self.known: dict[str, str | None] = {}
+        self.older: dict[str, str | None] = {}
         self.held = 0
 
     def a_tokens(self, text: str, at: int = 0) -> Tokens | None:
@@ -219,10 +221,12 @@ class Vocabularies:
     def words(self, texts: list[str]) -> list[list[str | None]]:
         """The groups of the words of each text, given with its leading space; None for a word that is not spelled."""
         cut = [_WORDS.findall(t) for t in texts]
-        if self.held > CACHE_BYTES:
-            self.known, self.held = {}, 0
-        known = self.known
-        fresh = list({w for words in cut for w in words if w not in known})
+        if self.held > CACHE_BYTES // 2:
+            self.older, self.known, self.held = self.known, {}, 0
+        known, older = self.known, self.older
+        new = {w for words in cut for w in words if w not in known}
+        known.update((w, older[w]) for w in new if w in older)
+        fresh = [w for w in new if w not in known]
         joint = [w for w in fresh if not w[-1].isspace()]
         found = self._aligned(joint) if joint else []
         known.update(zip(joint, found, strict=True))
@@ -230,7 +234,7 @@ class Vocabularies:
         for w in fresh:
             if w[-1].isspace():
                 known[w] = self._aligned([w])[0]
-        self.held += sum(200 + len(w) + len(known[w] or "") for w in fresh)
+        self.held += sum(200 + len(w) + len(known[w] or "") for w in new)
         return [[known[w] for w in words] for words in cut]
 
     def range_fragment(self, text: str, at: int, a: tuple[int, int], b: tuple[int, int]) -> Fragment | None:
