@@ -36,6 +36,18 @@ def test_encoder_equals_whole_text_encoding(tokenizer, monkeypatch):
     assert [small.encode([t])[0] for t in texts] == want
 
 
+def test_marks_and_repeats_are_not_encoded_again(tokenizer, monkeypatch):
+    encoder = Encoder(FILE)
+    fresh, seen = encoder._fresh, []
+    monkeypatch.setattr(encoder, "_fresh", lambda parts: seen.extend(parts) or fresh(parts))
+    texts = ["in sun, sun. sun! moon: moon", "in moon, moon, moon; x.y. 's, don't. stars"]
+    want = [np.array(ids_of(tokenizer, t)[:-1], "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == want
+    assert len(seen) == len(set(seen))
+    assert {"sun", "moon"} <= set(seen) and not {"sun,", "sun.", "moon,", "moon:"} & set(seen)
+    assert encoder.encode(texts) == want and len(seen) == len(set(seen))
+
+
 def test_hilbert_curve_visits_each_cell_and_moves_by_one():
     cells = np.array(list(itertools.product(range(8), repeat=3)))
     index = pack.hilbert_index(cells, bits=3)
