@@ -11,6 +11,7 @@ Neither the vocabulary nor the rarer words' emissions ever pass through the driv
 Training: WARM steps of Baum-Welch on disjoint folds of the training documents, then one on all of
 them. A block adds up expected counts over its documents; Spark sums them by class and by word; the driver gets one row
 per class and state, a bounded number. Emissions are smoothed towards the base model with weight SMOOTHING.
+Work on all documents goes over the blocks in PASSES parts, so that only one part's shuffle files lie on disk at once.
 
 Documents of a batch are stepped through together, sorted by length, in whole length.
 
@@ -22,13 +23,14 @@ documents every token is unknown. Other columns are carried along by name only w
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import text as X
@@ -40,6 +42,8 @@ FOLDS, WARM, SMOOTHING = 16, 6, 100.0
 GROUP_TOKENS = 1 << 20
 #: Tokens of a block of documents, or one longer document.
 BLOCK_TOKENS = 1 << 21
+#: Parts of the blocks that are shuffled one after the other where all documents are gone through.
+PASSES = 4
 #: Words, distinct in each slice, that a task holds before it hands on their counts.
 HELD_WORDS = 1_000_000
 
@@ -325,7 +329,29 @@ def _by_block(rows: DataFrame, found: DataFrame, model: Model, run, schema: str)
     return each.applyInArrow(lambda docs, words: run(plain, docs, words), schema)
 
 
-def step(model: Model, rows: DataFrame, lex: Lexicon, found: DataFrame | None = None) -> Model:
+def _freed(spark: SparkSession) -> None:
+    """Spark drops shuffle files once the driver's JVM has collected their plan.
+
+    Its listeners hold the plan of the last query, so a query of no size goes in between.
+    """
+    spark.range(1).collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _passes(rows: DataFrame, found: DataFrame, passes: int, run: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """``run`` on the rows and uses of every part of the blocks, each stored before the next one starts."""
+
+    def part(frame: DataFrame, block: str, i: int) -> DataFrame:
+        return frame.where(F.pmod(F.xxhash64(block), F.lit(passes)) == i)
+
+    out = []
+    for i in range(passes):
+        out.append(stored(run(part(rows, "block", i), part(found, "home", i))))
+        _freed(rows.sparkSession)
+    return functools.reduce(DataFrame.unionAll, out)
+
+
+def step(model: Model, rows: DataFrame, lex: Lexicon, found: DataFrame | None = None, passes: int = 1) -> Model:
     """One Baum-Welch step over all rows; the same model where there are none.
 
     ``found`` has the ``uses`` of the rows' blocks; without it rarer words count as their buckets.
@@ -359,10 +385,17 @@ def step(model: Model, rows: DataFrame, lex: Lexicon, found: DataFrame | None =
         return pa.Table.from_batches([table(start, move, emit, block.words)])
 
     schema = "rare boolean, key long, " + ", ".join(f"{n} float" for n in names)
+    added = [F.sum(n).alias(n) for n in names]
     if found is None:
         parts = mapped(rows.select("classes"), plain, schema)
-    else:
+    elif passes == 1:
         parts = _by_block(rows.select("block", "classes", "which"), found, model, run, schema)
+    else:
+
+        def counted(rows: DataFrame, found: DataFrame) -> DataFrame:
+            return _by_block(rows, found, model, run, schema).groupBy("rare", "key").agg(*added)
+
+        parts = _passes(rows.select("block", "classes", "which"), found, passes, counted)
     summed = parts.groupBy("rare", "key").agg(*[F.sum(n).cast("float").alias(n) for n in names])
     summed = summed if found is None else stored(summed)
     own = summed.where(~F.col("rare")).toPandas()
@@ -400,10 +433,9 @@ def trained(rows: DataFrame, lex: Lexicon, states: int = STATES, found: DataFram
     for i in range(WARM):
         own = None if found is None else found.where(F.col("folds").bitwiseAND(1 << i) != 0)
         model = step(model, training.where(F.col("fold") == i), lex, own)
-        # Spark drops a step's shuffle files once the driver's JVM has collected its plan
-        rows.sparkSession.sparkContext._jvm.System.gc()
-    model = step(model, training, lex, None if found is None else found.where("folds != 0"))
-    rows.sparkSession.sparkContext._jvm.System.gc()
+        _freed(rows.sparkSession)
+    model = step(model, training, lex, None if found is None else found.where("folds != 0"), PASSES)
+    _freed(rows.sparkSession)
     return model
 
 
@@ -435,7 +467,8 @@ def scored(docs: DataFrame, *, key: str = "doc_id", text: str = "text", states:
         }
         return pa.table(out)
 
-    return _by_block(
-        rows.drop("own", "folds", "fold", "number"), found, model, run,
-        "doc long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
+    schema = "doc long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return _passes(
+        rows.drop("own", "folds", "fold", "number"), found, PASSES,
+        lambda rows, found: _by_block(rows, found, model, run, schema),
     )

@@ -153,3 +153,25 @@ def test_more_rarer_words_than_the_cap_lose_no_gain(spark, monkeypatch):
         held = [r for r in hmm.scored(docs, states=4).collect() if r.held_out]
         gains.append(sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held))
     assert gains[1] > 0.5 * gains[0]
+
+
+def test_parts_of_the_blocks_add_up(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "COMMON", 10)
+    monkeypatch.setattr(hmm, "BLOCK_TOKENS", 700)
+    docs = documents(spark, topics(random.Random(3), 150)).repartition(2)
+    by_block, seen = hmm._by_block, []
+
+    def counted(rows, found, *more):
+        seen.append({r.block for r in rows.select("block").distinct().collect()})
+        return by_block(rows, found, *more)
+
+    monkeypatch.setattr(hmm, "_by_block", counted)
+    scores = []
+    for passes in (1, 3):
+        monkeypatch.setattr(hmm, "PASSES", passes)
+        scores.append({r.doc: r.score for r in hmm.scored(docs, states=4).collect()})
+        assert len(seen) == hmm.WARM + 2 * passes
+        last = seen[-passes:]
+        assert sum(map(len, last)) == len(set().union(*last)) > 1
+        seen.clear()
+    assert scores[1] == pytest.approx(scores[0]) and len(scores[0]) == 150
