@@ -88,6 +88,8 @@ def _stacked(left: DataFrame, right: DataFrame, group: Sequence[str]) -> DataFra
 # --- keyed values ---------------------------------------------------------------
 
 
+#: Places of a hash by which keys with very many rows are found, and the rows that no key with fewer is taken for one.
+PLACES, HEAVY = 1 << 14, 10_000
 #: Numbers of pairs are products of counts.
 PAIRS = "decimal(38,0)"
 _WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
@@ -197,7 +199,8 @@ class _Keyed:
     the smallest and largest of each lane over both sides.  It settles a column of a key where all
     values are equal, where only one side has values, and where the key has one row on each side.
     What is left are keys that repeat with several values.  Their pairs are never built: they are
-    counted from the value counts of both sides, in a second scan that reads these keys only.
+    counted from the value counts of both sides, made from the partitions that the fold is made from.
+    Only keys with very many rows are counted apart, dealt by key and value.
     """
 
     def __init__(self, left: DataFrame, right: DataFrame, key: str) -> None:
@@ -220,34 +223,63 @@ class _Keyed:
     def folded(self) -> DataFrame:
         """Per key of both sides: rows ``l`` and ``r``, and per column i values ``l{i}`` and ``r{i}`` of each
         side and ``same{i}``, whether all of them are equal (also where there are none)."""
+        rows = _stacked(self._hashed(self.left), self._hashed(self.right), ["key"])
+        return self._fold(rows, "_group", F.col("_group.key"))
+
+    def _fold(self, rows: DataFrame, group: str, key: Column) -> DataFrame:
         aggs = [F.sum("_l").alias("l"), F.sum("_r").alias("r")]
         for i in range(len(self.columns)):
             filled = F.col(f"h{i}a").isNotNull()
             aggs += [F.sum(F.when(filled, F.col(f"_{side}")).otherwise(0)).alias(f"{side}{i}") for side in "lr"]
             aggs += [f(f"h{i}{t}").alias(f"{name}{i}{t}") for t in "ab" for name, f in (("lo", F.min), ("hi", F.max))]
-        rows = _stacked(self._hashed(self.left), self._hashed(self.right), ["key"])
-        out = rows.groupBy("_group").agg(*aggs).where("l > 0 and r > 0")
+        out = rows.groupBy(group).agg(*aggs).where("l > 0 and r > 0")
         same = [
             F.col(f"lo{i}a").eqNullSafe(F.col(f"hi{i}a")) & F.col(f"lo{i}b").eqNullSafe(F.col(f"hi{i}b"))
             for i in range(len(self.columns))
         ]
         counts = [c for i in range(len(self.columns)) for c in (f"l{i}", f"r{i}", same[i].alias(f"same{i}"))]
-        return out.select(F.col("_group.key").alias("key"), "l", "r", *counts)
+        return out.select(key.alias("key"), "l", "r", *counts)
+
+    def _heavy(self) -> Column:
+        """The set of the keys with so many rows that one task should not get them all.
+
+        Rows are counted by places of the key's hash, which combines well before the shuffle.  The keys that share a
+        place with a frequent one count as such too; every other key has at most HEAVY rows and two mean places.
+        """
+        keys = [df.select(F.pmod(F.xxhash64(f"`{self.key}`"), F.lit(PLACES)).alias("place")) for df in (self.left, self.right)]
+        places = _stacked(*keys, ["place"]).groupBy("_group").agg(F.count(F.lit(1)).alias("n"))
+        total = places.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar()
+        return bit_set(places.where(F.col("n") > HEAVY + total * 2 / PLACES).select("_group.place"), PLACES)
 
     def counts(self) -> DataFrame:
         """Pairs, differing and unequal pairs per column; first of the keys that their fold settles, then of the
-        others.  A key goes either way by its hash, so both ways see each key once, in all columns."""
-        fold = self.folded()
+        others, then of the keys with very many rows.  Each key goes one way, in all columns.
+
+        All but the very frequent keys are dealt by key once; the fold and the counts of what it leaves open are
+        made from these partitions.
+        """
+        heavy = self._heavy()
+        rows = _stacked(self._hashed(self.left), self._hashed(self.right), ["key"]).drop("_group")
+        # a number given is kept: tasks that Spark puts together would count too many values at a time
+        pieces = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = rows.where(~in_set(heavy, F.xxhash64("key"), PLACES)).repartition(pieces, "key")
+        fold = self._fold(dealt, "key", F.col("key"))
         single = (F.col("l") == 1) & (F.col("r") == 1)
         # products of larger counts could leave the range of a long
         few = F.col("l").cast("double") * F.col("r") < F.lit(2.0**31)
         settled = [
             F.col(f"same{i}") | (F.col(f"l{i}") == 0) | (F.col(f"r{i}") == 0) for i in range(len(self.columns))
         ]
-        unsettled = fold.where(~(single | few & functools.reduce(Column.__and__, settled)))
-        open_keys = bit_set(unsettled.select(F.xxhash64("key").alias("h")))
-        closed = fold.where(~in_set(open_keys, F.xxhash64("key")))
-        return self._settled(closed).unionByName(self._counted(open_keys))
+        closed = single | few & functools.reduce(Column.__and__, settled)
+        unsettled = fold.where(~closed).select("key").hint("shuffle_hash")
+        # a fold has each key once; a semi join would be moved below the dealing, which then runs for it again
+        cells = self._cells(dealt.join(unsettled, "key"))
+        values = cells.groupBy("key", "column", "a", "b").agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
+        return (
+            self._settled(fold.where(closed))
+            .unionByName(self._counted(values))
+            .unionByName(self._counted(self._heavy_values(heavy)))
+        )
 
     def _settled(self, fold: DataFrame) -> DataFrame:
         l, r = F.col("l"), F.col("r")
@@ -273,24 +305,26 @@ class _Keyed:
         ]
         return wide.select(F.inline(F.array(*cells)))
 
-    def _counted(self, open_keys: Column) -> DataFrame:
-        """Both sides are counted per (key, column, value) in one stream: the products
-        of these counts are the pairs, so nothing is joined and no pair is built."""
+    def _cells(self, rows: DataFrame) -> DataFrame:
+        """The hashed values in long form."""
+        lists = [
+            F.struct(F.lit(i).alias("column"), F.col(f"h{i}a").alias("a"), F.col(f"h{i}b").alias("b"))
+            for i in range(len(self.columns))
+        ]
+        return rows.select("key", *[c for c in ("_l", "_r") if c in rows.columns], F.inline(F.array(*lists)))
+
+    def _heavy_values(self, heavy: Column) -> DataFrame:
+        """The values of frequent keys with their counts; their rows are dealt by value as well."""
 
         def cells(df: DataFrame) -> DataFrame:
-            rows = self._hashed(df.where(in_set(open_keys, F.xxhash64(f"`{self.key}`"))))
-            lists = [
-                F.struct(F.lit(i).alias("column"), F.col(f"h{i}a").alias("a"), F.col(f"h{i}b").alias("b"))
-                for i in range(len(self.columns))
-            ]
-            return rows.select("key", F.inline(F.array(*lists)))
+            return self._cells(self._hashed(df.where(in_set(heavy, F.xxhash64(f"`{self.key}`"), PLACES))))
 
-        values = (
-            _stacked(cells(self.left), cells(self.right), ["key", "column", "a", "b"])
-            .groupBy("_group")
-            .agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
-            .select("_group.*", "l", "r")
-        )
+        values = _stacked(cells(self.left), cells(self.right), ["key", "column", "a", "b"])
+        return values.groupBy("_group").agg(F.sum("_l").alias("l"), F.sum("_r").alias("r")).select("_group.*", "l", "r")
+
+    def _counted(self, values: DataFrame) -> DataFrame:
+        """From the counts of both sides per (key, column, value): their products are the pairs, so nothing is
+        joined and no pair is built."""
         filled = F.col("a").isNotNull()
         l, r = F.col("l"), F.col("r")
         none = F.lit(0).cast(PAIRS)
