@@ -39,13 +39,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import mapped, release, ship, stored
-from .text import ranges
+from .shared import batches_of, mapped, release, ship, stored
+from .text import ranges, slices
 
 #: Fragments composed in one step of the tree.
 FAN = 16
 #: Memory for aligned words that a worker keeps, by estimate.
 CACHE_BYTES = 80 << 20
+#: Bytes of an Arrow batch of texts, and of a row group of blocks, which tasks hold whole.
+BATCH_BYTES, ROW_GROUP_BYTES = 4 << 20, 16 << 20
 
 # a word with the white space before it; cut only before a space or line end that follows a visible character
 _WORDS = re.compile(r"\s*\S+(?:[^\S \n]\s*(?:\S+|\Z))*|\s+")
@@ -312,8 +314,8 @@ def _long_texts(rows: DataFrame, a_path: str, b_path: str, chunk: int) -> DataFr
     """``row`` and ``groups`` of texts (row, text); null where the tokens do not spell the text."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = vocabularies(a_path, b_path)
         for batch in batches:
+            pair = vocabularies(a_path, b_path)
             for c in batch.to_pylist():
                 x = pair.range_fragment(c["text"], c["at"], (c["a0"], c["a1"]), (c["b0"], c["b1"]))
                 yield pa.RecordBatch.from_pylist([_cells(c["row"], c["number"], x)], _ARROW_FRAGMENTS)
@@ -370,8 +372,8 @@ def _tallied(owner: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return key >> 32, key & 0xFFFFFFFF, times
 
 
-#: Words whose links are listed at a time.
-WORDS = 20_000
+#: Words whose links are listed at a time, and words of documents whose pairs are counted at a time.
+WORDS, COUNTED_WORDS = 20_000, 1 << 15
 
 
 def links_of(words: list[str]) -> Links:
@@ -420,6 +422,16 @@ def _links_of(words: list[str]) -> Links:
 _MARKS_TO_SPACE = bytes(32 if chr(i) in ",|;\n" else i for i in range(256))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, each in the fewest bytes that hold the largest; the first byte says how many."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return bytes([kind.itemsize]) + values.astype(kind.newbyteorder("<")).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 class Block:
     """Documents that share a dictionary of words and their pairs."""
 
@@ -440,8 +452,10 @@ class Block:
         first, members, times, sums = links_of(list(self.index))
         pairs, members = np.unique(members, return_inverse=True)
         docs = np.zeros(len(pairs), np.int64)
-        for at in range(0, len(self.rows), 64):
-            rows = self.rows[at : at + 64]
+        part = np.cumsum([len(numbers) for _, _, numbers in self.rows]) // COUNTED_WORDS
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(self.rows)]
+        for at, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            rows = self.rows[at:stop]
             held = [np.unique(numbers) for _, _, numbers in rows]
             owner = np.repeat(np.arange(len(held)), [len(h) for h in held])
             words = np.concatenate(held)
@@ -449,13 +463,13 @@ class Block:
             seen = np.unique(np.repeat(owner, counts) * len(pairs) + members[ranges(first[words], counts)])
             docs += np.bincount(seen % max(len(pairs), 1), minlength=len(pairs))
             cells = [
-                {"block": self.number, "key": key, "digest": digest, "words": numbers.tobytes()}
+                {"block": self.number, "key": key, "digest": digest, "words": packed(numbers)}
                 | dict(zip(_SUMS, sums[:, numbers].sum(axis=1).tolist(), strict=True))
                 for key, digest, numbers in rows
             ]
             yield pa.RecordBatch.from_pylist(cells, _ARROW_BLOCKS)
-        kept = {"pairs": pairs, "docs": docs, "first": first, "members": members.astype(np.int32), "times": times}
-        cells = {name: values.tobytes() for name, values in kept.items()}
+        kept = {"pairs": pairs, "docs": docs, "first": first, "members": members, "times": times}
+        cells = {name: packed(values) for name, values in kept.items()}
         yield pa.RecordBatch.from_pylist([{"block": self.number, **cells}], _ARROW_BLOCKS)
 
 
@@ -465,12 +479,12 @@ def _blocks(texts: DataFrame, a_path: str, b_path: str, block: int) -> DataFrame
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        pair = vocabularies(a_path, b_path)
         number = TaskContext.get().partitionId() << 32
         own = Block(number)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                rows = batch.slice(at, 64).to_pylist()
+            pair = vocabularies(a_path, b_path)
+            for part in slices(batch.slice(at, 64) for at in range(0, batch.num_rows, 64)):
+                rows = part.to_pylist()
                 found = pair.words([" " + r["text"] if r["text"] else "" for r in rows])
                 for row, words in zip(rows, found, strict=True):
                     if row["groups"]:
@@ -493,7 +507,7 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs of each dictionary with the number of the block's documents that hold them."""
     for batch in batches:
         for block, pairs, docs in zip(*(batch.column(i) for i in range(3)), strict=True):
-            pairs, docs = (np.frombuffer(x.as_py(), np.int64) for x in (pairs, docs))
+            pairs, docs = (unpacked(x.as_py()) for x in (pairs, docs))
             for at in range(0, len(pairs), 1 << 16):
                 own = pairs[at : at + (1 << 16)]
                 columns = [pa.array(np.full(len(own), block.as_py())), pa.array(own), pa.array(docs[at : at + len(own)])]
@@ -507,16 +521,14 @@ def _answered(rows: pa.Table, answers: pa.Table) -> pa.Table:
     """Sums over the links of each document of a block."""
     entries = rows.filter(pc.is_valid(rows["pairs"])).to_pylist()
     docs = rows.filter(pc.is_null(rows["pairs"]))
-    first, members, times = (
-        np.frombuffer(entries[0][c], t) for c, t in (("first", np.int64), ("members", np.int32), ("times", np.int64))
-    )
+    first, members, times = (unpacked(entries[0][c]) for c in ("first", "members", "times"))
     order = np.argsort(answers["pair"].to_numpy())
     sums = []
     for column in ("best", "count"):
         value = answers[column].to_numpy().astype(np.int64)[order]
         running = np.concatenate([np.zeros(1, np.int64), np.cumsum(value[members] * times)])
         of_word = running[first[1:]] - running[first[:-1]]
-        sums.append([int(of_word[np.frombuffer(w.as_py(), np.int32)].sum()) for w in docs["words"]])
+        sums.append([int(of_word[unpacked(w.as_py())].sum()) for w in docs["words"]])
     columns = [docs[c] for c in ("key", *_SUMS)] + [pa.array(s, pa.int64()) for s in sums] + [docs["digest"]]
     return pa.Table.from_arrays(columns, names=[c.split()[0] for c in _RESULT.split(", ")])
 
@@ -538,7 +550,8 @@ def aligned(
     short = rows.where(~is_long).select("key", "text", F.lit(None).cast("string").alias("groups"))
     put = longer.select("row", "key").join(composed_rows, "row")
     put = put.select("key", F.lit(None).cast("string").alias("text"), "groups")
-    blocks = stored(_blocks(short.union(put), a, b, block))
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        blocks = stored(_blocks(short.union(put), a, b, block), **{"parquet.block.size": ROW_GROUP_BYTES})
 
     entries = blocks.where("pairs is not null").select("block", "pairs", "docs")
     asked = mapped(entries, _asked, "block long, pair long, docs long")

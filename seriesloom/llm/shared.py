@@ -94,9 +94,21 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame) -> DataFrame:
-    """The same rows, written once as Parquet to the shared folder and read back."""
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Queries that run in here send their workers Arrow batches of at most ``size`` bytes, or of one longer row."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def stored(frame: DataFrame, **options: int) -> DataFrame:
+    """The same rows, written once as Parquet to the shared folder and read back; ``options`` are those of the writer."""
     spark = frame.sparkSession
     path = shared_folder(spark)
-    frame.write.option("compression", "zstd").parquet(path)
+    frame.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

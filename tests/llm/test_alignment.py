@@ -5,6 +5,8 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -132,3 +134,41 @@ def test_fragments_compose_in_any_order():
                 k = rng.randrange(len(left) - 1)
                 left[k : k + 2] = [alignment.composed(left[k], left[k + 1])]
             assert alignment.whole(left[0]) == want
+
+
+def test_packed_numbers_come_back():
+    for most in (0, 255, 256, 70_000, 1 << 40):
+        values = np.array([0, most, 1 if most else 0], np.int64)
+        assert alignment.unpacked(alignment.packed(values)).tolist() == values.tolist()
+    assert alignment.unpacked(alignment.packed(np.empty(0, np.int64))).tolist() == []
+
+
+def test_block_is_narrow():
+    """A few bytes for each word of a document and for each link of the dictionary."""
+    own = alignment.Block(0)
+    words = [f"{i},{i + 1}|{i + 2}" for i in range(200)]
+    for key in range(100):
+        own.add(key, words, 1)
+    *docs, kept = (batch for batch in own.batches())
+    held = sum(len(w.as_py()) for batch in docs for w in batch.column("words"))
+    assert held <= 100 * (200 + 1)
+    sizes = {c: len(kept.column(c)[0].as_py()) for c in ("pairs", "docs", "first", "members", "times")}
+    assert sizes == {"pairs": 8 * 400 + 1, "docs": 400 + 1, "first": 2 * 201 + 1, "members": 2 * 400 + 1, "times": 400 + 1}
+
+
+def test_texts_come_in_small_batches(spark, monkeypatch):
+    """Tasks hold a few MB of texts at a time, however large the session's batches are."""
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, stored = spark.conf.get(name), alignment.stored
+
+    def watched(frame, **options):
+        if "words" in frame.columns:
+            texts = spark.range(0, 3000, 1, 1).selectExpr("repeat('abcdefgh', 1000) t")
+            sizes = texts.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long")
+            seen.extend(r.n for r in sizes.collect())
+        return stored(frame, **options)
+
+    monkeypatch.setattr(alignment, "stored", watched)
+    assert alignment.aligned(documents(spark, ["a b", None]), a=A, b=B).count() == 2
+    assert sum(seen) > 16 << 20 and max(seen) <= 5 << 20
+    assert spark.conf.get(name) == before
