@@ -40,6 +40,8 @@ COMMON, BUCKETS, STATES = 60_000, 1024, 8
 FOLDS, WARM, SMOOTHING = 16, 6, 100.0
 #: Tokens whose forward values are kept at once while counts are collected.
 GROUP_TOKENS = 1 << 20
+#: Tokens of consecutive steps whose emissions are looked up at once.
+STRETCH_TOKENS = 1 << 16
 #: Tokens of a block of documents, or one longer document.
 BLOCK_TOKENS = 1 << 21
 #: Parts of the blocks that are shuffled one after the other where all documents are gone through.
@@ -225,22 +227,40 @@ class Group:
     def block(self, t: int) -> slice:
         return slice(int(self.begin[t]), int(self.begin[t + 1]))
 
+    def stretches(self) -> list[tuple[int, int]]:
+        """Consecutive steps of STRETCH_TOKENS tokens, or one step of more."""
+        out, at = [], 0
+        while at < len(self.active):
+            stop = int(np.searchsorted(self.begin, self.begin[at] + STRETCH_TOKENS, "right")) - 1
+            out.append((at, max(stop, at + 1)))
+            at = out[-1][1]
+        return out
+
 
 def forward(model: Model, group: Group, keep: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
-    """Natural log likelihoods by sequence; where ``keep``, scaled forward values and scales by row."""
+    """Natural log likelihoods by sequence; where ``keep``, scaled forward values and scales by row.
+
+    A step has few sequences where texts are long, so only what needs the step before it is done step by step.
+    """
     score = np.zeros(len(group.order))
     values = np.empty((len(group.tokens), model.emit.shape[1])) if keep else None
     scales = np.empty(len(group.tokens)) if keep else None
-    now = None
-    for t, n in enumerate(group.active.tolist()):
-        emitted = model.emit[group.tokens[group.block(t)]]
-        now = emitted * (model.start if t == 0 else now[:n] @ model.move)
-        scale = now.sum(axis=1)
-        now /= scale[:, None]
-        score[:n] += np.log(scale)
+    before = None
+    for first, stop in group.stretches():
+        rows = slice(int(group.begin[first]), int(group.begin[stop]))
+        part = model.emit[group.tokens[rows]]
+        scale = np.empty((len(part), 1))
+        begin = (group.begin[first : stop + 1] - rows.start).tolist()
+        for low, high in zip(begin[:-1], begin[1:], strict=True):
+            now, own = part[low:high], scale[low:high]
+            now *= model.start if before is None else before[: high - low] @ model.move
+            np.add.reduce(now, axis=1, keepdims=True, out=own)
+            now /= own
+            before = now
+        sequence = np.arange(len(part)) - np.repeat(begin[:-1], group.active[first:stop])
+        score += np.bincount(sequence, np.log(scale[:, 0]), len(score))
         if keep:
-            values[group.block(t)] = now
-            scales[group.block(t)] = scale
+            values[rows], scales[rows] = part, scale[:, 0]
     out = np.empty(len(score))
     out[group.order] = score
     return out, values, scales
@@ -249,18 +269,29 @@ def forward(model: Model, group: Group, keep: bool) -> tuple[np.ndarray, np.ndar
 def expected_counts(model: Model, group: Group, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
     """Add the expected counts of a group to ``start``, ``move`` and ``emit``."""
     _, values, scales = forward(model, group, True)
-    steps = len(group.active)
-    back = np.ones((int(group.active[-1]), model.emit.shape[1]))
-    for t in range(steps - 1, -1, -1):
-        block = group.block(t)
-        held = values[block].copy()
-        values[block] = held * back  # now the chance of each state
-        if t:
-            weighted = model.emit[group.tokens[block]] * back / scales[block][:, None]
-            before = values[group.block(t - 1)]
-            move += before[: len(weighted)].T @ weighted
-            back = np.ones((int(group.active[t - 1]), values.shape[1]))
-            back[: len(weighted)] = weighted @ model.move.T
+    to_before = np.ascontiguousarray(model.move.T)
+    carried = np.ones((int(group.active[-1]), values.shape[1]))
+    for first, stop in reversed(group.stretches()):
+        rows = slice(int(group.begin[first]), int(group.begin[stop]))
+        begin = (group.begin[first : stop + 1] - rows.start).tolist()
+        weighted = model.emit[group.tokens[rows]]
+        weighted /= scales[rows, None]
+        back = np.ones_like(weighted)
+        back[begin[-2] :] = carried
+        for k in range(len(begin) - 2, -1, -1):
+            low, high = begin[k], begin[k + 1]
+            now = weighted[low:high]
+            now *= back[low:high]
+            if k:
+                np.matmul(now, to_before, out=back[begin[k - 1] : begin[k - 1] + high - low])
+            elif first:
+                carried = np.ones((int(group.active[first - 1]), values.shape[1]))
+                np.matmul(now, to_before, out=carried[: high - low])
+        # the first step comes from none
+        later = max(first, 1)
+        came = np.arange(int(group.begin[later]), rows.stop) - np.repeat(group.active[later - 1 : stop - 1], group.active[later:stop])
+        move += values[came].T @ weighted[len(weighted) - len(came) :]
+        values[rows] *= back  # now the chance of each state
     start += values[group.block(0)].sum(axis=0)
     for state in range(emit.shape[1]):
         emit[:, state] += np.bincount(group.tokens, values[:, state], len(emit))

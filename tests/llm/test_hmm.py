@@ -175,3 +175,37 @@ def test_parts_of_the_blocks_add_up(spark, monkeypatch):
         assert sum(map(len, last)) == len(set().union(*last)) > 1
         seen.clear()
     assert scores[1] == pytest.approx(scores[0]) and len(scores[0]) == 150
+
+
+class Looked(np.ndarray):
+    """Emissions that count how often they are looked up."""
+
+    times = 0
+
+    def __getitem__(self, key):
+        Looked.times += 1
+        return np.asarray(self)[key]
+
+
+@pytest.mark.parametrize("tokens", [1, 7, 1 << 16])
+def test_emissions_are_looked_up_by_stretches(monkeypatch, tokens):
+    """Not for every step of a long text; stretches of any size give the same."""
+    rng = np.random.default_rng(11)
+    model = toy(rng)
+    sequences = [rng.integers(0, 6, n) for n in (400, 400, 250, 9, 1)]
+    wanted = hmm.forward(model, hmm.Group(sequences), False)[0]
+    counts = [np.zeros(3), np.zeros((3, 3)), np.zeros((6, 3))]
+    hmm.expected_counts(model, hmm.Group(sequences), *counts)
+    monkeypatch.setattr(hmm, "STRETCH_TOKENS", tokens)
+    Looked.times = 0
+    group = hmm.Group(sequences)
+    got = hmm.forward(model._replace(emit=model.emit.view(Looked)), group, False)[0]
+    again = [np.zeros(3), np.zeros((3, 3)), np.zeros((6, 3))]
+    hmm.expected_counts(model._replace(emit=model.emit.view(Looked)), group, *again)
+    assert Looked.times == 3 * len(group.stretches())
+    if tokens > 1000:
+        assert Looked.times == 3
+    assert got == pytest.approx(wanted, rel=1e-12)
+    for a, b in zip(counts, again):
+        assert b == pytest.approx(a, rel=1e-9)
+    assert counts[2].sum() == pytest.approx(sum(map(len, sequences)))
