@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+import codecs
+import hashlib
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from itertools import groupby
+from operator import itemgetter
+from typing import TYPE_CHECKING
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +16,13 @@ from pyspark.sql import types as T
 
 from ..operators.compare import orderable
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 VERSION_KEY = "release_version"
 DESCRIPTION_KEY = "comment"
 
-#: Rows of one published file, which keeps files far below what ``checksums`` can hash.
+#: Rows of one published file, which bounds what ``checksums`` hashes in one task.
 ROWS_PER_FILE = 1_000_000
 
 # Types that readers of the published files cannot be relied on to support.
@@ -186,22 +195,83 @@ def column_dictionary(
     )
 
 
+#: Ends a piece of a file that ``checksums`` streams.  The header of every Parquet page holds this byte, so a piece
+#: is never longer than a page; other bytes are this one about every 256 bytes.
+PIECE_END = "\x15"
+
+#: Declares Parquet files compressed by a codec that changes nothing, so that the text reader does not split
+#: them.  Hadoop's shaded client has the codec's key under another name.
+_WHOLE_FILES = {
+    "io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec",
+    "io.compress.passthrough.extension": ".parquet",
+    "org.apache.hadoop.shaded.io.compress.passthrough.extension": ".parquet",
+}
+
+
+def _file_digests(separator: bytes) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Name and SHA-256 of each file, from batches of its path as a URI, its size and its pieces in order.
+
+    The reader takes a byte order mark off the start and a separator off the end, which the size tells.  Workers
+    need not have this package: what is nested here is sent to them.
+    """
+
+    def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Buffer]]:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            paths, sizes, pieces = batch.columns
+            ends = [0, *pc.run_end_encode(paths).run_ends.to_pylist()]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces)
+            joined = pc.binary_join(lists, pa.scalar(separator, pieces.type))
+            for at, data in zip(ends, joined):
+                yield paths[at].as_py(), sizes[at].as_py(), data.as_buffer()
+
+    def digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
+        for (path, size), found in groupby(parts(batches), itemgetter(0, 1)):
+            hashes, read = {}, 0
+            for _, _, data in found:
+                if not hashes:
+                    # by the bytes that the start may have lost; Parquet files start with PAR1 or PARE
+                    marks = (b"",) if data[:3] == b"PAR" else (b"", codecs.BOM_UTF8)
+                    hashes = {len(m): hashlib.sha256(m) for m in marks}
+                else:
+                    read += len(separator)
+                    for h in hashes.values():
+                        h.update(separator)
+                read += data.size
+                for h in hashes.values():
+                    h.update(data)
+            lost = next((n for n in hashes if size - read - n in (0, len(separator))), None)
+            if lost is None:
+                raise ValueError(f"{path} was read in part: {read} of {size} bytes")
+            if read + lost < size:
+                hashes[lost].update(separator)
+            file = unquote(path.rsplit("/", 1)[-1])
+            yield pa.RecordBatch.from_pydict({"file": [file], "sha256": [hashes[lost].hexdigest()]})
+
+    return digests
+
+
 def checksums(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256 of every Parquet file under a folder.
 
-    A file is hashed as one value in one task, so this is for files below 2 GB, which ``rows_per_file``
-    keeps published files under; ``tree_checksums`` takes files of any size.
+    A file of any size is streamed through one task, which holds a batch of it at a time, since SHA-256 takes
+    bytes in order; ``tree_checksums`` lets several tasks share a file.  Files without any bytes have no row, nor
+    has one of a byte order mark alone, which no Parquet file is.
     """
-    return (
-        spark.read.format("binaryFile")
+    pieces = (
+        spark.read.format("text")
+        .options(**_WHOLE_FILES)
+        .option("lineSep", PIECE_END)
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", True)
         .load(path)
-        .select(
-            F.element_at(F.split("path", "/"), -1).alias("file"),
-            F.sha2("content", 256).alias("sha256"),
-        )
+        .select("_metadata.file_path", "_metadata.file_size", F.col("value").cast("binary"))
     )
+    return pieces.mapInArrow(_file_digests(PIECE_END.encode()), "file string, sha256 string")
 
 
 #: Ends a piece of a file.  In compressed data it comes about every 16 MB.

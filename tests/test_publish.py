@@ -2,6 +2,7 @@ import datetime as dt
 import hashlib
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +94,50 @@ def test_checksums_and_sizes(spark, tmp_path):
     assert report["total"].files == len(files)
 
 
+def test_checksums_stream_files_and_never_split_them(spark, tmp_path):
+    end, mark = P.PIECE_END.encode(), b"\xef\xbb\xbf"
+    contents = {
+        "long.parquet": b"PAR1" + b"".join(hashlib.sha256(bytes([i % 256, i // 256])).digest() for i in range(5000)),
+        "no piece.parquet": bytes(range(22, 256)) * 2000,
+        "x+%20é#?.parquet": b"PAR1" + end * 3000 + b"PAR1" + end,
+        "only.parquet": end,
+        "short.parquet": b"\xff\x00" + end + b"\r\n",
+        "marked.parquet": mark + b"a" + end + mark + end,
+        "mark.parquet": mark + b"a" + end + mark,
+        "other.txt": b"a",
+    }
+    want = []
+    for folder in ("x", "y"):
+        (tmp_path / folder / "z").mkdir(parents=True)
+        for i, (name, data) in enumerate(contents.items()):
+            data = data if folder == "x" else data * 2
+            (tmp_path / folder / ("z" if i % 2 else "") / name).write_bytes(data)
+            want += [(name, hashlib.sha256(data).hexdigest())] if name.endswith("parquet") else []
+    settings = {
+        "spark.sql.sources.binaryFile.maxLength": "100",  # stands for 2 GB
+        "spark.sql.files.openCostInBytes": "1",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "7",
+    }
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for size in ("3000b", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = P.checksums(spark, str(tmp_path))
+            assert sorted((r.file, r.sha256) for r in got.collect()) == sorted(want)
+            assert got.schema.simpleString() == "struct<file:string,sha256:string>"
+    finally:
+        for name in (*settings, "spark.sql.files.maxPartitionBytes"):
+            spark.conf.unset(name)
+
+
+def test_a_file_read_in_part_has_no_checksum():
+    digests = P._file_digests(b"\x15")
+    batch = pa.RecordBatch.from_pydict({"path": ["a", "a"], "size": [9, 9], "piece": [b"PAR1", b"b"]})
+    with pytest.raises(ValueError, match="6 of 9 bytes"):
+        list(digests([batch]))
+
+
 def test_conform_fills_and_casts(spark):
     df = spark.createDataFrame([("x", None)], "SOPInstanceUID string, ImageType array<string>")
     got = conform(df, S.INSTANCES).first()
